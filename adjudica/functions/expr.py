@@ -226,13 +226,16 @@ EXCLUDED_GROUPS = ("PARTO", "PUERPERIO")
 
 
 def group_filter(col: str = "CIE_GRUPO", mode: str = "strict", excluded=EXCLUDED_GROUPS) -> Column:
-    """strict = NOT IN excluded AND not null AND trimmed non-empty; relaxed = no filter.
+    """strict = NOT IN excluded AND not null AND trimmed non-empty;
+    relaxed = NOT IN excluded OR null OR blank (only the excluded groups go).
 
     NOT IN on a NULL value is unknown (row dropped), as in SQL.
     """
-    if mode == "relaxed":
-        return F.lit(True)
     c = F.col(col)
+    if mode == "relaxed":
+        return (~c.isin(*excluded)) | c.isNull() | (F.trim(c) == "")
+    if mode != "strict":
+        raise ValueError(mode)
     return (~c.isin(*excluded)) & c.isNotNull() & (F.trim(c) != "")
 
 
