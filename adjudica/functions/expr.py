@@ -267,14 +267,13 @@ def split_decided_pending(df: DataFrame, target: str) -> tuple[DataFrame, DataFr
 def neutralise_all_null_dates(pending: DataFrame, decided: DataFrame, date_cols: Iterable[str]) -> DataFrame:
     """A date column wholly NULL among decided rows is set NULL in pending rows.
 
-    One global one-row aggregate (bounded: one value per column) is
-    cross-joined to the pending rows; Spark broadcasts a one-row relation.
+    One global aggregate (one value per column) enters the plan as a scalar
+    subquery, so no join is needed.
     """
     cols = [c for c in date_cols if c in decided.columns and c in pending.columns]
     if not cols:
         return pending
-    seen = decided.agg(*[F.max(F.col(c).isNotNull().cast("int")).alias(f"__seen_{c}") for c in cols])
-    j = pending.crossJoin(F.broadcast(seen))
-    return j.select(*[F.when(F.coalesce(F.col(f"__seen_{c}"), F.lit(0)) == 1, F.col(c))
-                      .otherwise(F.lit(None).cast(t)).alias(c) if c in cols else F.col(c)
-                      for c, t in pending.dtypes])
+    seen = decided.agg(F.struct(*[F.max(F.col(c).isNotNull().cast("int")).alias(c) for c in cols])).scalar()
+    return pending.select(*[F.when(F.coalesce(seen.getField(c), F.lit(0)) == 1, F.col(c))
+                            .otherwise(F.lit(None).cast(t)).alias(c) if c in cols else F.col(c)
+                            for c, t in pending.dtypes])

@@ -57,17 +57,18 @@ EXAMS_FROM_EVENTS = [
     "END AS ACUERDO_DESACUERDO",
 ]
 
-# scored rows: score = round(discount * 10, 3), label N -> 1, R -> 0, A -> NULL
+# scored rows: score = round(discount * 10, 3), label N -> 1, R -> 0, A -> NULL,
+# prior approval (FT1) = zero tax, accumulated days = quantity + 4 * line number
 SCORED_FROM_LINEITEM = [
     "l_orderkey AS LCC_COMCOR",
     "CAST(l_linenumber AS BIGINT) AS LCC_COMCOD",
     "l_partkey AS PART_KEY",
     "round(l_discount * 10, 3) AS PROBABILIDAD_APROBACION",
-    "CASE l_returnflag WHEN 'N' THEN 1 WHEN 'R' THEN 0 END AS TARGET",
+    "CASE l_returnflag WHEN 'N' THEN 1 WHEN 'R' THEN 0 END AS TARGET_FT3",
     "CAST(l_quantity AS BIGINT) AS DIASSOLICITADO",
-    "CAST(l_quantity AS BIGINT) AS EPISODIO_ACUM_DIAS",
+    "CAST(l_quantity + l_linenumber * 4 AS BIGINT) AS EPISODIO_ACUM_DIAS",
+    "CASE WHEN l_tax = 0 THEN 1 ELSE 0 END AS LEAK_FT",
     "l_linestatus AS LINE_STATUS",
-    "CAST(l_tax * 100 AS BIGINT) AS PRIOR_GROUP",
 ]
 
 
