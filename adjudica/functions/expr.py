@@ -199,7 +199,7 @@ def derive_audit_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def outcome_flags(df: DataFrame, prior_col: str = "MEDICO_COLMENA", prior_value: str = "autvis") -> DataFrame:
+def outcome_flags(df: DataFrame, prior_col: str | None = "MEDICO_COLMENA", prior_value: str = "autvis") -> DataFrame:
     """Insurer outcome flags, verdict flag, psychiatric and prior-approval flags."""
     i_days, req = F.col("I_DIASAUTORIZADOS"), F.col("DIASSOLICITADO")
     verdict = F.upper(F.col("RESOLUCION_COMPIN"))
@@ -211,7 +211,8 @@ def outcome_flags(df: DataFrame, prior_col: str = "MEDICO_COLMENA", prior_value:
         F.when(partial, (req - i_days) / F.nullif(req, F.lit(0))).cast("float").alias("ISAP_MODIFICA_PCT"),
         F.when(verdict == "RATIFICA", 1).when(verdict == "DENIEGA", 0).alias("ISAP_GANA_COMPIN"),
         F.when(F.upper(F.col("CIE_GRUPO")) == "PSIQUIATRICAS", 1).otherwise(0).alias("IS_PSIQUIATRICA_CURRENT_FLAG"),
-        F.when(F.col(prior_col) == prior_value, 1).otherwise(0).cast("int").alias("PASO_FASTTRACK"),
+        (F.when(F.col(prior_col) == prior_value, 1).otherwise(0) if prior_col else F.lit(0)).cast("int")
+         .alias("PASO_FASTTRACK"),
     )
 
 

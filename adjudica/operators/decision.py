@@ -219,17 +219,19 @@ def assign_light(df: DataFrame, green: float, yellow: float, score: str = "PROBA
     ``max_acc_days`` accumulated days becomes yellow (NULL days never trigger).
     A NULL or NaN score is red."""
     s = F.col(score)
+    green = green if isinstance(green, Column) else F.lit(green)
+    yellow = yellow if isinstance(yellow, Column) else F.lit(yellow)
     valid = s.isNotNull() & ~F.isnan(s)
     d = F.col(days) if days in df.columns else F.lit(None).cast("double")
     a = F.col(acc_days) if acc_days in df.columns else F.lit(None).cast("double")
-    is_green = valid & (s >= F.lit(green))
+    is_green = valid & (s >= green)
     rule = (d > max_days) | (a >= max_acc_days)
     light = F.when(F.lit(False), None)
     if use_prior_class and prior_col and prior_col in df.columns:
         light = F.when(F.col(prior_col) == 1, F.lit(FT1))
     light = (light.when(is_green & F.coalesce(rule, F.lit(False)), F.lit(YELLOW))
                   .when(is_green, F.lit(GREEN))
-                  .when(valid & (s >= F.lit(yellow)), F.lit(YELLOW))
+                  .when(valid & (s >= yellow), F.lit(YELLOW))
                   .otherwise(F.lit(RED)))
     return df.withColumn(out, light)
 
@@ -331,15 +333,16 @@ def report_summary(decided: DataFrame, pending: DataFrame, green: float, yellow:
         F.when(tp + fp > 0, tp / (tp + fp)).cast("double").alias("PREC"),
         fp.cast("double").alias("FP"))
     j = j.fillna(0.0, subset=["DEC", "PEN", "PDAYS", "FP"] + [f"P_{x}" for x in LIGHTS])
+    gcol = green if isinstance(green, Column) else F.lit(float(green))
+    ycol = yellow if isinstance(yellow, Column) else F.lit(float(yellow))
+    j = j.withColumn("G", gcol.cast("double")).withColumn("Y", ycol.cast("double"))
     names = [("TOTAL_LICENCIAS", "TOTAL"), ("CON_DICTAMEN", "DEC"), ("PENDIENTES", "PEN")] + \
             [(f"PENDIENTES_{x}", f"P_{x}") for x in LIGHTS] + \
-            [("DIAS_SOLICITADOS_VERDE", "PDAYS"), ("PRECISION_VERDE", "PREC"), ("FALSOS_POSITIVOS", "FP")]
+            [("DIAS_SOLICITADOS_VERDE", "PDAYS"), ("PRECISION_VERDE", "PREC"), ("FALSOS_POSITIVOS", "FP"),
+             ("UMBRAL_VERDE", "G"), ("UMBRAL_AMARILLO", "Y")]
     items = ", ".join(f"{i}, '{n}', `{c}`" for i, (n, c) in enumerate(names))
     long = j.selectExpr(f"stack({len(names)}, {items}) AS (ORDEN, METRICA, VALOR)")
-    thr = long.sparkSession.createDataFrame(
-        [(len(names), "UMBRAL_VERDE", float(green)), (len(names) + 1, "UMBRAL_AMARILLO", float(yellow))],
-        "ORDEN int, METRICA string, VALOR double")
-    return long.unionByName(thr).withColumn("VALOR", F.round("VALOR", 6))
+    return long.withColumn("VALOR", F.round("VALOR", 6))
 
 
 # ------------------------------------------------------------------ F2-F4
