@@ -54,21 +54,30 @@ def claim_metrics_15d(probes: DataFrame, history: DataFrame, days: int = 15,
     """The person's own claims received in the ``days`` days before each claim."""
     resolved = F.col("FECHA_RESOLUCION_COMPIN").isNotNull()
     verdict = F.upper(F.col("RESOLUCION_COMPIN"))
-    comcor = F.col("LCC_COMCOR")
+    f_pos = F.when(F.col("F_DIASAUTORIZADOS") > 0, F.col("F_DIASAUTORIZADOS"))
+    # level 1: one row per (person, day, claim number) -> distinct counts become counts
+    pre = [
+        F.max(F.when(resolved, 1).otherwise(0)).alias("__res"),
+        F.max(F.when(verdict == "RATIFICA", 1).otherwise(0)).alias("__rat"),
+        F.max(F.when(verdict == "DENIEGA", 1).otherwise(0)).alias("__den"),
+        F.sum(f_pos).alias("__fs"), F.count(f_pos).alias("__fc"),
+        F.sum("DIASSOLICITADO").alias("__ds"), F.max("DIASSOLICITADO").alias("__dm"),
+    ]
+    has = F.col("LCC_COMCOR").isNotNull()
     aggs = [
-        F.count_distinct(comcor).alias("CANT_LIC_U15D"),
-        F.count_distinct(F.when(resolved, comcor)).alias("CANT_LIC_CON_RESOLUCION_U15D"),
-        F.count_distinct(F.when(verdict == "RATIFICA", comcor)).alias("COMPIN_RATIFICA_U15D"),
-        F.count_distinct(F.when(verdict == "DENIEGA", comcor)).alias("COMPIN_DENIEGA_U15D"),
-        F.avg(F.when(F.col("F_DIASAUTORIZADOS") > 0, F.col("F_DIASAUTORIZADOS")))
-         .alias("F_DIAS_PROMEDIO_U15D"),
-        F.sum("DIASSOLICITADO").alias("TOTAL_DIAS_SOLICITADOS_U15D"),
-        F.max("DIASSOLICITADO").alias("MAX_DIAS_SOLICITADOS_U15D"),
+        F.count("LCC_COMCOR").alias("CANT_LIC_U15D"),
+        F.sum(F.when(has, F.col("__res")).otherwise(0)).alias("CANT_LIC_CON_RESOLUCION_U15D"),
+        F.sum(F.when(has, F.col("__rat")).otherwise(0)).alias("COMPIN_RATIFICA_U15D"),
+        F.sum(F.when(has, F.col("__den")).otherwise(0)).alias("COMPIN_DENIEGA_U15D"),
+        (F.sum("__fs") / F.sum("__fc")).alias("F_DIAS_PROMEDIO_U15D"),
+        F.sum("__ds").alias("TOTAL_DIAS_SOLICITADOS_U15D"),
+        F.max("__dm").alias("MAX_DIAS_SOLICITADOS_U15D"),
     ]
     h = history.select("AFILIADO_RUT", "LCC_COMCOR", "FECHA_RECEPCION", "FECHA_RESOLUCION_COMPIN",
                        "RESOLUCION_COMPIN", "F_DIASAUTORIZADOS", "DIASSOLICITADO")
     out = lookback_aggregate(probes, h, "AFILIADO_RUT", "FECHA_RECEPCION", "FECHA_RECEPCION",
-                             aggs, days=days, date_from=date_from, date_to=date_to)
+                             aggs, days=days, date_from=date_from, date_to=date_to,
+                             pre_group=["LCC_COMCOR"], pre_aggs=pre)
     n_all = F.coalesce(F.col("CANT_LIC_U15D"), F.lit(0))
     n_res = F.col("CANT_LIC_CON_RESOLUCION_U15D")
     out = (out.withColumn("FLAG_MULTIPLES_LIC_U15D", F.when(n_all > 1, 1).otherwise(0))
@@ -103,18 +112,23 @@ def exam_metrics_15d(probes: DataFrame, exams: DataFrame, days: int = 15,
     """D3: expert examinations of the person in the look-back window."""
     d = F.col("PERITAJE_PERITAJE_FECHA_CITACION")
     att, agr = F.col("ASISTENCIA"), F.col("ACUERDO_DESACUERDO")
+    # level 1: one row per (person, day, exam date) -> distinct dates become counts
+    pre = [
+        F.max(F.when(att == "NO ASISTE", 1).otherwise(0)).alias("__na"),
+        F.max(F.when((att == "ASISTE") & (agr == "DESACUERDO"), 1).otherwise(0)).alias("__de"),
+        F.max(F.when((att == "ASISTE") & (agr == "ACUERDO"), 1).otherwise(0)).alias("__ac"),
+    ]
     aggs = [
-        F.count_distinct(d).alias("PERITAJES_TOTAL_U15D"),
-        F.count_distinct(F.when(att == "NO ASISTE", d)).alias("PERITAJES_NO_ASISTE_U15D"),
-        F.count_distinct(F.when((att == "ASISTE") & (agr == "DESACUERDO"), d))
-         .alias("PERITAJES_DESACUERDO_U15D"),
-        F.count_distinct(F.when((att == "ASISTE") & (agr == "ACUERDO"), d))
-         .alias("PERITAJES_ACUERDO_U15D"),
+        F.count(d).alias("PERITAJES_TOTAL_U15D"),
+        F.sum("__na").alias("PERITAJES_NO_ASISTE_U15D"),
+        F.sum("__de").alias("PERITAJES_DESACUERDO_U15D"),
+        F.sum("__ac").alias("PERITAJES_ACUERDO_U15D"),
         F.max(d).alias("__last_exam"),
     ]
     out = lookback_aggregate(probes, exams, "AFILIADO_RUT", "FECHA_RECEPCION",
                              "PERITAJE_PERITAJE_FECHA_CITACION", aggs, days=days,
-                             date_from=date_from, date_to=date_to)
+                             date_from=date_from, date_to=date_to,
+                             pre_group=["PERITAJE_PERITAJE_FECHA_CITACION"], pre_aggs=pre)
     out = (out.withColumn("DIAS_DESDE_ULTIMO_PERITAJE_U15D",
                           F.datediff(F.col("FECHA_RECEPCION"), F.col("__last_exam")))
               .withColumn("FLAG_PERITAJE_RECIENTE_U15D",

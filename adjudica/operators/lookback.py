@@ -47,6 +47,8 @@ def lookback_aggregate(
     date_from=None,
     date_to=None,
     defaults: dict | None = None,
+    pre_group: Sequence[str] | None = None,
+    pre_aggs: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Attach aggregates of ``history`` rows in ``[probe_date - days, probe_date)``.
 
@@ -55,6 +57,10 @@ def lookback_aggregate(
     ``date_from``/``date_to`` (inclusive days) bound the probe range so the
     history scan is pruned to ``[date_from - days, date_to)``.
     ``defaults`` fills aggregates for probes without any history row.
+    With ``pre_group``, rows are first reduced per (key, day, *pre_group) by
+    ``pre_aggs`` and ``aggs`` then run over those rows: distinct counts of a
+    ``pre_group`` column become plain counts, so Spark needs no ``Expand``
+    (one copy of the data per distinct aggregate).
     Returns ``probe`` with the aggregate columns appended (left semantics).
     """
     pk = _as_list(key)
@@ -79,6 +85,8 @@ def lookback_aggregate(
         last = F.least(last, F.lit(date_to).cast("date"))
     fanned = (h.where(hday.isNotNull() & (first <= last))
                .withColumn(_T, F.explode(F.sequence(first, last))))
+    if pre_group:
+        fanned = fanned.groupBy(*pk, _T, *pre_group).agg(*pre_aggs)
     per_day = fanned.groupBy(*pk, _T).agg(*aggs)
     pday = F.to_date(F.col(probe_date))
     p = probe.withColumn(_T, pday)
