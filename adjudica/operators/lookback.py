@@ -4,13 +4,18 @@ A claim at day ``t`` looks at the same person's events with day in
 ``[t - days, t)``.  Two physical forms are offered:
 
 * ``lookback_aggregate`` (used by the metric builders) never materialises
-  (claim, event) pairs.  Each event is fanned out to the ``days`` probe days
-  it can influence (``t`` in ``[d + 1, d + days]``, clipped to the probe
-  range), aggregated per ``(key, t)`` with Spark's partial/final hash
-  aggregate, and joined back to the probes on ``(key, t)``.  A hot person is
-  therefore split over days, the aggregated side is unique per join key, and
-  the fan-out is bounded by ``days`` (by the probe range length in the daily
-  increment, where the event scan is also pruned to ``days`` days).
+  (claim, event) pairs.  Events are paired with the *distinct probe days* of
+  the same person (``method="join"``: an equi-join on (person, day bucket),
+  each probe day copied to the at most two ``days``-wide buckets its window
+  touches), or fanned out to every day they can influence
+  (``method="fanout"``: ``t`` in ``[d + 1, d + days]``).  Either way an event
+  meets at most ``days`` probe days, so the work is bounded by ``days`` times
+  the events even for a person holding a third of all rows, and the join
+  form only does the work where probes exist.  The pairs are aggregated per
+  (person, probe day) with partial/final hash aggregation and joined back to
+  the probes on (person, day): the aggregated side is unique per key, so the
+  final join cannot fan out.  With a probe range the event scan is pruned to
+  ``[from - days, to)``.
 * ``lookback_join`` returns the pairs themselves (left outer), by an equi-join
   on ``(key, day bucket)`` with the probe copied to the at most two buckets
   its window touches, so a hot key is divided into ``days``-wide slices
@@ -49,6 +54,7 @@ def lookback_aggregate(
     defaults: dict | None = None,
     pre_group: Sequence[str] | None = None,
     pre_aggs: Sequence[Column] | None = None,
+    method: str = "join",
 ) -> DataFrame:
     """Attach aggregates of ``history`` rows in ``[probe_date - days, probe_date)``.
 
@@ -77,18 +83,32 @@ def lookback_aggregate(
     for a, b in zip(hk, pk):
         if a != b:
             h = h.withColumnRenamed(a, b)
-    first = F.date_add(hday, 1)
-    last = F.date_add(hday, days)
-    if date_from is not None:
-        first = F.greatest(first, F.lit(date_from).cast("date"))
-    if date_to is not None:
-        last = F.least(last, F.lit(date_to).cast("date"))
-    fanned = (h.where(hday.isNotNull() & (first <= last))
-               .withColumn(_T, F.explode(F.sequence(first, last))))
+    pday = F.to_date(F.col(probe_date))
+    if method == "fanout":
+        first = F.date_add(hday, 1)
+        last = F.date_add(hday, days)
+        if date_from is not None:
+            first = F.greatest(first, F.lit(date_from).cast("date"))
+        if date_to is not None:
+            last = F.least(last, F.lit(date_to).cast("date"))
+        fanned = (h.where(hday.isNotNull() & (first <= last))
+                   .withColumn(_T, F.explode(F.sequence(first, last))))
+    elif method == "join":
+        pdays = probe.select(*pk, pday.alias(_T)).where(F.col(_T).isNotNull()).distinct()
+        pn = F.unix_date(F.col(_T))
+        pdays = pdays.withColumn(_B, F.explode(F.array_distinct(
+            F.array(F.floor((pn - days) / days), F.floor((pn - 1) / days)))))
+        hn = F.unix_date(hday)
+        hb = h.where(hday.isNotNull()).withColumn("__hn", hn).withColumn(_B, F.floor(hn / days))
+        # history streams, the few distinct probe days per (person, bucket) are buffered
+        fanned = hb.join(pdays, [*pk, _B]).where(
+            (F.col("__hn") >= F.unix_date(F.col(_T)) - days) & (F.col("__hn") < F.unix_date(F.col(_T)))) \
+            .drop("__hn", _B)
+    else:
+        raise ValueError(method)
     if pre_group:
         fanned = fanned.groupBy(*pk, _T, *pre_group).agg(*pre_aggs)
     per_day = fanned.groupBy(*pk, _T).agg(*aggs)
-    pday = F.to_date(F.col(probe_date))
     p = probe.withColumn(_T, pday)
     out = p.join(per_day, [*pk, _T], "left").drop(_T)
     if defaults:

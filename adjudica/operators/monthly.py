@@ -7,11 +7,15 @@ count / sum / mean / min / max / distinct measures over the trailing 1, 6,
 the reference, so this builder is inferred from those column families.
 
 Plan: pre-aggregate each measure per (entity, month) (map-side combined),
-fan every monthly row out to the ``max(windows)`` periods whose trailing
-window contains it, and aggregate per (entity, period) with one conditional
-aggregate per window.  Distinct measures fan out the de-duplicated
-(entity, month, value) rows instead.  Work is linear in the data, a hot
-entity is split over months, and no raw row pairs are formed.
+so even an entity holding a third of all rows shrinks to one row per month.
+The period spine of each entity (first active month to last active month +
+``max(windows) - 1``) is generated from those bounds, the monthly rows are
+joined onto it, and every trailing window is a ``rangeBetween`` frame over
+the month index, partitioned by entity (at most a few hundred rows per
+entity, bounded by the calendar).  Distinct measures cannot use window
+frames, so their de-duplicated (entity, month, value) rows are fanned out
+to the at most ``max(windows)`` periods that contain them and counted per
+(entity, period).  No raw row pairs are formed.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KINDS = ("count", "sum", "mean", "min", "max", "distinct")
@@ -42,7 +46,7 @@ def period_of_index(i: Column) -> Column:
 
 
 def monthly_metrics(df: DataFrame, entity: str, date_col: str, measures: Sequence[Measure],
-                    windows: Sequence[int] = (1, 6, 12, 24, 36), until=None) -> DataFrame:
+                    windows: Sequence[int] = (1, 6, 12, 24, 36), until=None, method: str = "fanout") -> DataFrame:
     """One row per (entity, PERIODO) with ``{name}_U{w}M`` per measure and window.
 
     Periods are every month within ``max(windows)`` months after any activity
@@ -76,31 +80,81 @@ def monthly_metrics(df: DataFrame, entity: str, date_col: str, measures: Sequenc
             if m.kind == "max":
                 pre.append(F.max(m.expr).alias(f"__x{i}"))
         monthly = base.groupBy(entity, "__m").agg(F.count(F.lit(1)).alias("__rows"), *pre)
-        f = fan(monthly)
-        aggs = []
-        for w in windows:
-            inw = F.col("__k") < w
-            for i, m in enumerate(plain):
-                out = f"{m.name}_U{w}M"
-                if m.kind == "count":
-                    aggs.append(F.coalesce(F.sum(F.when(inw, F.col(f"__c{i}"))), F.lit(0)).alias(out))
-                elif m.kind == "sum":
-                    aggs.append(F.sum(F.when(inw, F.col(f"__s{i}"))).alias(out))
-                elif m.kind == "mean":
-                    aggs.append((F.sum(F.when(inw, F.col(f"__s{i}")))
-                                 / F.sum(F.when(inw, F.col(f"__c{i}")))).alias(out))
-                elif m.kind == "min":
-                    aggs.append(F.min(F.when(inw, F.col(f"__n{i}"))).alias(out))
-                elif m.kind == "max":
-                    aggs.append(F.max(F.when(inw, F.col(f"__x{i}"))).alias(out))
-        parts.append(f.groupBy(entity, "__t").agg(*aggs))
+        if method == "fanout":
+            parts.append(_plain_fanout(fan(monthly), entity, plain, windows))
+        else:
+            parts.append(_plain_window(monthly, entity, plain, windows, maxw, limit))
     if dist:
         vals = base.select(entity, "__m", *[m.expr.alias(f"__v{i}") for i, m in enumerate(dist)]).distinct()
         f = fan(vals)
-        aggs = [F.count_distinct(F.when(F.col("__k") < w, F.col(f"__v{i}"))).alias(f"{m.name}_U{w}M")
-                for w in windows for i, m in enumerate(dist)]
-        parts.append(f.groupBy(entity, "__t").agg(*aggs))
+        # per distinct measure: the value's latest month before each period
+        # (smallest lag k), then "distinct within w months" = count of k < w;
+        # plain counts instead of one count-distinct (Expand) per window
+        dparts = []
+        for i, m in enumerate(dist):
+            v = f.where(F.col(f"__v{i}").isNotNull()).groupBy(entity, "__t", f"__v{i}") \
+                 .agg(F.min("__k").alias("__kmin"))
+            dparts.append(v.groupBy(entity, "__t").agg(
+                *[F.sum(F.when(F.col("__kmin") < w, 1).otherwise(0)).alias(f"{m.name}_U{w}M") for w in windows]))
+        d = dparts[0]
+        for p in dparts[1:]:
+            d = d.join(p, [entity, "__t"], "full_outer")
+        parts.append(d)
     out = parts[0]
     for p in parts[1:]:
-        out = out.join(p, [entity, "__t"], "full_outer")
+        out = out.join(p, [entity, "__t"], "left")
+    if plain and dist:
+        out = out.fillna(0, subset=[f"{m.name}_U{w}M" for m in dist for w in windows])
     return out.withColumn("PERIODO", period_of_index(F.col("__t"))).drop("__t")
+
+
+def _plain_fanout(f: DataFrame, entity: str, plain, windows) -> DataFrame:
+    """Monthly rows fanned to the periods that contain them, one conditional
+    aggregate per (measure, window), hash-aggregated with codegen."""
+    aggs = []
+    for w in windows:
+        inw = F.col("__k") < w
+        for i, m in enumerate(plain):
+            out = f"{m.name}_U{w}M"
+            if m.kind == "count":
+                aggs.append(F.coalesce(F.sum(F.when(inw, F.col(f"__c{i}"))), F.lit(0)).alias(out))
+            elif m.kind == "sum":
+                aggs.append(F.sum(F.when(inw, F.col(f"__s{i}"))).alias(out))
+            elif m.kind == "mean":
+                aggs.append((F.sum(F.when(inw, F.col(f"__s{i}"))) / F.sum(F.when(inw, F.col(f"__c{i}")))).alias(out))
+            elif m.kind == "min":
+                aggs.append(F.min(F.when(inw, F.col(f"__n{i}"))).alias(out))
+            elif m.kind == "max":
+                aggs.append(F.max(F.when(inw, F.col(f"__x{i}"))).alias(out))
+    return f.groupBy(entity, "__t").agg(*aggs)
+
+
+def _plain_window(monthly: DataFrame, entity: str, plain, windows, maxw, limit) -> DataFrame:
+    """Same result with range frames over a per-entity month spine (fewer rows,
+    but window operators run without whole-stage codegen)."""
+    bounds = monthly.groupBy(entity).agg(F.min("__m").alias("__lo"), F.max("__m").alias("__hi"))
+    spine = bounds.select(entity, F.explode(F.sequence(F.col("__lo"), F.col("__hi") + (maxw - 1))).alias("__t"))
+    if limit is not None:
+        spine = spine.where(F.col("__t") <= limit)
+    j = spine.join(monthly.withColumnRenamed("__m", "__t"), [entity, "__t"], "left")
+
+    def win(w):
+        return Window.partitionBy(entity).orderBy("__t").rangeBetween(-(w - 1), 0)
+
+    cols = []
+    for w in windows:
+        for i, m in enumerate(plain):
+            out = f"{m.name}_U{w}M"
+            if m.kind == "count":
+                cols.append(F.coalesce(F.sum(f"__c{i}").over(win(w)), F.lit(0)).alias(out))
+            elif m.kind == "sum":
+                cols.append(F.sum(f"__s{i}").over(win(w)).alias(out))
+            elif m.kind == "mean":
+                cols.append((F.sum(f"__s{i}").over(win(w)) / F.sum(f"__c{i}").over(win(w))).alias(out))
+            elif m.kind == "min":
+                cols.append(F.min(f"__n{i}").over(win(w)).alias(out))
+            elif m.kind == "max":
+                cols.append(F.max(f"__x{i}").over(win(w)).alias(out))
+    active = F.sum("__rows").over(win(maxw))
+    return (j.select(entity, "__t", active.alias("__active"), *cols)
+            .where(F.col("__active") > 0).drop("__active"))
