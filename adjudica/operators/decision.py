@@ -370,3 +370,43 @@ def false_positive_list(df: DataFrame, light: str = "SEMAFORO", label: str = "TA
 def green_list(df: DataFrame, light: str = "SEMAFORO", score: str = "PROBABILIDAD_APROBACION") -> DataFrame:
     """green rows by score descending."""
     return df.where(F.col(light) == GREEN).orderBy(F.col(score).desc())
+
+
+# ------------------------------------------------------------------ D4-D6
+def flow_statistics(df: DataFrame, date_from=None, date_to=None, date_col: str = "FECHA_RECEPCION") -> DataFrame:
+    """Claims, modified, sent to the appeals body, ratified, denied, and the
+    stage percentages (NULL when the stage denominator is 0)."""
+    d = df
+    if date_from is not None:
+        d = d.where(F.col(date_col) >= F.lit(date_from).cast("date"))
+    if date_to is not None:
+        d = d.where(F.col(date_col) <= F.lit(date_to).cast("date"))
+    mod = F.col("TARGET_MODIFICA") == 1
+    rat = F.col("TARGET_RATIFICA")
+    a = d.agg(F.count(F.lit(1)).alias("total_licenses"),
+              F.sum(F.when(mod, 1).otherwise(0)).alias("modified_licenses"),
+              F.sum(F.when(mod & rat.isNotNull(), 1).otherwise(0)).alias("compin_licenses"),
+              F.sum(F.when(mod & (rat == 1), 1).otherwise(0)).alias("compin_ratified"),
+              F.sum(F.when(mod & (rat == 0), 1).otherwise(0)).alias("compin_denied"))
+    a = a.fillna(0)
+
+    def pct(n, d_):
+        return F.round(F.when(F.col(d_) > 0, F.col(n) * 100.0 / F.col(d_)), 6)
+
+    return a.select("*", pct("modified_licenses", "total_licenses").alias("pct_modified"),
+                    pct("compin_licenses", "modified_licenses").alias("pct_to_compin"),
+                    pct("compin_ratified", "compin_licenses").alias("pct_ratified"),
+                    pct("compin_denied", "compin_licenses").alias("pct_denied"))
+
+
+def target_distribution(df: DataFrame, target: str) -> DataFrame:
+    """Rows per target value (NULL excluded)."""
+    return df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("N"))
+
+
+def load_verification(df: DataFrame, day, ts_col: str = "FECHA_PROCESAMIENTO", light: str = "SEMAFORO",
+                      pending: str = "ES_PENDIENTE") -> DataFrame:
+    """Total rows, pending rows and distinct lights processed on ``day``."""
+    d = df.where(F.to_date(F.col(ts_col)) == F.lit(day).cast("date"))
+    return d.agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum(pending), F.lit(0)).cast("long").alias("pendientes"),
+                 F.count_distinct(light).alias("semaforos"))

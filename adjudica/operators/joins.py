@@ -103,7 +103,8 @@ def attach_metrics(base: DataFrame, metric_sets: Sequence[DataFrame], keys: Sequ
     out = base
     for m in metric_sets:
         out = out.join(m, list(keys), "left")
-    return out.fillna(defaults) if defaults else out
+    present = {k: v for k, v in (defaults or {}).items() if k in out.columns}
+    return out.fillna(present) if present else out
 
 
 def lookup_fill(df: DataFrame, key: str, cols: Sequence[str],
