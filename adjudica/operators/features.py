@@ -111,20 +111,23 @@ def _with_bigrams(toks: Column) -> Column:
 
 
 def _doc_terms(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    # tokens are computed once per document, then unigrams and bigrams are
-    # exploded and counted per (document, term) with a partial aggregate
-    t = df.select(doc_id, _tokens(F.col(text)).alias("__toks"))
+    # Documents are hash-spread by id first: text tables come in few large
+    # splits and document lengths vary a lot, so tokenising straight off the
+    # scan leaves cores idle.  After that shuffle the (document, term) counts
+    # are partition-local (rows of one document share a partition), so the
+    # raw text is moved exactly once.
+    t = df.select(doc_id, text).repartition(doc_id).select(doc_id, _tokens(F.col(text)).alias("__toks"))
     t = t.select(doc_id, F.explode(_with_bigrams(F.col("__toks"))).alias("term"))
     return t.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tfidf_fit(df: DataFrame, doc_id: str, text: str, max_features: int = 50, min_df: int = 5,
-              max_df: float = 0.8) -> DataFrame:
+              max_df: float = 0.8, tf: DataFrame | None = None) -> DataFrame:
     """I2 fit: vocabulary (term, idx, idf).  Terms in at least ``min_df``
     documents and at most ``max_df`` of them, the ``max_features`` most
     frequent over the corpus (ties alphabetical), indexed alphabetically;
     smooth idf = ln((1 + n) / (1 + df)) + 1."""
-    tf = _doc_terms(df, doc_id, text)
+    tf = tf if tf is not None else _doc_terms(df, doc_id, text)
     n = df.agg(F.count(F.lit(1))).scalar()
     dfs = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tot"))
     keep = dfs.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n))
@@ -137,13 +140,18 @@ def tfidf_fit(df: DataFrame, doc_id: str, text: str, max_features: int = 50, min
 
 
 def tfidf_transform(df: DataFrame, vocab: DataFrame, doc_id: str, text: str, prefix: str,
-                    size: int, keep_text: bool = False) -> DataFrame:
+                    size: int, keep_text: bool = False, tf: DataFrame | None = None) -> DataFrame:
     """I2 apply: ``{prefix}_tfidf_{i}`` columns, L2-normalised per document."""
-    tf = _doc_terms(df, doc_id, text).join(F.broadcast(vocab), "term")  # vocab <= max_features rows
+    tf = (tf if tf is not None else _doc_terms(df, doc_id, text)) \
+        .join(F.broadcast(vocab), "term")  # vocab <= max_features rows
     w = tf.select(doc_id, "idx", (F.col("tf") * F.col("idf")).alias("v"))
-    nrm = w.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("__nr"))
-    wide = w.join(nrm, doc_id).groupBy(doc_id).pivot("idx", list(range(size))) \
-        .agg(F.first(F.col("v") / F.col("__nr")))
+    # L2 norm per document as a window over its <= size vocabulary rows; the
+    # rows are already partitioned by document, so neither the norm nor the
+    # pivot shuffles again
+    from pyspark.sql import Window
+    nr = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(doc_id)))
+    wide = w.withColumn("__x", F.col("v") / nr).groupBy(doc_id).pivot("idx", list(range(size))) \
+        .agg(F.first("__x"))
     wide = wide.select(doc_id, *[F.col(f"`{i}`").alias(f"{prefix}_tfidf_{i}") for i in range(size)])
     out = df.join(wide, doc_id, "left").fillna(0.0, subset=[f"{prefix}_tfidf_{i}" for i in range(size)])
     return out if keep_text else out.drop(text)
@@ -274,12 +282,13 @@ class FeatureModel:
         for t in self.text:
             if t not in x.columns:
                 continue
+            tf = _doc_terms(x, self.doc_id, t)
             if fit:
-                v = tfidf_fit(x, self.doc_id, t, self.max_features, self.min_df, self.max_df)
+                v = tfidf_fit(x, self.doc_id, t, self.max_features, self.min_df, self.max_df, tf=tf)
                 v = v.cache()
                 self.vocab[t] = v
                 self.sizes[t] = v.count()
-            x = tfidf_transform(x, self.vocab[t], self.doc_id, t, t, self.sizes[t])
+            x = tfidf_transform(x, self.vocab[t], self.doc_id, t, t, self.sizes[t], tf=tf)
         if fit:
             self.dictionary = label_encode_fit(x, [c for c in self.categorical if c in x.columns]).cache()
         x = label_encode_transform(x, self.dictionary, self.categorical)

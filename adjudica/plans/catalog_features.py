@@ -73,8 +73,9 @@ GROUP BY d.doc_id
 @query("i2_tfidf_features", "I2", _i2_sql())
 def i2_tfidf_features(spark, sf_dir):
     docs = an.table(spark, sf_dir, "documents").select("doc_id", "text")
-    vocab = X.tfidf_fit(docs, "doc_id", "text")
-    out = X.tfidf_transform(docs, vocab, "doc_id", "text", "text", 50)
+    tf = X._doc_terms(docs, "doc_id", "text")
+    vocab = X.tfidf_fit(docs, "doc_id", "text", tf=tf)
+    out = X.tfidf_transform(docs, vocab, "doc_id", "text", "text", 50, tf=tf)
     return out.select("doc_id", *[F.round(f"text_tfidf_{i}", 6).alias(f"text_tfidf_{i}") for i in range(50)])
 
 
