@@ -20,14 +20,23 @@ from ..plans.sizing import broadcast_if_small
 
 
 def newest_per_partition(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
-                         n: int = 1, rank_col: str | None = None) -> DataFrame:
+                         n: int = 1, rank_col: str | None = None, salt_buckets: int = 64) -> DataFrame:
     """``row_number() OVER (PARTITION BY .. ORDER BY ..) <= n``.
 
+    Two stages so a hot key is never sorted in one task: rows are first
+    ranked inside (key, salt) groups, where the salt is a hash of the whole
+    row, and only the ``n`` best of each group (at most ``salt_buckets * n``
+    rows per key) take part in the final ranking.  The global top ``n`` of a
+    key is always among its per-salt top ``n``, so the result is exact.
     ``order`` should end with a unique tie-break for deterministic output.
     """
-    w = Window.partitionBy(*partition).orderBy(*order)
     rn = rank_col or "__rn"
-    out = df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= n)
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salt_buckets))
+    w1 = Window.partitionBy(*partition, "__salt").orderBy(*order)
+    cand = df.withColumn("__salt", salt).withColumn("__r1", F.row_number().over(w1)) \
+             .where(F.col("__r1") <= n).drop("__r1", "__salt")
+    w = Window.partitionBy(*partition).orderBy(*order)
+    out = cand.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= n)
     return out if rank_col else out.drop(rn)
 
 

@@ -269,3 +269,42 @@ def d6_load_verification(spark, sf_dir):
                   F.round(F.col("l_discount") * 10, 3).alias("s"))
     p = p.withColumn("SEMAFORO", F.when(F.col("s") >= 0.8, "VERDE").when(F.col("s") >= 0.3, "AMARILLO").otherwise("ROJO"))
     return D.load_verification(p, "1998-03-15")
+
+
+# ---------------------------------------------------------------- A7, B13
+@query("a7_append_predictions_normalised", "A7", """
+WITH p AS (SELECT l_orderkey, l_linenumber,
+                  CASE WHEN l_returnflag = 'A' THEN 'nan' WHEN l_returnflag = 'R' THEN 'None' ELSE l_linestatus END AS TXT,
+                  CASE WHEN l_discount = 0 THEN CAST('NaN' AS DOUBLE) ELSE l_discount END AS VAL FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN TXT IN ('nan', 'None', '<NA>', 'NaT') THEN NULL ELSE TXT END AS TXT,
+       CASE WHEN isnan(VAL) THEN NULL ELSE VAL END AS VAL FROM p""")
+def a7_append_predictions_normalised(spark, sf_dir):
+    from ..sources.sinks import normalise_nulls
+    li = an.table(spark, sf_dir, "lineitem")
+    p = li.select("l_orderkey", "l_linenumber",
+                  F.when(F.col("l_returnflag") == "A", "nan").when(F.col("l_returnflag") == "R", "None")
+                   .otherwise(F.col("l_linestatus")).alias("TXT"),
+                  F.when(F.col("l_discount") == 0, F.lit(float("nan"))).otherwise(F.col("l_discount")).alias("VAL"))
+    return normalise_nulls(p)
+
+
+@query("b13_outcome_flags", "B13", f"""
+WITH {WIDE_CTE}
+SELECT LCC_COMCOR, LCC_COMCOD,
+  CASE WHEN I_DIASAUTORIZADOS = 0 THEN 1 WHEN DIASSOLICITADO > I_DIASAUTORIZADOS AND I_DIASAUTORIZADOS > 0 THEN 0 END
+    AS ISAP_RECHAZA,
+  CAST(CASE WHEN I_DIASAUTORIZADOS = DIASSOLICITADO THEN 1 ELSE 0 END AS INTEGER) AS ISAP_APRUEBA,
+  ROUND(CAST(CAST(CASE WHEN DIASSOLICITADO > I_DIASAUTORIZADOS AND I_DIASAUTORIZADOS > 0
+    THEN (DIASSOLICITADO - I_DIASAUTORIZADOS) / NULLIF(DIASSOLICITADO, 0) END AS FLOAT) AS DOUBLE), 5) AS ISAP_MODIFICA_PCT,
+  CASE WHEN UPPER(RESOLUCION_COMPIN) = 'RATIFICA' THEN 1 WHEN UPPER(RESOLUCION_COMPIN) = 'DENIEGA' THEN 0 END
+    AS ISAP_GANA_COMPIN,
+  CASE WHEN UPPER(CIE_GRUPO) = 'PSIQUIATRICAS' THEN 1 ELSE 0 END AS IS_PSIQUIATRICA_CURRENT_FLAG,
+  CAST(CASE WHEN PRESTADOR_TIPO = 'medico' THEN 1 ELSE 0 END AS INTEGER) AS PASO_FASTTRACK
+FROM wide""")
+def b13_outcome_flags(spark, sf_dir):
+    w = _wide(spark, sf_dir).select("LCC_COMCOR", "LCC_COMCOD", "I_DIASAUTORIZADOS", "DIASSOLICITADO",
+                                     "RESOLUCION_COMPIN", "CIE_GRUPO", "PRESTADOR_TIPO")
+    out = B.outcome_flags(w, prior_col="PRESTADOR_TIPO", prior_value="medico")
+    return out.select("LCC_COMCOR", "LCC_COMCOD", "ISAP_RECHAZA", "ISAP_APRUEBA",
+                      F.round(F.col("ISAP_MODIFICA_PCT").cast("double"), 5).alias("ISAP_MODIFICA_PCT"),
+                      "ISAP_GANA_COMPIN", "IS_PSIQUIATRICA_CURRENT_FLAG", "PASO_FASTTRACK")
