@@ -16,28 +16,27 @@ def month_diff(a: Column, b: Column) -> Column:
     return (F.year(a) * 12 + F.month(a)) - (F.year(b) * 12 + F.month(b))
 
 
+def _day(x, shift: int = 0):
+    import datetime as _dt
+    d = _dt.date.fromisoformat(str(x)[:10]) + _dt.timedelta(days=shift)
+    return F.lit(d)  # a DATE literal: compared with a DATE column as is, cast only on the literal side otherwise
+
+
 def date_window(c: Column, date_from=None, date_to=None) -> Column:
     """Inclusive day range written as a half-open range on the raw column.
 
-    ``c >= from AND c < to + 1 day`` keeps the predicate on the stored column,
-    so parquet min/max pushdown and partition pruning apply (a function of
-    the column, e.g. ``to_date(c) = x``, defeats them).
+    ``c >= from AND c < to + 1 day`` with DATE literals keeps the predicate on
+    the stored column (no function or cast around it), so parquet min/max
+    pushdown and partition pruning apply to DATE and TIMESTAMP columns alike.
     """
     cond = F.lit(True)
     if date_from is not None:
-        cond = cond & (c >= F.lit(date_from).cast("date").cast(_ts_like(c)))
+        cond = cond & (c >= _day(date_from))
     if date_to is not None:
-        cond = cond & (c < F.date_add(F.lit(date_to).cast("date"), 1).cast(_ts_like(c)))
+        cond = cond & (c < _day(date_to, 1))
     return cond
 
 
-def _ts_like(c: Column) -> str:
-    # Comparing a DATE literal with a TIMESTAMP_NTZ column casts the column
-    # unless the literal already has the column's type; timestamp_ntz is the
-    # widest type our inputs use and compares correctly with DATE columns too.
-    return "timestamp_ntz"
-
-
 def period_text(c: Column, fmt: str = "MMyyyy") -> Column:
     """PERIODO text (``MMyyyy``) of a date."""
     return F.date_format(c, fmt)

@@ -20,11 +20,8 @@ CLAIM_KEYS = ["AFILIADO_RUT", "LCC_COMCOR", "LCC_COMCOD"]
 def distinct_probes(claims: DataFrame, date_from=None, date_to=None,
                     date_col: str = "FECHA_RECEPCION") -> DataFrame:
     """Claims received in ``[date_from, date_to]`` (inclusive days), one row per claim."""
-    c = claims
-    if date_from is not None:
-        c = c.where(F.col(date_col) >= F.lit(date_from).cast("date"))
-    if date_to is not None:
-        c = c.where(F.col(date_col) < F.date_add(F.lit(date_to).cast("date"), 1))
+    from ..functions.dates import date_window
+    c = claims.where(date_window(F.col(date_col), date_from, date_to))
     return c.select(*CLAIM_KEYS, F.to_date(date_col).alias("FECHA_RECEPCION")).distinct()
 
 

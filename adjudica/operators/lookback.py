@@ -75,10 +75,12 @@ def lookback_aggregate(
     if hist_filter is not None:
         h = h.where(hist_filter)
     hday = F.to_date(F.col(hist_date))
+    # range predicates on the raw column with DATE literals: pushed to the scan
+    from ..functions.dates import _day
     if date_from is not None:
-        h = h.where(hday >= F.date_sub(F.lit(date_from).cast("date"), days))
+        h = h.where(F.col(hist_date) >= _day(date_from, -days))
     if date_to is not None:
-        h = h.where(hday < F.lit(date_to).cast("date"))
+        h = h.where(F.col(hist_date) < _day(date_to))
     # rename history keys to probe names so the join is a plain equi-join
     for a, b in zip(hk, pk):
         if a != b:
