@@ -82,7 +82,7 @@ m AS (SELECT ROUND(AUC, 6) AS AUC, ROUND(CASE WHEN TP + FP > 0 THEN TP / (TP + F
              ROUND(CASE WHEN TP + FN > 0 THEN TP / (TP + FN) ELSE 0 END, 6) AS R FROM cm, auc),
 m2 AS (SELECT AUC, P, R, ROUND(CASE WHEN P + R > 0 THEN 2 * P * R / (P + R) ELSE 0 END, 6) AS F1 FROM m),
 perf AS (
-  SELECT 'AUC' AS METRICA, CAST(AUC AS DOUBLE) AS VALOR, 0.7 AS MINIMO FROM m2 UNION ALL
+  SELECT 'AUC' AS METRICA, CAST(AUC AS DOUBLE) AS VALOR, CAST(0.7 AS DOUBLE) AS MINIMO FROM m2 UNION ALL
   SELECT 'PRECISION', P, 0.6 FROM m2 UNION ALL SELECT 'RECALL', R, 0.6 FROM m2 UNION ALL
   SELECT 'F1', F1, 0.6 FROM m2)
 """

@@ -182,7 +182,7 @@ M7_SQL = f"""
 WITH allc AS ({M7_SQL}),
 fx AS (SELECT COSTO_TOTAL AS fix FROM allc WHERE gk = 940 AND yk = 160),
 op AS (SELECT MIN(COSTO_TOTAL) AS opt FROM allc)
-SELECT 0.94 AS UMBRAL_VERDE_FIJO, 0.16 AS UMBRAL_AMARILLO_FIJO, fix AS COSTO_FIJO, opt AS COSTO_OPTIMO,
+SELECT CAST(0.94 AS DOUBLE) AS UMBRAL_VERDE_FIJO, CAST(0.16 AS DOUBLE) AS UMBRAL_AMARILLO_FIJO, fix AS COSTO_FIJO, opt AS COSTO_OPTIMO,
        ROUND(fix - opt, 2) AS AHORRO,
        ROUND(CASE WHEN fix > 0 THEN (fix - opt) / fix * 100 END, 4) AS AHORRO_PCT
 FROM fx, op

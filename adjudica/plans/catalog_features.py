@@ -22,9 +22,10 @@ def _i1_input(spark, sf_dir):
 
 def _i1_sql() -> str:
     def parts(d):
-        return {"year": f"year({d})", "month": f"month({d})", "day": f"day({d})",
-                "dayofweek": f"(isodow({d}) - 1)", "quarter": f"quarter({d})",
-                "days_since_ref": f"({d} - DATE '2022-01-01')"}
+        return {"year": f"CAST(year({d}) AS INTEGER)", "month": f"CAST(month({d}) AS INTEGER)",
+                "day": f"CAST(day({d}) AS INTEGER)", "dayofweek": f"CAST(isodow({d}) - 1 AS INTEGER)",
+                "quarter": f"CAST(quarter({d}) AS INTEGER)",
+                "days_since_ref": f"CAST({d} - DATE '2022-01-01' AS INTEGER)"}
     const = {"year": "2024", "month": "1", "day": "1", "dayofweek": "0", "quarter": "1", "days_since_ref": "730"}
     pr = parts("FECHA_RECEPCION")
     sel = []
@@ -173,7 +174,7 @@ MODEL_FEATURES = ["l_quantity", "l_tax", "MISSING_FEATURE", "l_discount"]
 
 
 @query("i7_align_features", "I7", """
-SELECT l_orderkey, l_linenumber, l_quantity, l_tax, 0.0 AS MISSING_FEATURE, l_discount FROM lineitem""")
+SELECT l_orderkey, l_linenumber, l_quantity, l_tax, CAST(0.0 AS DOUBLE) AS MISSING_FEATURE, l_discount FROM lineitem""")
 def i7_align_features(spark, sf_dir):
     li = an.table(spark, sf_dir, "lineitem")
     return X.align_features(li, MODEL_FEATURES, keep=["l_orderkey", "l_linenumber"])

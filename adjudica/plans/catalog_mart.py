@@ -156,8 +156,9 @@ def d3_exam_metrics_15d(spark, sf_dir):
 
 C6_SQL = f"""
 WITH d1 AS ({D1_SQL}), d2 AS ({D2_SQL}),
-d3 AS (SELECT AFILIADO_RUT, LCC_COMCOR, LCC_COMCOD, 0 AS PERITAJES_TOTAL_U15D, 0 AS PERITAJES_NO_ASISTE_U15D,
-         0 AS PERITAJES_DESACUERDO_U15D, 0 AS PERITAJES_ACUERDO_U15D, 9999 AS DIAS_DESDE_ULTIMO_PERITAJE_U15D,
+d3 AS (SELECT AFILIADO_RUT, LCC_COMCOR, LCC_COMCOD, CAST(0 AS BIGINT) AS PERITAJES_TOTAL_U15D,
+         CAST(0 AS BIGINT) AS PERITAJES_NO_ASISTE_U15D, CAST(0 AS BIGINT) AS PERITAJES_DESACUERDO_U15D,
+         CAST(0 AS BIGINT) AS PERITAJES_ACUERDO_U15D, 9999 AS DIAS_DESDE_ULTIMO_PERITAJE_U15D,
          0 AS FLAG_PERITAJE_RECIENTE_U15D FROM d1)
 SELECT COALESCE(d1.AFILIADO_RUT, d2.AFILIADO_RUT, d3.AFILIADO_RUT) AS AFILIADO_RUT,
        COALESCE(d1.LCC_COMCOR, d2.LCC_COMCOR, d3.LCC_COMCOR) AS LCC_COMCOR,

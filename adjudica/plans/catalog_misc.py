@@ -232,10 +232,10 @@ def c8_attach_metrics(spark, sf_dir):
 # ---------------------------------------------------------------- D4, D5, D6
 @query("d4_flow_statistics", "D4", f"""
 WITH n2 AS ({_n2_sql()}),
-a AS (SELECT COUNT(*) AS total_licenses, SUM(CASE WHEN TARGET_MODIFICA = 1 THEN 1 ELSE 0 END) AS modified_licenses,
-  SUM(CASE WHEN TARGET_MODIFICA = 1 AND TARGET_RATIFICA IS NOT NULL THEN 1 ELSE 0 END) AS compin_licenses,
-  SUM(CASE WHEN TARGET_MODIFICA = 1 AND TARGET_RATIFICA = 1 THEN 1 ELSE 0 END) AS compin_ratified,
-  SUM(CASE WHEN TARGET_MODIFICA = 1 AND TARGET_RATIFICA = 0 THEN 1 ELSE 0 END) AS compin_denied FROM n2)
+a AS (SELECT COUNT(*) AS total_licenses, CAST(SUM(CASE WHEN TARGET_MODIFICA = 1 THEN 1 ELSE 0 END) AS BIGINT) AS modified_licenses,
+  CAST(SUM(CASE WHEN TARGET_MODIFICA = 1 AND TARGET_RATIFICA IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS compin_licenses,
+  CAST(SUM(CASE WHEN TARGET_MODIFICA = 1 AND TARGET_RATIFICA = 1 THEN 1 ELSE 0 END) AS BIGINT) AS compin_ratified,
+  CAST(SUM(CASE WHEN TARGET_MODIFICA = 1 AND TARGET_RATIFICA = 0 THEN 1 ELSE 0 END) AS BIGINT) AS compin_denied FROM n2)
 SELECT *, ROUND(CASE WHEN total_licenses > 0 THEN modified_licenses * 100.0 / total_licenses END, 6) AS pct_modified,
   ROUND(CASE WHEN modified_licenses > 0 THEN compin_licenses * 100.0 / modified_licenses END, 6) AS pct_to_compin,
   ROUND(CASE WHEN compin_licenses > 0 THEN compin_ratified * 100.0 / compin_licenses END, 6) AS pct_ratified,
