@@ -174,9 +174,17 @@ def b15_group_filter_modes(spark, sf_dir):
     return s.unionByName(r)
 
 
-@query("b17_drop_by_role", ("B17", "B12"), None)
+def _b17_sql() -> str:
+    from ..roles import KEYS, TARGETS
+    from .catalog_pipelines import N2_COLS
+    keep = [c for c in N2_COLS if "LEAK" not in c.upper() and c not in KEYS and (c not in TARGETS or c == "TARGET_FT3")]
+    return f"WITH n2 AS ({_n2_sql()}) SELECT {', '.join(keep)} FROM n2"
+
+
+@query("b17_drop_by_role", ("B17", "B12"), _b17_sql())
 def b17_drop_by_role(spark, sf_dir):
-    t = build_training_table(_wide(spark, sf_dir), "2001-06-01")
+    from .catalog_pipelines import N2_ASOF, N2_COLS
+    t = build_training_table(_wide(spark, sf_dir), N2_ASOF).select(*N2_COLS)
     return B.drop_by_role(t, keep_target="TARGET_FT3")
 
 
