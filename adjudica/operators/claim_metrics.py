@@ -89,18 +89,20 @@ def service_metrics_15d(probes: DataFrame, services: DataFrame, days: int = 15,
     """Services of the person in the look-back window (type filter inside the join)."""
     tipo = F.upper(F.col("TIPO"))
     aggs = [
-        F.count_distinct("FOLIO").alias("HV_N_PRESTACIONES_U15D"),
         F.sum("PRESTACION_CANTIDAD").alias("HV_SUM_CANTIDAD_PREST_U15D"),
-        F.count_distinct("MEDTRATANTE_RUT").alias("HV_N_MEDICOS_U15D"),
         _flag(tipo == "HOSPITALARIO").alias("HV_FLAG_HOSPITALARIO_U15D"),
         _flag(tipo == "BONO").alias("HV_FLAG_BONO_U15D"),
         _flag(tipo == "REEMBOLSO").alias("HV_FLAG_REEMBOLSO_U15D"),
         _flag(F.col("PATOLOGIA_GES") == "GES").alias("HV_FLAG_GES_U15D"),
         _flag(F.col("PATOLOGIA_CAEC") == "CAEC").alias("HV_FLAG_CAEC_U15D"),
     ]
+    # distinct folios and distinct doctors: one de-duplicating aggregate each
+    # over the same pairs, instead of an Expand copy per distinct column
+    sets = [(["FOLIO"], [F.count("FOLIO").alias("HV_N_PRESTACIONES_U15D")]),
+            (["MEDTRATANTE_RUT"], [F.count("MEDTRATANTE_RUT").alias("HV_N_MEDICOS_U15D")])]
     out = lookback_aggregate(probes, services, "AFILIADO_RUT", "FECHA_RECEPCION", "FECHA", aggs,
                              days=days, hist_key="COTIZANTE_RUT", hist_filter=tipo.isin(*types),
-                             date_from=date_from, date_to=date_to)
+                             date_from=date_from, date_to=date_to, distinct_sets=sets)
     return out.fillna(SERVICE_DEFAULTS) if fill else out
 
 

@@ -55,6 +55,7 @@ def lookback_aggregate(
     pre_group: Sequence[str] | None = None,
     pre_aggs: Sequence[Column] | None = None,
     method: str = "join",
+    distinct_sets: Sequence[tuple[Sequence[str], Sequence[Column]]] = (),
 ) -> DataFrame:
     """Attach aggregates of ``history`` rows in ``[probe_date - days, probe_date)``.
 
@@ -66,7 +67,10 @@ def lookback_aggregate(
     With ``pre_group``, rows are first reduced per (key, day, *pre_group) by
     ``pre_aggs`` and ``aggs`` then run over those rows: distinct counts of a
     ``pre_group`` column become plain counts, so Spark needs no ``Expand``
-    (one copy of the data per distinct aggregate).
+    (one copy of the data per distinct aggregate).  ``distinct_sets`` adds
+    further (group columns, aggregates) pairs computed the same way from the
+    same pairs, for distinct counts of *different* columns; their per-day
+    results are joined on (key, day) instead of expanding the rows.
     Returns ``probe`` with the aggregate columns appended (left semantics).
     """
     pk = _as_list(key)
@@ -108,9 +112,14 @@ def lookback_aggregate(
             .drop("__hn", _B)
     else:
         raise ValueError(method)
+    pairs = fanned
     if pre_group:
         fanned = fanned.groupBy(*pk, _T, *pre_group).agg(*pre_aggs)
     per_day = fanned.groupBy(*pk, _T).agg(*aggs)
+    for cols, set_aggs in distinct_sets:
+        extra = pairs.groupBy(*pk, _T, *cols).agg(F.count(F.lit(1)).alias("__n")) \
+                     .groupBy(*pk, _T).agg(*set_aggs)
+        per_day = per_day.join(extra, [*pk, _T], "full_outer")
     p = probe.withColumn(_T, pday)
     out = p.join(per_day, [*pk, _T], "left").drop(_T)
     if defaults:

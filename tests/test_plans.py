@@ -5,7 +5,7 @@ columns are counted distinct over the already-paired look-back rows."""
 from tests.conftest import SF
 from tools.plan_lint import lint
 
-EXPAND_OK = {"d2_service_metrics_15d", "c6_metrics_15d_table"}
+EXPAND_OK: set[str] = set()
 
 
 def test_no_non_scaling_operators(spark):
