@@ -12,10 +12,11 @@ The period spine of each entity (first active month to last active month +
 ``max(windows) - 1``) is generated from those bounds, the monthly rows are
 joined onto it, and every trailing window is a ``rangeBetween`` frame over
 the month index, partitioned by entity (at most a few hundred rows per
-entity, bounded by the calendar).  Distinct measures cannot use window
-frames, so their de-duplicated (entity, month, value) rows are fanned out
-to the at most ``max(windows)`` periods that contain them and counted per
-(entity, period).  No raw row pairs are formed.
+entity, bounded by the calendar).  Distinct measures: a value counts in a
+window when its latest occurrence lies inside it, so each de-duplicated
+(entity, value, month) row is fanned out only up to the value's next
+occurrence (at most ``max(windows)`` periods) and counted by lag.  No raw
+row pairs are formed.
 """
 
 from __future__ import annotations
@@ -85,17 +86,23 @@ def monthly_metrics(df: DataFrame, entity: str, date_col: str, measures: Sequenc
         else:
             parts.append(_plain_window(monthly, entity, plain, windows, maxw, limit))
     if dist:
-        vals = base.select(entity, "__m", *[m.expr.alias(f"__v{i}") for i, m in enumerate(dist)]).distinct()
-        f = fan(vals)
-        # per distinct measure: the value's latest month before each period
-        # (smallest lag k), then "distinct within w months" = count of k < w;
-        # plain counts instead of one count-distinct (Expand) per window
+        # A value counts in the w-month window ending at period t iff its
+        # latest occurrence at or before t is less than w months back.  Each
+        # (entity, value, month) occurrence is therefore the "latest" one only
+        # until the value's next occurrence: fan it out to those periods (at
+        # most max(windows)), with lag k = t - month, and count k < w.
         dparts = []
         for i, m in enumerate(dist):
-            v = f.where(F.col(f"__v{i}").isNotNull()).groupBy(entity, "__t", f"__v{i}") \
-                 .agg(F.min("__k").alias("__kmin"))
-            dparts.append(v.groupBy(entity, "__t").agg(
-                *[F.sum(F.when(F.col("__kmin") < w, 1).otherwise(0)).alias(f"{m.name}_U{w}M") for w in windows]))
+            v = base.select(entity, "__m", m.expr.alias("__v")).where(F.col("__v").isNotNull()).distinct()
+            nxt = F.lead("__m").over(Window.partitionBy(entity, "__v").orderBy("__m"))
+            last = F.least(F.coalesce(nxt - 1, F.col("__m") + (maxw - 1)), F.col("__m") + (maxw - 1))
+            f = v.withColumn("__last", last) \
+                 .withColumn("__t", F.explode(F.sequence(F.col("__m"), F.col("__last")))) \
+                 .withColumn("__k", F.col("__t") - F.col("__m"))
+            if limit is not None:
+                f = f.where(F.col("__t") <= limit)
+            dparts.append(f.groupBy(entity, "__t").agg(
+                *[F.sum(F.when(F.col("__k") < w, 1).otherwise(0)).alias(f"{m.name}_U{w}M") for w in windows]))
         d = dparts[0]
         for p in dparts[1:]:
             d = d.join(p, [entity, "__t"], "full_outer")
