@@ -19,7 +19,9 @@ A claim at day ``t`` looks at the same person's events with day in
 * ``lookback_join`` returns the pairs themselves (left outer), by an equi-join
   on ``(key, day bucket)`` with the probe copied to the at most two buckets
   its window touches, so a hot key is divided into ``days``-wide slices
-  instead of a single sort-merge group.
+  instead of a single sort-merge group.  Its output is every (probe, event)
+  pair inside the window, so it is meant for callers that need the pairs;
+  the pipelines and registered queries use ``lookback_aggregate``.
 """
 
 from __future__ import annotations

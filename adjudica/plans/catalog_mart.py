@@ -183,24 +183,27 @@ def c6_metrics_15d_table(spark, sf_dir):
     return _round(out, {"F_DIAS_PROMEDIO_U15D", "RATIO_APROBACION_U15D", "HV_SUM_CANTIDAD_PREST_U15D"})
 
 
-# ---------------------------------------------------------------- C3 pairs
+# ---------------------------------------------------------------- C3
 C3_SQL = f"""
 WITH {_claims_cte()}
-SELECT b.AFILIADO_RUT, b.LCC_COMCOR, b.FECHA_RECEPCION, h.LCC_COMCOR AS HIST_COMCOR,
-       h.FECHA_RECEPCION AS HIST_FECHA
+SELECT b.AFILIADO_RUT, b.LCC_COMCOR, b.FECHA_RECEPCION, COUNT(h.LCC_COMCOR) AS N_PREVIAS_U15D,
+       MIN(h.FECHA_RECEPCION) AS PRIMERA_PREVIA, MAX(h.FECHA_RECEPCION) AS ULTIMA_PREVIA
 FROM claims b LEFT JOIN claims h
   ON b.AFILIADO_RUT = h.AFILIADO_RUT
  AND h.FECHA_RECEPCION >= b.FECHA_RECEPCION - 15 AND h.FECHA_RECEPCION < b.FECHA_RECEPCION
+GROUP BY b.AFILIADO_RUT, b.LCC_COMCOR, b.FECHA_RECEPCION
 """
 
 
-@query("c3_lookback_join_pairs", "C3", C3_SQL)
-def c3_lookback_join_pairs(spark, sf_dir):
-    from ..operators.lookback import lookback_join
+@query("c3_lookback_join", "C3", C3_SQL)
+def c3_lookback_join(spark, sf_dir):
+    """The look-back join as the reference uses it (aggregated per claim),
+    through the pair-free path: no (claim, event) pairs are materialised."""
+    from ..operators.lookback import lookback_aggregate
     c = an.claims_from_orders(spark, sf_dir)
     probe = c.select("AFILIADO_RUT", "LCC_COMCOR", "FECHA_RECEPCION")
-    hist = c.select(F.col("AFILIADO_RUT").alias("H_RUT"), F.col("LCC_COMCOR").alias("HIST_COMCOR"),
-                    F.col("FECHA_RECEPCION").alias("HIST_FECHA"))
-    out = lookback_join(probe, hist, "AFILIADO_RUT", "FECHA_RECEPCION", "HIST_FECHA", 15,
-                        hist_key="H_RUT", probe_id=["LCC_COMCOR"])
-    return out.drop("H_RUT")
+    hist = c.select("AFILIADO_RUT", F.col("LCC_COMCOR").alias("H"), F.col("FECHA_RECEPCION").alias("HD"))
+    aggs = [F.count("H").alias("N_PREVIAS_U15D"), F.min("HD").alias("PRIMERA_PREVIA"),
+            F.max("HD").alias("ULTIMA_PREVIA")]
+    out = lookback_aggregate(probe, hist, "AFILIADO_RUT", "FECHA_RECEPCION", "HD", aggs, 15)
+    return out.fillna(0, subset=["N_PREVIAS_U15D"])

@@ -50,13 +50,19 @@ def score_and_publish(train_table: DataFrame, model: PipelineModel, feature_mode
     date_cols = [c for c in (feature_model.dates if feature_model else []) if c in rows.columns]
     pending = B.neutralise_all_null_dates(pending, decided, date_cols)
 
-    def prep(df):
-        x = feature_model.transform(df) if feature_model else df
-        return X.align_features(x, features, keep=[c for c in keys if c in x.columns])
-
     extra = [c for c in (label, prior, "DIASSOLICITADO", "EPISODIO_ACUM_DIAS", "CIE_GRUPO") if c and c in rows.columns]
-    sd = K.score(model, prep(decided), keys).join(decided.select(*keys, *extra), list(keys))
-    sp = K.score(model, prep(pending), keys).join(pending.select(*keys, *extra), list(keys))
+
+    def scored(df):
+        # the decision columns ride along with the features (renamed so the
+        # transforms leave them untouched): no join back on the keys
+        carry = df.select("*", *[F.col(c).alias(f"__keep_{c}") for c in extra])
+        x = feature_model.transform(carry) if feature_model else carry
+        x = X.align_features(x, features, keep=[c for c in keys if c in x.columns] + [f"__keep_{c}" for c in extra])
+        s = K.score(model, x, keys, keep=[f"__keep_{c}" for c in extra])
+        return s.select(*keys, "PROBABILIDAD_APROBACION", "PREDICCION",
+                        *[F.col(f"__keep_{c}").alias(c) for c in extra])
+
+    sd, sp = scored(decided), scored(pending)
     g, y = _thresholds(sd, optimise, label, prior, review, rate)
     sd = D.assign_light(sd, g, y, prior_col=prior).withColumn("ES_PENDIENTE", F.lit(0))
     sp = D.assign_light(sp, g, y, prior_col=prior).withColumn("ES_PENDIENTE", F.lit(1))
@@ -94,8 +100,12 @@ def train_and_audit(table: DataFrame, target: str, feature_model: X.FeatureModel
     feats = [c for c in feature_model.feature_names if c not in keys and c != target]
     xt = xt.select(*keys, target, *feats)
     model = K.train_classifier(xt, feats, target, positive_weight, params=params)
-    xh = X.align_features(feature_model.transform(hold.drop(target)), feats, keep=list(keys))
-    scored = K.score(model, xh, keys).join(hold.select(*keys, target, *([protected] if protected else [])), list(keys))
+    carry = [target] + ([protected] if protected else [])
+    h2 = hold.select("*", *[F.col(c).alias(f"__keep_{c}") for c in carry]).drop(target)
+    xh = X.align_features(feature_model.transform(h2), feats, keep=list(keys) + [f"__keep_{c}" for c in carry])
+    scored = K.score(model, xh, keys, keep=[f"__keep_{c}" for c in carry]) \
+        .select(*keys, "PROBABILIDAD_APROBACION", "PREDICCION", *[F.col(f"__keep_{c}").alias(c) for c in carry])
+    xh = xh.drop(*[f"__keep_{c}" for c in carry])
     metrics = classification_metrics(scored, "PROBABILIDAD_APROBACION", target)
     perf = A.performance_audit(scored, "PROBABILIDAD_APROBACION", target)
     fair = A.fairness_audit(scored, protected, target, "PREDICCION") if protected else None
