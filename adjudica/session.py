@@ -14,9 +14,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Broadcast only what the planner can prove small; our own explicit
-    # broadcasts go through ``plans.sizing.broadcast_if_small``.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # The static broadcast threshold stays at Spark's default (file-size
+    # estimates can undercount); AQE re-plans joins from real shuffle sizes,
+    # and our explicit broadcasts go through ``plans.sizing.broadcast_if_small``.
 }
 
 
