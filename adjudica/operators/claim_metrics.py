@@ -146,15 +146,19 @@ def full_outer_combine(frames: list[DataFrame], keys: list[str]) -> DataFrame:
 
 
 def metrics_15d(probes: DataFrame, history: DataFrame, services: DataFrame, exams: DataFrame,
-                as_of, days: int = 15, date_from=None, date_to=None) -> DataFrame:
+                as_of, days: int = 15, date_from=None, date_to=None, keep_reception_date: bool = False) -> DataFrame:
     """Table of the three 15-day metric sets per claim, defaults applied.
 
     The three sets hang off the same probe rows, so they are attached by
     successive left joins instead of the reference's full outer joins (same
-    result: every set has exactly the probe keys).
+    result: every set has exactly the probe keys).  ``keep_reception_date``
+    keeps the claim's reception date (the partition column of a partitioned
+    metrics table).
     """
     p = probes.select(*CLAIM_KEYS, "FECHA_RECEPCION")
     out = claim_metrics_15d(p, history, days, date_from, date_to)
     out = service_metrics_15d(out, services, days, date_from, date_to)
     out = exam_metrics_15d(out, exams, days, date_from, date_to)
-    return out.withColumn("FECHA_CALCULO", F.lit(as_of).cast("date")).drop("FECHA_RECEPCION")
+    out = out.withColumn("FECHA_CALCULO", F.lit(as_of).cast("date"))
+    # keep the reception date when the table is partitioned by it (partition-scoped upserts)
+    return out if keep_reception_date else out.drop("FECHA_RECEPCION")

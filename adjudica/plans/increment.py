@@ -31,12 +31,14 @@ class IncrementResult:
     new_base: DataFrame          # rows appended to the claim base (A6)
     metrics_table: DataFrame     # 15-day metrics table after the upsert (A8)
     new_wide: DataFrame          # rows appended to the wide feature table (A6)
+    new_metrics: DataFrame | None = None  # this increment's metric rows (for partition-scoped upserts)
 
 
 def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataFrame | None,
                   wide: DataFrame | None, services: DataFrame, exams: DataFrame, date_from, date_to, as_of,
                   provider_history: DataFrame | None = None, monthly: dict | None = None,
-                  days: int = 15, lexicographic_periods: bool = False) -> IncrementResult:
+                  days: int = 15, lexicographic_periods: bool = False,
+                  keep_reception_date: bool = False) -> IncrementResult:
     """Append new claims -> 15-day metrics upsert -> append wide rows.
 
     * claims received in ``[date_from, date_to]`` that are not in the base are
@@ -58,23 +60,25 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
     new_base = M.anti_join_existing(inp, base, BASE_KEYS)
     history = base.unionByName(new_base, allowMissingColumns=True)
     probes = CM.distinct_probes(history, date_from, date_to)
-    m15 = CM.metrics_15d(probes, history, services, exams, as_of, days, date_from, date_to)
+    m15 = CM.metrics_15d(probes, history, services, exams, as_of, days, date_from, date_to,
+                         keep_reception_date=True)
+    m15_out = m15 if keep_reception_date else m15.drop("FECHA_RECEPCION")
     if metrics_table is None:
-        metrics_out = m15
+        metrics_out = m15_out
     else:
-        metrics_out = M.merge_upsert(metrics_table, m15.select(*metrics_table.columns), METRIC_KEYS)
+        metrics_out = M.merge_upsert(metrics_table, m15_out.select(*metrics_table.columns), METRIC_KEYS)
     recent = history.where(B.date_window("FECHA_RECEPCION", date_from, date_to))
     wide_hist = wide if wide is not None else recent.limit(0)
     ranked = J.history_rank(recent, wide_hist.select("AFILIADO_RUT", "FECHA_RECEPCION", "LCC_COMCOR", "LCC_COMCOD"),
                             "AFILIADO_RUT", ["FECHA_RECEPCION", "LCC_COMCOR", "LCC_COMCOD"])
     if monthly:
         ranked = J.join_latest_period(ranked, monthly, as_of, lexicographic=lexicographic_periods)
-    rows = ranked.join(m15.drop("FECHA_CALCULO"), METRIC_KEYS, "left")
+    rows = ranked.join(m15.drop("FECHA_CALCULO", "FECHA_RECEPCION"), METRIC_KEYS, "left")
     rows = B.fill_defaults(rows, {**CM.CLAIM_DEFAULTS, **CM.SERVICE_DEFAULTS, **CM.EXAM_DEFAULTS})
     if {"I_DIASAUTORIZADOS", "DIASSOLICITADO", "RESOLUCION_COMPIN", "CIE_GRUPO"} <= set(rows.columns):
         rows = B.outcome_flags(rows, prior_col="MEDICO_COLMENA" if "MEDICO_COLMENA" in rows.columns else None)
     new_wide = rows if wide is None else M.anti_join_existing(rows, wide, WIDE_KEYS)
-    return IncrementResult(new_base, metrics_out, new_wide)
+    return IncrementResult(new_base, metrics_out, new_wide, m15_out)
 
 
 _TYPES = {"I_DIASAUTORIZADOS": "bigint", "PASO_FASTTRACK": "int", "FECHA_RESOLUCION_COMPIN": "date",

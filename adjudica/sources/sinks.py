@@ -69,3 +69,48 @@ def export_report(frames: Mapping[str, DataFrame], path: str, single_file: bool
         (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(target)
         out[name] = target
     return out
+
+
+def upsert_partitions(spark, path: str, source: DataFrame, keys: list[str], partition_col: str,
+                      merge=None, max_partitions: int = 10_000, **merge_kw) -> int:
+    """A8/A9 write side for partitioned tables: merge ``source`` into the
+    parquet table at ``path`` rewriting only the partitions it touches.
+
+    A key's partition value must not change between runs (for claims: the
+    reception date).  The distinct partition values of the source are few
+    (the days of one increment; bounded by ``max_partitions``), so they are
+    collected and used as a partition filter: only those partitions are
+    read, merged (``merge`` defaults to ``merge_upsert``) and written back
+    with dynamic partition overwrite.  Returns the number of partitions
+    rewritten.  A new table is created from the source when ``path`` does
+    not exist yet.
+    """
+    import os
+    from ..operators.merge import merge_upsert
+    merge = merge or merge_upsert
+    vals = [r[0] for r in source.select(partition_col).distinct().limit(max_partitions + 1).collect()]
+    if len(vals) > max_partitions:
+        raise ValueError(f"source touches more than {max_partitions} partitions")
+    if not path_exists(spark, path):
+        source.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        return len(vals)
+    target = spark.read.parquet(path).where(F.col(partition_col).isin(vals))
+    merged = merge(target, source.select(*target.columns), keys, **merge_kw)
+    # read-then-overwrite of the same partitions: stage the merged rows first
+    staged = f"{path.rstrip('/')}/../_staging_{os.path.basename(path.rstrip('/'))}"
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staged)
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        spark.read.parquet(staged).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    return len(vals)
+
+
+def path_exists(spark, path: str) -> bool:
+    """Existence check through the Hadoop file system of ``path`` (local,
+    HDFS or object store alike)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -11,6 +11,7 @@ all state lives in the base / metrics / wide tables.
 
 from __future__ import annotations
 
+import datetime
 import os
 from collections.abc import Callable
 
@@ -29,8 +30,9 @@ def start_increment_stream(spark: SparkSession, input_path: str, schema: StructT
                            available_now: bool = True):
     """Start a stream that applies ``run_increment`` to each batch of new claim files.
 
-    ``tables`` maps ``base``, ``metrics`` and ``wide`` to parquet paths (they
-    must exist; ``metrics`` may be empty).  Each batch's date range is its own
+    ``tables`` maps ``base``, ``metrics`` and ``wide`` to parquet paths,
+    partitioned by reception date (``base`` must exist; the others are
+    created on the first batch).  Each batch's date range is its own
     min/max reception date; ``as_of`` is the day after the batch's last date.
     """
     ckpt = os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}")
@@ -40,17 +42,18 @@ def start_increment_stream(spark: SparkSession, input_path: str, schema: StructT
             return
         rng = batch.agg(F.min("FECHA_RECEPCION").alias("lo"), F.max("FECHA_RECEPCION").alias("hi")).first()
         base = spark.read.parquet(tables["base"])
-        metrics = spark.read.parquet(tables["metrics"]) if os.path.exists(tables["metrics"]) else None
-        wide = spark.read.parquet(tables["wide"]) if os.path.exists(tables["wide"]) else None
-        as_of = (rng["hi"] + __import__("datetime").timedelta(days=1)).isoformat()
-        r = run_increment(batch, base, metrics, wide, services(), exams(), rng["lo"].isoformat(),
-                          rng["hi"].isoformat(), as_of, monthly=monthly() if monthly else None)
-        sinks.append(r.new_base, path=tables["base"])
-        sinks.append(r.new_wide, path=tables["wide"])
-        # the upserted metrics table is rewritten through a staging folder
-        staged = tables["metrics"] + f".batch{batch_id}"
-        sinks.refresh_table(r.metrics_table, path=staged)
-        sinks.refresh_table(spark.read.parquet(staged), path=tables["metrics"])
+        wide = spark.read.parquet(tables["wide"]) if sinks.path_exists(spark, tables["wide"]) else None
+        as_of = (rng["hi"] + datetime.timedelta(days=1)).isoformat()
+        r = run_increment(batch, base, None, wide, services(), exams(), rng["lo"].isoformat(),
+                          rng["hi"].isoformat(), as_of, monthly=monthly() if monthly else None,
+                          keep_reception_date=True)
+        # all three tables are partitioned by reception date: appends add
+        # files to the increment's partitions, and the metrics upsert rewrites
+        # only the partitions of this increment's claims
+        sinks.append(r.new_base, path=tables["base"], partition_by=["FECHA_RECEPCION"])
+        sinks.append(r.new_wide, path=tables["wide"], partition_by=["FECHA_RECEPCION"])
+        sinks.upsert_partitions(spark, tables["metrics"], r.new_metrics, ["AFILIADO_RUT", "LCC_COMCOR", "LCC_COMCOD"],
+                                "FECHA_RECEPCION")
 
     stream = spark.readStream.schema(schema).parquet(input_path)
     w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", ckpt).queryName(name)

@@ -39,7 +39,7 @@ def test_increment_stream_available_now(spark):
     d = _tmp()
     claims = an.claims_from_orders(spark, sf)
     base = claims.where(F.col("FECHA_RECEPCION") < F.lit("2001-01-01").cast("date"))
-    base.write.parquet(f"{d}/base")
+    base.write.partitionBy("FECHA_RECEPCION").parquet(f"{d}/base")
     new = claims.where(F.col("FECHA_RECEPCION") >= F.lit("2001-01-01").cast("date"))
     new.write.parquet(f"{d}/in")
     q = start_increment_stream(spark, f"{d}/in", claims.schema,
@@ -50,3 +50,20 @@ def test_increment_stream_available_now(spark):
     assert spark.read.parquet(f"{d}/base").count() == claims.count()
     assert spark.read.parquet(f"{d}/wide").count() == new.count()
     assert spark.read.parquet(f"{d}/metrics").count() == new.count()
+
+
+def test_upsert_partitions_touches_only_source_partitions(spark):
+    import datetime as dt
+    d = _tmp()
+    t = spark.createDataFrame([(1, dt.date(2024, 1, 1), "a"), (2, dt.date(2024, 1, 2), "b"),
+                               (3, dt.date(2024, 1, 3), "c")], "k long, day date, v string")
+    sinks.upsert_partitions(spark, f"{d}/t", t, ["k"], "day")
+    before = {f for f in os.listdir(f"{d}/t") if f.startswith("day=")}
+    mtime = os.path.getmtime(f"{d}/t/day=2024-01-01")
+    s = spark.createDataFrame([(2, dt.date(2024, 1, 2), "B"), (4, dt.date(2024, 1, 2), "d")], "k long, day date, v string")
+    n = sinks.upsert_partitions(spark, f"{d}/t", s, ["k"], "day")
+    assert n == 1
+    got = sorted((r["k"], r["v"]) for r in spark.read.parquet(f"{d}/t").collect())
+    assert got == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+    assert {f for f in os.listdir(f"{d}/t") if f.startswith("day=")} == before
+    assert os.path.getmtime(f"{d}/t/day=2024-01-01") == mtime   # untouched partition
