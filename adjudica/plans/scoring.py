@@ -17,6 +17,7 @@ from ..operators import features as X
 from ..operators import merge as M
 from ..operators import model as K
 from ..operators.classification import classification_metrics
+from ..session import cut_lineage
 from ..sources.tables import load_for_scoring, load_training
 
 PRED_KEYS = ["AFILIADO_RUT", "LCC_COMCOR"]
@@ -63,6 +64,10 @@ def score_and_publish(train_table: DataFrame, model: PipelineModel, feature_mode
                         *[F.col(f"__keep_{c}").alias(c) for c in extra])
 
     sd, sp = scored(decided), scored(pending)
+    if optimise:
+        # the decided scores feed both the threshold search and the lights:
+        # materialise them once (reliable checkpoint in the shared folder)
+        sd = cut_lineage(sd)
     g, y = _thresholds(sd, optimise, label, prior, review, rate)
     sd = D.assign_light(sd, g, y, prior_col=prior).withColumn("ES_PENDIENTE", F.lit(0))
     sp = D.assign_light(sp, g, y, prior_col=prior).withColumn("ES_PENDIENTE", F.lit(1))
@@ -98,7 +103,9 @@ def train_and_audit(table: DataFrame, target: str, feature_model: X.FeatureModel
     train, hold = split.where("SPLIT = 'train'").drop("SPLIT"), split.where("SPLIT = 'test'").drop("SPLIT")
     xt = feature_model.fit_transform(train, exclude=[target, *keys])
     feats = [c for c in feature_model.feature_names if c not in keys and c != target]
-    xt = xt.select(*keys, target, *feats)
+    # training iterates over the features and the drift audit reads them
+    # again: compute the transforms once
+    xt = cut_lineage(xt.select(*keys, target, *feats))
     model = K.train_classifier(xt, feats, target, positive_weight, params=params)
     carry = [target] + ([protected] if protected else [])
     h2 = hold.select("*", *[F.col(c).alias(f"__keep_{c}") for c in carry]).drop(target)
