@@ -55,3 +55,30 @@ def map_output_columns(df: DataFrame) -> DataFrame:
         col("N_LICENCIA").cast("string").alias("LCC_IDN"),
         F.lit(None).cast("string").alias("LCC_OPERADOR"),
     )
+
+
+# The predictions table contract (column, type, text limit).
+PREDICTIONS_COLUMNS = [
+    ("AFILIADO_RUT", "string", 11), ("LCC_COMCOD", "bigint", None), ("LCC_COMCOR", "bigint", None),
+    ("LCC_OPERADOR", "bigint", None), ("LCC_MEDRUT", "string", 11), ("LCC_EMPRUT", "string", 11),
+    ("LCC_IDN", "string", 20), ("EPISODIO_ACUM_DIAS", "bigint", None), ("EPISODIO_FEC_INI", "date", None),
+    ("CONTINUA_CALC", "string", 1), ("TIPO_F_LM_COD", "bigint", None), ("TIPO_F_LM", "string", 35),
+    ("FECHA_RECEPCION", "timestamp_ntz", None), ("FECHA_INICIO", "timestamp_ntz", None),
+    ("FECHA_TERMINO", "timestamp_ntz", None), ("DIASSOLICITADO", "bigint", None), ("CIE_F", "string", 120),
+    ("CIE_F_COD", "string", 12), ("CIE_GRUPO", "string", 30), ("LM_DIAGNOSTICO", "string", 100),
+    ("LM_ANTECEDENTES_CLINICOS", "string", 100), ("COT_EDAD", "bigint", None), ("COT_GENERO", "string", 4),
+    ("RENTA_ESTIMADA", "double", None), ("SEMAFORO", "string", 20), ("PROBABILIDAD_APROBACION", "double", None),
+    ("UMBRAL_VERDE", "double", None), ("UMBRAL_AMARILLO", "double", None),
+    ("FECHA_PROCESAMIENTO", "timestamp_ntz", None), ("FECHA_DESDE", "date", None), ("FECHA_HASTA", "date", None),
+    ("MODELO_VERSION", "string", 10), ("ES_PENDIENTE", "int", None), ("TARGET_FT3", "int", None),
+    ("TARGET_APRUEBA", "int", None), ("GLOSA_GENERADA", "string", 500), ("CAUSAL_GENERADA", "string", 100),
+    ("LEAK_FT", "string", 100), ("LEAK_CAUSALES", "string", 500), ("LEAK_DIASAUTORIZADOS", "bigint", None),
+    ("LEAK_GLOSAS", "string", 500), ("LEAK_ESTADOLM", "string", 35), ("LEAK_FALLO_PE", "string", 255),
+]
+
+
+def predictions_contract() -> tuple[StructType, dict[str, int]]:
+    """(schema, text limits) of the predictions table."""
+    from pyspark.sql.types import _parse_datatype_string
+    schema = _parse_datatype_string(", ".join(f"{c} {t}" for c, t, _ in PREDICTIONS_COLUMNS))
+    return schema, {c: n for c, _, n in PREDICTIONS_COLUMNS if n}

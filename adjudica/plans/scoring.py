@@ -43,9 +43,12 @@ def score_and_publish(train_table: DataFrame, model: PipelineModel, feature_mode
                       features: Sequence[str], as_of, date_from=None, date_to=None, label: str = "TARGET_FT3",
                       prior: str | None = "LEAK_FT", keys: Sequence[str] = PRED_KEYS, optimise: bool = True,
                       review=5000, rate=0.0, predictions: DataFrame | None = None,
-                      contract: StructType | None = None, model_version: str = "v1") -> dict[str, DataFrame]:
+                      contract: StructType | tuple | None = None, model_version: str = "v1") -> dict[str, DataFrame]:
     """Load -> split decided / pending -> features -> score -> thresholds ->
-    lights -> contract -> first-write-wins merge -> report."""
+    lights -> contract -> first-write-wins merge -> report.
+
+    ``contract`` is a StructType or (StructType, text limits), e.g.
+    ``functions.contract.predictions_contract()``."""
     rows = load_for_scoring(train_table, as_of, date_from, date_to)
     decided, pending = B.split_decided_pending(rows, label)
     date_cols = [c for c in (feature_model.dates if feature_model else []) if c in rows.columns]
@@ -79,7 +82,8 @@ def score_and_publish(train_table: DataFrame, model: PipelineModel, feature_mode
         "MODELO_VERSION": F.lit(model_version)})
     out = map_output_columns(out)
     if contract is not None:
-        out = conform_to_contract(out, contract)
+        schema, limits = contract if isinstance(contract, tuple) else (contract, None)
+        out = conform_to_contract(out, schema, limits)
     merged = None
     if predictions is not None:
         upd = [c for c in out.columns if c not in STICKY and c not in keys]

@@ -67,3 +67,17 @@ def test_missing_profile_counts_nan(spark):
     df = spark.createDataFrame([(1.0, "a"), (float("nan"), None), (None, "c")], "x double, s string")
     got = {r["COLUMNA"]: r["N_FALTANTES"] for r in A.missing_profile(df).collect()}
     assert got == {"x": 2, "s": 1}
+
+
+def test_predictions_contract(spark):
+    from adjudica.functions.contract import conform_to_contract, predictions_contract
+    schema, limits = predictions_contract()
+    assert len(schema.fields) == 43
+    df = spark.createDataFrame([(" afiliado_rut ", "x" * 40, "12", None)],
+                               "AFILIADO_RUT string, CIE_GRUPO string, DIASSOLICITADO string, SEMAFORO string") \
+        .toDF(" afiliado_rut ", "cie_grupo", "DIASSOLICITADO", "SEMAFORO")
+    out = conform_to_contract(df, schema, limits)
+    r = out.first()
+    assert out.columns == [f.name for f in schema.fields]
+    assert len(r["CIE_GRUPO"]) == 30 and r["DIASSOLICITADO"] == 12 and r["SEMAFORO"] is None
+    assert r["AFILIADO_RUT"] == " afiliado_r"   # values are not trimmed, only cut to the 11-char limit
