@@ -197,12 +197,20 @@ def n4_train_and_audit(spark, sf_dir):
 
 @query("n3_score_and_publish", ("N3", "A4", "A9", "A10", "A12", "B18", "B19", "G1", "K4", "M2", "M5", "M6", "D10"))
 def n3_score_and_publish(spark, sf_dir):
+    """Two publishing runs: the second (overlapping period) merges into the
+    first run's predictions with first-write-wins on the decision columns."""
+    from ..functions.contract import predictions_contract
     from ..operators import model as K
     t = _train_table(spark, sf_dir)
     feats = N34_FEATURES
     lab = t.where(F.col("TARGET_FT3").isNotNull())
     model = K.train_classifier(lab, feats, "TARGET_FT3", params={"maxIter": 10, "maxDepth": 3})
-    r = score_and_publish(t, model, None, feats, as_of="2001-09-01", date_from="1995-01-01", date_to="2001-08-01",
-                          label="TARGET_FT3", prior="LEAK_FT", optimise=True)
-    return r["predictions"].select("AFILIADO_RUT", "LCC_COMCOR", "PROBABILIDAD_APROBACION", "SEMAFORO",
-                                   "UMBRAL_VERDE", "UMBRAL_AMARILLO", "GLOSA_GENERADA", "ES_PENDIENTE")
+    contract = predictions_contract()
+    first = score_and_publish(t, model, None, feats, as_of="2000-01-01", date_from="1995-01-01",
+                              date_to="1999-12-31", label="TARGET_FT3", prior="LEAK_FT", contract=contract)
+    second = score_and_publish(t, model, None, feats, as_of="2001-09-01", date_from="1999-01-01",
+                               date_to="2001-08-01", label="TARGET_FT3", prior="LEAK_FT", contract=contract,
+                               predictions=first["predictions"])
+    return second["merged"].select("AFILIADO_RUT", "LCC_COMCOR", "PROBABILIDAD_APROBACION", "SEMAFORO",
+                                   "UMBRAL_VERDE", "UMBRAL_AMARILLO", "GLOSA_GENERADA", "ES_PENDIENTE",
+                                   "FECHA_PROCESAMIENTO", "FECHA_DESDE", "FECHA_HASTA")
