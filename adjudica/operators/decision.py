@@ -226,13 +226,12 @@ def assign_light(df: DataFrame, green: float, yellow: float, score: str = "PROBA
     a = F.col(acc_days) if acc_days in df.columns else F.lit(None).cast("double")
     is_green = valid & (s >= green)
     rule = (d > max_days) | (a >= max_acc_days)
-    light = F.when(F.lit(False), None)
+    light = (F.when(is_green & F.coalesce(rule, F.lit(False)), F.lit(YELLOW))
+              .when(is_green, F.lit(GREEN))
+              .when(valid & (s >= yellow), F.lit(YELLOW))
+              .otherwise(F.lit(RED)))
     if use_prior_class and prior_col and prior_col in df.columns:
-        light = F.when(F.col(prior_col) == 1, F.lit(FT1))
-    light = (light.when(is_green & F.coalesce(rule, F.lit(False)), F.lit(YELLOW))
-                  .when(is_green, F.lit(GREEN))
-                  .when(valid & (s >= yellow), F.lit(YELLOW))
-                  .otherwise(F.lit(RED)))
+        light = F.when(F.col(prior_col) == 1, F.lit(FT1)).otherwise(light)
     return df.withColumn(out, light)
 
 
