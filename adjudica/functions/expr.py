@@ -12,6 +12,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..roles import PRIOR_APPROVAL_COL, PRIOR_SOURCE_COL, PRIOR_SOURCE_VALUE
+
 SENTINEL_DATE = "1900-01-01"
 
 
@@ -179,7 +181,7 @@ def derive_targets(df: DataFrame) -> DataFrame:
         F.when(und_u, None).when(i_days.isNull(), None).when(birth, None)
          .when(cause_ok & F.col("PERITAJE_FALLO_1").isNull(), 1).when(full, 1).otherwise(0)
          .alias("TARGET_FT2"),
-        F.when(und_u, None).when(F.col("PASO_FASTTRACK") == 1, None).when(birth, None)
+        F.when(und_u, None).when(F.col(PRIOR_APPROVAL_COL) == 1, None).when(birth, None)
          .when(cause_ok, 1).when(full, 1).otherwise(0).alias("TARGET_FT3"),
     )
 
@@ -193,13 +195,14 @@ def derive_audit_columns(df: DataFrame) -> DataFrame:
         F.when(_undecided(), None).otherwise(F.col("I_DIASAUTORIZADOS")).alias("LEAK_DIASAUTORIZADOS"),
         F.col("ESTADO_LM").alias("LEAK_ESTADOLM"),
         F.col("PERITAJE_FALLO_1").alias("LEAK_FALLO_PE"),
-        F.col("PASO_FASTTRACK").alias("LEAK_FT"),
+        F.col(PRIOR_APPROVAL_COL).alias("LEAK_FT"),
         F.col("FECHA_RESOLUCION_COMPIN").alias("LEAK_FECHA_COMPIN"),
         F.col("RESOLUCION_COMPIN").alias("LEAK_RESOLUCION_COMPIN"),
     )
 
 
-def outcome_flags(df: DataFrame, prior_col: str | None = "MEDICO_COLMENA", prior_value: str = "autvis") -> DataFrame:
+def outcome_flags(df: DataFrame, prior_col: str | None = PRIOR_SOURCE_COL,
+                  prior_value: str = PRIOR_SOURCE_VALUE) -> DataFrame:
     """Insurer outcome flags, verdict flag, psychiatric and prior-approval flags."""
     i_days, req = F.col("I_DIASAUTORIZADOS"), F.col("DIASSOLICITADO")
     verdict = F.upper(F.col("RESOLUCION_COMPIN"))
@@ -212,7 +215,7 @@ def outcome_flags(df: DataFrame, prior_col: str | None = "MEDICO_COLMENA", prior
         F.when(verdict == "RATIFICA", 1).when(verdict == "DENIEGA", 0).alias("ISAP_GANA_COMPIN"),
         F.when(F.upper(F.col("CIE_GRUPO")) == "PSIQUIATRICAS", 1).otherwise(0).alias("IS_PSIQUIATRICA_CURRENT_FLAG"),
         (F.when(F.col(prior_col) == prior_value, 1).otherwise(0) if prior_col else F.lit(0)).cast("int")
-         .alias("PASO_FASTTRACK"),
+         .alias(PRIOR_APPROVAL_COL),
     )
 
 

@@ -18,6 +18,7 @@ from ..functions import expr as B
 from ..operators import claim_metrics as CM
 from ..operators import joins as J
 from ..operators import merge as M
+from ..roles import PRIOR_APPROVAL_COL, PRIOR_SOURCE_COL
 
 BASE_KEYS = ["AFILIADO_RUT", "LCC_COMCOR"]
 WIDE_KEYS = ["LCC_COMCOR", "LCC_COMCOD"]
@@ -76,12 +77,12 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
     rows = ranked.join(m15.drop("FECHA_CALCULO", "FECHA_RECEPCION"), METRIC_KEYS, "left")
     rows = B.fill_defaults(rows, {**CM.CLAIM_DEFAULTS, **CM.SERVICE_DEFAULTS, **CM.EXAM_DEFAULTS})
     if {"I_DIASAUTORIZADOS", "DIASSOLICITADO", "RESOLUCION_COMPIN", "CIE_GRUPO"} <= set(rows.columns):
-        rows = B.outcome_flags(rows, prior_col="MEDICO_COLMENA" if "MEDICO_COLMENA" in rows.columns else None)
+        rows = B.outcome_flags(rows, prior_col=PRIOR_SOURCE_COL if PRIOR_SOURCE_COL in rows.columns else None)
     new_wide = rows if wide is None else M.anti_join_existing(rows, wide, WIDE_KEYS)
     return IncrementResult(new_base, metrics_out, new_wide, m15_out)
 
 
-_TYPES = {"I_DIASAUTORIZADOS": "bigint", "PASO_FASTTRACK": "int", "FECHA_RESOLUCION_COMPIN": "date",
+_TYPES = {"I_DIASAUTORIZADOS": "bigint", PRIOR_APPROVAL_COL: "int", "FECHA_RESOLUCION_COMPIN": "date",
           "PERITAJE_LM_PERITADA": "int", "CTD_ENVIA_PERITAJE": "bigint", "CTD_ENVIA_INFORME_MEDICO": "bigint"}
 
 
@@ -137,12 +138,12 @@ def build_training_table(wide: DataFrame, as_of, spec: Sequence | None = None) -
     passthrough = [c for c in (spec or []) if c in w.columns]
     out = w.select(*sel, *[F.col(c) for c in passthrough if c not in {"AFILIADO_RUT", "LCC_COMCOR", "LCC_COMCOD"}],
                    *[col(c, _TYPES.get(c, "string")).alias(c) for c in ("ESTADO_LM", "I_DIASAUTORIZADOS", "RESOLUCION_COMPIN", "REC_GLS_CAUMOD",
-                                      "REC_LCC_VISJUS", "PERITAJE_FALLO_1", "PASO_FASTTRACK",
+                                      "REC_LCC_VISJUS", "PERITAJE_FALLO_1", PRIOR_APPROVAL_COL,
                                       "FECHA_RESOLUCION_COMPIN", "PERITAJE_LM_PERITADA", "CTD_ENVIA_PERITAJE",
                                       "CTD_ENVIA_INFORME_MEDICO") if c not in passthrough])
     out = B.fill_defaults(out, {**CM.CLAIM_DEFAULTS, **CM.SERVICE_DEFAULTS, **CM.EXAM_DEFAULTS})
     out = B.derive_targets(B.derive_audit_columns(out))
-    drop = [c for c in ("REC_GLS_CAUMOD", "REC_LCC_VISJUS", "PERITAJE_FALLO_1", "PASO_FASTTRACK",
+    drop = [c for c in ("REC_GLS_CAUMOD", "REC_LCC_VISJUS", "PERITAJE_FALLO_1", PRIOR_APPROVAL_COL,
                         "PERITAJE_LM_PERITADA", "CTD_ENVIA_PERITAJE", "CTD_ENVIA_INFORME_MEDICO",
                         "ESTADO_LM", "I_DIASAUTORIZADOS", "RESOLUCION_COMPIN", "FECHA_RESOLUCION_COMPIN")
             if c not in passthrough]
