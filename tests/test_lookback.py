@@ -69,3 +69,33 @@ def test_bucketed_pair_join_equals_plain_join(spark):
 def test_empty_probe_and_history(spark):
     c = _claims(spark, [])
     assert CM.claim_metrics_15d(CM.distinct_probes(c), c).count() == 0
+
+
+def test_hot_person_matches_brute_force(spark):
+    """One person holds a third of all rows, packed into four weeks."""
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for i in range(1500):
+        if i % 3 == 0:
+            rows.append(("hot", i, 1, D(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 27)),
+                         rnd.choice(["RATIFICA", "deniega", None]), D(2024, 2, 1), rnd.randint(0, 30), rnd.randint(0, 5)))
+        else:
+            rows.append((f"p{i % 97}", i, 1, D(2023, 6, 1) + dt.timedelta(days=rnd.randint(0, 300)),
+                         None, None, rnd.randint(0, 30), None))
+    # repeated claim numbers of the hot person on different days (distinct counting)
+    rows += [("hot", 3, 2, D(2024, 1, 20), "RATIFICA", D(2024, 2, 1), 4, 1)]
+    c = _claims(spark, rows)
+    got = {r["LCC_COMCOR"]: (r["CANT_LIC_U15D"], r["COMPIN_RATIFICA_U15D"], r["TOTAL_DIAS_SOLICITADOS_U15D"])
+           for r in CM.claim_metrics_15d(CM.distinct_probes(c), c).where("LCC_COMCOD = 1").collect()}
+    by = {}
+    for r in rows:
+        by.setdefault(r[0], []).append(r)
+    for p in rows[:300]:
+        if p[2] != 1:
+            continue
+        hist = [h for h in by[p[0]] if p[3] - dt.timedelta(days=15) <= h[3] < p[3]]
+        n = len({h[1] for h in hist})
+        rat = len({h[1] for h in hist if h[4] and h[4].upper() == "RATIFICA"})
+        tot = sum(h[6] for h in hist)
+        assert got[p[1]] == (n, rat, tot), p
