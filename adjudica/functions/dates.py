@@ -16,7 +16,7 @@ def month_diff(a: Column, b: Column) -> Column:
     return (F.year(a) * 12 + F.month(a)) - (F.year(b) * 12 + F.month(b))
 
 
-def _day(x, shift: int = 0):
+def day_literal(x, shift: int = 0):
     import datetime as _dt
     d = _dt.date.fromisoformat(str(x)[:10]) + _dt.timedelta(days=shift)
     return F.lit(d)  # a DATE literal: compared with a DATE column as is, cast only on the literal side otherwise
@@ -31,9 +31,9 @@ def date_window(c: Column, date_from=None, date_to=None) -> Column:
     """
     cond = F.lit(True)
     if date_from is not None:
-        cond = cond & (c >= _day(date_from))
+        cond = cond & (c >= day_literal(date_from))
     if date_to is not None:
-        cond = cond & (c < _day(date_to, 1))
+        cond = cond & (c < day_literal(date_to, 1))
     return cond
 
 

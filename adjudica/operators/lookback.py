@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import day_number
+from ..functions.dates import day_literal, day_number
 
 _T = "__lb_day"
 _B = "__lb_bucket"
@@ -82,11 +82,10 @@ def lookback_aggregate(
         h = h.where(hist_filter)
     hday = F.to_date(F.col(hist_date))
     # range predicates on the raw column with DATE literals: pushed to the scan
-    from ..functions.dates import _day
     if date_from is not None:
-        h = h.where(F.col(hist_date) >= _day(date_from, -days))
+        h = h.where(F.col(hist_date) >= day_literal(date_from, -days))
     if date_to is not None:
-        h = h.where(F.col(hist_date) < _day(date_to))
+        h = h.where(F.col(hist_date) < day_literal(date_to))
     # rename history keys to probe names so the join is a plain equi-join
     for a, b in zip(hk, pk):
         if a != b:
