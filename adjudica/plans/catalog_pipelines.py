@@ -14,7 +14,7 @@ from .scoring import score_and_publish, train_and_audit
 
 N1_FROM, N1_TO, N1_ASOF = "1999-07-01", "2001-08-01", "2001-08-02"
 N1_COLS = ["AFILIADO_RUT", "LCC_COMCOR", "LCC_COMCOD", "FECHA_RECEPCION", "RN_AFILIADO_HIST",
-           "PERIODO_AFILIADO_RUT", "LM_MES", "MONTO_MES", "CANT_LIC_U15D", "COMPIN_RATIFICA_U15D",
+           "PERIODO_AFILIADO_RUT", "LM_MES", "MONTO_MES", "MONTO_POR_LM", "CANT_LIC_U15D", "COMPIN_RATIFICA_U15D",
            "TOTAL_DIAS_SOLICITADOS_U15D", "RATIO_APROBACION_U15D", "HV_N_PRESTACIONES_U15D",
            "PERITAJES_TOTAL_U15D", "DIAS_DESDE_ULTIMO_PERITAJE_U15D"]
 _BASE_ALL = "base AS (SELECT DISTINCT AFILIADO_RUT, LCC_COMCOR, LCC_COMCOD, FECHA_RECEPCION FROM claims)"
@@ -41,7 +41,8 @@ SELECT r.AFILIADO_RUT, r.LCC_COMCOR, r.LCC_COMCOD, r.FECHA_RECEPCION,
           OR (h.FECHA_RECEPCION = r.FECHA_RECEPCION AND h.LCC_COMCOR < r.LCC_COMCOR)
           OR (h.FECHA_RECEPCION = r.FECHA_RECEPCION AND h.LCC_COMCOR = r.LCC_COMCOR
               AND h.LCC_COMCOD < r.LCC_COMCOD))) AS RN_AFILIADO_HIST,
-  afi.PERIODO AS PERIODO_AFILIADO_RUT, afi.LM_MES, afi.MONTO_MES,
+  afi.PERIODO AS PERIODO_AFILIADO_RUT, COALESCE(afi.LM_MES, 0) AS LM_MES, COALESCE(afi.MONTO_MES, 0) AS MONTO_MES,
+  ROUND(CASE WHEN afi.LM_MES = 0 THEN 0 ELSE afi.MONTO_MES / afi.LM_MES END, 6) AS MONTO_POR_LM,
   d1.CANT_LIC_U15D, d1.COMPIN_RATIFICA_U15D, d1.TOTAL_DIAS_SOLICITADOS_U15D, d1.RATIO_APROBACION_U15D,
   d2.HV_N_PRESTACIONES_U15D, CAST(0 AS BIGINT) AS PERITAJES_TOTAL_U15D, 9999 AS DIAS_DESDE_ULTIMO_PERITAJE_U15D
 FROM recent r
@@ -57,14 +58,17 @@ def _n1(spark, sf_dir):
     wide = base.select("AFILIADO_RUT", "FECHA_RECEPCION", "LCC_COMCOR", "LCC_COMCOD")
     return run_increment(claims, base, None, wide, an.services_from_lineitem(spark, sf_dir),
                          an.exams_from_events(spark, sf_dir), N1_FROM, N1_TO, N1_ASOF,
-                         monthly={"AFILIADO_RUT": _monthly(spark, sf_dir)})
+                         monthly={"AFILIADO_RUT": _monthly(spark, sf_dir)},
+                         monthly_defaults={"LM_MES": 0, "MONTO_MES": 0.0},
+                         ratios={"MONTO_POR_LM": ("MONTO_MES", "LM_MES")})
 
 
-@query("n1_run_increment", ("N1", "A6", "C1", "C2", "C6", "C7", "C8", "D1", "D2", "D3", "E2", "A8"), _n1_sql())
+@query("n1_run_increment", ("N1", "A6", "B9", "B14", "C2", "C6", "C7", "C8", "D1", "D2", "D3", "E2", "A8"), _n1_sql())
 def n1_run_increment(spark, sf_dir):
     r = _n1(spark, sf_dir)
     out = r.new_wide.select(*N1_COLS)
-    return out.withColumn("RATIO_APROBACION_U15D", F.round("RATIO_APROBACION_U15D", 6))
+    return out.withColumn("RATIO_APROBACION_U15D", F.round("RATIO_APROBACION_U15D", 6)) \
+              .withColumn("MONTO_POR_LM", F.round("MONTO_POR_LM", 6))
 
 
 # ---------------------------------------------------------------- N2

@@ -39,7 +39,8 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
                   wide: DataFrame | None, services: DataFrame, exams: DataFrame, date_from, date_to, as_of,
                   provider_history: DataFrame | None = None, monthly: dict | None = None,
                   days: int = 15, lexicographic_periods: bool = False,
-                  keep_reception_date: bool = False) -> IncrementResult:
+                  keep_reception_date: bool = False, monthly_defaults: dict | None = None,
+                  ratios: dict | None = None) -> IncrementResult:
     """Append new claims -> 15-day metrics upsert -> append wide rows.
 
     * claims received in ``[date_from, date_to]`` that are not in the base are
@@ -48,8 +49,10 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
     * the 15-day metrics of those claims are computed once (D1-D3) and upserted
       into the metrics table (A8) and reused for the wide rows;
     * wide rows get the person's history rank (E2), the newest monthly
-      metrics per entity (C7), outcome flags (B13), and are appended when
-      their (claim, code) is not yet in the wide table (C2).
+      metrics per entity (C7) with ``monthly_defaults`` filled in and
+      ``ratios`` ({name: (numerator, denominator)}, denominator 0 -> 0, missing
+      entity -> NULL; B14) derived from them, outcome flags (B13), and are
+      appended when their (claim, code) is not yet in the wide table (C2).
     """
     inp = claims_input.where(B.date_window("FECHA_RECEPCION", date_from, date_to))
     if provider_history is not None and "LCC_MEDRUT" in inp.columns:
@@ -74,6 +77,11 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
                             "AFILIADO_RUT", ["FECHA_RECEPCION", "LCC_COMCOR", "LCC_COMCOD"])
     if monthly:
         ranked = J.join_latest_period(ranked, monthly, as_of, lexicographic=lexicographic_periods)
+        # ratios read the raw (possibly missing) metrics before defaults are filled
+        for name, (num, den) in (ratios or {}).items():
+            ranked = ranked.withColumn(name, B.safe_ratio(num, den))
+        if monthly_defaults:
+            ranked = B.fill_defaults(ranked, monthly_defaults)
     rows = ranked.join(m15.drop("FECHA_CALCULO", "FECHA_RECEPCION"), METRIC_KEYS, "left")
     rows = B.fill_defaults(rows, {**CM.CLAIM_DEFAULTS, **CM.SERVICE_DEFAULTS, **CM.EXAM_DEFAULTS})
     if {"I_DIASAUTORIZADOS", "DIASSOLICITADO", "RESOLUCION_COMPIN", "CIE_GRUPO"} <= set(rows.columns):
