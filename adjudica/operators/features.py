@@ -336,6 +336,7 @@ class FeatureModel:
         m = cls(**meta)
         m.scale = scale
         m.vocab = {t: spark.read.parquet(os.path.join(path, f"vocab_{t}")) for t in m.text if t in m.sizes}
+        from ..sources.sinks import path_exists
         dpath = os.path.join(path, "dictionary")
-        m.dictionary = spark.read.parquet(dpath) if os.path.exists(dpath) or not dpath.startswith("/") else None
+        m.dictionary = spark.read.parquet(dpath) if path_exists(spark, dpath) else None
         return m

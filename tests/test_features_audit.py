@@ -81,3 +81,24 @@ def test_predictions_contract(spark):
     assert out.columns == [f.name for f in schema.fields]
     assert len(r["CIE_GRUPO"]) == 30 and r["DIASSOLICITADO"] == 12 and r["SEMAFORO"] is None
     assert r["AFILIADO_RUT"] == " afiliado_r"   # values are not trimmed, only cut to the 11-char limit
+
+
+def test_feature_model_save_load_roundtrip(spark):
+    import tempfile
+    from tests.conftest import SF
+    d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    lab = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic", "quality")
+    docs = d.join(lab, "doc_id", "left")
+    fm = X.FeatureModel(text=["text"], categorical=["lang", "source"], numeric=["n_chars"], binary=["toxic"],
+                        doc_id="doc_id", min_df=2)
+    fm.fit_transform(docs.where(F.col("quality").isNotNull()), exclude=["quality"])
+    a = fm.transform(docs.drop("quality"))
+    path = tempfile.mkdtemp(prefix="fm-", dir="/tmp") + "/model"
+    fm.save(path)
+    fm2 = X.FeatureModel.load(spark, path)
+    b = fm2.transform(docs.drop("quality")).select(*a.columns)
+
+    def rows(df):
+        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+    assert rows(a) == rows(b)
+    assert fm2.feature_names == fm.feature_names and fm2.sizes == fm.sizes
