@@ -340,3 +340,9 @@ class FeatureModel:
         dpath = os.path.join(path, "dictionary")
         m.dictionary = spark.read.parquet(dpath) if path_exists(spark, dpath) else None
         return m
+
+
+def read_feature_list(spark: SparkSession, path: str) -> list[str]:
+    """The selected feature names from a text file, one per line (a list
+    bounded by the number of model features)."""
+    return [r[0].strip() for r in spark.read.text(path).collect() if r[0] and r[0].strip()]

@@ -149,7 +149,7 @@ def history_rank(new: DataFrame, history: DataFrame, person: str, order: Sequenc
     exact rank is finished inside each (person, bucket) window.
     """
     order = list(order)
-    b = bucket if bucket is not None else F.date_trunc("month", F.col(order[0]).cast("timestamp"))
+    b = bucket if bucket is not None else F.trunc(F.to_date(F.col(order[0])), "MM")
     n = new.withColumn("__h", F.lit(0))
     h = history.select(person, *order).withColumn("__h", F.lit(1))
     u = n.unionByName(h, allowMissingColumns=True).withColumn("__b", b)

@@ -102,3 +102,21 @@ def test_feature_model_save_load_roundtrip(spark):
         return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
     assert rows(a) == rows(b)
     assert fm2.feature_names == fm.feature_names and fm2.sizes == fm.sizes
+
+
+def test_model_save_load_and_feature_list(spark):
+    import tempfile
+    from adjudica.operators import model as K
+    rows = [(i, float(i % 7), float((i * 3) % 5), 1 if i % 7 > 3 else 0) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y int")
+    m = K.train_classifier(df, ["a", "b"], "y", params={"maxIter": 3, "maxDepth": 2})
+    d = tempfile.mkdtemp(prefix="m-", dir="/tmp")
+    K.save_model(m, d + "/model")
+    s1 = sorted(map(tuple, K.score(m, df, ["id"]).collect()))
+    s2 = sorted(map(tuple, K.score(K.load_model(d + "/model"), df, ["id"]).collect()))
+    assert s1 == s2
+    with open(d + "/features.txt", "w") as f:
+        f.write("b\n\na\n")
+    names = X.read_feature_list(spark, d + "/features.txt")
+    assert names == ["b", "a"]
+    assert X.select_features(df, names, keep=["id"]).columns == ["id", "b", "a"]
