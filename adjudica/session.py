@@ -37,7 +37,10 @@ def get_session(master: str | None = None, app: str = "adjudica",
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001  (Spark Connect)
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -46,15 +49,22 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster names a shared folder in that setting; we only fill it in
-    when it is unset (local tests), never override it.
+    when it is unset (local tests), never override it.  Works with classic
+    sessions and, through the session conf only, with Spark Connect.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        d = d or sc.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001  (Spark Connect: no driver-side context)
+        sc = None
     if not d:
         d = fallback or os.environ.get("ADJUDICA_CHECKPOINT_DIR") or \
             os.path.join(os.getcwd(), "spark-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 
