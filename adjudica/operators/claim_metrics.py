@@ -22,7 +22,10 @@ def distinct_probes(claims: DataFrame, date_from=None, date_to=None,
     """Claims received in ``[date_from, date_to]`` (inclusive days), one row per claim."""
     from ..functions.dates import date_window
     c = claims.where(date_window(F.col(date_col), date_from, date_to))
-    return c.select(*CLAIM_KEYS, F.to_date(date_col).alias("FECHA_RECEPCION")).distinct()
+    c = c.select(*CLAIM_KEYS, F.to_date(date_col).alias("FECHA_RECEPCION"))
+    # one shuffle on (person, day): the de-duplication, the distinct probe
+    # days and the final (person, day) join of the look-back all reuse it
+    return c.repartition("AFILIADO_RUT", "FECHA_RECEPCION").dropDuplicates()
 
 
 def _flag(c: Column) -> Column:
