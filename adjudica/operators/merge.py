@@ -24,10 +24,20 @@ from pyspark.sql import functions as F
 from ..plans.sizing import assert_unique, broadcast_if_small
 
 
-def anti_join_existing(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key does not exist in ``existing`` (NOT EXISTS)."""
-    ek = existing.select(*keys).distinct()
-    return new.join(ek, list(keys), "left_anti")
+def anti_join_existing(new: DataFrame, existing: DataFrame, keys: Sequence[str],
+                       max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """Rows of ``new`` whose key does not exist in ``existing`` (NOT EXISTS).
+
+    ``existing`` is the large table.  Its key columns are first reduced to the
+    keys the new rows carry (a semi join with the new keys, broadcast when
+    they are proven few: a map-only scan of the large table, no shuffle of
+    it), and the anti join then runs between two small sides.  NULL keys
+    never match, as in SQL.
+    """
+    keys = list(keys)
+    nk = broadcast_if_small(new.select(*keys).distinct(), max_broadcast_rows)
+    seen = existing.select(*keys).join(nk, keys, "left_semi")
+    return new.join(seen, keys, "left_anti")
 
 
 def append_new(source: DataFrame, target: DataFrame, keys: Sequence[str],

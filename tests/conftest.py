@@ -9,7 +9,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from adjudica.session import get_session
-    s = get_session("local[4]", app="adjudica-tests", shuffle_partitions=8)
+    s = get_session("local[4]", app="adjudica-tests", shuffle_partitions=8,
+                    extra={"spark.driver.memory": "6g"})
     yield s
     s.stop()
 
