@@ -131,7 +131,7 @@ def mark_membership(df: DataFrame, members: DataFrame, keys: Sequence[str], flag
                     max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """``flag`` = 1 when the row's key is in ``members`` else 0 (no fan-out)."""
     m = members.select(*keys).distinct().withColumn("__in", F.lit(1))
-    m = broadcast_if_small(m, max_broadcast_rows)
+    m = broadcast_if_small(m, max_broadcast_rows, bound=members.select(*keys))
     return df.join(m, list(keys), "left").withColumn(flag, F.coalesce(F.col("__in"), F.lit(0))).drop("__in")
 
 

@@ -25,17 +25,21 @@ from ..plans.sizing import assert_unique, broadcast_if_small
 
 
 def anti_join_existing(new: DataFrame, existing: DataFrame, keys: Sequence[str],
-                       max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                       max_broadcast_rows: int = 2_000_000, key_source: DataFrame | None = None) -> DataFrame:
     """Rows of ``new`` whose key does not exist in ``existing`` (NOT EXISTS).
 
     ``existing`` is the large table.  Its key columns are first reduced to the
     keys the new rows carry (a semi join with the new keys, broadcast when
     they are proven few: a map-only scan of the large table, no shuffle of
     it), and the anti join then runs between two small sides.  NULL keys
-    never match, as in SQL.
+    never match, as in SQL.  ``key_source`` (a cheap frame carrying at least
+    the keys of ``new``) serves the size check and the semi join when ``new``
+    itself is expensive to compute.
     """
     keys = list(keys)
-    nk = broadcast_if_small(new.select(*keys).distinct(), max_broadcast_rows)
+    src = key_source if key_source is not None else new
+    # the row count of the key source bounds its distinct keys: no shuffle in the check
+    nk = broadcast_if_small(src.select(*keys).distinct(), max_broadcast_rows, bound=src.select(*keys))
     seen = existing.select(*keys).join(nk, keys, "left_semi")
     return new.join(seen, keys, "left_anti")
 

@@ -19,6 +19,7 @@ from ..operators import claim_metrics as CM
 from ..operators import joins as J
 from ..operators import merge as M
 from ..roles import PRIOR_APPROVAL_COL, PRIOR_SOURCE_COL
+from ..session import cut_lineage
 
 BASE_KEYS = ["AFILIADO_RUT", "LCC_COMCOR"]
 WIDE_KEYS = ["LCC_COMCOR", "LCC_COMCOD"]
@@ -62,6 +63,9 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
                                 .withColumnRenamed("FECHA_RECEPCION", "__prov_fecha"),
                                 ["LCC_MEDRUT"], ["PRESTADOR_RUT"], ["__prov_fecha"]).drop("__prov_fecha")
     new_base = M.anti_join_existing(inp, base, BASE_KEYS)
+    # the increment's new claims feed every later branch (probes, look-back
+    # history, wide rows): materialise them once, as the base insert does
+    new_base = cut_lineage(new_base)
     history = base.unionByName(new_base, allowMissingColumns=True)
     probes = CM.distinct_probes(history, date_from, date_to)
     m15 = CM.metrics_15d(probes, history, services, exams, as_of, days, date_from, date_to,
@@ -86,7 +90,8 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
     rows = B.fill_defaults(rows, {**CM.CLAIM_DEFAULTS, **CM.SERVICE_DEFAULTS, **CM.EXAM_DEFAULTS})
     if {"I_DIASAUTORIZADOS", "DIASSOLICITADO", "RESOLUCION_COMPIN", "CIE_GRUPO"} <= set(rows.columns):
         rows = B.outcome_flags(rows, prior_col=PRIOR_SOURCE_COL if PRIOR_SOURCE_COL in rows.columns else None)
-    new_wide = rows if wide is None else M.anti_join_existing(rows, wide, WIDE_KEYS)
+    # the wide rows are an expensive plan; their keys are those of the recent claims
+    new_wide = rows if wide is None else M.anti_join_existing(rows, wide, WIDE_KEYS, key_source=recent)
     return IncrementResult(new_base, metrics_out, new_wide, m15_out)
 
 

@@ -18,9 +18,14 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    ``bound`` is a cheaper frame with at least as many rows as ``df`` (e.g.
+    the rows before a ``distinct``): counting it proves the same bound
+    without running the shuffle that ``df`` needs.
+    """
+    return F.broadcast(df) if is_small(bound if bound is not None else df, max_rows) else df
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "source") -> None:
