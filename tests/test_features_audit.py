@@ -120,3 +120,35 @@ def test_model_save_load_and_feature_list(spark):
     names = X.read_feature_list(spark, d + "/features.txt")
     assert names == ["b", "a"]
     assert X.select_features(df, names, keep=["id"]).columns == ["id", "b", "a"]
+
+
+def test_tfidf_matches_python_brute_force(spark):
+    import math
+    import re
+    from collections import Counter
+    texts = ["Él comió 2 manzanas_rojas, él comió", "Der Hund läuft; der Hund bellt!", "a b c él comió",
+             "Über über alles 123 456", "él comió manzanas", "der hund", "comió él", "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tf = X._doc_terms(df, "doc_id", "text")
+    vocab = X.tfidf_fit(df, "doc_id", "text", max_features=5, min_df=2, max_df=0.8, tf=tf)
+    got = {r["doc_id"]: [round(r[f"text_tfidf_{i}"], 9) for i in range(5)]
+           for r in X.tfidf_transform(df, vocab, "doc_id", "text", "text", 5, tf=tf).collect()}
+    # brute force with Python's Unicode word tokens of >= 2 characters
+    docs = []
+    for t in texts:
+        toks = re.findall(r"(?u)\b\w\w+\b", t.lower())
+        docs.append(Counter(toks + [f"{a} {b}" for a, b in zip(toks, toks[1:])]))
+    n = len(texts)
+    dfc = Counter(term for d in docs for term in d)
+    tot = Counter()
+    for d in docs:
+        tot.update(d)
+    keep = [t for t in dfc if 2 <= dfc[t] <= 0.8 * n]
+    top = sorted(sorted(keep), key=lambda t: -tot[t])[:5]
+    terms = sorted(top)
+    idf = {t: math.log((1 + n) / (1 + dfc[t])) + 1 for t in terms}
+    for i, d in enumerate(docs):
+        v = [d.get(t, 0) * idf[t] for t in terms]
+        nr = math.sqrt(sum(x * x for x in v))
+        want = [round(x / nr, 9) if nr else 0.0 for x in v]
+        assert got[i] == want, (i, got[i], want)
