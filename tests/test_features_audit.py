@@ -152,3 +152,25 @@ def test_tfidf_matches_python_brute_force(spark):
         nr = math.sqrt(sum(x * x for x in v))
         want = [round(x / nr, 9) if nr else 0.0 for x in v]
         assert got[i] == want, (i, got[i], want)
+
+
+def test_woe_numeric_matches_pandas_bins(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.integers(0, 6, 120), rng.normal(10, 3, 80).round(2)])
+    y = (rng.random(200) < 0.6).astype(int)
+    pdf = pd.DataFrame({"x": x.astype(float), "y": y})
+    df = spark.createDataFrame(pdf)
+    got = {r["bin"]: (r["n0"], r["n1"], round(r["woe"], 9))
+           for r in V.woe_numeric(df, ["x"], "y").collect()}
+    _, edges = pd.qcut(pdf["x"], q=10, retbins=True, duplicates="drop")
+    binned = pd.cut(pdf["x"], bins=edges, include_lowest=True)
+    ct = pd.crosstab(binned, pdf["y"])
+    goods, bads = (pdf["y"] == 1).sum(), (pdf["y"] == 0).sum()
+    want = {}
+    for i, (_, row) in enumerate(ct.iterrows(), start=1):
+        g = row.get(1, 0) / goods or 0.0001
+        b = row.get(0, 0) / bads or 0.0001
+        want[str(i)] = (int(row.get(0, 0)), int(row.get(1, 0)), round(float(np.log(g / b)), 9))
+    assert got == want
