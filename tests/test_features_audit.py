@@ -174,3 +174,17 @@ def test_woe_numeric_matches_pandas_bins(spark):
         b = row.get(0, 0) / bads or 0.0001
         want[str(i)] = (int(row.get(0, 0)), int(row.get(1, 0)), round(float(np.log(g / b)), 9))
     assert got == want
+
+
+def test_ks_statistic_matches_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    a = rng.integers(0, 30, 300).astype(float)
+    b = (rng.integers(0, 30, 170) + 2).astype(float)
+    da = spark.createDataFrame([(float(v),) for v in a], "x double")
+    db = spark.createDataFrame([(float(v),) for v in b], "x double")
+    r = A.drift_ks(da, db, ["x"]).first()
+    grid = np.union1d(a, b)
+    fa = np.searchsorted(np.sort(a), grid, side="right") / len(a)
+    fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
+    assert r["ESTADISTICO"] == round(float(np.max(np.abs(fa - fb))), 6)
