@@ -99,3 +99,28 @@ def test_hot_person_matches_brute_force(spark):
         rat = len({h[1] for h in hist if h[4] and h[4].upper() == "RATIFICA"})
         tot = sum(h[6] for h in hist)
         assert got[p[1]] == (n, rat, tot), p
+
+
+def test_history_rank_brute_force(spark):
+    import random
+    from adjudica.operators.joins import history_rank
+    rnd = random.Random(11)
+    hist = [(rnd.choice("ab"), D(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 90)), rnd.randint(1, 50),
+             rnd.randint(1, 2)) for _ in range(120)]
+    new = [(rnd.choice("abc"), D(2024, 2, 1) + dt.timedelta(days=rnd.randint(0, 60)), rnd.randint(1, 50),
+            rnd.randint(1, 2)) for _ in range(40)]
+    new.append(hist[0])  # an exact duplicate of a history row is not counted against itself
+    schema = "AFILIADO_RUT string, FECHA_RECEPCION date, LCC_COMCOR long, LCC_COMCOD long"
+    h, n = spark.createDataFrame(hist, schema), spark.createDataFrame(new, schema)
+    order = ["FECHA_RECEPCION", "LCC_COMCOR", "LCC_COMCOD"]
+    for peers in (False, True):
+        got = sorted(tuple(r) for r in history_rank(n, h, "AFILIADO_RUT", order, count_peers=peers).collect())
+        pool = hist + (new if peers else [])
+        want = sorted(r + (1 + sum(1 for q in pool if q[0] == r[0] and q[1:] < r[1:]),) for r in new)
+        if not peers:
+            assert got == want
+        else:
+            # equal keys within the batch are ordered arbitrarily, so compare rows whose key is unique
+            unique = {r for r in new if (hist + new).count(r) == 1}
+            assert [g for g in got if g[:4] in unique] == [w for w in want if w[:4] in unique]
+            assert len(unique) > 20
