@@ -1,8 +1,8 @@
 """Document quality by naive Bayes support vectors.
 
 Features are indicators of n-grams, hashed to ``2**BITS`` columns: words and word pairs (ASCII case folded), and one to
-three neighbouring word shapes. A shape writes a word with its runs of upper case, lower case and digits as ``X``,
-``x`` and ``0``, keeps other characters, and marks a word that repeats the one before. Each column is scaled by its
+three neighbouring word shapes. A shape is a word with each run of upper case, lower case, digits or one other
+character written once, and a mark if the word repeats the one before. Each column is scaled by its
 class log-count ratio, rows are brought to length one, and a linear hinge-loss model is fitted by dual coordinate
 descent. A logistic curve, fitted on rows left out of the descent, turns margins into probabilities.
 
@@ -18,7 +18,6 @@ and ids among them, never enter a score.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import held_out, sample_texts, table
+from .word_hash import word_hashes
 
 BITS = 20
 SAMPLE_ROWS = 12_000
@@ -37,35 +37,10 @@ THRESHOLD = 0.3
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
-CACHED_WORDS = 400_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SEEDS = np.arange(1, 6, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
 REPEATS = np.uint64(0x94D049BB133111EB)
 
-_RUNS = ((re.compile(rb"[A-Z]+"), b"X"), (re.compile(rb"[a-z]+"), b"x"), (re.compile(rb"[0-9]+"), b"0"), (re.compile(rb"[\x80-\xff]+"), b"x"), (re.compile(rb"([^Xx0])\1+"), rb"\1\1"), (re.compile(rb"x+"), b"x"))
-
-
-def shape(word: bytes) -> bytes:
-    for pattern, to in _RUNS:
-        word = pattern.sub(to, word)
-    return word[:24]
-
-
-class _Words(dict):
-    """word -> hash of the folded word (low half) and of its shape (high half); bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh32_intdigest(word.lower()) | xxhash.xxh32_intdigest(shape(word), 1) << 32
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-
-_WORDS = _Words()
-
-
 def _column(parts: list[np.ndarray], seed: np.uint64) -> np.ndarray:
     h = np.full(len(parts[-1]), seed)
     for p in parts:
@@ -77,11 +52,9 @@ def _column(parts: list[np.ndarray], seed: np.uint64) -> np.ndarray:
 
 def features(text: str | None) -> np.ndarray:
     """The columns that a text has, ascending, column 0 first."""
-    words = (text or "").encode().split()
-    if not words:
+    word, form = word_hashes(text, shapes=True)
+    if not len(word):
         return np.zeros(1, np.int32)
-    both = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    word, form = both & np.uint64(0xFFFFFFFF), both >> np.uint64(32)
     form[1:] ^= np.where(word[1:] == word[:-1], REPEATS, np.uint64(0))
     found = np.concatenate([
         _column([word], SEEDS[0]), _column([word, word[1:]], SEEDS[1]),
