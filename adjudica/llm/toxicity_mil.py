@@ -52,15 +52,33 @@ def word_columns(word: str) -> list[int]:
     return [xxhash.xxh32_intdigest(p) & ((1 << BITS) - 1) for p in parts]
 
 
+class _Tokens(dict):
+    """Token of a sentence -> its weight, the sum over the runs of letters in it; bounded by two generations."""
+
+    def __init__(self, weights: np.ndarray):
+        super().__init__()
+        at = np.flatnonzero(weights)
+        self.used, self.last = dict(zip(at.tolist(), weights[at].tolist())), {}
+
+    def __missing__(self, token: str) -> float:
+        w = self.last.get(token)
+        if w is None:
+            w = sum(self.used.get(c, 0.0) for x in _LETTERS.findall(token.lower()) for c in word_columns(x))
+        if len(self) >= CACHED_WORDS:
+            self.last = dict(self)
+            self.clear()
+        if len(token) <= 64:
+            self[token] = w
+        return w
+
+
 @dataclass
 class Model:
     weights: np.ndarray
     bias: float
 
     def __post_init__(self):
-        self.known: dict[str, float] = {}
-        at = np.flatnonzero(self.weights)
-        self.used = dict(zip(at.tolist(), self.weights[at].tolist()))
+        self.tokens = _Tokens(self.weights)
 
     def __getstate__(self):
         return self.weights, self.bias
@@ -69,26 +87,16 @@ class Model:
         self.weights, self.bias = state
         self.__post_init__()
 
-    def word(self, token: str) -> float:
-        """Weight of a token of a sentence: the sum over the runs of letters in it."""
-        w = self.known.get(token)
-        if w is None:
-            w = sum(self.used.get(c, 0.0) for x in _LETTERS.findall(token.lower()) for c in word_columns(x))
-            if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
-            self.known[token] = w
-        return w
-
     def sentence(self, sentence: str) -> float:
         """Log-odds of a sentence."""
-        return self.bias + sum(map(self.word, set(sentence.split())))
+        return self.bias + sum(map(self.tokens.__getitem__, set(sentence.split())))
 
     def logits(self, text: str | None) -> list[tuple[int, int, float]]:
         """Start, end and log-odds of the sentences that have a word."""
         if not text:
             return []
         spans = [m.span() for m in _SENTENCE.finditer(text) if not m[0].isspace()]
-        if any(map(self.word, set(text.split()))):
+        if any(map(self.tokens.__getitem__, set(text.split()))):
             return [(a, b, self.sentence(text[a:b])) for a, b in spans]
         return [(a, b, self.bias) for a, b in spans]  # no word of the text has a weight
 
