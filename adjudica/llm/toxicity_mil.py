@@ -1,8 +1,8 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents labelled.
 
-A sentence (text between ``. ! ?`` or line ends) has the logit ``bias + sum of the weights of its distinct words``; a
-word's weight is the sum of the weights of the word and of its first four and five letters, hashed to ``2**BITS``
-columns. The document's probability is the noisy-or of its sentences', ``1 - prod(1 - p)``, and is fitted to the
+A sentence (text between ``. ! ?`` or line ends) has the logit ``bias + sum of the weights of its words``. A word is a
+run of ASCII letters (A-Z folded) and bytes beyond ASCII; its weight is the sum of the weights of the word and of its
+first four, five and six bytes, hashed to ``2**BITS`` columns. The document's probability is the noisy-or of its sentences', ``1 - prod(1 - p)``, and is fitted to the
 document labels by gradient descent; so the sentences that explain a label are found without labels of their own.
 
 The model is fitted in one task, on a sample of labelled rows bounded by ``SAMPLE_ROWS`` whatever the input; columns of
@@ -25,12 +25,12 @@ from math import exp, expm1, log1p
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import held_out, sample_texts, table
+from .word_hash import run_hashes
 
 BITS = 20
 SAMPLE_ROWS = 12_000
@@ -40,86 +40,103 @@ RATE = 0.3
 SPARSITY = 5e-4
 BASE_RATE = 1e-4
 LEAST_ROWS = 3
-STEMS = (4, 5)
-CACHED_WORDS = 200_000
-_SENTENCE = re.compile(r"[^.!?\n\r]+")
-_LETTERS = re.compile(r"[^\W\d_]+")
+STEMS = (4, 5, 6)
+SEGMENT_BYTES = 1 << 22
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in ".!?\n\r"]] = True
+_NEXT_MARK = re.compile(rb"[.!?\n\r]")
 
 
-def word_columns(word: str) -> list[int]:
-    """Columns of a folded word: the word, and its stems where it is longer."""
-    parts = ["=" + word, *(word[:n] for n in STEMS if len(word) >= n)]
-    return [xxhash.xxh32_intdigest(p) & ((1 << BITS) - 1) for p in parts]
-
-
-class _Tokens(dict):
-    """Token of a sentence -> its weight, the sum over the runs of letters in it; bounded by two generations."""
-
-    def __init__(self, weights: np.ndarray):
-        super().__init__()
-        at = np.flatnonzero(weights)
-        self.used, self.last = dict(zip(at.tolist(), weights[at].tolist())), {}
-
-    def __missing__(self, token: str) -> float:
-        w = self.last.get(token)
-        if w is None:
-            w = sum(self.used.get(c, 0.0) for x in _LETTERS.findall(token.lower()) for c in word_columns(x))
-        if len(self) >= CACHED_WORDS:
-            self.last = dict(self)
-            self.clear()
-        if len(token) <= 64:
-            self[token] = w
-        return w
+@dataclass
+class Words:
+    """The words of a stretch of text: their columns (-1: no such stem) and the sentence that each is in."""
+
+    columns: np.ndarray  # a row for each word: the word, then its stems
+    sentence: np.ndarray  # ascending
+    marks: np.ndarray  # byte positions of the sentence ends
+
+
+def _words(data: bytes) -> Words:
+    raw = np.frombuffer(data.lower(), np.uint8)
+    marks = np.flatnonzero(_MARK[raw])
+    letter = np.zeros(len(raw) + 2, bool)
+    letter[1:-1] = _LETTER[raw]
+    edges = np.flatnonzero(letter[1:] != letter[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return Words(np.empty((0, 1 + len(STEMS)), np.int64), np.empty(0, np.int64), marks)
+    sizes = ends - starts
+    columns = np.full((len(starts), 1 + len(STEMS)), -1)
+    shift = np.uint64(64 - BITS)
+    columns[:, 0] = run_hashes(raw, starts, sizes) >> shift
+    for k, n in enumerate(STEMS, 1):
+        long = np.flatnonzero(sizes > n)  # of a word of n bytes the stem is the word itself
+        if len(long):
+            columns[long, k] = run_hashes(raw, starts[long], np.full(len(long), n)) >> shift
+    return Words(columns, np.searchsorted(marks, starts), marks)
+
+
+def stretches(text: str | None) -> Iterator[tuple[int, bytes]]:
+    """(byte position, bytes) of a text in stretches of bounded size that end at a sentence's end."""
+    data, at = (text or "").encode(), 0
+    while at < len(data):
+        end = len(data)
+        if end - at > SEGMENT_BYTES and (m := _NEXT_MARK.search(data, at + SEGMENT_BYTES)):
+            end = m.end()
+        yield at, data[at:end]
+        at = end
 
 
 @dataclass
 class Model:
-    weights: np.ndarray
+    weights: np.ndarray  # one more than columns: the last, at -1, is 0
     bias: float
 
-    def __post_init__(self):
-        self.tokens = _Tokens(self.weights)
-
-    def __getstate__(self):
-        return self.weights, self.bias
-
-    def __setstate__(self, state):
-        self.weights, self.bias = state
-        self.__post_init__()
-
-    def sentence(self, sentence: str) -> float:
-        """Log-odds of a sentence."""
-        return self.bias + sum(map(self.tokens.__getitem__, set(sentence.split())))
-
-    def logits(self, text: str | None) -> list[tuple[int, int, float]]:
-        """Start, end and log-odds of the sentences that have a word."""
-        if not text:
-            return []
-        spans = [m.span() for m in _SENTENCE.finditer(text) if not m[0].isspace()]
-        if any(map(self.tokens.__getitem__, set(text.split()))):
-            return [(a, b, self.sentence(text[a:b])) for a, b in spans]
-        return [(a, b, self.bias) for a, b in spans]  # no word of the text has a weight
+    def sentences(self, text: str | None, least: float) -> tuple[list[float], list[tuple[int, int, float]]]:
+        """Log-odds of all sentences that have a word; start, end (code points) and log-odds of those of ``least``."""
+        logits, spans, points, done = [], [], 0, 0
+        for at, data in stretches(text):
+            words = _words(data)
+            if not len(words.sentence):
+                continue
+            weight = self.weights[words.columns].sum(axis=1, dtype=np.float64)
+            number, place = np.unique(words.sentence, return_inverse=True)
+            z = self.bias + np.bincount(place, weights=weight)
+            logits += z.tolist()
+            for k in np.flatnonzero(z >= least):
+                i = number[k]
+                start = words.marks[i - 1] + 1 if i else 0
+                end = words.marks[i] if i < len(words.marks) else len(data)
+                whole = text.encode()
+                points += len(whole[done : at + start].decode())
+                done = at + start
+                spans.append((points, points + len(data[start:end].decode()), float(z[k])))
+        return logits, spans
 
     def score(self, text: str | None) -> float:
-        return noisy_or([z for _, _, z in self.logits(text)])
+        return noisy_or(self.sentences(text, np.inf)[0])
 
 
 def noisy_or(logits: list[float]) -> float:
     """1 - prod(1 - sigmoid(z)), by the sum of log(1 - sigmoid(z)) = -log(1 + exp(z))."""
     total = sum(n * (z if z > 30 else log1p(exp(z))) for z, n in Counter(logits).items())
-    return -expm1(-total) if total < 700 else 1.0
+    return abs(expm1(-total)) if total < 700 else 1.0
 
 
 def document_columns(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Columns of all sentences in a row, and the number of columns of each sentence that has some."""
-    columns: list[int] = []
-    sizes = []
-    for s in _SENTENCE.findall(text or ""):
-        found = [c for w in dict.fromkeys(x for t in dict.fromkeys(s.split()) for x in _LETTERS.findall(t.lower())) for c in word_columns(w)]
-        if found:
-            columns += found
-            sizes.append(len(found))
-    return np.array(columns, np.int32), np.array(sizes, np.int32)
+    columns, sizes = [], []
+    for _, data in stretches(text):
+        words = _words(data)
+        real = words.columns >= 0
+        columns.append(words.columns[real].astype(np.int32))
+        if len(words.sentence):
+            per_sentence = np.bincount(words.sentence, weights=real.sum(axis=1)).astype(np.int32)
+            sizes.append(per_sentence[per_sentence > 0])
+    none = [np.empty(0, np.int32)]
+    return np.concatenate(none + columns), np.concatenate(none + sizes)
 
 
 def fit(docs: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> Model:
@@ -133,7 +150,7 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> Model:
     label = label[used].astype(float)
     bias = float(np.log(BASE_RATE / (1 - BASE_RATE)))
     if not used or label.min() == label.max():
-        return Model(np.zeros(size, np.float32), bias)
+        return Model(np.zeros(size + 1, np.float32), bias)
     # Only columns of several documents can tell anything of a new one; the others keep the weight 0.
     rows = np.zeros(size, np.int32)
     for i in used:
@@ -164,7 +181,9 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> Model:
         v = 0.999 * v + 0.001 * g * g
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-10)
         np.maximum(w[:size], 0, out=w[:size])
-    return Model(w[:size].astype(np.float32), float(w[size]))
+    bias = float(w[size])
+    w[size] = 0
+    return Model(w.astype(np.float32), bias)
 
 
 def train_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Model:
@@ -200,9 +219,9 @@ def toxicity_scores(documents: DataFrame, model: Model, threshold: float = THRES
         for b in batches:
             scores, spans = [], []
             for x in b.column(1).to_pylist():
-                found = m.logits(x)
-                scores.append(noisy_or([z for _, _, z in found]))
-                spans.append([{"start": s, "end": e, "score": 1 / (1 + exp(-min(z, 700)))} for s, e, z in found if z >= least])
+                logits, found = m.sentences(x, least)
+                scores.append(noisy_or(logits))
+                spans.append([{"start": s, "end": e, "score": 1 / (1 + exp(-min(z, 700)))} for s, e, z in found])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(spans, _ARROW_SPANS)], names=["_key", "score", "sentences"])
 
     d = documents.select(F.col(key).alias("_key"), F.col(text).alias("_text"))

@@ -49,6 +49,12 @@ def _sums(value: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return mix(np.add.reduceat(value * _place(place), starts) + sizes.astype(np.uint64))
 
 
+def run_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of bytes that begin at ``starts`` (ascending, apart) and have ``sizes``."""
+    inside = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(int(sizes.sum()))
+    return _sums(_BYTE[data[inside]], np.cumsum(sizes) - sizes, sizes)
+
+
 def _segment(data: bytes, shapes: bool) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(data, np.uint8)
     inside = np.flatnonzero(~_SPACE[raw])
