@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import op5_byte_bpe
 from .common import importable
+from .mixing import op8_mixing
+from .ngram_join import op2_ngram_join
 from .pii import op1_pii
 from .quality_nbsvm import op4_quality_nbsvm
 from .quality_rules import op10_quality_rules
@@ -16,7 +18,7 @@ from .url_filters import OP6_SQL, op6_url_filters
 from .warc import op7_warc
 
 _BUILDERS = (
-    op1_pii, op4_quality_nbsvm, op5_byte_bpe, op6_url_filters, op7_warc,
+    op1_pii, op2_ngram_join, op4_quality_nbsvm, op5_byte_bpe, op6_url_filters, op7_warc, op8_mixing,
     op9_toxicity_mil, op10_quality_rules,
 )
 
