@@ -3,7 +3,7 @@
 1. Every text becomes its set of 64-bit shingle hashes. Sets are dealt out by hash range, packed, and each range counts
    in how many different sets a shingle is. Only shingles of two or more sets can be part of an overlap, so from here
    on a set is its repeated shingles and its whole size; a set with less than 3/4 of its shingles repeated is similar
-   to no other and leaves. Equal sets are one from the start (128-bit digest of the set).
+   to no other and leaves. Equal sets are one from the start (96-bit digest of the set).
 2. The global order of shingles is by falling rarity: number of sets, then hash.
 3. Sets that share a minimum hash are compared with one of them, the one whose shingles are most common; linear in the
    number of sets, this joins large families of copies into few components.
@@ -13,8 +13,9 @@
 5. A comparison puts the sets to be compared with one set, block by block, into a trie (see ``prefix_trie``).
 6. Components of the links, and of equal sets, give the result.
 
-Hashes of different shingles of two compared documents agree with a chance below 2**-20 even for documents of a million
-words each.
+What tells two shingles apart is their range's number and 48 more bits of their hash: some shingle of one document
+agrees by chance with another one of a compared document with a probability of about 10**-9 for documents of a thousand
+words and 10**-7 for ten thousand, before the number of ranges lowers it further.
 
 Defined cases: a null, empty or word-less text has an empty set, is linked with nothing and is its own component; fewer
 than five words are one shingle; rows with the same id are rows of their own, linked by their texts; a null id takes
@@ -43,6 +44,8 @@ BUCKET_TEXT_BYTES = 16 << 20
 FLUSH_SHINGLES = 1 << 20
 BLOCK_SETS = 256
 MINIMA = 2
+DIGEST_BYTES = 12
+DIGEST = f"V{DIGEST_BYTES}"
 _FACTORS = mix(np.arange(11, 11 + WORDS, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -59,29 +62,40 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(mix(total))
 
 
-def _packed(held: list[tuple[bytes, np.ndarray]], buckets: int) -> Iterator[dict]:
-    """For each hash range: the digests, sizes and numbers of shingles there of the sets that have some, and those."""
+def _packed(held: list[tuple[bytes, np.ndarray]], buckets: int) -> list[tuple[int, bytes, bytes, bytes, bytes]]:
+    """For each hash range that has shingles of the sets: its number, and of those sets digests, sizes, numbers of
+    shingles there, and the shingles, six bytes each.
+
+    The range is taken from a hash's lowest bits, the six bytes are the others, so both together tell shingles apart.
+    """
     values = np.concatenate([s for _, s in held])
     sizes = np.array([len(s) for _, s in held], np.uint32)
     owner = np.repeat(np.arange(len(held), dtype=np.uint32), sizes)
-    bucket = ((values >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+    low = (values & np.uint64(0xFFFF)) << np.uint64(16) | values >> np.uint64(16) & np.uint64(0xFFFF)
+    bucket = (low * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
     order = np.argsort(bucket, kind="stable")
-    values, owner = values[order], owner[order]
+    owner = owner[order]
+    six = (values[order] >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
     ends = np.cumsum(np.bincount(bucket, minlength=buckets))
-    digests = np.frombuffer(b"".join(d for d, _ in held), "V16")
+    digests = np.frombuffer(b"".join(d for d, _ in held), DIGEST)
+    out = []
     for b in np.flatnonzero(np.diff(ends, prepend=0)):
         part = slice(ends[b - 1] if b else 0, ends[b])
-        who, first = np.unique(owner[part], return_index=True)
-        count = np.diff(np.append(first, part.stop - part.start)).astype("<u4")
-        yield {"bucket": int(b), "digests": digests[who].tobytes(), "sizes": sizes[who].astype("<u4").tobytes(),
-               "counts": count.tobytes(), "shingles": values[part].astype("<u8").tobytes()}
+        first = np.flatnonzero(np.diff(owner[part], prepend=-1))
+        who, count = owner[part][first], np.diff(np.append(first, part.stop - part.start))
+        out.append((int(b), digests[who].tobytes(), sizes[who].astype("<u4").tobytes(), count.astype("<u4").tobytes(), six[part].tobytes()))
+    return out
 
 
-def _repeated(blobs: list[tuple[bytes, bytes, bytes, bytes]]) -> Iterator[tuple[bytes, int, bytes, bytes]]:
+def _repeated(bucket: int, blobs: list[tuple[bytes, bytes, bytes, bytes]]) -> Iterator[tuple[bytes, int, bytes, bytes]]:
     """(digest, set size, shingles, their numbers of sets) of one hash range, for shingles of two or more sets."""
-    digests = np.frombuffer(b"".join(b[0] for b in blobs), "V16")
+    digests = np.frombuffer(b"".join(b[0] for b in blobs), DIGEST)
     sizes, counts = (np.frombuffer(b"".join(b[k] for b in blobs), "<u4") for k in (1, 2))
-    values = np.frombuffer(b"".join(b[3] for b in blobs), "<u8")
+    six = np.frombuffer(b"".join(b[3] for b in blobs), np.uint8).reshape(-1, 6)
+    eight = np.empty((len(six), 8), np.uint8)
+    eight[:, 2:] = six
+    eight[:, :2] = np.array([bucket & 0xFFFF], "<u2").view(np.uint8)
+    values = eight.view("<u8").ravel()
     ordered = np.sort(values)
     again = ordered[1:][ordered[1:] == ordered[:-1]]
     if not len(again):
@@ -90,9 +104,9 @@ def _repeated(blobs: list[tuple[bytes, bytes, bytes, bytes]]) -> Iterator[tuple[
     at = np.minimum(np.searchsorted(again, values), len(again) - 1)
     hit = again[at] == values
     # Equal sets count once.
-    pairs = digests.view("<u8").reshape(-1, 2)
-    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-    new = np.concatenate([[True], (pairs[order][1:] != pairs[order][:-1]).any(axis=1)])
+    parts = digests.view("<u4").reshape(-1, 3)
+    order = np.lexsort((parts[:, 2], parts[:, 1], parts[:, 0]))
+    new = np.concatenate([[True], (parts[order][1:] != parts[order][:-1]).any(axis=1)])
     number = np.empty(len(digests), np.int64)
     number[order] = np.cumsum(new) - 1
     first = order[new]
@@ -113,77 +127,60 @@ def _repeated(blobs: list[tuple[bytes, bytes, bytes, bytes]]) -> Iterator[tuple[
         yield digests[d].tobytes(), int(sizes[d]), again[v].tobytes(), of[v].astype("<u4").tobytes()
 
 
-def _dealt(documents: DataFrame, text: str, key: str) -> DataFrame:
-    """Checkpointed rows of two kinds: (key, size, digest) of each document, and (digest, size, shingles, in_sets) of
-    each set's repeated shingles in each hash range."""
-    spark = documents.sparkSession
-    d = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_TEXT_BYTES))
-    flush = max(FLUSH_SHINGLES, 32 * buckets)
-    key_type = d.schema["key"].dataType
-    row = T.StructType([
-        T.StructField("bucket", T.IntegerType()), T.StructField("key", key_type), T.StructField("size", T.IntegerType()), T.StructField("digest", T.BinaryType()),
-        T.StructField("digests", T.BinaryType()), T.StructField("sizes", T.BinaryType()), T.StructField("counts", T.BinaryType()), T.StructField("shingles", T.BinaryType()),
-    ])
-    blank = [pa.int32(), None, pa.int32(), *[pa.binary()] * 5]
+def _digest(found: np.ndarray) -> bytes | None:
+    return xxhash.xxh3_128_digest(found.astype("<u8").tobytes())[:DIGEST_BYTES] if len(found) else None
+
+
+def _documents(d: DataFrame) -> DataFrame:
+    """key, set size and digest (null for an empty set) of each document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [shingles(x) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in found], pa.int32()), pa.array([_digest(s) for s in found], pa.binary())],
+                                             names=["key", "size", "digest"])
 
-    def columns(n: int, names: list[str], key_arrow: pa.DataType, **given) -> pa.RecordBatch:
-        types = [key_arrow if t is None else t for t in blank]
-        return pa.RecordBatch.from_arrays([given[c] if c in given else pa.nulls(n, t) for c, t in zip(names, types)], names=names)
+    out = T.StructType([d.schema["key"], T.StructField("size", T.IntegerType()), T.StructField("digest", T.BinaryType())])
+    return d.mapInArrow(run, out)
 
-    names = row.names
+
+PACKED = ("bucket", "digests", "sizes", "counts", "shingles")
+
+
+def _repeated_parts(d: DataFrame) -> DataFrame:
+    """(digest, size, shingles, in_sets): each set's repeated shingles in each hash range, with their numbers of sets."""
+    total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_TEXT_BYTES))
+    flush = max(FLUSH_SHINGLES, 32 * buckets)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, np.ndarray] = {}
         waiting = 0
-        key_arrow = None
 
         def packed() -> pa.RecordBatch:
-            rows = list(_packed(list(held.items()), buckets))
-            return columns(len(rows), names, key_arrow, bucket=pa.array([r["bucket"] for r in rows], pa.int32()),
-                           **{c: pa.array([r[c] for r in rows], pa.binary()) for c in ("digests", "sizes", "counts", "shingles")})
+            columns = zip(*_packed(list(held.items()), buckets))
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int32()) for k, c in enumerate(columns)], names=PACKED)
 
         for b in batches:
-            key_arrow = b.column(0).type
-            sizes, digests = [], []
-            for x in b.column(1).to_pylist():
-                s = shingles(x)
-                digest = xxhash.xxh3_128_digest(s.astype("<u8").tobytes()) if len(s) else None
-                sizes.append(len(s))
-                digests.append(digest)
-                if len(s) and digest not in held:
-                    held[digest] = s
-                    waiting += len(s)
-                if waiting >= flush:
-                    yield packed()
-                    held, waiting = {}, 0
-            spread = [i % buckets if d is None else int.from_bytes(d[:4], "little") % buckets for i, d in enumerate(digests)]
-            yield columns(b.num_rows, names, key_arrow, bucket=pa.array(spread, pa.int32()), key=b.column(0), size=pa.array(sizes, pa.int32()), digest=pa.array(digests, pa.binary()))
+            for x in b.column(0).to_pylist():
+                found = shingles(x)
+                digest = _digest(found)
+                if digest is not None and digest not in held:
+                    held[digest] = found
+                    waiting += len(found)
+                    if waiting >= flush:
+                        yield packed()
+                        held, waiting = {}, 0
         if held:
             yield packed()
 
-    out = T.StructType([
-        T.StructField("is_set", T.BooleanType()), T.StructField("key", key_type), T.StructField("size", T.IntegerType()),
-        T.StructField("digest", T.BinaryType()), T.StructField("shingles", T.BinaryType()), T.StructField("in_sets", T.BinaryType()),
-    ])
-
-    def count(t: pa.Table) -> pa.Table:
-        is_doc = pa.compute.is_null(t["digests"])
-        docs, blobs = t.filter(is_doc), t.filter(pa.compute.invert(is_doc))
-        found = list(_repeated(list(zip(*(blobs[c].to_pylist() for c in ("digests", "sizes", "counts", "shingles")))))) if blobs.num_rows else []
-        n, m = docs.num_rows, len(found)
-        join = lambda a, b, kind: pa.chunked_array([*a.chunks, pa.array(b, kind)], kind)
-        return pa.table({
-            "is_set": pa.array([False] * n + [True] * m),
-            "key": pa.chunked_array([*docs["key"].chunks, pa.nulls(m, docs["key"].type)], docs["key"].type),
-            "size": join(docs["size"], [f[1] for f in found], pa.int32()),
-            "digest": join(docs["digest"], [f[0] for f in found], pa.binary()),
-            "shingles": pa.array([None] * n + [f[2] for f in found], pa.binary()),
-            "in_sets": pa.array([None] * n + [f[3] for f in found], pa.binary()),
-        })
-
-    return cut(d.mapInArrow(deal, row).groupBy("bucket").applyInArrow(count, out))
+    def count(key: tuple, t: pa.Table) -> pa.Table:
+        found = list(zip(*_repeated(key[0].as_py(), list(zip(*(t[c].to_pylist() for c in PACKED[1:])))))) or [()] * 4
+        return pa.table({"digest": pa.array(found[0], pa.binary()), "size": pa.array(found[1], pa.int32()),
+                         "shingles": pa.array(found[2], pa.binary()), "in_sets": pa.array(found[3], pa.binary())})
+
+    dealt = d.select("text").mapInArrow(deal, "bucket int, digests binary, sizes binary, counts binary, shingles binary")
+    return dealt.groupBy("bucket").applyInArrow(count, SET)
 
 
 SET = "digest binary, size int, shingles binary, in_sets binary"
@@ -284,13 +281,13 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, n_shingles (set size) and component_id (least key reachable by links) of each row."""
-    dealt = _dealt(documents, text, key)
-    docs = dealt.where(~F.col("is_set")).select("key", "size", "digest")
-    sets = _ordered_sets(dealt.where("is_set").select("digest", "size", "shingles", "in_sets"))
+    d = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    sets = _ordered_sets(_repeated_parts(d))
     links = _links(_star_pairs(sets), sets)
     labels = components(links)
     links = links.unionByName(_links(_candidate_pairs(sets, labels), sets))
     labels = components(links).select(F.col("node").alias("digest"), "label")
+    docs = cut(_documents(d))
     classes = cut(docs.where("digest is not null").groupBy("digest").agg(F.min("key").alias("least")))
     named = cut(classes.join(labels, "digest", "left").select("digest", "least", F.coalesce("label", "digest").alias("label")))
     of_label = cut(named.groupBy("label").agg(F.min("least").alias("component")))
