@@ -13,12 +13,13 @@ from .ngram_join import op2_ngram_join
 from .pii import op1_pii
 from .quality_nbsvm import op4_quality_nbsvm
 from .quality_rules import op10_quality_rules
+from .topk_search import OP3_SQL, op3_topk_search
 from .toxicity_mil import op9_toxicity_mil
 from .url_filters import OP6_SQL, op6_url_filters
 from .warc import op7_warc
 
 _BUILDERS = (
-    op1_pii, op2_ngram_join, op4_quality_nbsvm, op5_byte_bpe, op6_url_filters, op7_warc, op8_mixing,
+    op1_pii, op2_ngram_join, op3_topk_search, op4_quality_nbsvm, op5_byte_bpe, op6_url_filters, op7_warc, op8_mixing,
     op9_toxicity_mil, op10_quality_rules,
 )
 
@@ -36,4 +37,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filters": OP6_SQL}
+    return {"op3_topk_search": OP3_SQL, "op6_url_filters": OP6_SQL}
