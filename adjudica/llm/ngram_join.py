@@ -42,7 +42,7 @@ from .word_hash import mix, word_hashes
 WORDS = 5
 BUCKET_TEXT_BYTES = 16 << 20
 FLUSH_SHINGLES = 1 << 20
-BLOCK_SETS = 256
+BLOCK_SETS = 128
 MINIMA = 2
 DIGEST_BYTES = 12
 DIGEST = f"V{DIGEST_BYTES}"
@@ -87,8 +87,9 @@ def _packed(held: list[tuple[bytes, np.ndarray]], buckets: int) -> list[tuple[in
     return out
 
 
-def _repeated(bucket: int, blobs: list[tuple[bytes, bytes, bytes, bytes]]) -> Iterator[tuple[bytes, int, bytes, bytes]]:
-    """(digest, set size, shingles, their numbers of sets) of one hash range, for shingles of two or more sets."""
+def _repeated(bucket: int, blobs: list[tuple[bytes, bytes, bytes, bytes]], groups: int) -> Iterator[tuple]:
+    """Of one hash range, the shingles of two or more sets: for each group of sets its number, and of its sets digests,
+    sizes, numbers of such shingles, those shingles, and in how many sets each is."""
     digests = np.frombuffer(b"".join(b[0] for b in blobs), DIGEST)
     sizes, counts = (np.frombuffer(b"".join(b[k] for b in blobs), "<u4") for k in (1, 2))
     six = np.frombuffer(b"".join(b[3] for b in blobs), np.uint8).reshape(-1, 6)
@@ -120,11 +121,18 @@ def _repeated(bucket: int, blobs: list[tuple[bytes, bytes, bytes, bytes]]) -> It
     owner, value = owner[keep], value[keep]
     if not len(owner):
         return
-    starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-    for lo, hi in zip(starts, np.append(starts[1:], len(owner))):
-        d = first[owner[lo]]
-        v = value[lo:hi]
-        yield digests[d].tobytes(), int(sizes[d]), again[v].tobytes(), of[v].astype("<u4").tobytes()
+    # Rows for the next exchange: the sets of a group, packed like the input.
+    group = parts[first][:, 0].astype(np.uint64) * np.uint64(groups) >> np.uint64(32)
+    order = np.lexsort((value, owner, group[owner]))
+    owner, value = owner[order], value[order]
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    count, who = np.diff(np.append(starts, len(owner))), owner[starts]
+    new = np.flatnonzero(np.diff(group[who].astype(np.int64), prepend=-1))
+    ends = np.append(starts, len(owner))
+    for lo, hi in zip(new, np.append(new[1:], len(who))):
+        d, v = first[who[lo:hi]], value[ends[lo] : ends[hi]]
+        yield (int(group[who[lo]]), digests[d].tobytes(), sizes[d].astype("<u4").tobytes(), count[lo:hi].astype("<u4").tobytes(),
+               again[v].tobytes(), of[v].astype("<u4").tobytes())
 
 
 def _digest(found: np.ndarray) -> bytes | None:
@@ -145,10 +153,12 @@ def _documents(d: DataFrame) -> DataFrame:
 
 
 PACKED = ("bucket", "digests", "sizes", "counts", "shingles")
+GROUPED = ("part", "digests", "sizes", "counts", "shingles", "in_sets")
+SET = "digest binary, size int, shingles binary, in_sets binary"
 
 
 def _repeated_parts(d: DataFrame) -> DataFrame:
-    """(digest, size, shingles, in_sets): each set's repeated shingles in each hash range, with their numbers of sets."""
+    """Packed repeated shingles, a row for each hash range and group of sets (``part``)."""
     total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_TEXT_BYTES))
     flush = max(FLUSH_SHINGLES, 32 * buckets)
@@ -175,53 +185,59 @@ def _repeated_parts(d: DataFrame) -> DataFrame:
             yield packed()
 
     def count(key: tuple, t: pa.Table) -> pa.Table:
-        found = list(zip(*_repeated(key[0].as_py(), list(zip(*(t[c].to_pylist() for c in PACKED[1:])))))) or [()] * 4
-        return pa.table({"digest": pa.array(found[0], pa.binary()), "size": pa.array(found[1], pa.int32()),
-                         "shingles": pa.array(found[2], pa.binary()), "in_sets": pa.array(found[3], pa.binary())})
+        blobs = list(zip(*(t[c].to_pylist() for c in PACKED[1:])))
+        found = list(zip(*_repeated(key[0].as_py(), blobs, buckets))) or [()] * len(GROUPED)
+        return pa.table({c: pa.array(x, pa.binary() if c != "part" else pa.int32()) for c, x in zip(GROUPED, found)})
 
     dealt = d.select("text").mapInArrow(deal, "bucket int, digests binary, sizes binary, counts binary, shingles binary")
-    return dealt.groupBy("bucket").applyInArrow(count, SET)
-
-
-SET = "digest binary, size int, shingles binary, in_sets binary"
+    return dealt.groupBy("bucket").applyInArrow(count, "part int, digests binary, sizes binary, counts binary, shingles binary, in_sets binary")
 
 
 def _ordered_sets(parts: DataFrame) -> DataFrame:
     """Checkpointed (digest, size, shingles, in_sets) in global order, of sets with 3/4 of their shingles repeated."""
-    gathered = (
-        parts.groupBy("digest").agg(
-            F.first("size").alias("size"), F.sum(F.octet_length("shingles") / 8).cast("long").alias("repeated"),
-            F.collect_list(F.struct("shingles", "in_sets")).alias("parts"),
-        ).where("4 * repeated >= 3 * size")
-    )
-
-    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            values, counts = [], []
-            for p in b.column(2).to_pylist():
-                v = np.frombuffer(b"".join(x["shingles"] for x in p), "<u8")
-                c = np.frombuffer(b"".join(x["in_sets"] for x in p), "<u4")
-                o = np.lexsort((v, c))
-                values.append(v[o].tobytes())
-                counts.append(c[o].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(values, pa.binary()), pa.array(counts, pa.binary())], names=["digest", "size", "shingles", "in_sets"])
 
-    return cut(gathered.select("digest", "size", "parts").mapInArrow(order, SET))
+    def order(t: pa.Table) -> pa.Table:
+        digests = np.frombuffer(b"".join(t["digests"].to_pylist()), DIGEST)
+        sizes, counts, in_sets = (np.frombuffer(b"".join(t[c].to_pylist()), "<u4") for c in ("sizes", "counts", "in_sets"))
+        values = np.frombuffer(b"".join(t["shingles"].to_pylist()), "<u8")
+        known, number = np.unique(digests.view("<u4").reshape(-1, 3), axis=0, return_inverse=True)
+        number = number.ravel()
+        size = np.zeros(len(known), np.int64)
+        size[number] = sizes
+        owner = np.repeat(number, counts)
+        repeated = np.bincount(owner, minlength=len(known))
+        kept = (4 * repeated >= 3 * size)[owner]
+        owner, values, in_sets = owner[kept], values[kept], in_sets[kept]
+        at = np.lexsort((values, in_sets, owner))
+        owner, values, in_sets = owner[at], values[at], in_sets[at]
+        ends = np.append(np.flatnonzero(np.diff(owner, prepend=-1)), len(owner))
+        who = owner[ends[:-1]]
+        cuts = list(zip(ends[:-1], ends[1:]))
+        return pa.table({
+            "digest": pa.array([known[w].tobytes() for w in who], pa.binary()), "size": pa.array(size[who], pa.int32()),
+            "shingles": pa.array([values[a:b].tobytes() for a, b in cuts], pa.binary()), "in_sets": pa.array([in_sets[a:b].tobytes() for a, b in cuts], pa.binary()),
+        })
+
+    return cut(parts.groupBy("part").applyInArrow(order, SET))
 
 
 def _star_pairs(sets: DataFrame) -> DataFrame:
-    """(probe, stored): of the sets with an equal minimum hash, the one of most common shingles with each other one."""
+    """(probe, stored): of the sets with an equal minimum hash, the one of most common shingles with each other one.
+
+    Common is a set by the mean logarithm of its shingles' numbers of sets. Those of an original are in all its copies,
+    a copy's own ones in none, so the original of a family of copies comes first.
+    """
 
     def minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             digest, place, least, common = [], [], [], []
-            for d, s, c in zip(*(b.column(k).to_pylist() for k in (0, 2, 3))):
+            for d, n, s, c in zip(*(x.to_pylist() for x in b.columns)):
                 v = np.frombuffer(s, "<u8")
                 for k in range(MINIMA):
                     digest.append(d)
                     place.append(k)
                     least.append(int(mix(v ^ _FACTORS[k]).min() >> np.uint64(1)))
-                    common.append(float(np.frombuffer(c, "<u4").mean()))
+                    common.append(float(np.log2(np.frombuffer(c, "<u4")).sum()) / n)
             yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(place, pa.int32()), pa.array(least, pa.int64()), pa.array(common, pa.float64())],
                                              names=["digest", "place", "least", "common"])
 
@@ -252,9 +268,11 @@ def _candidate_pairs(sets: DataFrame, labels: DataFrame) -> DataFrame:
     postings = cut(own.mapInArrow(prefixes, "shingle long, digest binary, label binary, size int, left int"))
     several = cut(postings.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("shingle"))
     across = cut(postings.join(several, "shingle"))
-    lists = cut(across.select("shingle", "label").distinct())
-    x, y = lists.withColumnRenamed("label", "label_x"), lists.withColumnRenamed("label", "label_y")
-    meet = cut(x.join(y, "shingle").where("label_x < label_y"))
+    # The longest rest and the smallest set of a component bound what any pair of two components can reach.
+    lists = cut(across.groupBy("shingle", "label").agg(F.min("size").alias("least"), F.max("left").alias("most")))
+    x, y = (lists.select("shingle", *[F.col(c).alias(f"{c}_{n}") for c in ("label", "least", "most")]) for n in "xy")
+    reach = F.expr("7 * (1 + least(most_x, most_y)) >= 3 * (least_x + least_y)")
+    meet = cut(x.join(y, "shingle").where(F.expr("label_x < label_y") & reach).select("shingle", "label_x", "label_y"))
     side = lambda n: across.select("shingle", *[F.col(c).alias(f"{c}_{n}") for c in ("digest", "label", "size", "left")])
     pairs = meet.join(side("x"), ["shingle", "label_x"]).join(side("y"), ["shingle", "label_y"])
     fits = pairs.where("7 * (1 + least(left_x, left_y)) >= 3 * (size_x + size_y)")
