@@ -43,7 +43,7 @@ WORDS = 5
 BUCKET_TEXT_BYTES = 16 << 20
 FLUSH_SHINGLES = 1 << 20
 BLOCK_SETS = 128
-MINIMA = 2
+MINIMA = 4
 DIGEST_BYTES = 12
 DIGEST = f"V{DIGEST_BYTES}"
 _FACTORS = mix(np.arange(11, 11 + WORDS, dtype=np.uint64)) | np.uint64(1)
@@ -272,9 +272,13 @@ def _candidate_pairs(sets: DataFrame, labels: DataFrame) -> DataFrame:
     lists = cut(across.groupBy("shingle", "label").agg(F.min("size").alias("least"), F.max("left").alias("most")))
     x, y = (lists.select("shingle", *[F.col(c).alias(f"{c}_{n}") for c in ("label", "least", "most")]) for n in "xy")
     reach = F.expr("7 * (1 + least(most_x, most_y)) >= 3 * (least_x + least_y)")
-    meet = cut(x.join(y, "shingle").where(F.expr("label_x < label_y") & reach).select("shingle", "label_x", "label_y"))
+    meet = cut(x.join(y, "shingle").where(F.expr("label_x < label_y") & reach).select("shingle", "label_x", "label_y", "least_y", "most_y"))
     side = lambda n: across.select("shingle", *[F.col(c).alias(f"{c}_{n}") for c in ("digest", "label", "size", "left")])
-    pairs = meet.join(side("x"), ["shingle", "label_x"]).join(side("y"), ["shingle", "label_y"])
+    # The same bound again with each set of the first component, before it meets those of the second.
+    reach = F.expr("7 * (1 + least(left_x, most_y)) >= 3 * (size_x + least_y)")
+    near = [F.col(f"m.{c}") == F.col(f"x.{c}") for c in ("shingle", "label_x")]
+    first = meet.alias("m").join(side("x").alias("x"), [*near, reach]).select("m.*", "digest_x", "size_x", "left_x")
+    pairs = first.join(side("y"), ["shingle", "label_y"])
     fits = pairs.where("7 * (1 + least(left_x, left_y)) >= 3 * (size_x + size_y)")
     return fits.select(F.col("digest_x").alias("probe"), F.col("digest_y").alias("stored")).distinct()
 
