@@ -10,9 +10,8 @@ import corpus_pipeline
 from adjudica.llm import mixing, pii, topk_search, url_filters, warc
 from adjudica.llm.byte_bpe import VOCABULARY
 from adjudica.llm.common import shared_folder, table
-from test_ngram_join import plain_components  # noqa: F401  (same folder)
+from test_ngram_join import plain_components
 from test_text_operators import TIKTOKEN
-from tools.check_oracle import compare as _compare  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
