@@ -43,18 +43,21 @@ def map_output_columns(df: DataFrame) -> DataFrame:
     """Output column mapping of the predictions table.
 
     Doctor = provider, else local provider; employer and claim number copied;
-    absent sources give NULL columns.
+    absent sources give NULL columns.  An output column that the input already
+    has keeps its non-NULL values.
     """
     def col(name):
         return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
-    return df.select(
-        "*",
-        F.coalesce(col("PRESTADOR_RUT"), col("PRESTADOR_LOCAL_RUT")).alias("LCC_MEDRUT"),
-        col("EMPLEADOR_RUT").alias("LCC_EMPRUT"),
-        col("N_LICENCIA").cast("string").alias("LCC_IDN"),
-        F.lit(None).cast("string").alias("LCC_OPERADOR"),
-    )
+    mapped = {
+        "LCC_MEDRUT": F.coalesce(col("PRESTADOR_RUT"), col("PRESTADOR_LOCAL_RUT")),
+        "LCC_EMPRUT": col("EMPLEADOR_RUT"),
+        "LCC_IDN": col("N_LICENCIA").cast("string"),
+        "LCC_OPERADOR": F.lit(None).cast("string"),
+    }
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in mapped]
+    return df.select(*kept, *[F.coalesce(F.col(c), m).alias(c) if c in df.columns else m.alias(c)
+                              for c, m in mapped.items()])
 
 
 # The predictions table contract (column, type, text limit).

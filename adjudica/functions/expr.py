@@ -249,14 +249,12 @@ def date_window(col, date_from=None, date_to=None) -> Column:
     return _dw(_c(col), date_from, date_to)
 
 
-LEAK_MARKER = "LEAK"
-
-
 def drop_by_role(df: DataFrame, roles=None, drop_keys: bool = True, keep_target: str | None = None) -> DataFrame:
-    """Remove leak columns, keys and the targets other than ``keep_target``."""
-    from ..roles import DEFAULT_ROLES
+    """Remove leak columns, keys, the targets other than ``keep_target`` and
+    columns known only after the decision."""
+    from ..roles import DEFAULT_ROLES, reveals_label
     r = roles or DEFAULT_ROLES
-    drop = [c for c in df.columns if LEAK_MARKER in c.upper()]
+    drop = [c for c in df.columns if reveals_label(c) and c != keep_target]
     if drop_keys:
         drop += [c for c in r.keys if c in df.columns]
     drop += [c for c in r.targets if c in df.columns and c != keep_target]

@@ -72,9 +72,11 @@ def type_and_distinct_profile(df: DataFrame, cols: Sequence[str] | None = None,
     types = dict(df.dtypes)
     tdf = df.sparkSession.createDataFrame([(c, types[c], type_group(types[c])) for c in cols],
                                           "COLUMNA string, TIPO string, TIPO_GRUPO string")
-    long = unpivot(df, cols, name="COLUMNA", value="v", cast="string")
-    # NaN in floating columns is missing, as in pandas
-    long = long.where(F.col("v").isNotNull() & (F.col("v") != "NaN"))
+    # NaN in floating columns is missing, as in pandas, and -0.0 equals 0.0; text stays as it is
+    floating = [c for c in cols if types[c] in ("double", "float")]
+    clean = df.select(*[F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`") + F.lit(0.0)).alias(c) if c in floating
+                        else F.col(f"`{c}`") for c in cols])
+    long = unpivot(clean, cols, name="COLUMNA", value="v", cast="string").where(F.col("v").isNotNull())
     if approx:
         d = long.groupBy("COLUMNA").agg(F.approx_count_distinct("v", rsd).alias("DISTINTOS"))
     else:

@@ -58,6 +58,7 @@ def claim_metrics_15d(probes: DataFrame, history: DataFrame, days: int = 15,
     # level 1: one row per (person, day, claim number) -> distinct counts become counts
     pre = [
         F.max(F.when(resolved, 1).otherwise(0)).alias("__res"),
+        F.max(F.when(verdict.isNotNull(), 1).otherwise(0)).alias("__ver"),
         F.max(F.when(verdict == "RATIFICA", 1).otherwise(0)).alias("__rat"),
         F.max(F.when(verdict == "DENIEGA", 1).otherwise(0)).alias("__den"),
         F.sum(f_pos).alias("__fs"), F.count(f_pos).alias("__fc"),
@@ -69,6 +70,7 @@ def claim_metrics_15d(probes: DataFrame, history: DataFrame, days: int = 15,
         F.sum(F.when(has, F.col("__res")).otherwise(0)).alias("CANT_LIC_CON_RESOLUCION_U15D"),
         F.sum(F.when(has, F.col("__rat")).otherwise(0)).alias("COMPIN_RATIFICA_U15D"),
         F.sum(F.when(has, F.col("__den")).otherwise(0)).alias("COMPIN_DENIEGA_U15D"),
+        F.sum(F.when(has, F.col("__ver")).otherwise(0)).alias("__verdicts"),
         (F.sum("__fs") / F.sum("__fc")).alias("F_DIAS_PROMEDIO_U15D"),
         F.sum("__ds").alias("TOTAL_DIAS_SOLICITADOS_U15D"),
         F.max("__dm").alias("MAX_DIAS_SOLICITADOS_U15D"),
@@ -79,10 +81,11 @@ def claim_metrics_15d(probes: DataFrame, history: DataFrame, days: int = 15,
                              aggs, days=days, date_from=date_from, date_to=date_to,
                              pre_group=["LCC_COMCOR"], pre_aggs=pre)
     n_all = F.coalesce(F.col("CANT_LIC_U15D"), F.lit(0))
-    n_res = F.col("CANT_LIC_CON_RESOLUCION_U15D")
+    n_ver = F.col("__verdicts")  # claims with a verdict, dated or not
     out = (out.withColumn("FLAG_MULTIPLES_LIC_U15D", F.when(n_all > 1, 1).otherwise(0))
               .withColumn("RATIO_APROBACION_U15D",
-                          F.when(n_res > 0, F.col("COMPIN_RATIFICA_U15D").cast("double") / n_res)))
+                          F.when(n_ver > 0, F.col("COMPIN_RATIFICA_U15D").cast("double") / n_ver))
+              .drop("__verdicts"))
     return out.fillna(CLAIM_DEFAULTS) if fill else out
 
 

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 def classification_metrics(df: DataFrame, score: str, label: str, threshold: float = 0.5,
                            buckets: int = 1 << 16) -> DataFrame:
     """One row: AUC, precision, recall, F1 (class = score > threshold), the
-    confusion matrix and N.  Rows with a NULL label are ignored; empty
-    denominators give 0."""
+    confusion matrix and N.  Rows with a NULL label, or a NULL or NaN score,
+    are ignored; empty denominators give 0.  Buckets follow s / (1 + |s|),
+    which is monotone and bounded, so raw margins spread over them too."""
     s, y = F.col(score), F.col(label)
-    d = df.where(y.isNotNull() & s.isNotNull()).select(s.cast("double").alias("s"), y.cast("int").alias("y"))
+    d = df.where(y.isNotNull() & s.isNotNull() & ~F.isnan(s.cast("double"))).select(s.cast("double").alias("s"), y.cast("int").alias("y"))
     per = d.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    b = F.least(F.greatest(F.floor(F.col("s") * buckets), F.lit(-1)), F.lit(buckets + 1)).cast("long")
+    b = F.floor(F.col("s") / (1 + F.abs("s")) * (2 * buckets)).cast("long")
     per = per.withColumn("b", b)
     tot = per.groupBy("b").agg(F.sum("neg").alias("bneg"))
     wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)

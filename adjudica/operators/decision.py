@@ -27,7 +27,7 @@ COST_PER_DAY = 59000
 COST_FN = 20000
 FIXED_DAILY = (940, 160)
 FIXED_PERIOD = (940, 200)
-GRID_DAILY = ((500, 998), (100, 399))
+GRID_DAILY = ((500, 998), (100, 400))
 GRID_PERIOD = ((500, 969), (100, 799))
 
 # Light names and decision texts.
@@ -360,15 +360,24 @@ def top_groups_in_green(df: DataFrame, n: int = 10, light: str = "SEMAFORO", gro
     return top.select(group, "N", F.round(F.col("N") * 100.0 / total, 6).alias("PCT"))
 
 
+# The columns that order rows of equal score.
+LIST_KEYS = ("AFILIADO_RUT", "LCC_COMCOR", "LCC_COMCOD")
+
+
+def _by_score(df: DataFrame, score: str) -> DataFrame:
+    """Score descending, then the keys, so that equal scores have an order and can be split over tasks."""
+    return df.orderBy(F.col(score).desc(), *[F.col(k) for k in LIST_KEYS if k in df.columns])
+
+
 def false_positive_list(df: DataFrame, light: str = "SEMAFORO", label: str = "TARGET_FT3",
                         score: str = "PROBABILIDAD_APROBACION") -> DataFrame:
     """green rows whose label is 0, by score descending."""
-    return df.where((F.col(light) == GREEN) & (F.col(label) == 0)).orderBy(F.col(score).desc())
+    return _by_score(df.where((F.col(light) == GREEN) & (F.col(label) == 0)), score)
 
 
 def green_list(df: DataFrame, light: str = "SEMAFORO", score: str = "PROBABILIDAD_APROBACION") -> DataFrame:
     """green rows by score descending."""
-    return df.where(F.col(light) == GREEN).orderBy(F.col(score).desc())
+    return _by_score(df.where(F.col(light) == GREEN), score)
 
 
 # ------------------------------------------------------------------ D4-D6

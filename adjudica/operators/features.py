@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..plans.sizing import broadcast_if_small
 from .stats import exact_quantiles, unpivot
 
 # Date reference and defaults.
@@ -166,6 +165,8 @@ def _as_category(c: Column) -> Column:
 def label_encode_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """I3 fit: (column, category, code) with codes in sorted category order;
     NULL becomes 'MISSING'."""
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, category string, code int")
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _as_category(F.col(c)).alias("category"))
                                          for c in cols])).alias("x")).select("x.*").distinct()
     from pyspark.sql import Window
@@ -173,8 +174,7 @@ def label_encode_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
 
 
-def label_encode_transform(df: DataFrame, dictionary: DataFrame, cols: Sequence[str],
-                           max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def label_encode_transform(df: DataFrame, dictionary: DataFrame, cols: Sequence[str]) -> DataFrame:
     """I3 apply: ``{col}_encoded``; unseen categories take 'MISSING' when it is
     known, else the alphabetically first category; a column without a fitted
     dictionary gets 0.  Source columns are dropped."""
@@ -189,7 +189,6 @@ def label_encode_transform(df: DataFrame, dictionary: DataFrame, cols: Sequence[
         d = dictionary.where(F.col("column") == c).select(F.col("category").alias("__cat"), F.col("code").alias("__code"))
         default = d.agg(F.coalesce(F.max(F.when(F.col("__cat") == MISSING, F.col("__code"))),
                                    F.min_by("__code", "__cat"))).scalar()
-        d = broadcast_if_small(d, max_broadcast_rows)
         out = out.withColumn("__cat", _as_category(F.col(c))).join(d, "__cat", "left") \
                  .withColumn(f"{c}_encoded", F.coalesce(F.col("__code"), default).cast("int")) \
                  .drop("__cat", "__code", c)
@@ -231,10 +230,18 @@ def interactions(df: DataFrame, pairs: Sequence[tuple[str, str]] = INTERACTIONS)
 
 # ------------------------------------------------------------------ I6
 def standardise_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """I6 fit: mean and population sd per column in one pass (sd 0 -> 1)."""
-    long = unpivot(df, cols, name="column")
-    return long.groupBy("column").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd")) \
-               .withColumn("sd", F.when(F.col("sd").isNull() | (F.col("sd") == 0), 1.0).otherwise(F.col("sd")))
+    """I6 fit: mean and population sd per column (sd 0 -> 1; a column without
+    values: mean 0, sd 1).  One global aggregate; its single row is then
+    turned into one row per column."""
+    cols = list(cols)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, mean double, sd double")
+    stats = df.agg(*[f(F.col(f"`{c}`").cast("double")).alias(f"{n}{i}") for i, c in enumerate(cols)
+                     for n, f in (("m", F.avg), ("s", F.stddev_pop))])
+    items = ", ".join(f"'{c}', m{i}, s{i}" for i, c in enumerate(cols))
+    long = stats.selectExpr(f"stack({len(cols)}, {items}) AS (column, mean, sd)")
+    return long.select("column", F.coalesce("mean", F.lit(0.0)).alias("mean"),
+                       F.when(F.col("sd").isNull() | (F.col("sd") == 0), 1.0).otherwise(F.col("sd")).alias("sd"))
 
 
 def standardise_transform(df: DataFrame, params: dict) -> DataFrame:

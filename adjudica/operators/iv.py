@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.sizing import broadcast_if_small
 from .stats import exact_quantiles, unpivot
 
 ZERO_SHARE = 0.0001
@@ -84,7 +83,7 @@ def woe_numeric(df: DataFrame, cols: Sequence[str], label: str, bins: int = 10)
     """WoE over quantile bins of the non-NULL values of each feature."""
     n_goods, n_bads = _class_totals(df, label)
     labelled = df.where(F.col(label).isNotNull())
-    edges = broadcast_if_small(numeric_edges(labelled, cols, bins), 100_000)
+    edges = F.broadcast(numeric_edges(labelled, cols, bins))  # bins + 1 values per column
     long = unpivot(labelled, cols, keep=[label]).where(F.col("value").isNotNull() & ~F.isnan("value"))
     binned = long.join(edges, "feature").withColumn("bin", bin_index(F.col("value"), F.col("edges")))
     counts = binned.groupBy("feature", F.col("bin").cast("string").alias("bin")).agg(

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import period_key
-from ..plans.sizing import broadcast_if_small
 
 
 def newest_per_partition(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
@@ -89,8 +88,9 @@ def latest_period(metrics: DataFrame, entity: str, as_of, period_col: str = "PER
         ok, rank = period_key(p) <= period_key(cutoff_text), period_key(p)
     m = metrics.where(F.col(entity).isNotNull() & ok)
     others = [c for c in m.columns if c != entity]
-    best = m.groupBy(entity).agg(F.max_by(F.struct(*[F.col(c) for c in others]), rank).alias("__b"))
-    return best.select(entity, *[F.col("__b." + c).alias(c) for c in others])
+    # equal periods: the greatest row by its other columns
+    best = m.groupBy(entity).agg(F.max(F.struct(rank.alias("__rank"), F.struct(*[F.col(c) for c in others]).alias("row"))).alias("__b"))
+    return best.select(entity, *[F.col("__b.row." + c).alias(c) for c in others])
 
 
 def join_latest_period(claims: DataFrame, metrics: dict, as_of, lexicographic: bool = False,
@@ -116,22 +116,18 @@ def attach_metrics(base: DataFrame, metric_sets: Sequence[DataFrame], keys: Sequ
     return out.fillna(present) if present else out
 
 
-def lookup_fill(df: DataFrame, key: str, cols: Sequence[str],
-                max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def lookup_fill(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Per key, the first non-NULL value of each column (smallest value,
     a deterministic choice) fills that column's NULLs."""
     look = df.groupBy(key).agg(*[F.min(c).alias("__f_" + c) for c in cols])
-    look = broadcast_if_small(look, max_broadcast_rows)
     out = df.join(look, key, "left")
     return out.select(*[F.coalesce(F.col(c), F.col("__f_" + c)).alias(c) if c in cols else F.col(c)
                         for c in df.columns])
 
 
-def mark_membership(df: DataFrame, members: DataFrame, keys: Sequence[str], flag: str,
-                    max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def mark_membership(df: DataFrame, members: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """``flag`` = 1 when the row's key is in ``members`` else 0 (no fan-out)."""
     m = members.select(*keys).distinct().withColumn("__in", F.lit(1))
-    m = broadcast_if_small(m, max_broadcast_rows, bound=members.select(*keys))
     return df.join(m, list(keys), "left").withColumn(flag, F.coalesce(F.col("__in"), F.lit(0))).drop("__in")
 
 
@@ -147,13 +143,19 @@ def history_rank(new: DataFrame, history: DataFrame, person: str, order: Sequenc
     ``bucket`` (default: month of the first order column).  History counts per
     (person, bucket) are prefix-summed over the person's few buckets, and the
     exact rank is finished inside each (person, bucket) window.
+
+    A row without person or order value is before and after no other row: a
+    new one has rank 1, a history one counts for none.
     """
     order = list(order)
+    whole = F.col(person).isNotNull()
+    for c in order:
+        whole = whole & F.col(c).isNotNull()
     b = bucket if bucket is not None else F.trunc(F.to_date(F.col(order[0])), "MM")
     n = new.withColumn("__h", F.lit(0))
-    h = history.select(person, *order).withColumn("__h", F.lit(1))
+    h = history.select(person, *order).where(whole).withColumn("__h", F.lit(1))
     u = n.unionByName(h, allowMissingColumns=True).withColumn("__b", b)
-    counted = F.col("__h") if not count_peers else F.lit(1)
+    counted = F.col("__h") if not count_peers else F.when(whole, 1).otherwise(0)
     u = u.withColumn("__c", counted)
     per_bucket = u.groupBy(person, "__b").agg(F.sum("__c").alias("__n"))
     wb = Window.partitionBy(person).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -163,7 +165,8 @@ def history_rank(new: DataFrame, history: DataFrame, person: str, order: Sequenc
           .rowsBetween(Window.unboundedPreceding, -1))
     inner = u.withColumn("__in", F.coalesce(F.sum("__c").over(wi), F.lit(0))).where("__h = 0")
     ranked = inner.join(offsets, [person, "__b"], "left")
-    return ranked.select(*new.columns, (F.lit(1) + F.col("__off") + F.col("__in")).alias(rank_col))
+    rank = F.when(whole, F.lit(1) + F.col("__off") + F.col("__in")).otherwise(F.lit(1))
+    return ranked.select(*new.columns, rank.cast("long").alias(rank_col))
 
 
 def combine_predictions(frames: Sequence[DataFrame]) -> DataFrame:

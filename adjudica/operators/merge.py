@@ -4,8 +4,7 @@ Parquet tables have no MERGE, so each merge is a relational rewrite that
 produces the new table contents:
 
 * rows of the target whose key is absent from the source pass through an
-  anti join (the source key set is broadcast when proven small, so the large
-  target is neither shuffled nor joined row by row);
+  anti join with the source keys;
 * matched and new rows come from the source, joined to the *matched* target
   rows only (a semi join restricted target) when old values are needed.
 
@@ -21,25 +20,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.sizing import assert_unique, broadcast_if_small
+from ..plans.sizing import assert_unique
 
 
 def anti_join_existing(new: DataFrame, existing: DataFrame, keys: Sequence[str],
-                       max_broadcast_rows: int = 2_000_000, key_source: DataFrame | None = None) -> DataFrame:
+                       key_source: DataFrame | None = None) -> DataFrame:
     """Rows of ``new`` whose key does not exist in ``existing`` (NOT EXISTS).
 
     ``existing`` is the large table.  Its key columns are first reduced to the
-    keys the new rows carry (a semi join with the new keys, broadcast when
-    they are proven few: a map-only scan of the large table, no shuffle of
-    it), and the anti join then runs between two small sides.  NULL keys
-    never match, as in SQL.  ``key_source`` (a cheap frame carrying at least
-    the keys of ``new``) serves the size check and the semi join when ``new``
-    itself is expensive to compute.
+    keys the new rows carry (a semi join; Spark broadcasts the new keys when
+    their measured size allows), and the anti join then runs between two
+    small sides.  NULL keys never match, as in SQL.  ``key_source`` (a cheap
+    frame carrying at least the keys of ``new``) serves the semi join when
+    ``new`` itself is expensive to compute.
     """
     keys = list(keys)
     src = key_source if key_source is not None else new
-    # the row count of the key source bounds its distinct keys: no shuffle in the check
-    nk = broadcast_if_small(src.select(*keys).distinct(), max_broadcast_rows, bound=src.select(*keys))
+    nk = src.select(*keys).distinct()
     seen = existing.select(*keys).join(nk, keys, "left_semi")
     return new.join(seen, keys, "left_anti")
 
@@ -71,8 +68,7 @@ def _dedupe(source: DataFrame, keys: Sequence[str], on_duplicate: str) -> DataFr
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 update_cols: Sequence[str] | None = None, on_duplicate: str = "error",
-                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                 update_cols: Sequence[str] | None = None, on_duplicate: str = "error") -> DataFrame:
     """MERGE ... WHEN MATCHED UPDATE SET <update_cols> WHEN NOT MATCHED INSERT *.
 
     With ``update_cols=None`` every non-key column is overwritten, so the new
@@ -81,7 +77,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     s = _dedupe(source, keys, on_duplicate)
-    skeys = broadcast_if_small(s.select(*keys), max_broadcast_rows)
+    skeys = s.select(*keys)
     untouched = target.join(skeys, keys, "left_anti")
     cols = target.columns
     if update_cols is None:
@@ -94,8 +90,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 def merge_first_write_wins(target: DataFrame, source: DataFrame, keys: Sequence[str],
                            sticky_cols: Sequence[str], update_cols: Sequence[str],
-                           insert_cols: Sequence[str] | None = None, on_duplicate: str = "error",
-                           max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                           insert_cols: Sequence[str] | None = None, on_duplicate: str = "error") -> DataFrame:
     """Matched rows keep the old non-NULL value of ``sticky_cols`` and take
     the new value of ``update_cols``; other target columns are unchanged.
     Unmatched source rows insert ``insert_cols`` (default: all target columns
@@ -103,7 +98,7 @@ def merge_first_write_wins(target: DataFrame, source: DataFrame, keys: Sequence[
     """
     keys = list(keys)
     s = _dedupe(source, keys, on_duplicate)
-    skeys = broadcast_if_small(s.select(*keys), max_broadcast_rows)
+    skeys = s.select(*keys)
     untouched = target.join(skeys, keys, "left_anti")
     cols = target.columns
     old = target.join(skeys, keys, "left_semi").select(*keys, *[F.col(c).alias("__o_" + c)

@@ -3,10 +3,11 @@
 
 Everything starts from value counts per (group, value), so repeated values
 collapse map-side.  Prefix sums over the ordered values are split in two
-levels so no task has to hold a whole group: per-group equal-width buckets
-(``buckets`` of them) get their totals prefix-summed in a window over at
-most ``buckets`` rows per group, and the exact order is finished inside each
-(group, bucket) window.
+levels so no task has to hold a whole group: per-group buckets (``buckets``
+of them, by a monotone map of the value that is linear around the median and
+logarithmic in the tails, so outliers don't empty the others) get their
+totals prefix-summed in a window over at most ``buckets`` rows per group, and
+the exact order is finished inside each (group, bucket) window.
 """
 
 from __future__ import annotations
@@ -16,8 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.sizing import broadcast_if_small
-
 DEFAULT_BUCKETS = 4096
 
 
@@ -29,27 +28,34 @@ def unpivot(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
 
 
 def cumulative(vc: DataFrame, part: Sequence[str], value: str, sums: Sequence[str],
-               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               buckets: int = DEFAULT_BUCKETS, ties: Sequence[str] = ()) -> DataFrame:
     """Adds ``cum_<c>`` (inclusive running sum in ``value`` order within
     ``part``) and ``tot_<c>`` for each column in ``sums``.  ``vc`` must have
-    one row per (part, value)."""
+    one row per (part, value), or ``ties`` that order rows of equal value."""
     part = list(part)
     rng = vc.groupBy(*part).agg(F.min(value).alias("__lo"), F.max(value).alias("__hi"),
+                                F.percentile_approx(value, [0.25, 0.5, 0.75], 1000).alias("__q"),
                                 *[F.sum(c).alias("tot_" + c) for c in sums])
-    rng = broadcast_if_small(rng, 1_000_000)
-    width = F.col("__hi") - F.col("__lo")
-    b = F.when(width > 0, F.floor((F.col(value) - F.col("__lo")) / width * buckets)).otherwise(F.lit(0))
+    rng = F.broadcast(rng)  # one row per part: a feature, or a class
+
+    def place(x):
+        """Monotone in the value: linear around the median, logarithmic in the tails."""
+        spread = (F.col("__q")[2].cast("double") - F.col("__q")[0].cast("double"))
+        return F.asinh((x.cast("double") - F.col("__q")[1].cast("double")) / F.when(spread > 0, spread).otherwise(1.0))
+
+    lo, hi = place(F.col("__lo")), place(F.col("__hi"))
+    b = F.when(hi > lo, F.floor((place(F.col(value)) - lo) / (hi - lo) * buckets)).otherwise(F.lit(0))
     v = vc.join(rng, part).withColumn("__b", F.least(b, F.lit(buckets - 1)).cast("int"))
     bt = v.groupBy(*part, "__b").agg(*[F.sum(c).alias("__bt_" + c) for c in sums])
     wb = Window.partitionBy(*part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     for c in sums:
         bt = bt.withColumn("__bo_" + c, F.coalesce(F.sum("__bt_" + c).over(wb), F.lit(0)))
     bt = bt.select(*part, "__b", *["__bo_" + c for c in sums])
-    wi = Window.partitionBy(*part, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    wi = Window.partitionBy(*part, "__b").orderBy(value, *ties).rowsBetween(Window.unboundedPreceding, 0)
     out = v.join(bt, [*part, "__b"])
     for c in sums:
         out = out.withColumn("cum_" + c, F.col("__bo_" + c) + F.sum(c).over(wi))
-    return out.drop("__lo", "__hi", "__b", *["__bo_" + c for c in sums])
+    return out.drop("__lo", "__hi", "__q", "__b", *["__bo_" + c for c in sums])
 
 
 def exact_quantiles(long: DataFrame, part: Sequence[str], value: str, probs: Sequence[float],

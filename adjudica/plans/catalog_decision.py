@@ -88,7 +88,11 @@ def _m2(spark, sf_dir, population, rate, review, grid):
               .withColumn("COSTO_FP_VERDE", F.round("COSTO_FP_VERDE", 2))
 
 
-@query("m2_optimise_thresholds_daily", ("M2", "M1"), _m2_sql("LEAK_FT = 0", 0.0, 5000, M.GRID_DAILY))
+# The daily axes, in thousandths (green 0.500 to 0.998, yellow 0.100 to 0.400).
+DAILY_AXES = ((500, 998), (100, 400))
+
+
+@query("m2_optimise_thresholds_daily", ("M2", "M1"), _m2_sql("LEAK_FT = 0", 0.0, 5000, DAILY_AXES))
 def m2_optimise_thresholds_daily(spark, sf_dir):
     return _m2(spark, sf_dir, F.col("LEAK_FT") == 0, 0.0, 5000, M.GRID_DAILY)
 
@@ -176,7 +180,7 @@ def m5_assign_light(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- M7, M8
-M7_SQL = _m2_sql("LEAK_FT = 0", 0.0, 5000, M.GRID_DAILY).replace(
+M7_SQL = _m2_sql("LEAK_FT = 0", 0.0, 5000, DAILY_AXES).replace(
     "FROM c ORDER BY cost, gk, yk LIMIT 1", "FROM c").replace("SELECT CAST(gk AS DOUBLE) / 1000 AS UMBRAL_VERDE", "SELECT gk, yk, CAST(gk AS DOUBLE) / 1000 AS UMBRAL_VERDE")
 M7_SQL = f"""
 WITH allc AS ({M7_SQL}),

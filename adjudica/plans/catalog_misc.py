@@ -47,8 +47,7 @@ def _a2_sql() -> str:
     # column list by the same role rule, computed from the analogue's schema names
     from ..roles import BINARY, CATEGORICAL, DATES, KEYS, TEXT
     names = [c.split(" AS ")[-1].strip() for c in WIDE_FROM_CLAIMS]
-    numeric_types = {"LCC_COMCOR", "LCC_COMCOD", "DIASSOLICITADO", "TIPO_F_LM_COD", "lic_codigo_tipo_licencia",
-                     "I_DIASAUTORIZADOS", "PASO_FASTTRACK"}
+    numeric_types = {"LCC_COMCOR", "LCC_COMCOD", "DIASSOLICITADO", "TIPO_F_LM_COD", "lic_codigo_tipo_licencia"}
     role_cols = KEYS + DATES + CATEGORICAL + [c for c in names if c in numeric_types and c not in
                                               KEYS + DATES + CATEGORICAL + BINARY + TEXT] + BINARY + TEXT
     cols, seen = [], set()
@@ -76,8 +75,7 @@ def a2_load_training(spark, sf_dir):
 def _a3_sql() -> str:
     from ..roles import BINARY, CATEGORICAL, DATES, KEYS, TARGETS, TEXT
     names = [c.split(" AS ")[-1].strip() for c in WIDE_FROM_CLAIMS]
-    numeric_types = {"LCC_COMCOR", "LCC_COMCOD", "DIASSOLICITADO", "TIPO_F_LM_COD", "lic_codigo_tipo_licencia",
-                     "I_DIASAUTORIZADOS", "PASO_FASTTRACK"}
+    numeric_types = {"LCC_COMCOR", "LCC_COMCOD", "DIASSOLICITADO", "TIPO_F_LM_COD", "lic_codigo_tipo_licencia"}
     role_cols = KEYS + DATES + CATEGORICAL + [c for c in names if c in numeric_types and c not in
                                               KEYS + DATES + CATEGORICAL + BINARY + TEXT] + BINARY + TEXT + TARGETS
     cols, seen = [], set()

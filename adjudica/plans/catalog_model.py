@@ -52,7 +52,8 @@ def k3_tune_cross_validation(spark, sf_dir):
     s = K.stratified_split(_labelled(spark, sf_dir), "TARGET", KEYS, 0.2, 42)
     train = s.where(F.col("SPLIT") == "train")
     model, metrics = K.tune(train, FEATS, "TARGET", KEYS, folds=3, n_trials=2,
-                            params={"maxIter": 5, "maxDepth": 3}, parallelism=2)
+                            params={"maxIter": 5, "maxDepth": 3}, parallelism=2,
+                            space={k: v for k, v in K.SEARCH_SPACE.items() if k not in ("maxIter", "maxDepth")})
     return spark.createDataFrame([(i, float(m)) for i, m in enumerate(metrics)], "trial int, auc double")
 
 

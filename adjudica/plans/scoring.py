@@ -67,10 +67,10 @@ def score_and_publish(train_table: DataFrame, model: PipelineModel, feature_mode
                         *[F.col(f"__keep_{c}").alias(c) for c in extra])
 
     sd, sp = scored(decided), scored(pending)
-    if optimise:
-        # the decided scores feed both the threshold search and the lights:
-        # materialise them once (reliable checkpoint in the shared folder)
-        sd = cut_lineage(sd)
+    # the scores feed the threshold search, the lights, the merge with its
+    # key check and the report: materialise them once (reliable checkpoint
+    # in the shared folder)
+    sd, sp = cut_lineage(sd), cut_lineage(sp)
     g, y = _thresholds(sd, optimise, label, prior, review, rate)
     sd = D.assign_light(sd, g, y, prior_col=prior).withColumn("ES_PENDIENTE", F.lit(0))
     sp = D.assign_light(sp, g, y, prior_col=prior).withColumn("ES_PENDIENTE", F.lit(1))
@@ -96,7 +96,8 @@ def score_and_publish(train_table: DataFrame, model: PipelineModel, feature_mode
 
 
 def train_and_audit(table: DataFrame, target: str, feature_model: X.FeatureModel, keys: Sequence[str],
-                    test: float = 0.2, seed: int = 42, positive_weight: float = 1.0, params: dict | None = None,
+                    test: float = 0.2, seed: int = 42, positive_weight: float = K.POSITIVE_WEIGHT,
+                    params: dict | None = None, validation: float = 0.1,
                     protected: str | None = None, roles=None, group_mode: str | None = None) -> dict:
     """Load -> split (fit transforms on train only) -> features -> train ->
     score -> metrics -> audit."""
@@ -110,7 +111,9 @@ def train_and_audit(table: DataFrame, target: str, feature_model: X.FeatureModel
     # training iterates over the features and the drift audit reads them
     # again: compute the transforms once
     xt = cut_lineage(xt.select(*keys, target, *feats))
-    model = K.train_classifier(xt, feats, target, positive_weight, params=params)
+    fit = K.stratified_split(xt, target, keys, validation, seed + 1, split_col="__part") \
+        .withColumn("__is_val", F.col("__part") == "test").drop("__part") if validation else xt
+    model = K.train_classifier(fit, feats, target, positive_weight, "__is_val" if validation else None, params)
     carry = [target] + ([protected] if protected else [])
     h2 = hold.select("*", *[F.col(c).alias(f"__keep_{c}") for c in carry]).drop(target)
     xh = X.align_features(feature_model.transform(h2), feats, keep=list(keys) + [f"__keep_{c}" for c in carry])
@@ -120,7 +123,7 @@ def train_and_audit(table: DataFrame, target: str, feature_model: X.FeatureModel
     metrics = classification_metrics(scored, "PROBABILIDAD_APROBACION", target)
     perf = A.performance_audit(scored, "PROBABILIDAD_APROBACION", target)
     fair = A.fairness_audit(scored, protected, target, "PREDICCION") if protected else None
-    num = [c for c in feats if dict(xt.dtypes)[c] in ("double", "int", "bigint", "float")][:20]
+    num = [c for c in feats if dict(xt.dtypes)[c] in ("double", "int", "bigint", "float")]
     drift = A.drift_ks(xt.select(*num), xh.select(*num), num) if num else None
     summary = A.audit_summary(A.quality_issues(A.missing_profile(train)), perf, fair,
                               A.drift_summary(drift) if drift is not None else None)

@@ -1,32 +1,10 @@
-"""Size checks that guard every explicit broadcast.
-
-A side is broadcast only when it is proven small: the check reads at most
-``max_rows + 1`` rows (``limit`` stops the scan early), so its cost is
-bounded whatever the table size.  Beyond the bound the plain shuffle join is
-kept (sort-merge / shuffled hash, with AQE skew splitting).
-"""
+"""Checks on the keys of a merge source."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 2_000_000
-
-
-def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    ``bound`` is a cheaper frame with at least as many rows as ``df`` (e.g.
-    the rows before a ``distinct``): counting it proves the same bound
-    without running the shuffle that ``df`` needs.
-    """
-    return F.broadcast(df) if is_small(bound if bound is not None else df, max_rows) else df
-
 
 def assert_unique(df: DataFrame, keys: list[str], what: str = "source") -> None:
     """Fail when ``keys`` repeat in ``df`` (a MERGE would error on multiple matches)."""

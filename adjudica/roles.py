@@ -36,7 +36,16 @@ PRIOR_APPROVAL_COL = "PASO_FASTTRACK"
 PRIOR_SOURCE_COL = "MEDICO_COLMENA"
 PRIOR_SOURCE_VALUE = "autvis"
 TARGETS = ["TARGET_PERITAJE", "TARGET_PERITAJE2", "TARGET_RECHAZA", "TARGET_MODIFICA", "TARGET_FT3",
-           "TARGET_RATIFICA", "TARGET_REQUIERE_REVISION", "TARGET_FT2"]
+           "TARGET_RATIFICA", "TARGET_REQUIERE_REVISION", "TARGET_FT2", "TARGET_APRUEBA"]
+# Columns that are known only once a claim has been decided.
+OUTCOMES = ["I_DIASAUTORIZADOS", "F_DIASAUTORIZADOS", "PASO_FASTTRACK", "FECHA_RESOLUCION_COMPIN",
+            "RESOLUCION_COMPIN"]
+
+
+def reveals_label(name: str) -> bool:
+    """Whether a column is a label, a leak or known only after the decision."""
+    n = name.upper()
+    return n.startswith("TARGET_") or "LEAK" in n or n in OUTCOMES
 
 
 @dataclass(frozen=True)
@@ -54,11 +63,11 @@ class ColumnRoles:
                    + self.text + self.targets)
 
     def with_numeric_from(self, df: DataFrame) -> "ColumnRoles":
-        """Numeric role by rule: numeric columns with no other role, no leak columns."""
+        """Numeric role by rule: numeric columns with no other role that don't reveal the label."""
         taken = self.assigned()
         num = [f.name for f in df.schema.fields
                if isinstance(f.dataType, NumericType) and f.name not in taken
-               and "LEAK" not in f.name.upper()]
+               and not reveals_label(f.name)]
         return ColumnRoles(self.keys, self.dates, self.categorical, list(self.numeric) + num,
                            self.binary, self.text, self.targets)
 

@@ -14,9 +14,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # The static broadcast threshold stays at Spark's default (file-size
-    # estimates can undercount); AQE re-plans joins from real shuffle sizes,
-    # and our explicit broadcasts go through ``plans.sizing.broadcast_if_small``.
+    # The static broadcast threshold stays at Spark's default; AQE re-plans
+    # joins from real shuffle sizes.  Explicit broadcasts are left to sides
+    # whose size is bounded by structure (one row per feature or class).
 }
 
 
@@ -46,25 +46,22 @@ def get_session(master: str | None = None, app: str = "adjudica",
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for checkpoints.
 
-    The cluster names a shared folder in that setting; we only fill it in
-    when it is unset (local tests), never override it.  Works with classic
-    sessions and, through the session conf only, with Spark Connect.
+    A folder that the application has set on its context stays; else
+    ``spark.checkpoint.dir`` names it.  Only a local master, where driver
+    and executors are one machine, may go without: ``fallback`` or
+    ``spark-checkpoints`` in the working folder serves then.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
-    try:
-        sc = spark.sparkContext
-        d = d or sc.getConf().get("spark.checkpoint.dir", None)
-    except Exception:  # noqa: BLE001  (Spark Connect: no driver-side context)
-        sc = None
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = fallback or os.environ.get("ADJUDICA_CHECKPOINT_DIR") or \
-            os.path.join(os.getcwd(), "spark-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None:
-        sc.setCheckpointDir(d)
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        d = fallback or os.path.join(os.getcwd(), "spark-checkpoints")
+    sc.setCheckpointDir(d)
     return d
 
 

@@ -22,7 +22,7 @@ CLAIMS_FROM_ORDERS = [
     "CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS LCC_COMCOD",
     "CAST(o_orderdate AS DATE) AS FECHA_RECEPCION",
     "CASE o_orderstatus WHEN 'F' THEN 'RATIFICA' WHEN 'P' THEN 'deniega' END AS RESOLUCION_COMPIN",
-    "CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS DATE) END AS FECHA_RESOLUCION_COMPIN",
+    "CASE WHEN o_orderstatus <> 'O' AND o_orderkey % 3 <> 0 OR o_orderkey % 11 = 0 THEN CAST(o_orderdate AS DATE) END AS FECHA_RESOLUCION_COMPIN",
     "CAST(floor(o_totalprice / 10000) AS BIGINT) AS DIASSOLICITADO",
     "CASE o_orderstatus WHEN 'F' THEN CAST(floor(o_totalprice / 10000) AS BIGINT) "
     "WHEN 'P' THEN CAST(0 AS BIGINT) END AS F_DIASAUTORIZADOS",

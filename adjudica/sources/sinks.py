@@ -7,10 +7,11 @@ finished, so lost executors do not leave partial output.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def refresh_table(df: DataFrame, name: str | None = None, path: str | None = None,
@@ -27,14 +28,21 @@ def refresh_table(df: DataFrame, name: str | None = None, path: str | None = Non
 
 def append(df: DataFrame, name: str | None = None, path: str | None = None,
            partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
-    """A6 write side: append rows (computed by ``operators.merge.append_new``)."""
+    """A6 write side: append rows (computed by ``operators.merge.append_new``).
+
+    Columns go to the table's columns of the same name, whatever their order; a column that the table lacks, or that
+    the rows lack, is an error.  An existing catalog table keeps its own partitioning.
+    """
+    if path is None and df.sparkSession.catalog.tableExists(name):
+        columns = df.sparkSession.table(name).columns
+        if {c.lower() for c in columns} != {c.lower() for c in df.columns}:
+            raise ValueError(f"{name} has columns {columns}, the rows have {df.columns}")
+        df.select(*[F.col(f"`{c}`") for c in columns]).write.mode("append").insertInto(name)
+        return
     w = df.write.mode("append").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if path is not None:
-        w.save(path)
-    else:
-        w.insertInto(name) if df.sparkSession.catalog.tableExists(name) else w.saveAsTable(name)
+    w.save(path) if path is not None else w.saveAsTable(name)
 
 
 def normalise_nulls(df: DataFrame) -> DataFrame:
@@ -57,55 +65,61 @@ def append_predictions(df: DataFrame, name: str | None = None, path: str | None
     append(normalise_nulls(df), name=name, path=path)
 
 
-def export_report(frames: Mapping[str, DataFrame], path: str, single_file: bool = True) -> dict[str, str]:
+def export_report(frames: Mapping[str, DataFrame], path: str, single_file: Sequence[str] = ()) -> dict[str, str]:
     """Each report frame as a CSV folder with a header under ``path``.
 
-    Report frames are small summaries; ``single_file`` writes one part file
-    per report (a final coalesce of an already-aggregated frame).
+    The frames named in ``single_file`` become one part file each; that is
+    for summaries of a few rows, as one task writes it.  Lists of claims keep
+    as many part files as their plan has tasks.
     """
     out = {}
     for name, df in frames.items():
         target = f"{path.rstrip('/')}/{name}"
-        (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(target)
+        (df.coalesce(1) if name in single_file else df).write.mode("overwrite").option("header", True).csv(target)
         out[name] = target
     return out
 
 
 def upsert_partitions(spark, path: str, source: DataFrame, keys: list[str], partition_col: str,
-                      merge=None, max_partitions: int = 10_000, **merge_kw) -> int:
+                      merge=None, **merge_kw) -> int:
     """A8/A9 write side for partitioned tables: merge ``source`` into the
     parquet table at ``path`` rewriting only the partitions it touches.
 
     A key's partition value must not change between runs (for claims: the
-    reception date).  The distinct partition values of the source are few
-    (the days of one increment; bounded by ``max_partitions``), so they are
-    collected and used as a partition filter: only those partitions are
-    read, merged (``merge`` defaults to ``merge_upsert``) and written back
-    with dynamic partition overwrite.  Returns the number of partitions
-    rewritten.  A new table is created from the source when ``path`` does
-    not exist yet.
+    reception date).  The target is restricted to the source's distinct
+    partition values by a semi join (Spark prunes the partitions at run
+    time), rows with a NULL partition value are restricted on their own, and
+    only what was touched is merged (``merge`` defaults to ``merge_upsert``)
+    and written back with dynamic partition overwrite.  The partition
+    column is read with the source's type, which file names can't tell.
+    Returns the number of partitions rewritten.  A new table is created from
+    the source when ``path`` does not exist yet.
     """
     import os
     from ..operators.merge import merge_upsert
     merge = merge or merge_upsert
-    vals = [r[0] for r in source.select(partition_col).distinct().limit(max_partitions + 1).collect()]
-    if len(vals) > max_partitions:
-        raise ValueError(f"source touches more than {max_partitions} partitions")
+    touched = source.select(partition_col).distinct()
+    n = touched.count()
     if not path_exists(spark, path):
         source.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return len(vals)
-    target = spark.read.parquet(path).where(F.col(partition_col).isin(vals))
-    merged = merge(target, source.select(*target.columns), keys, **merge_kw)
+        return n
+    kind = source.schema[partition_col]
+    found = spark.read.parquet(path).schema
+    target = spark.read.schema(StructType([kind if f.name == partition_col else f for f in found.fields])).parquet(path)
+    same = target.join(touched, partition_col, "left_semi")
+    if not touched.where(F.col(partition_col).isNull()).isEmpty():
+        same = same.unionByName(target.where(F.col(partition_col).isNull()))
+    merged = merge(same.select(*target.columns), source.select(*target.columns), keys, **merge_kw)
     # read-then-overwrite of the same partitions: stage the merged rows first
     staged = f"{path.rstrip('/')}/../_staging_{os.path.basename(path.rstrip('/'))}"
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staged)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        spark.read.parquet(staged).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        spark.read.schema(target.schema).parquet(staged).write.mode("overwrite").partitionBy(partition_col).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return len(vals)
+    return n
 
 
 def path_exists(spark, path: str) -> bool:

@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import group_filter
-from ..plans.sizing import broadcast_if_small
-from ..roles import DEFAULT_ROLES, ColumnRoles
+from ..roles import DEFAULT_ROLES, ColumnRoles, reveals_label
 
 
 def read_table(spark: SparkSession, name: str, database: str | None = None,
@@ -39,11 +38,13 @@ def load_training(df: DataFrame, target: str, roles: ColumnRoles = DEFAULT_ROLES
     """A2: role columns in role order (de-duplicated, leak columns removed) plus
     the target, rows with a label, outside the excluded diagnosis groups.
 
+    Roles without numeric columns get them by rule (``with_numeric_from``).
     ``group_mode=None`` drops the group filter (the loader variant without it).
     ``limit`` keeps the first rows in ``order`` (default: the key columns).
     """
+    roles = roles if roles.numeric else roles.with_numeric_from(df)
     feats = [c for c in roles.keys + roles.dates + roles.categorical + roles.numeric + roles.binary
-             + roles.text if "LEAK" not in c.upper() and c in df.columns]
+             + roles.text if not reveals_label(c) and c in df.columns]
     cols = []
     for c in feats + [target] + ([prior_flag] if include_prior_flag else []):
         if c not in cols and c in df.columns:
@@ -63,15 +64,15 @@ def load_training(df: DataFrame, target: str, roles: ColumnRoles = DEFAULT_ROLES
     return out
 
 
-def load_by_ids(df: DataFrame, id_col: str, ids: DataFrame | Sequence, roles: ColumnRoles = DEFAULT_ROLES,
-                max_broadcast_rows: int = 2_000_000) -> DataFrame:
+def load_by_ids(df: DataFrame, id_col: str, ids: DataFrame | Sequence, roles: ColumnRoles = DEFAULT_ROLES) -> DataFrame:
     """A3: rows whose ``id_col`` is in ``ids`` (a DataFrame or a list), without
-    leak and target columns.  A semi join with the id set, broadcast when the
-    id set is proven small, replaces the giant ``IN ('..', ..)`` text."""
+    leak and target columns.  A semi join with the id set replaces the giant
+    ``IN ('..', ..)`` text; Spark broadcasts the set if its size allows."""
     if not isinstance(ids, DataFrame):
         ids = df.sparkSession.createDataFrame([(i,) for i in ids], [id_col])
-    ids = broadcast_if_small(ids.select(id_col).distinct(), max_broadcast_rows)
-    feats = [c for c in roles.feature_columns(df) if c not in roles.targets]
+    ids = ids.select(id_col).distinct()
+    roles = roles if roles.numeric else roles.with_numeric_from(df)
+    feats = [c for c in roles.feature_columns(df) if c not in roles.targets and not reveals_label(c)]
     return df.join(ids, id_col, "left_semi").select(*feats)
 
 

@@ -1,43 +1,20 @@
-"""Size-checked broadcasts and the insert-if-new guard's key source."""
+"""Key checks of a merge source, and joins that leave their form to Spark."""
 
-from adjudica.operators import merge as M
-from adjudica.plans.sizing import assert_unique, broadcast_if_small, is_small
+import pytest
 
-
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_broadcast_only_below_the_bound(spark):
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    assert is_small(small, 10) and not is_small(small, 9)
-    joined = big.join(broadcast_if_small(small, 100), "k")
-    assert "BroadcastHashJoin" in _plan(joined)
-    # over the bound: no hint (the planner / AQE decide from sizes)
-    assert broadcast_if_small(big, 100) is big
-
-
-def test_bound_frame_counts_without_distinct(spark):
-    rows = spark.createDataFrame([(i % 3,) for i in range(50)], "k long")
-    # 50 raw rows exceed a bound of 10 even though only 3 keys are distinct
-    d = rows.distinct()
-    assert broadcast_if_small(d, 10, bound=rows) is d
-    assert "ResolvedHint" in broadcast_if_small(d, 100, bound=rows)._jdf.queryExecution().analyzed().toString() \
-        or "broadcast" in broadcast_if_small(d, 100, bound=rows)._jdf.queryExecution().analyzed().toString().lower()
-
-
-def test_guard_with_key_source(spark):
-    existing = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
-    new = spark.createDataFrame([(2, "x"), (3, "y")], "k long, v string")
-    src = spark.createDataFrame([(2,), (3,), (4,)], "k long")
-    got = sorted(map(tuple, M.anti_join_existing(new, existing, ["k"], key_source=src).collect()))
-    assert got == [(3, "y")]
+from adjudica.operators.merge import anti_join_existing
+from adjudica.plans.sizing import assert_unique
 
 
 def test_assert_unique(spark):
-    import pytest
-    df = spark.createDataFrame([(1,), (1,)], "k long")
+    d = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert_unique(d, ["k"])
     with pytest.raises(ValueError):
-        assert_unique(df, ["k"])
-    assert_unique(spark.createDataFrame([(1,), (2,)], "k long"), ["k"])
+        assert_unique(d.unionAll(d.limit(1)), ["k"])
+
+
+def test_anti_join_starts_no_job_while_built(spark):
+    new, old = spark.range(10).toDF("k"), spark.range(5).toDF("k")
+    out = anti_join_existing(new, old, ["k"])
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
+    assert out.count() == 5
