@@ -1,10 +1,10 @@
 """Fifteen-day claim, service and exam metrics (survey D1-D3, C6).
 
-Every metric set is a ``lookback_aggregate`` onto the same distinct probe
-claims, so the three sets share one probe partitioning on ``(person, day)``
-and the full-outer combination of the reference reduces to left joins with
-identical key sets.  Missing metrics take the reference defaults (0 for
-counts, sums and flags, 9999 for "days since", ratios stay NULL).
+Every metric set is one row per (person, probe day) with anything to tell
+(``lookback_days``).  C6 combines the three sets by full outer joins on those
+compact keys and attaches the result to the claims once.  Missing metrics take
+the reference defaults (0 for counts, sums and flags, 9999 for "days since",
+ratios stay NULL).
 """
 
 from __future__ import annotations
@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookback import lookback_aggregate
+from .lookback import PROBE_DAY, attach_days, lookback_days
 
-CLAIM_KEYS = ["AFILIADO_RUT", "LCC_COMCOR", "LCC_COMCOD"]
+PERSON = "AFILIADO_RUT"
+CLAIM_KEYS = [PERSON, "LCC_COMCOR", "LCC_COMCOD"]
 
 
 def distinct_probes(claims: DataFrame, date_from=None, date_to=None,
@@ -23,9 +24,8 @@ def distinct_probes(claims: DataFrame, date_from=None, date_to=None,
     from ..functions.dates import date_window
     c = claims.where(date_window(F.col(date_col), date_from, date_to))
     c = c.select(*CLAIM_KEYS, F.to_date(date_col).alias("FECHA_RECEPCION"))
-    # one shuffle on (person, day): the de-duplication, the distinct probe
-    # days and the final (person, day) join of the look-back all reuse it
-    return c.repartition("AFILIADO_RUT", "FECHA_RECEPCION").dropDuplicates()
+    # de-duplicated on the whole claim key: a person's or a day's claims are never one group
+    return c.dropDuplicates()
 
 
 def _flag(c: Column) -> Column:
@@ -49,98 +49,105 @@ EXAM_DEFAULTS = {
 }
 
 
-def claim_metrics_15d(probes: DataFrame, history: DataFrame, days: int = 15,
-                      date_from=None, date_to=None, fill: bool = True) -> DataFrame:
-    """The person's own claims received in the ``days`` days before each claim."""
-    resolved = F.col("FECHA_RESOLUCION_COMPIN").isNotNull()
+def _attached(probes: DataFrame, per_day: DataFrame, defaults: dict, fill: bool) -> DataFrame:
+    out = attach_days(probes, per_day, PERSON, "FECHA_RECEPCION")
+    return out.fillna(defaults) if fill else out
+
+
+def claim_days(probes: DataFrame, history: DataFrame, days: int = 15, date_from=None, date_to=None) -> DataFrame:
+    """D1 per (person, probe day) with earlier claims."""
     verdict = F.upper(F.col("RESOLUCION_COMPIN"))
-    f_pos = F.when(F.col("F_DIASAUTORIZADOS") > 0, F.col("F_DIASAUTORIZADOS"))
-    # level 1: one row per (person, day, claim number) -> distinct counts become counts
-    pre = [
-        F.max(F.when(resolved, 1).otherwise(0)).alias("__res"),
-        F.max(F.when(verdict.isNotNull(), 1).otherwise(0)).alias("__ver"),
-        F.max(F.when(verdict == "RATIFICA", 1).otherwise(0)).alias("__rat"),
-        F.max(F.when(verdict == "DENIEGA", 1).otherwise(0)).alias("__den"),
-        F.sum(f_pos).alias("__fs"), F.count(f_pos).alias("__fc"),
-        F.sum("DIASSOLICITADO").alias("__ds"), F.max("DIASSOLICITADO").alias("__dm"),
-    ]
-    has = F.col("LCC_COMCOR").isNotNull()
+    allowed = F.when(F.col("F_DIASAUTORIZADOS") > 0, F.col("F_DIASAUTORIZADOS"))
+    # one row per (person, day, claim number), before and again after the pairing -> distinct counts become counts
+    first = {
+        "__res": F.max(F.when(F.col("FECHA_RESOLUCION_COMPIN").isNotNull(), 1).otherwise(0)),
+        "__ver": F.max(F.when(verdict.isNotNull(), 1).otherwise(0)),
+        "__rat": F.max(F.when(verdict == "RATIFICA", 1).otherwise(0)),
+        "__den": F.max(F.when(verdict == "DENIEGA", 1).otherwise(0)),
+        "__dm": F.max("DIASSOLICITADO"),
+        "__fs": F.sum(allowed), "__fc": F.count(allowed), "__ds": F.sum("DIASSOLICITADO"),
+    }
+    again = [(F.sum(c) if c in ("__fs", "__fc", "__ds") else F.max(c)).alias(c) for c in first]
+
+    def numbers(c):
+        return F.sum(F.when(F.col("LCC_COMCOR").isNotNull(), F.col(c)).otherwise(0))
+
     aggs = [
         F.count("LCC_COMCOR").alias("CANT_LIC_U15D"),
-        F.sum(F.when(has, F.col("__res")).otherwise(0)).alias("CANT_LIC_CON_RESOLUCION_U15D"),
-        F.sum(F.when(has, F.col("__rat")).otherwise(0)).alias("COMPIN_RATIFICA_U15D"),
-        F.sum(F.when(has, F.col("__den")).otherwise(0)).alias("COMPIN_DENIEGA_U15D"),
-        F.sum(F.when(has, F.col("__ver")).otherwise(0)).alias("__verdicts"),
+        numbers("__res").alias("CANT_LIC_CON_RESOLUCION_U15D"),
+        numbers("__rat").alias("COMPIN_RATIFICA_U15D"),
+        numbers("__den").alias("COMPIN_DENIEGA_U15D"),
+        numbers("__ver").alias("__verdicts"),
         (F.sum("__fs") / F.sum("__fc")).alias("F_DIAS_PROMEDIO_U15D"),
         F.sum("__ds").alias("TOTAL_DIAS_SOLICITADOS_U15D"),
         F.max("__dm").alias("MAX_DIAS_SOLICITADOS_U15D"),
     ]
-    h = history.select("AFILIADO_RUT", "LCC_COMCOR", "FECHA_RECEPCION", "FECHA_RESOLUCION_COMPIN",
+    h = history.select(PERSON, "LCC_COMCOR", "FECHA_RECEPCION", "FECHA_RESOLUCION_COMPIN",
                        "RESOLUCION_COMPIN", "F_DIASAUTORIZADOS", "DIASSOLICITADO")
-    out = lookback_aggregate(probes, h, "AFILIADO_RUT", "FECHA_RECEPCION", "FECHA_RECEPCION",
-                             aggs, days=days, date_from=date_from, date_to=date_to,
-                             pre_group=["LCC_COMCOR"], pre_aggs=pre)
-    n_all = F.coalesce(F.col("CANT_LIC_U15D"), F.lit(0))
+    out = lookback_days(probes, h, PERSON, "FECHA_RECEPCION", "FECHA_RECEPCION", aggs, days=days,
+                        date_from=date_from, date_to=date_to,
+                        reduce=(["LCC_COMCOR"], [c.alias(n) for n, c in first.items()]),
+                        pre_group=["LCC_COMCOR"], pre_aggs=again)
     n_ver = F.col("__verdicts")  # claims with a verdict, dated or not
-    out = (out.withColumn("FLAG_MULTIPLES_LIC_U15D", F.when(n_all > 1, 1).otherwise(0))
-              .withColumn("RATIO_APROBACION_U15D",
-                          F.when(n_ver > 0, F.col("COMPIN_RATIFICA_U15D").cast("double") / n_ver))
-              .drop("__verdicts"))
-    return out.fillna(CLAIM_DEFAULTS) if fill else out
+    return (out.withColumn("FLAG_MULTIPLES_LIC_U15D", F.when(F.col("CANT_LIC_U15D") > 1, 1).otherwise(0))
+               .withColumn("RATIO_APROBACION_U15D",
+                           F.when(n_ver > 0, F.col("COMPIN_RATIFICA_U15D").cast("double") / n_ver))
+               .drop("__verdicts"))
 
 
-def service_metrics_15d(probes: DataFrame, services: DataFrame, days: int = 15,
-                        date_from=None, date_to=None, fill: bool = True,
-                        types=("HOSPITALARIO", "BONO", "REEMBOLSO")) -> DataFrame:
-    """Services of the person in the look-back window (type filter inside the join)."""
+def claim_metrics_15d(probes: DataFrame, history: DataFrame, days: int = 15,
+                      date_from=None, date_to=None, fill: bool = True) -> DataFrame:
+    """The person's own claims received in the ``days`` days before each claim."""
+    return _attached(probes, claim_days(probes, history, days, date_from, date_to), CLAIM_DEFAULTS, fill)
+
+
+def service_days(probes: DataFrame, services: DataFrame, days: int = 15, date_from=None, date_to=None,
+                 types=("HOSPITALARIO", "BONO", "REEMBOLSO")) -> DataFrame:
+    """D2 per (person, probe day) with services of the given types."""
     tipo = F.upper(F.col("TIPO"))
-    aggs = [
-        F.sum("PRESTACION_CANTIDAD").alias("HV_SUM_CANTIDAD_PREST_U15D"),
-        _flag(tipo == "HOSPITALARIO").alias("HV_FLAG_HOSPITALARIO_U15D"),
-        _flag(tipo == "BONO").alias("HV_FLAG_BONO_U15D"),
-        _flag(tipo == "REEMBOLSO").alias("HV_FLAG_REEMBOLSO_U15D"),
-        _flag(F.col("PATOLOGIA_GES") == "GES").alias("HV_FLAG_GES_U15D"),
-        _flag(F.col("PATOLOGIA_CAEC") == "CAEC").alias("HV_FLAG_CAEC_U15D"),
-    ]
+    flags = {f"HV_FLAG_{t}_U15D": tipo == t for t in ("HOSPITALARIO", "BONO", "REEMBOLSO")}
+    flags |= {f"HV_FLAG_{p}_U15D": F.col(f"PATOLOGIA_{p}") == p for p in ("GES", "CAEC")}
+    amount = "HV_SUM_CANTIDAD_PREST_U15D"
     # distinct folios and distinct doctors: one de-duplicating aggregate each
     # over the same pairs, instead of an Expand copy per distinct column
     sets = [(["FOLIO"], [F.count("FOLIO").alias("HV_N_PRESTACIONES_U15D")]),
             (["MEDTRATANTE_RUT"], [F.count("MEDTRATANTE_RUT").alias("HV_N_MEDICOS_U15D")])]
-    out = lookback_aggregate(probes, services, "AFILIADO_RUT", "FECHA_RECEPCION", "FECHA", aggs,
-                             days=days, hist_key="COTIZANTE_RUT", hist_filter=tipo.isin(*types),
-                             date_from=date_from, date_to=date_to, distinct_sets=sets)
-    return out.fillna(SERVICE_DEFAULTS) if fill else out
+    return lookback_days(probes, services, PERSON, "FECHA_RECEPCION", "FECHA",
+                         [F.sum(amount).alias(amount), *[F.max(f).alias(f) for f in flags]],
+                         days=days, hist_key="COTIZANTE_RUT", hist_filter=tipo.isin(*types),
+                         date_from=date_from, date_to=date_to,
+                         reduce=(["FOLIO", "MEDTRATANTE_RUT"], [F.sum("PRESTACION_CANTIDAD").alias(amount),
+                                                                *[_flag(c).alias(f) for f, c in flags.items()]]),
+                         distinct_sets=sets)
+
+
+def service_metrics_15d(probes: DataFrame, services: DataFrame, days: int = 15,
+                        date_from=None, date_to=None, fill: bool = True,
+                        types=("HOSPITALARIO", "BONO", "REEMBOLSO")) -> DataFrame:
+    """Services of the person in the look-back window (type filter inside the join)."""
+    return _attached(probes, service_days(probes, services, days, date_from, date_to, types), SERVICE_DEFAULTS, fill)
+
+
+def exam_days(probes: DataFrame, exams: DataFrame, days: int = 15, date_from=None, date_to=None) -> DataFrame:
+    """D3 per (person, probe day) with examinations."""
+    date = "PERITAJE_PERITAJE_FECHA_CITACION"
+    att, agr = F.col("ASISTENCIA"), F.col("ACUERDO_DESACUERDO")
+    # the history is one row per (person, exam date) before the pairing -> distinct dates are counts
+    outcomes = {"NO_ASISTE": att == "NO ASISTE", "DESACUERDO": (att == "ASISTE") & (agr == "DESACUERDO"),
+                "ACUERDO": (att == "ASISTE") & (agr == "ACUERDO")}
+    aggs = [F.count(date).alias("PERITAJES_TOTAL_U15D"),
+            *[F.sum(f"__{o}").alias(f"PERITAJES_{o}_U15D") for o in outcomes], F.max(date).alias("__last_exam")]
+    out = lookback_days(probes, exams, PERSON, "FECHA_RECEPCION", date, aggs, days=days,
+                        date_from=date_from, date_to=date_to,
+                        reduce=([], [_flag(c).alias(f"__{o}") for o, c in outcomes.items()]))
+    return (out.withColumn("DIAS_DESDE_ULTIMO_PERITAJE_U15D", F.datediff(F.col(PROBE_DAY), F.col("__last_exam")))
+               .withColumn("FLAG_PERITAJE_RECIENTE_U15D", F.lit(1)).drop("__last_exam"))
 
 
 def exam_metrics_15d(probes: DataFrame, exams: DataFrame, days: int = 15,
                      date_from=None, date_to=None, fill: bool = True) -> DataFrame:
     """D3: expert examinations of the person in the look-back window."""
-    d = F.col("PERITAJE_PERITAJE_FECHA_CITACION")
-    att, agr = F.col("ASISTENCIA"), F.col("ACUERDO_DESACUERDO")
-    # level 1: one row per (person, day, exam date) -> distinct dates become counts
-    pre = [
-        F.max(F.when(att == "NO ASISTE", 1).otherwise(0)).alias("__na"),
-        F.max(F.when((att == "ASISTE") & (agr == "DESACUERDO"), 1).otherwise(0)).alias("__de"),
-        F.max(F.when((att == "ASISTE") & (agr == "ACUERDO"), 1).otherwise(0)).alias("__ac"),
-    ]
-    aggs = [
-        F.count(d).alias("PERITAJES_TOTAL_U15D"),
-        F.sum("__na").alias("PERITAJES_NO_ASISTE_U15D"),
-        F.sum("__de").alias("PERITAJES_DESACUERDO_U15D"),
-        F.sum("__ac").alias("PERITAJES_ACUERDO_U15D"),
-        F.max(d).alias("__last_exam"),
-    ]
-    out = lookback_aggregate(probes, exams, "AFILIADO_RUT", "FECHA_RECEPCION",
-                             "PERITAJE_PERITAJE_FECHA_CITACION", aggs, days=days,
-                             date_from=date_from, date_to=date_to,
-                             pre_group=["PERITAJE_PERITAJE_FECHA_CITACION"], pre_aggs=pre)
-    out = (out.withColumn("DIAS_DESDE_ULTIMO_PERITAJE_U15D",
-                          F.datediff(F.col("FECHA_RECEPCION"), F.col("__last_exam")))
-              .withColumn("FLAG_PERITAJE_RECIENTE_U15D",
-                          F.when(F.coalesce(F.col("PERITAJES_TOTAL_U15D"), F.lit(0)) > 0, 1)
-                           .otherwise(0))
-              .drop("__last_exam"))
-    return out.fillna(EXAM_DEFAULTS) if fill else out
+    return _attached(probes, exam_days(probes, exams, days, date_from, date_to), EXAM_DEFAULTS, fill)
 
 
 def full_outer_combine(frames: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -153,18 +160,18 @@ def full_outer_combine(frames: list[DataFrame], keys: list[str]) -> DataFrame:
 
 def metrics_15d(probes: DataFrame, history: DataFrame, services: DataFrame, exams: DataFrame,
                 as_of, days: int = 15, date_from=None, date_to=None, keep_reception_date: bool = False) -> DataFrame:
-    """Table of the three 15-day metric sets per claim, defaults applied.
+    """Table of the three 15-day metric sets per claim, defaults applied.
 
-    The three sets hang off the same probe rows, so they are attached by
-    successive left joins instead of the reference's full outer joins (same
-    result: every set has exactly the probe keys).  ``keep_reception_date``
-    keeps the claim's reception date (the partition column of a partitioned
-    metrics table).
+    The sets are combined by full outer joins on (person, probe day), where
+    each holds only the keys it has something for, and attached to the claims
+    by one join.  ``keep_reception_date`` keeps the claim's reception date
+    (the partition column of a partitioned metrics table).
     """
     p = probes.select(*CLAIM_KEYS, "FECHA_RECEPCION")
-    out = claim_metrics_15d(p, history, days, date_from, date_to)
-    out = service_metrics_15d(out, services, days, date_from, date_to)
-    out = exam_metrics_15d(out, exams, days, date_from, date_to)
+    span = (days, date_from, date_to)
+    sets = full_outer_combine([claim_days(p, history, *span), service_days(p, services, *span), exam_days(p, exams, *span)],
+                              [PERSON, PROBE_DAY])
+    out = _attached(p, sets, {**CLAIM_DEFAULTS, **SERVICE_DEFAULTS, **EXAM_DEFAULTS}, True)
     out = out.withColumn("FECHA_CALCULO", F.lit(as_of).cast("date"))
     # keep the reception date when the table is partitioned by it (partition-scoped upserts)
     return out if keep_reception_date else out.drop("FECHA_RECEPCION")

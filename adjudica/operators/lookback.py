@@ -4,7 +4,8 @@ A claim at day ``t`` looks at the same person's events with day in
 ``[t - days, t)``.  Two physical forms are offered:
 
 * ``lookback_aggregate`` (used by the metric builders) never materialises
-  (claim, event) pairs.  Events are paired with the *distinct probe days* of
+  (claim, event) pairs.  ``lookback_days`` yields one row per (key, probe
+  day), which ``attach_days`` joins to the probes.  Events are paired with the *distinct probe days* of
   the same person (``method="join"``: an equi-join on (person, day bucket),
   each probe day copied to the at most two ``days``-wide buckets its window
   touches), or fanned out to every day they can influence
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day_literal, day_number
 
-_T = "__lb_day"
+PROBE_DAY = "__lb_day"
 _B = "__lb_bucket"
 
 
@@ -41,7 +42,7 @@ def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def lookback_aggregate(
+def lookback_days(
     probe: DataFrame,
     history: DataFrame,
     key: str | Sequence[str],
@@ -53,27 +54,30 @@ def lookback_aggregate(
     hist_filter: Column | None = None,
     date_from=None,
     date_to=None,
-    defaults: dict | None = None,
+    reduce: tuple[Sequence[str], Sequence[Column]] | None = None,
     pre_group: Sequence[str] | None = None,
     pre_aggs: Sequence[Column] | None = None,
     method: str = "join",
     distinct_sets: Sequence[tuple[Sequence[str], Sequence[Column]]] = (),
 ) -> DataFrame:
-    """Attach aggregates of ``history`` rows in ``[probe_date - days, probe_date)``.
+    """Aggregates of ``history`` rows in ``[probe day - days, probe day)``: one row per (key, probe day) with any.
 
-    ``key``/``hist_key`` are the equi-join columns (same order).  ``aggs`` are
+    ``key``/``hist_key`` are the equi-join columns (same order; history keys
+    take the types of the probe's).  ``aggs`` are
     aggregate expressions over history columns, each with an alias.  Optional
     ``date_from``/``date_to`` (inclusive days) bound the probe range so the
     history scan is pruned to ``[date_from - days, date_to)``.
-    ``defaults`` fills aggregates for probes without any history row.
-    With ``pre_group``, rows are first reduced per (key, day, *pre_group) by
+    ``reduce`` (group columns, aggregates) shrinks the history to one row per
+    (key, event date, group) *before* it meets the up to ``days`` probe days;
+    later aggregates read the reduced columns.
+    With ``pre_group``, pairs are first reduced per (key, day, *pre_group) by
     ``pre_aggs`` and ``aggs`` then run over those rows: distinct counts of a
     ``pre_group`` column become plain counts, so Spark needs no ``Expand``
     (one copy of the data per distinct aggregate).  ``distinct_sets`` adds
     further (group columns, aggregates) pairs computed the same way from the
     same pairs, for distinct counts of *different* columns; their per-day
     results are joined on (key, day) instead of expanding the rows.
-    Returns ``probe`` with the aggregate columns appended (left semantics).
+    The probe day's column is ``PROBE_DAY``.
     """
     pk = _as_list(key)
     hk = _as_list(hist_key) if hist_key is not None else pk
@@ -90,6 +94,10 @@ def lookback_aggregate(
     for a, b in zip(hk, pk):
         if a != b:
             h = h.withColumnRenamed(a, b)
+    h = h.withColumns({c: F.col(c).cast(probe.schema[c].dataType) for c in pk})
+    if reduce:
+        group, reduced = reduce
+        h = h.groupBy(*dict.fromkeys([*pk, hist_date, *group])).agg(*reduced)
     pday = F.to_date(F.col(probe_date))
     if method == "fanout":
         first = F.date_add(hday, 1)
@@ -99,33 +107,55 @@ def lookback_aggregate(
         if date_to is not None:
             last = F.least(last, F.lit(date_to).cast("date"))
         fanned = (h.where(hday.isNotNull() & (first <= last))
-                   .withColumn(_T, F.explode(F.sequence(first, last))))
+                   .withColumn(PROBE_DAY, F.explode(F.sequence(first, last))))
     elif method == "join":
-        pdays = probe.select(*pk, pday.alias(_T)).where(F.col(_T).isNotNull()).distinct()
-        pn = F.unix_date(F.col(_T))
+        pdays = probe.select(*pk, pday.alias(PROBE_DAY)).where(F.col(PROBE_DAY).isNotNull()).distinct()
+        pn = F.unix_date(F.col(PROBE_DAY))
         pdays = pdays.withColumn(_B, F.explode(F.array_distinct(
             F.array(F.floor((pn - days) / days), F.floor((pn - 1) / days)))))
         hn = F.unix_date(hday)
         hb = h.where(hday.isNotNull()).withColumn("__hn", hn).withColumn(_B, F.floor(hn / days))
         # history streams, the few distinct probe days per (person, bucket) are buffered
         fanned = hb.join(pdays, [*pk, _B]).where(
-            (F.col("__hn") >= F.unix_date(F.col(_T)) - days) & (F.col("__hn") < F.unix_date(F.col(_T)))) \
+            (F.col("__hn") >= F.unix_date(F.col(PROBE_DAY)) - days) & (F.col("__hn") < F.unix_date(F.col(PROBE_DAY)))) \
             .drop("__hn", _B)
     else:
         raise ValueError(method)
     pairs = fanned
     if pre_group:
-        fanned = fanned.groupBy(*pk, _T, *pre_group).agg(*pre_aggs)
-    per_day = fanned.groupBy(*pk, _T).agg(*aggs)
+        fanned = fanned.groupBy(*pk, PROBE_DAY, *pre_group).agg(*pre_aggs)
+    per_day = fanned.groupBy(*pk, PROBE_DAY).agg(*aggs)
     for cols, set_aggs in distinct_sets:
-        extra = pairs.groupBy(*pk, _T, *cols).agg(F.count(F.lit(1)).alias("__n")) \
-                     .groupBy(*pk, _T).agg(*set_aggs)
-        per_day = per_day.join(extra, [*pk, _T], "full_outer")
-    p = probe.withColumn(_T, pday)
-    out = p.join(per_day, [*pk, _T], "left").drop(_T)
-    if defaults:
-        out = out.fillna(defaults)
-    return out
+        extra = pairs.groupBy(*pk, PROBE_DAY, *cols).agg(F.count(F.lit(1)).alias("__n")) \
+                     .groupBy(*pk, PROBE_DAY).agg(*set_aggs)
+        per_day = per_day.join(extra, [*pk, PROBE_DAY], "full_outer")
+    return per_day
+
+
+def attach_days(probe: DataFrame, per_day: DataFrame, key: str | Sequence[str], probe_date: str) -> DataFrame:
+    """Left join of ``lookback_days`` rows to the probes of their key and day.
+
+    The join key is one struct of key and day.  The aggregated side is
+    partitioned on the single columns, so Spark shuffles both sides for the
+    join, right below its sorts; there AQE splits the partition of a (key,
+    day) that holds very many probes.  Without that shuffle of the (small)
+    aggregated side, the probes of a hot (key, day) would stay in one task.
+    """
+    pk = _as_list(key)
+    on = "__lb_key"
+    p = probe.withColumn(on, F.struct(*[F.col(c) for c in pk], F.to_date(F.col(probe_date)).alias(PROBE_DAY)))
+    d = per_day.withColumn(on, F.struct(*pk, PROBE_DAY)).drop(*pk, PROBE_DAY)
+    return p.join(d, on, "left").drop(on)
+
+
+def lookback_aggregate(probe: DataFrame, history: DataFrame, key: str | Sequence[str], probe_date: str, hist_date: str,
+                       aggs: Sequence[Column], days: int = 15, defaults: dict | None = None, **options) -> DataFrame:
+    """``probe`` with the aggregates of ``lookback_days`` (same arguments) appended, left semantics.
+
+    ``defaults`` fills aggregates for probes without any history row.
+    """
+    out = attach_days(probe, lookback_days(probe, history, key, probe_date, hist_date, aggs, days, **options), key, probe_date)
+    return out.fillna(defaults) if defaults else out
 
 
 def lookback_join(
@@ -149,15 +179,15 @@ def lookback_join(
     hk = _as_list(hist_key) if hist_key is not None else pk
     h = history if hist_filter is None else history.where(hist_filter)
     hday = day_number(F.col(hist_date))
-    h = h.withColumn(_B, F.floor(hday / days)).withColumn(_T, hday)
+    h = h.withColumn(_B, F.floor(hday / days)).withColumn(PROBE_DAY, hday)
     pday = day_number(F.col(probe_date))
     buckets = F.array_distinct(F.array(F.floor((pday - days) / days),
                                        F.floor((pday - 1) / days)))
     p = probe.withColumn("__lb_pday", pday)
     pb = p.withColumn(_B, F.explode(buckets))
     cond = [pb[a] == h[b] for a, b in zip(pk, hk)]
-    cond += [pb[_B] == h[_B], h[_T] >= pb["__lb_pday"] - days, h[_T] < pb["__lb_pday"]]
-    pairs = pb.join(h, cond, "inner").drop(h[_B]).drop(pb[_B]).drop(_T)
+    cond += [pb[_B] == h[_B], h[PROBE_DAY] >= pb["__lb_pday"] - days, h[PROBE_DAY] < pb["__lb_pday"]]
+    pairs = pb.join(h, cond, "inner").drop(h[_B]).drop(pb[_B]).drop(PROBE_DAY)
     # probes with no pair at all: exactly one row each
     ids = list(probe_id) if probe_id else list(probe.columns)
     hit = pairs.select(*[F.col(c).alias("__m_" + c) for c in ids]).distinct()

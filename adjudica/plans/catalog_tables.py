@@ -78,19 +78,20 @@ def _monthly(spark, sf_dir):
              .agg(F.count(F.lit(1)).alias("LM_MES"), F.round(F.sum("o_totalprice"), 2).alias("MONTO_MES")))
 
 
+def newest_sql(source: str, entity: str, as_of: str, columns: list[str], lexicographic: bool = False) -> str:
+    """One row per entity: the packed columns of its newest period before the month of ``as_of``."""
+    last = f"date_trunc('month', DATE '{as_of}') - INTERVAL 1 MONTH"
+    period, bound = ("PERIODO", f"strftime({last}, '%m%Y')") if lexicographic else ("strptime(PERIODO, '%m%Y')", last)
+    packed = ", ".join(f"'{c}': {c}" for c in ["PERIODO", *columns])
+    return f"SELECT {entity}, arg_max({{{packed}}}, {period}) AS newest FROM {source} WHERE {period} <= {bound} GROUP BY ALL"
+
+
 def _c7_sql(lexicographic: bool, as_of: str) -> str:
-    cut = f"strftime(date_trunc('month', DATE '{as_of}') - INTERVAL 1 MONTH, '%m%Y')"
-    if lexicographic:
-        filt, rank = f"PERIODO <= {cut}", "PERIODO"
-    else:
-        key = "CAST(substr({0}, 3, 4) AS INTEGER) * 100 + CAST(substr({0}, 1, 2) AS INTEGER)"
-        filt, rank = f"{key.format('PERIODO')} <= {key.format(cut)}", key.format("PERIODO")
     return f"""
-WITH {MONTHLY_SQL},
-latest AS (SELECT AFILIADO_RUT, MAX({rank}) AS mx FROM monthly WHERE {filt} GROUP BY AFILIADO_RUT),
-afi AS (SELECT m.* FROM monthly m JOIN latest l ON m.AFILIADO_RUT = l.AFILIADO_RUT AND {rank.replace('PERIODO', 'm.PERIODO')} = l.mx)
-SELECT c.c_custkey, c.c_name, afi.PERIODO AS PERIODO_AFILIADO_RUT, afi.LM_MES, afi.MONTO_MES
-FROM customer c LEFT JOIN afi ON CAST(c.c_custkey AS STRING) = afi.AFILIADO_RUT
+WITH {MONTHLY_SQL}
+SELECT c_custkey, c_name, newest.PERIODO AS PERIODO_AFILIADO_RUT, newest.LM_MES AS LM_MES, newest.MONTO_MES AS MONTO_MES
+FROM customer LEFT JOIN ({newest_sql("monthly", "AFILIADO_RUT", as_of, ["LM_MES", "MONTO_MES"], lexicographic)})
+  ON AFILIADO_RUT = c_custkey::VARCHAR
 """
 
 
@@ -281,18 +282,18 @@ def a9_merge_first_write_wins(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- E2
-E2_SQL = f"""
-WITH {_claims_cte()},
-h AS (SELECT * FROM claims WHERE FECHA_RECEPCION < DATE '2000-06-01'),
-m AS (SELECT * FROM claims WHERE FECHA_RECEPCION >= DATE '2000-01-01')
-SELECT m.AFILIADO_RUT, m.LCC_COMCOR, m.LCC_COMCOD, m.FECHA_RECEPCION,
-  (SELECT COUNT(*) + 1 FROM h WHERE h.AFILIADO_RUT = m.AFILIADO_RUT
-     AND (h.FECHA_RECEPCION < m.FECHA_RECEPCION
-          OR (h.FECHA_RECEPCION = m.FECHA_RECEPCION AND h.LCC_COMCOR < m.LCC_COMCOR)
-          OR (h.FECHA_RECEPCION = m.FECHA_RECEPCION AND h.LCC_COMCOR = m.LCC_COMCOR
-              AND h.LCC_COMCOD < m.LCC_COMCOD))) AS RN_AFILIADO_HIST
-FROM m
-"""
+def rank_sql(old: str, new: str, claims: str = "claims") -> str:
+    """1 + the old rows in the peer groups before each new row, by a frame over both."""
+    return f"""
+SELECT * EXCLUDE (is_old) FROM (
+  SELECT AFILIADO_RUT, LCC_COMCOR, LCC_COMCOD, FECHA_RECEPCION, is_old, 1 + count(*) FILTER (is_old) OVER (
+      PARTITION BY AFILIADO_RUT ORDER BY FECHA_RECEPCION, LCC_COMCOR, LCC_COMCOD
+      GROUPS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS RN_AFILIADO_HIST
+  FROM (SELECT *, true AS is_old FROM {claims} WHERE {old} UNION ALL SELECT *, false FROM {claims} WHERE {new}))
+WHERE NOT is_old"""
+
+
+E2_SQL = f"WITH {_claims_cte()} {rank_sql("FECHA_RECEPCION < DATE '2000-06-01'", "FECHA_RECEPCION >= DATE '2000-01-01'")}"
 
 
 @query("e2_history_rank", "E2", E2_SQL)

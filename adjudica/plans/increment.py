@@ -47,18 +47,23 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
     * claims received in ``[date_from, date_to]`` that are not in the base are
       appended, enriched with the provider's newest history row before the
       day preceding ``as_of`` (C1);
-    * the 15-day metrics of those claims are computed once (D1-D3) and upserted
-      into the metrics table (A8) and reused for the wide rows;
+    * the 15-day metrics of those claims are computed once (D1-D3), materialised,
+      upserted into the metrics table (A8) and reused for the wide rows;
     * wide rows get the person's history rank (E2), the newest monthly
       metrics per entity (C7) with ``monthly_defaults`` filled in and
       ``ratios`` ({name: (numerator, denominator)}, denominator 0 -> 0, missing
       entity -> NULL; B14) derived from them, outcome flags (B13), and are
       appended when their (claim, code) is not yet in the wide table (C2).
+
+    Provider, person and entity histories are cut to the increment's own keys
+    (and days) by semi joins before they are aggregated or ranked, so a daily
+    run moves what belongs to its claims, not the whole history.
     """
     inp = claims_input.where(B.date_window("FECHA_RECEPCION", date_from, date_to))
     if provider_history is not None and "LCC_MEDRUT" in inp.columns:
         cutoff = F.date_sub(F.lit(as_of).cast("date"), 1)
-        prov = provider_history.where(F.to_date("FECHA_RECEPCION") < cutoff)
+        prov = provider_history.where(F.to_date("FECHA_RECEPCION") < cutoff) \
+            .join(inp.select(F.col("LCC_MEDRUT").alias("PRESTADOR_RUT")).distinct(), "PRESTADOR_RUT", "left_semi")
         inp = J.join_latest_row(inp, prov.select("PRESTADOR_RUT", "FECHA_RECEPCION", *PROVIDER_COLS)
                                 .withColumnRenamed("FECHA_RECEPCION", "__prov_fecha"),
                                 ["LCC_MEDRUT"], ["PRESTADOR_RUT"], ["__prov_fecha"]).drop("__prov_fecha")
@@ -70,17 +75,22 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
     probes = CM.distinct_probes(history, date_from, date_to)
     m15 = CM.metrics_15d(probes, history, services, exams, as_of, days, date_from, date_to,
                          keep_reception_date=True)
+    # read by the upsert's key check, the upsert and the wide rows
+    m15 = cut_lineage(m15)
     m15_out = m15 if keep_reception_date else m15.drop("FECHA_RECEPCION")
     if metrics_table is None:
         metrics_out = m15_out
     else:
         metrics_out = M.merge_upsert(metrics_table, m15_out.select(*metrics_table.columns), METRIC_KEYS)
     recent = history.where(B.date_window("FECHA_RECEPCION", date_from, date_to))
-    wide_hist = wide if wide is not None else recent.limit(0)
-    ranked = J.history_rank(recent, wide_hist.select("AFILIADO_RUT", "FECHA_RECEPCION", "LCC_COMCOR", "LCC_COMCOD"),
-                            "AFILIADO_RUT", ["FECHA_RECEPCION", "LCC_COMCOR", "LCC_COMCOD"])
+    order = ["FECHA_RECEPCION", "LCC_COMCOR", "LCC_COMCOD"]
+    older = (wide if wide is not None else recent.limit(0)).select("AFILIADO_RUT", *order)
+    older = older.where(B.date_window("FECHA_RECEPCION", None, date_to)) \
+                 .join(recent.select("AFILIADO_RUT").distinct(), "AFILIADO_RUT", "left_semi")
+    ranked = J.history_rank(recent, older, "AFILIADO_RUT", order)
     if monthly:
-        ranked = J.join_latest_period(ranked, monthly, as_of, lexicographic=lexicographic_periods)
+        own = {e: m.join(recent.select(e).distinct(), e, "left_semi") for e, m in monthly.items()}
+        ranked = J.join_latest_period(ranked, own, as_of, lexicographic=lexicographic_periods)
         # ratios read the raw (possibly missing) metrics before defaults are filled
         for name, (num, den) in (ratios or {}).items():
             ranked = ranked.withColumn(name, B.safe_ratio(num, den))

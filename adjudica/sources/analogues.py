@@ -57,6 +57,15 @@ EXAMS_FROM_EVENTS = [
     "END AS ACUERDO_DESACUERDO",
 ]
 
+# examinations on the days of the person's shipments: their dates overlap the claims of the orders
+EXAMS_FROM_LINEITEM = [
+    "CAST(o_custkey AS STRING) AS AFILIADO_RUT",
+    "CAST(l_shipdate AS DATE) AS PERITAJE_PERITAJE_FECHA_CITACION",
+    "CASE l_returnflag WHEN 'R' THEN 'NO ASISTE' WHEN 'N' THEN 'ASISTE' "
+    "ELSE CASE WHEN l_linenumber <> 2 THEN 'ASISTE' END END AS ASISTENCIA",
+    "CASE WHEN l_linenumber = 1 THEN 'ACUERDO' WHEN l_linenumber < 4 THEN 'DESACUERDO' END AS ACUERDO_DESACUERDO",
+]
+
 # scored rows: score = round(discount * 10, 3), label N -> 1, R -> 0, A -> NULL,
 # prior approval (FT1) = zero tax, accumulated days = quantity + 4 * line number
 SCORED_FROM_LINEITEM = [
@@ -94,6 +103,12 @@ def exams_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(*EXAMS_FROM_EVENTS)
 
 
+def exams_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return li.join(o, li.l_orderkey == o.o_orderkey).selectExpr(*EXAMS_FROM_LINEITEM)
+
+
 def scored_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(*SCORED_FROM_LINEITEM)
 
