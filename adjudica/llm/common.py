@@ -73,7 +73,10 @@ def bounded_sample(labels: DataFrame, label: str, limit: int) -> DataFrame:
 
 
 def sample_texts(documents: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
-    """(doc_id, label, text) of the bounded sample; the ids (at most ``limit`` rows) are the broadcast side."""
+    """(doc_id, label, text) of the bounded sample; the ids (at most ``limit`` rows) are the broadcast side.
+
+    Of several rows with one id the least text is taken, so there are never more than ``limit`` rows.
+    """
     ids = bounded_sample(labels, label, limit)
     docs = documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return docs.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
+    return docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))

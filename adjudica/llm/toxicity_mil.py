@@ -78,9 +78,9 @@ def _words(data: bytes) -> Words:
     return Words(columns, np.searchsorted(marks, starts), marks)
 
 
-def stretches(text: str | None) -> Iterator[tuple[int, bytes]]:
+def stretches(data: bytes) -> Iterator[tuple[int, bytes]]:
     """(byte position, bytes) of a text in stretches of bounded size that end at a sentence's end."""
-    data, at = (text or "").encode(), 0
+    at = 0
     while at < len(data):
         end = len(data)
         if end - at > SEGMENT_BYTES and (m := _NEXT_MARK.search(data, at + SEGMENT_BYTES)):
@@ -97,7 +97,8 @@ class Model:
     def sentences(self, text: str | None, least: float) -> tuple[list[float], list[tuple[int, int, float]]]:
         """Log-odds of all sentences that have a word; start, end (code points) and log-odds of those of ``least``."""
         logits, spans, points, done = [], [], 0, 0
-        for at, data in stretches(text):
+        whole = (text or "").encode()
+        for at, data in stretches(whole):
             words = _words(data)
             if not len(words.sentence):
                 continue
@@ -109,7 +110,6 @@ class Model:
                 i = number[k]
                 start = words.marks[i - 1] + 1 if i else 0
                 end = words.marks[i] if i < len(words.marks) else len(data)
-                whole = text.encode()
                 points += len(whole[done : at + start].decode())
                 done = at + start
                 spans.append((points, points + len(data[start:end].decode()), float(z[k])))
@@ -128,7 +128,7 @@ def noisy_or(logits: list[float]) -> float:
 def document_columns(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Columns of all sentences in a row, and the number of columns of each sentence that has some."""
     columns, sizes = [], []
-    for _, data in stretches(text):
+    for _, data in stretches((text or "").encode()):
         words = _words(data)
         real = words.columns >= 0
         columns.append(words.columns[real].astype(np.int32))

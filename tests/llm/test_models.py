@@ -3,7 +3,7 @@
 import numpy as np
 
 from adjudica.llm import quality_nbsvm, toxicity_mil
-from adjudica.llm.common import bounded_sample, held_out, table
+from adjudica.llm.common import bounded_sample, held_out, sample_texts, table
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.01"
@@ -43,6 +43,14 @@ def test_sample_is_bounded_and_leaves_out_held_out_rows(frame):
     assert len(ids) == len(set(ids)) and 1000 not in ids
 
 
+def test_sample_has_one_row_for_an_id(frame):
+    docs = frame([(1, "b"), (1, "a"), (1, None), (2, "c"), (2, "c"), (4, "d")], "doc_id long, text string")
+    labels = frame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    got = sorted(map(tuple, sample_texts(docs, labels, "quality", 10).collect()))
+    learnt = {r["doc_id"] for r in bounded_sample(labels, "quality", 10).collect()}
+    assert got == [r for r in [(1, 1, ""), (2, 0, "c"), (4, 0, "d")] if r[0] in learnt]
+
+
 def test_without_labels(spark, frame):
     docs = frame([(1, None, "a"), (2, "", "b"), (3, "some words here", "c"), (3, "some words here", "c")], "doc_id long, text string, score string")
     none = frame([], "doc_id long, quality int, toxic int")
