@@ -8,11 +8,9 @@ the reference, so this builder is inferred from those column families.
 
 Plan: pre-aggregate each measure per (entity, month) (map-side combined),
 so even an entity holding a third of all rows shrinks to one row per month.
-The period spine of each entity (first active month to last active month +
-``max(windows) - 1``) is generated from those bounds, the monthly rows are
-joined onto it, and every trailing window is a ``rangeBetween`` frame over
-the month index, partitioned by entity (at most a few hundred rows per
-entity, bounded by the calendar).  Distinct measures: a value counts in a
+Each monthly row is then copied to the ``max(windows)`` periods that contain
+it, and one conditional aggregate per measure and window, hashed with codegen,
+combines the copies before the shuffle.  Distinct measures: a value counts in a
 window when its latest occurrence lies inside it, so each de-duplicated
 (entity, value, month) row is fanned out only up to the value's next
 occurrence (at most ``max(windows)`` periods) and counted by lag.  No raw
@@ -47,7 +45,7 @@ def period_of_index(i: Column) -> Column:
 
 
 def monthly_metrics(df: DataFrame, entity: str, date_col: str, measures: Sequence[Measure],
-                    windows: Sequence[int] = (1, 6, 12, 24, 36), until=None, method: str = "fanout") -> DataFrame:
+                    windows: Sequence[int] = (1, 6, 12, 24, 36), until=None) -> DataFrame:
     """One row per (entity, PERIODO) with ``{name}_U{w}M`` per measure and window.
 
     Periods are every month within ``max(windows)`` months after any activity
@@ -81,10 +79,7 @@ def monthly_metrics(df: DataFrame, entity: str, date_col: str, measures: Sequenc
             if m.kind == "max":
                 pre.append(F.max(m.expr).alias(f"__x{i}"))
         monthly = base.groupBy(entity, "__m").agg(F.count(F.lit(1)).alias("__rows"), *pre)
-        if method == "fanout":
-            parts.append(_plain_fanout(fan(monthly), entity, plain, windows))
-        else:
-            parts.append(_plain_window(monthly, entity, plain, windows, maxw, limit))
+        parts.append(_plain(fan(monthly), entity, plain, windows))
     if dist:
         # A value counts in the w-month window ending at period t iff its
         # latest occurrence at or before t is less than w months back.  Each
@@ -115,7 +110,7 @@ def monthly_metrics(df: DataFrame, entity: str, date_col: str, measures: Sequenc
     return out.withColumn("PERIODO", period_of_index(F.col("__t"))).drop("__t")
 
 
-def _plain_fanout(f: DataFrame, entity: str, plain, windows) -> DataFrame:
+def _plain(f: DataFrame, entity: str, plain, windows) -> DataFrame:
     """Monthly rows fanned to the periods that contain them, one conditional
     aggregate per (measure, window), hash-aggregated with codegen."""
     aggs = []
@@ -134,34 +129,3 @@ def _plain_fanout(f: DataFrame, entity: str, plain, windows) -> DataFrame:
             elif m.kind == "max":
                 aggs.append(F.max(F.when(inw, F.col(f"__x{i}"))).alias(out))
     return f.groupBy(entity, "__t").agg(*aggs)
-
-
-def _plain_window(monthly: DataFrame, entity: str, plain, windows, maxw, limit) -> DataFrame:
-    """Same result with range frames over a per-entity month spine (fewer rows,
-    but window operators run without whole-stage codegen)."""
-    bounds = monthly.groupBy(entity).agg(F.min("__m").alias("__lo"), F.max("__m").alias("__hi"))
-    spine = bounds.select(entity, F.explode(F.sequence(F.col("__lo"), F.col("__hi") + (maxw - 1))).alias("__t"))
-    if limit is not None:
-        spine = spine.where(F.col("__t") <= limit)
-    j = spine.join(monthly.withColumnRenamed("__m", "__t"), [entity, "__t"], "left")
-
-    def win(w):
-        return Window.partitionBy(entity).orderBy("__t").rangeBetween(-(w - 1), 0)
-
-    cols = []
-    for w in windows:
-        for i, m in enumerate(plain):
-            out = f"{m.name}_U{w}M"
-            if m.kind == "count":
-                cols.append(F.coalesce(F.sum(f"__c{i}").over(win(w)), F.lit(0)).alias(out))
-            elif m.kind == "sum":
-                cols.append(F.sum(f"__s{i}").over(win(w)).alias(out))
-            elif m.kind == "mean":
-                cols.append((F.sum(f"__s{i}").over(win(w)) / F.sum(f"__c{i}").over(win(w))).alias(out))
-            elif m.kind == "min":
-                cols.append(F.min(f"__n{i}").over(win(w)).alias(out))
-            elif m.kind == "max":
-                cols.append(F.max(f"__x{i}").over(win(w)).alias(out))
-    active = F.sum("__rows").over(win(maxw))
-    return (j.select(entity, "__t", active.alias("__active"), *cols)
-            .where(F.col("__active") > 0).drop("__active"))

@@ -314,3 +314,19 @@ def b13_outcome_flags(spark, sf_dir):
     return out.select("LCC_COMCOR", "LCC_COMCOD", "ISAP_RECHAZA", "ISAP_APRUEBA",
                       F.round(F.col("ISAP_MODIFICA_PCT").cast("double"), 5).alias("ISAP_MODIFICA_PCT"),
                       "ISAP_GANA_COMPIN", "IS_PSIQUIATRICA_CURRENT_FLAG", "PASO_FASTTRACK")
+
+
+# ---------------------------------------------------------------- B9, B10
+B10_SPEC = ["AFILIADO_RUT", ("LCC_COMCOR", "FOLIO_LM"), ("DIASSOLICITADO", "DIAS"), ("RESOLUCION_COMPIN", "VEREDICTO"),
+            ("CTD_ENVIA_PERITAJE", "N_PERITAJES", "bigint"), "CIE_GRUPO"]
+
+
+@query("b10_project_rename", ("B9", "B10"), f"""
+WITH {_claims_cte()}
+SELECT AFILIADO_RUT, LCC_COMCOR AS FOLIO_LM, DIASSOLICITADO AS DIAS, ifnull(RESOLUCION_COMPIN, 'SIN VEREDICTO') AS VEREDICTO,
+  0::BIGINT AS N_PERITAJES, NULL::VARCHAR AS CIE_GRUPO
+FROM claims""")
+def b10_project_rename(spark, sf_dir):
+    """Renamed pass-through; two columns that the table lacks, one of them with a default."""
+    out = B.project_rename(an.claims_from_orders(spark, sf_dir), B10_SPEC)
+    return B.fill_defaults(out, {"VEREDICTO": "SIN VEREDICTO", "N_PERITAJES": 0})

@@ -215,8 +215,8 @@ def _wide(spark, sf_dir):
     return an.claims_from_orders(spark, sf_dir).selectExpr(*WIDE_FROM_CLAIMS)
 
 
-@query("n2_build_training_table", ("N2", "B1", "B2", "B3", "B4", "B5", "B6", "B7", "B8", "B9", "B10", "B11", "B12",
-                                   "A5"), _n2_sql())
+@query("n2_build_training_table", ("N2", "B1", "B2", "B3", "B4", "B5", "B6", "B7", "B8", "B9", "B11", "B12"),
+       _n2_sql())
 def n2_build_training_table(spark, sf_dir):
     return build_training_table(_wide(spark, sf_dir), N2_ASOF).select(*N2_COLS)
 
@@ -231,7 +231,7 @@ N34_FEATURES = ["DIASSOLICITADO", "DIAS_INICIO_A_EMISION", "MESES_DESDE_CONTRATO
                 "TIPO_F_LM_COD", "IS_MEDICO"]
 
 
-@query("n4_train_and_audit", ("N4", "A2", "I8", "K1", "K2", "K4", "K5", "L9"))
+@query("n4_train_and_audit", ("N4", "I8", "K1", "K2", "K4", "K5", "L9"))
 def n4_train_and_audit(spark, sf_dir):
     t = _train_table(spark, sf_dir).select("AFILIADO_RUT", "LCC_COMCOR", "TARGET_FT3", "COT_GENERO", *N34_FEATURES)
     fm = X.FeatureModel(categorical=["COT_GENERO"], numeric=N34_FEATURES, doc_id="LCC_COMCOR")

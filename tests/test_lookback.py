@@ -101,6 +101,26 @@ def test_hot_person_matches_brute_force(spark):
         assert got[p[1]] == (n, rat, tot), p
 
 
+def test_hot_day_is_attached_by_a_join_that_can_be_split(spark):
+    """A placeholder person with very many claims on one day: both join sides are shuffled right below the join."""
+    day = D(2024, 1, 10)
+    rows = [("0", i, 1, day, None, None, 1, None) for i in range(3000)]
+    rows += [("0", 9001, 1, D(2024, 1, 1), "RATIFICA", D(2024, 1, 2), 4, 4), ("b", 9002, 1, day, None, None, 2, None)]
+    c = _claims(spark, rows)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(kept, ("-1", "false")):
+            spark.conf.set(k, v)
+        out = CM.claim_metrics_15d(CM.distinct_probes(c), c)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(__lb_key") == 2
+        got = {r["LCC_COMCOR"]: r["CANT_LIC_U15D"] for r in out.collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert len(got) == 3002 and all(got[i] == 1 for i in range(3000)) and got[9001] == got[9002] == 0
+
+
 def test_history_rank_brute_force(spark):
     import random
     from adjudica.operators.joins import history_rank

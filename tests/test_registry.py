@@ -14,7 +14,8 @@ FAST = ["d1_claim_metrics_15d", "d2_service_metrics_15d", "d3_exam_metrics_15d",
         "k5_classification_metrics", "l7_drift_ks", "j2_woe_numeric", "n1_run_increment", "n2_build_training_table",
         "i1_date_features", "d11_monthly_metrics", "c1_join_latest_row", "c9_lookup_fill", "c10_mark_membership",
         "g1_combine_predictions", "m3_sweep_green_net", "m4_reversal_sensitivity", "k1_stratified_split_counts",
-        "a10_conform_to_contract", "b19_neutralise_all_null_dates", "a2_load_training"]
+        "a10_conform_to_contract", "b19_neutralise_all_null_dates", "a2_load_training",
+        "b10_project_rename", "c6_full_outer_combine", "n1_metrics_upsert"]
 
 
 def _norm(v):
