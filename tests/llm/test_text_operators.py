@@ -41,6 +41,26 @@ def test_added_kinds_need_checksum_or_context():
     assert near.score > far.score
 
 
+@pytest.mark.parametrize("before", ["", "IBAN ", "AB12 ", "DE89 "])
+@pytest.mark.parametrize("iban", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82WEST12345698765432", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S",
+                                  "DZ58 0002 1000 0111 3000 0005 70"])
+@pytest.mark.parametrize("after", ["", " BIC COBADEFFXXX", " EUR 20", " 2024", " 20 A 1 B", " und", ".", " NO93 8601 1117 947"])
+def test_iban_before_other_words(before, iban, after):
+    x = before + iban + after
+    want = [iban] + [after[1:]] * after.startswith(" NO")
+    assert [x[s.start : s.end] for s in pii.find_spans(x) if s.kind == "iban"] == want
+
+
+def test_iban_has_its_countrys_length():
+    assert pii.mod97("DE5137040044053201300") and "iban" not in [s.kind for s in pii.find_spans("DE51 3704 0044 0532 0130 0")]
+    assert not [s for s in pii.find_spans("DE89 3704 0044 0532 0130 00x") if s.kind == "iban"]
+
+
+def test_redacted_iban_before_other_words(frame):
+    d = frame([(1, "pay DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX")], "doc_id long, text string")
+    assert pii.redacted(d).first()["text"] == "pay [IBAN] BIC COBADEFFXXX"
+
+
 def test_long_texts_take_linear_time():
     for x in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "a@" * 150_000, "+1 " * 100_000, "1 " * 150_000):
         pii.find_spans(x)
