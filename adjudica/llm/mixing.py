@@ -1,31 +1,37 @@
 """Sources interleaved by target weight: Pfair windows, earliest deadline first.
 
-Each source's documents, in hash order, are cut into blocks of ``block_rows``. Weights are shares a / period with
-integer a that add up to the period. Block j of a source may be released in slot floor(j * period / a) and is due by
-slot ceil((j + 1) * period / a); in every slot the released block with the earliest deadline goes next. As the shares
-fill the period, every slot is used and every deadline met: after t slots a source has had its weight times t blocks,
-give or take less than one.
-
-The schedule repeats after ``period`` slots, so it is worked out once, from the weights alone, for one period; block j
-of a source goes into slot (j div a) * period + slot of (j mod a). A source that runs out leaves its slots empty, and
-the others go on in the proportion of their weights. Every document is placed exactly once; none is dropped or
-repeated. A document's place among all is the sum, over sources, of what they have placed in earlier slots, which is
-arithmetic on the sources' row counts; nothing is sorted as a whole.
+Each source's documents, in hash order, are cut into blocks of ``block_rows``. With w the source's exact weight among
+all, block j may be released in slot floor(j / w) and is due by slot ceil((j + 1) / w); in every slot the released
+block with the earliest deadline goes next. As the weights add up to 1, every deadline is met: after t slots a source
+has had w * t blocks, give or take less than one, however long the table is. A source that runs out leaves its slots to
+blocks released by then, or empty, and the others go on in the proportion of their weights.
+
+Weights are rationals, taken as they are written (0.1 is one tenth), so they are whole numbers of slots of some period,
+after which the schedule repeats. If the period is no longer than ``period``, or than the table has blocks, it is worked
+out once; block j of a source goes into slot (j div a) * period + slot of (j mod a), with its a slots of a period. Of
+weights without such a period (the default ones) every block of the table is worked out. Either way the driver does it,
+with integers, in the memory of one entry for each block of a period or of the table.
+
+Every document is placed exactly once; none is dropped or repeated. A document's place among all is the number of rows
+in earlier slots, summed up in groups of slots, groups of groups, and so on; nothing is sorted as a whole.
 
 Ranks within a source, however large, come from small sorted runs: rows are dealt by hash into runs of a source, each
 run is numbered in a window of its own, and starts at the sum of the runs before.
 
-Defined cases: a null source is a source of its own; more sources than slots in the period are refused (ValueError), as
-is a source without a weight when weights are given, or a weight that isn't positive; rows with equal or null ids are
-ordered by a hash of their whole content; an empty table gives an empty result. Input columns come back inside the
-struct ``row``, so their names can't clash.
+Defined cases: a null source is a source of its own; any number of sources is allowed, and any weight above zero whose
+slots fit 63 bits; a source without a weight when weights are given, or a weight that isn't positive, is refused
+(ValueError); rows with equal or null ids are ordered by a hash of their whole content; an empty table gives an empty
+result. Input columns come back inside the struct ``row``, so their names can't clash.
 """
 
 from __future__ import annotations
 
 import heapq
-import json
+import math
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,40 +40,50 @@ from .common import table
 BLOCK_ROWS = 16
 PERIOD = 1_000
 ROWS_PER_RUN = 100_000
+# Slots, and groups of them, whose rows are summed up together.
+FAN = 1_000
+# Up to so many blocks the placed ones are broadcast to the rows.
+BROADCAST_BLOCKS = 500_000
 # Exponent of the default weights: a source's row share to this power, which moves weight from large to small sources.
 SMOOTHING = 0.7
 
 
-def shares(weights: list[float], period: int) -> list[int]:
-    """Integers in the proportion of the weights, at least 1 each, that add up to the period (largest remainders)."""
-    if not weights:
-        return []
-    if period < len(weights):
-        raise ValueError(f"a period of {period} slots can't hold {len(weights)} sources")
-    if min(weights) <= 0:
+def shares(weights: list[float | Fraction]) -> list[int]:
+    """The least integers in exactly the proportion of the weights; a float counts as the decimal it is written as."""
+    exact = [Fraction(str(w)) for w in weights]
+    if any(w <= 0 for w in exact):
         raise ValueError("weights must be positive")
-    spare, total = period - len(weights), sum(weights)
-    exact = [w / total * spare for w in weights]
-    out = [1 + int(x) for x in exact]
-    for i in sorted(range(len(weights)), key=lambda i: (int(exact[i]) - exact[i], i))[: period - sum(out)]:
-        out[i] += 1
-    return out
+    scale = math.lcm(*(w.denominator for w in exact))
+    whole = [int(w * scale) for w in exact]
+    common = math.gcd(*whole)
+    return [w // common for w in whole]
 
 
-def pfair_schedule(share: list[int]) -> list[tuple[int, int]]:
-    """(source number, block number) for each slot of one period: earliest deadline first among released blocks."""
+def block_schedule(share: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(slot, source number, block number) of each source's first ``blocks``: earliest deadline first among released
+    blocks. Slots without a released block are passed over at once."""
     period = sum(share)
-    release: list[list[tuple[int, int, int]]] = [[] for _ in range(period)]
-    for s, a in enumerate(share):
-        for j in range(a):
-            release[j * period // a].append((-(-(j + 1) * period // a), s, j))
+    release = [(0, s, 0) for s, n in enumerate(blocks) if n]
     ready: list[tuple[int, int, int]] = []
-    out = []
-    for due in release:
-        for block in due:
-            heapq.heappush(ready, block)
-        out.append(heapq.heappop(ready)[1:])
-    return out
+    slot = 0
+    while release or ready:
+        if not ready:
+            slot = max(slot, release[0][0])
+        while release and release[0][0] <= slot:
+            _, s, j = release[0]
+            heapq.heappush(ready, (-(-(j + 1) * period // share[s]), s, j))
+            if j + 1 < blocks[s]:
+                heapq.heapreplace(release, ((j + 1) * period // share[s], s, j + 1))
+            else:
+                heapq.heappop(release)
+        _, s, j = heapq.heappop(ready)
+        yield slot, s, j
+        slot += 1
+
+
+def pfair_schedule(share: list[int]) -> list[tuple[int, int]]:
+    """(source number, block number) for each slot of one period."""
+    return [(s, j) for _, s, j in block_schedule(share, share)]
 
 
 def _name(source: Column) -> Column:
@@ -75,8 +91,46 @@ def _name(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
 
 
-def _constant(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
-    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")))
+def _rows_before(sizes: DataFrame, slots: int) -> DataFrame:
+    """at and start (the sum of n of all lower ones) of ``sizes`` (at, n), at below ``slots``."""
+    within = Window.partitionBy("up").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("at", "n", F.expr(f"at div {FAN}").alias("up"))
+    own = sizes.select("at", "up", F.coalesce(F.sum("n").over(within), F.lit(0)).alias("start"))
+    if slots <= FAN:
+        return own.select("at", "start")
+    groups = _rows_before(sizes.groupBy(F.col("up").alias("at")).agg(F.sum("n").alias("n")), -(-slots // FAN))
+    groups = groups.select(F.col("at").alias("up"), F.col("start").alias("group_start"))
+    return own.join(groups, "up").select("at", (F.col("start") + F.col("group_start")).alias("start"))
+
+
+def placed_blocks(spark: SparkSession, counts: dict[str, int], share: list[int], block_rows: int, period: int) -> DataFrame:
+    """name, block, slot and start (rows in earlier slots) of every block of the sources, given their row counts."""
+    names = sorted(counts)
+    blocks = [-(-counts[s] // block_rows) for s in names]
+    cycle_slots = sum(share)
+    turns, total = blocks, sum(blocks)
+    if repeats := cycle_slots <= max(period, total):
+        # Several periods at once, so that neither they nor their repetitions are few.
+        times = max(1, max(period, math.isqrt(total)) // max(cycle_slots, 1))
+        cycle_slots, turns = times * cycle_slots, [times * a for a in share]
+    found = list(block_schedule(share, turns))
+    of = pa.array([s for _, s, _ in found], pa.int64())
+    per_source = [pa.array(x, t) for x, t in ((names, pa.string()), (turns, pa.int64()), ([counts[s] for s in names], pa.int64()))]
+    d = spark.createDataFrame(pa.table({
+        "at": pa.array([t for t, _, _ in found], pa.int64()), "turn": pa.array([j for _, _, j in found], pa.int64()),
+        **{c: x.take(of) for c, x in zip(("name", "turns", "of_source"), per_source)},
+    }))
+    if repeats:
+        cycles = F.sequence(F.lit(0).cast("long"), F.expr(f"(of_source - 1 - turn * {block_rows}) div (turns * {block_rows})"))
+        d = d.where(F.col("turn") * block_rows < F.col("of_source")).withColumn("cycle", F.explode(cycles))
+        d = d.withColumn("block", F.col("cycle") * F.col("turns") + F.col("turn")).withColumn("at", F.col("cycle") * cycle_slots + F.col("at"))
+        slots = cycle_slots * max((-(-n // a) for n, a in zip(blocks, turns)), default=0)
+    else:
+        d = d.withColumnRenamed("turn", "block")
+        slots = found[-1][0] + 1
+    d = d.select("name", "block", "at", F.least(F.lit(block_rows).cast("long"), F.col("of_source") - F.col("block") * block_rows).alias("n"))
+    out = d.select("name", "block", "at").join(_rows_before(d.select("at", "n"), slots), "at").select("name", "block", F.col("at").alias("slot"), "start")
+    return F.broadcast(out) if total <= BROADCAST_BLOCKS else out
 
 
 def numbered(documents: DataFrame, source: str, key: str, rows_per_run: int, n_rows: int) -> DataFrame:
@@ -98,11 +152,10 @@ def mixed(documents: DataFrame, weights: dict[str | None, float] | None = None,
     """row (struct of the input row), block, slot and position of every row; ordered by position they are the mixture.
 
     Without ``weights`` a source's weight is its row share to the power ``SMOOTHING``. The driver sees one row for each
-    source (at most ``period``); the broadcast schedule has ``period`` rows.
+    source, and works out ``period`` slots or as many as the table has blocks.
     """
-    spark = documents.sparkSession
     names = documents.select(_name(F.col(f"`{source}`")).alias("name"))
-    counts = {r["name"]: r["n"] for r in names.groupBy("name").agg(F.count(F.lit(1)).alias("n")).limit(period + 1).collect()}
+    counts = {r["name"]: r["n"] for r in names.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = sorted(counts)
     if weights is None:
         target = [counts[s] ** SMOOTHING for s in order]
@@ -111,20 +164,9 @@ def mixed(documents: DataFrame, weights: dict[str | None, float] | None = None,
         if missing := [s for s in order if s not in given]:
             raise ValueError(f"no weight for sources {[m[1:] for m in missing]}")
         target = [given[s] for s in order]
-    share = shares(target, period)
-    placed = [0] * len(order)
-    slots = []
-    for slot, (s, j) in enumerate(pfair_schedule(share)):
-        slots.append({"name": order[s], "turn": j, "at": slot, "before": list(placed)})
-        placed[s] += 1
-    schedule = F.broadcast(_constant(spark, slots, "name:string,turn:bigint,at:bigint,before:array<bigint>"))
-    per_source = F.broadcast(_constant(spark, [{"name": s, "share": a} for s, a in zip(order, share)], "name:string,share:bigint"))
-    d = numbered(documents, source, key, rows_per_run, sum(counts.values())).withColumn("block", F.expr(f"rank div {block_rows}")).join(per_source, "name")
-    d = d.withColumn("cycle", F.expr("block div share")).withColumn("turn", F.col("block") % F.col("share")).join(schedule, ["name", "turn"])
-    limits = F.from_json(F.lit(json.dumps([{"share": a, "n": counts[s]} for s, a in zip(order, share)])), "array<struct<share:bigint,n:bigint>>")
-    earlier = F.zip_with("before", limits, lambda b, x: F.least(x["n"], block_rows * (F.col("cycle") * x["share"] + b)))
-    total = F.aggregate(earlier, F.lit(0).cast("long"), lambda s, x: s + x)
-    return d.select("row", "block", (F.col("cycle") * period + F.col("at")).alias("slot"), (total + F.col("rank") % block_rows).alias("position"))
+    placed = placed_blocks(documents.sparkSession, counts, shares(target), block_rows, period)
+    d = numbered(documents, source, key, rows_per_run, sum(counts.values())).withColumn("block", F.expr(f"rank div {block_rows}"))
+    return d.join(placed, ["name", "block"]).select("row", "block", "slot", (F.col("start") + F.col("rank") % block_rows).alias("position"))
 
 
 def in_order(placed: DataFrame) -> DataFrame:

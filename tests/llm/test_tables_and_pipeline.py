@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -152,6 +153,38 @@ def test_mixture_places_every_row_once(spark, frame):
         mixing.mixed(d, {"a": 1.0, "b": 1.0, None: 0.0})
 
 
+@pytest.mark.parametrize("weights, rows", [
+    ({"a": 0.9, "b": 0.1}, {"a": 18_000, "b": 2_000}),  # a period of ten slots, 2000 times
+    ({"a": 0.99999, "b": 0.00001}, {"a": 20_000, "b": 3}),
+    ({"a": Fraction(1, 3), "b": Fraction(2, 7), "c": 0.123456789}, {"a": 6_000, "b": 5_000, "c": 2_000}),  # no short period
+    (None, {"a": 9_000, "b": 1_000, "c": 77}),
+])
+def test_mixture_keeps_the_given_weights(spark, weights, rows):
+    d = spark.createDataFrame([(i, s) for s, n in rows.items() for i in range(n)], "doc_id long, source string")
+    given = weights or {s: n ** mixing.SMOOTHING for s, n in rows.items()}
+    total = sum(Fraction(str(w)) for w in given.values())
+    share = {s: Fraction(str(w)) / total for s, w in given.items()}
+    got = sorted(mixing.mixed(d, weights, block_rows=1).select("slot", "row.source", "block", "position").collect())
+    assert [r["position"] for r in got] == list(range(sum(rows.values()))) and len({r["slot"] for r in got}) == len(got)
+    for r in got:
+        assert int(r["block"] / share[r["source"]]) <= r["slot"] < -int(-(r["block"] + 1) / share[r["source"]] // 1)
+    counts = Counter()
+    for t, r in enumerate(got, 1):
+        counts[r["source"]] += 1
+        if any(counts[s] == n for s, n in rows.items()):
+            break
+        assert r["slot"] == t - 1 and all(abs(counts[s] - w * t) < 1 for s, w in share.items())
+
+
+def test_mixture_of_more_sources_than_a_period(frame):
+    rows = [(i, f"s{i % 1500}") for i in range(4000)] + [(i, None) for i in range(40)]
+    d = frame(rows, "doc_id long, source string")
+    for weights in (None, {None: 5} | {f"s{i}": 1 + i % 3 for i in range(1500)}):
+        placed = mixing.mixed(d, weights, block_rows=2).select("position", "row.source").collect()
+        assert sorted(r["position"] for r in placed) == list(range(len(rows)))
+        assert Counter(r["source"] for r in placed) == Counter(s for _, s in rows)
+
+
 def test_pipeline_equals_plain_stages(spark, frame, tmp_path):
     docs = table(spark, SF, "documents")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
