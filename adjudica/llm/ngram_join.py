@@ -9,9 +9,12 @@
    number of sets, this joins large families of copies into few components.
 4. What is left is completed exactly: two similar sets share a shingle among the first ``size - 3/4 size + 1`` of their
    order, so sets in different components that do, and whose remaining lengths from there can still suffice, are
-   compared too. Pairs inside a component are never listed.
+   compared too. This makes the components exact, without most pairs inside a component.
 5. A comparison puts the sets to be compared with one set, block by block, into a trie (see ``prefix_trie``).
-6. Components of the links, and of equal sets, give the result.
+6. Components of the links, and of equal sets, give ``component_id``.
+7. Similar sets are in one component, so the whole join compares all sets of a component whose sizes allow it, block by
+   block, each block a trie that is probed with every set of the other: ``similar_sets`` lists the links, ``n_links``
+   counts them (a family of n edited copies has up to n * (n - 1) / 2) without listing.
 
 What tells two shingles apart is their range's number and 48 more bits of their hash: some shingle of one document
 agrees by chance with another one of a compared document with a probability of about 10**-9 for documents of a thousand
@@ -25,6 +28,7 @@ neither read nor returned.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +48,8 @@ BUCKET_TEXT_BYTES = 16 << 20
 FLUSH_SHINGLES = 1 << 20
 BLOCK_SETS = 128
 MINIMA = 4
+# Sizes of similar sets are at most one band apart: the ratio of two bands' starts is above 4/3.
+BAND = 1.34
 DIGEST_BYTES = 12
 DIGEST = f"V{DIGEST_BYTES}"
 _FACTORS = mix(np.arange(11, 11 + WORDS, dtype=np.uint64)) | np.uint64(1)
@@ -301,23 +307,84 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut(stored.select(columns).unionByName(probes.select(columns)).groupBy("probe", "block").applyInArrow(compare, "a binary, b binary"))
 
 
-def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, n_shingles (set size) and component_id (least key reachable by links) of each row."""
-    d = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+def _inside(sets: DataFrame, labels: DataFrame, classes: DataFrame, listed: bool) -> DataFrame:
+    """All links: (a, b) if listed, else (digest, n), partial sums of the rows (``copies``) of the sets similar to one.
+
+    labels: digest, label of the linked sets; classes: digest, copies.
+    """
+    band = F.floor(F.log("size") / math.log(BAND)).cast("long")
+    sized = cut(labels.join(sets.select("digest", "size"), "digest").join(classes.select("digest", "copies"), "digest").withColumn("band", band))
+    cells = sized.groupBy("label", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
+    members = cut(sized.join(cells, ["label", "band"]).withColumn("block", F.pmod(F.xxhash64("digest"), "blocks")).drop("blocks"))
+    blocks = cut(members.groupBy("label", "band", "block").agg(F.count(F.lit(1)).alias("n")))
+    x, y = (blocks.select("label", *[F.col(c).alias(f"{c}_{side}") for c in ("band", "block", "n")]) for side in "xy")
+    same = F.expr("band_x = band_y and block_x = block_y")
+    meet = x.join(y, "label").where("band_y = band_x + 1 or band_y = band_x and block_x <= block_y").where(~same | (F.col("n_x") > 1))
+    meeting = ["label", "band_x", "block_x", "band_y", "block_y"]
+    meet = cut(meet.select(*meeting))
+    columns = ["is_probe", "digest", "size", "copies", "shingles", "in_sets"]
+    whole = members.join(sets.select("digest", "shingles", "in_sets"), "digest")
+
+    def side(pairs: DataFrame, name: str) -> DataFrame:
+        own = whole.withColumnsRenamed({"band": f"band_{name}", "block": f"block_{name}"}).withColumn("is_probe", F.lit(name == "x"))
+        return pairs.join(own, ["label", f"band_{name}", f"block_{name}"]).select(*meeting, *columns)
+
+    def compare(t: pa.Table) -> pa.Table:
+        probe, digest, size, copies, shingle, in_sets = (t[c].to_pylist() for c in columns)
+        ranks = local_ranks([(np.frombuffer(v, "<u8"), np.frombuffer(n, "<u4")) for v, n in zip(shingle, in_sets)])
+        probes, stored = ([i for i, p in enumerate(probe) if p == side] for side in (True, False))
+        alone = not stored
+        stored = stored or probes
+        trie = PrefixTrie([ranks[i] for i in stored], [size[i] for i in stored])
+        links = [(i, stored[k]) for i in probes for k in trie.similar(ranks[i], size[i]) if not alone or i < stored[k]]
+        if listed:
+            return pa.table({"a": pa.array([digest[i] for i, _ in links], pa.binary()), "b": pa.array([digest[j] for _, j in links], pa.binary())})
+        n = [0] * len(digest)
+        for i, j in links:
+            n[i] += copies[j]
+            n[j] += copies[i]
+        return pa.table({"digest": pa.array([d for d, k in zip(digest, n) if k], pa.binary()), "n": pa.array([k for k in n if k], pa.int64())})
+
+    both = side(meet, "x").unionByName(side(meet.where(~same), "y"))
+    return both.groupBy(*meeting).applyInArrow(compare, "a binary, b binary" if listed else "digest binary, n long")
+
+
+def _joined(d: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Sets, labels (digest, label) of the linked ones, documents, and classes of equal sets (digest, least key, copies)."""
     sets = _ordered_sets(_repeated_parts(d))
     links = _links(_star_pairs(sets), sets)
     labels = components(links)
     links = links.unionByName(_links(_candidate_pairs(sets, labels), sets))
     labels = components(links).select(F.col("node").alias("digest"), "label")
     docs = cut(_documents(d))
-    classes = cut(docs.where("digest is not null").groupBy("digest").agg(F.min("key").alias("least")))
-    named = cut(classes.join(labels, "digest", "left").select("digest", "least", F.coalesce("label", "digest").alias("label")))
+    classes = docs.where("digest is not null").groupBy("digest").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("copies"))
+    return sets, labels, docs, cut(classes)
+
+
+def similar_sets(documents: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """The whole join: every link (a, b) between different sets, once, and the members (key, digest) of the sets.
+
+    Rows of one set (equal digests) are similar too; rows without a word have no set and aren't listed.
+    """
+    sets, labels, docs, classes = _joined(documents.select(F.col(key).alias("key"), F.col(text).alias("text")))
+    return _inside(sets, labels, classes, listed=True), docs.where("digest is not null").select(F.col("key").alias(key), "digest")
+
+
+def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id", with_links: bool = False) -> DataFrame:
+    """key, n_shingles (set size) and component_id (least key reachable by links) of each row; with_links: also n_links,
+    the number of other rows that it is similar to, those of an equal set among them."""
+    sets, labels, docs, classes = _joined(documents.select(F.col(key).alias("key"), F.col(text).alias("text")))
+    named = cut(classes.join(labels, "digest", "left").select("digest", "least", "copies", F.coalesce("label", "digest").alias("label")))
     of_label = cut(named.groupBy("label").agg(F.min("least").alias("component")))
-    of_class = cut(named.select("digest", "label").join(of_label, "label").select("digest", "component"))
-    linked = docs.where("digest is not null").join(of_class, "digest").select("key", "size", "component")
-    alone = docs.where("digest is null").select("key", "size", F.col("key").alias("component"))
-    return linked.unionByName(alone).select(F.col("key").alias(key), F.col("size").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
+    of_class = named.join(of_label, "label").select("digest", "component", "copies")
+    if with_links:
+        found = cut(_inside(sets, labels, classes, listed=False).groupBy("digest").agg(F.sum("n").alias("n")))
+        of_class = of_class.join(found, "digest", "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("n", F.lit(0)))
+    columns = ["key", "size", "component"] + ["n_links"] * with_links
+    linked = docs.where("digest is not null").join(cut(of_class), "digest").select(columns)
+    alone = docs.where("digest is null").withColumn("component", F.col("key")).withColumn("n_links", F.lit(0).cast("long")).select(columns)
+    return linked.unionByName(alone).select(F.col("key").alias(key), F.col("size").cast("long").alias("n_shingles"), F.col("component").alias("component_id"), *columns[3:])
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), with_links=True)

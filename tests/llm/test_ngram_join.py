@@ -6,7 +6,8 @@ import re
 import numpy as np
 
 from adjudica.llm.components import components
-from adjudica.llm.ngram_join import near_duplicates
+from adjudica.llm import ngram_join
+from adjudica.llm.ngram_join import near_duplicates, similar_sets
 from adjudica.llm.prefix_trie import PrefixTrie, enough, local_ranks
 from adjudica.llm.word_hash import word_hashes
 
@@ -69,6 +70,35 @@ def test_components_equal_all_pairs(frame):
         assert got == plain_components(rows)
 
 
+def plain_links(sets):
+    return {(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j and a and b and 100 * len(a & b) >= 75 * len(a | b)}
+
+
+def test_every_link_is_listed_and_counted(frame, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 5)
+    rng = random.Random(7)
+    base = ["f%d" % i for i in range(120)]
+    texts = [x for _, x in corpus(3)] + [" ".join(base)] * 2
+    for i in range(40):
+        copy = base[: rng.randint(70, 120)]
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(len(copy))] = "c%d" % rng.randrange(50)
+        texts.append(" ".join(copy))
+    sets = [plain_set(x) for x in texts]
+    want = plain_links(sets)
+    d = frame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["n_links"] for r in near_duplicates(d, with_links=True).collect()}
+    assert got == {i: sum(a == i for a, _ in want) for i in range(len(texts))}
+    links, members = similar_sets(d)
+    rows = {}
+    for r in members.collect():
+        rows.setdefault(bytes(r["digest"]), []).append(r["doc_id"])
+    pairs = [frozenset((rows[bytes(r["a"])][0], rows[bytes(r["b"])][0])) for r in links.collect()]
+    first = {i: v[0] for v in rows.values() for i in v}
+    assert len(pairs) == len(set(pairs)) and set(pairs) == {frozenset((first[a], first[b])) for a, b in want if sets[a] != sets[b]}
+    assert near_duplicates(frame([], "doc_id long, text string"), with_links=True).count() == 0
+
+
 def test_empty_table(frame):
     assert near_duplicates(frame([], "doc_id long, text string")).count() == 0
     assert [tuple(r) for r in near_duplicates(frame([(7, None)], "doc_id long, text string")).collect()] == [(7, 0, 7)]
