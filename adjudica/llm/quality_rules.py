@@ -49,7 +49,7 @@ class Rule:
 
 
 RULES = (
-    Rule("words", "n_words", 20, 1_000_000),
+    Rule("words", "n_words", 20, None),
     Rule("mean_word_length", "word_chars / greatest(n_words, 1)", 2.0, 14.0),
     Rule("symbols_per_word", "n_symbols / greatest(n_words, 1)", None, 0.25),
     Rule("exclamations_per_word", "n_marks / greatest(n_words, 1)", None, 0.5),

@@ -143,6 +143,12 @@ def test_quality_measures(frame):
     assert quality_rules.quality_rules(d.limit(0)).count() == 0
 
 
+def test_a_long_text_is_kept(frame):
+    measures = {"n_words": 5_000_000, "word_chars": 25_000_000, "n_symbols": 0, "n_marks": 0, "n_stop": 500_000, "n_same": 0, "n_dup_lines": 0, "n_lines": 1}
+    m = frame([tuple(measures.values())], ", ".join(f"{c} long" for c in measures))
+    assert list(m.select(*[r.passed().alias(r.name) for r in quality_rules.RULES]).first()) == [True] * len(quality_rules.RULES)
+
+
 def test_quality_rules_run_without_python(frame):
     plan = quality_rules.quality_rules(frame([(1, "x")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search("Python|Pandas|MapIn|Exchange", plan)
