@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed value: the characters that separate words, as a Java / Python character class body.
@@ -57,6 +57,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """The rows written as Parquet into the shared folder and read again: like ``cut``, but the planner knows their true
+    size, whatever it had estimated for the plan behind them, so a loop of such steps keeps plans (and estimates) small."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_partitions(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt to range partitions of the keys and sorted there, plus ``part`` (long, the partition's number, which
+    follows the keys' order) and ``local`` (long, the row's number in it). Rows of equal keys may be split up."""
+    placed = df.withColumn("_tie", F.monotonically_increasing_id())
+    ordered = placed.repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie")
+    numbered = ordered.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.select(*df.columns, F.shiftright("_row", 33).alias("part"), F.col("_row").bitwiseAND((1 << 33) - 1).alias("local"))
+
+
+def bases(sizes: DataFrame, order: str, *counts: str) -> DataFrame:
+    """``sizes`` (a row for each partition, so one window task holds no more rows than there are partitions) with
+    ``first_<count>``: the prefix sum of each count before the row, in the order of ``order``."""
+    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("*", *[F.coalesce(F.sum(c).over(before), F.lit(0)).cast("long").alias(f"first_{c}") for c in counts])
+
+
 def bounded_sample(labels: DataFrame, label: str, limit: int) -> DataFrame:
     """At most ``limit`` labelled training ids (doc_id, label), the same for the same rows.
 
