@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import op5_byte_bpe
 from .common import importable
+from .merkle_manifest import op13_merkle_manifest
 from .mixing import op8_mixing
 from .ngram_join import op2_ngram_join
 from .pii import op1_pii
@@ -21,7 +22,7 @@ from .warc import op7_warc
 
 _BUILDERS = (
     op1_pii, op2_ngram_join, op3_topk_search, op4_quality_nbsvm, op5_byte_bpe, op6_url_filters, op7_warc, op8_mixing,
-    op9_toxicity_mil, op10_quality_rules, op12_token_files,
+    op9_toxicity_mil, op10_quality_rules, op12_token_files, op13_merkle_manifest,
 )
 
 
