@@ -14,6 +14,7 @@ from .ngram_join import op2_ngram_join
 from .pii import op1_pii
 from .quality_nbsvm import op4_quality_nbsvm
 from .quality_rules import op10_quality_rules
+from .spelling_variants import op11_spelling_variants
 from .token_files import op12_token_files
 from .topk_search import OP3_SQL, op3_topk_search
 from .toxicity_mil import op9_toxicity_mil
@@ -22,7 +23,7 @@ from .warc import op7_warc
 
 _BUILDERS = (
     op1_pii, op2_ngram_join, op3_topk_search, op4_quality_nbsvm, op5_byte_bpe, op6_url_filters, op7_warc, op8_mixing,
-    op9_toxicity_mil, op10_quality_rules, op12_token_files, op13_merkle_manifest,
+    op9_toxicity_mil, op10_quality_rules, op11_spelling_variants, op12_token_files, op13_merkle_manifest,
 )
 
 
