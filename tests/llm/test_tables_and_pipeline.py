@@ -226,12 +226,12 @@ def test_registered_queries(spark):
     import __spark_entry__ as entry
 
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert any(x.startswith(f"op{n}_") for x in names)
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op3_topk_search", "op6_url_filters"])
+@pytest.mark.parametrize("name", ["op3_topk_search", "op6_url_filters", "op11_spelling_variants", "op13_merkle_manifest"])
 def test_oracle_sql(spark, frame, name):
     import duckdb
 
