@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..roles import PRIOR_APPROVAL_COL, PRIOR_SOURCE_COL, PRIOR_SOURCE_VALUE
+from ..roles import PRIOR_APPROVAL_COL, PRIOR_SOURCE_VALUE
 
 SENTINEL_DATE = "1900-01-01"
 
@@ -201,9 +201,11 @@ def derive_audit_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def outcome_flags(df: DataFrame, prior_col: str | None = PRIOR_SOURCE_COL,
-                  prior_value: str = PRIOR_SOURCE_VALUE) -> DataFrame:
-    """Insurer outcome flags, verdict flag, psychiatric and prior-approval flags."""
+def outcome_flags(df: DataFrame, prior_col: str | None, prior_value: str = PRIOR_SOURCE_VALUE) -> DataFrame:
+    """Insurer outcome flags, verdict flag, psychiatric and prior-approval flags.
+
+    ``prior_col`` names the column whose ``prior_value`` tells a prior approval; None: no claim has one.
+    """
     i_days, req = F.col("I_DIASAUTORIZADOS"), F.col("DIASSOLICITADO")
     verdict = F.upper(F.col("RESOLUCION_COMPIN"))
     partial = (req > i_days) & (i_days > 0)

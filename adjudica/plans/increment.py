@@ -18,8 +18,9 @@ from ..functions import expr as B
 from ..operators import claim_metrics as CM
 from ..operators import joins as J
 from ..operators import merge as M
-from ..roles import PRIOR_APPROVAL_COL, PRIOR_SOURCE_COL
+from ..roles import PRIOR_APPROVAL_COL
 from ..session import cut_lineage
+from . import mart_spec as MS
 
 BASE_KEYS = ["AFILIADO_RUT", "LCC_COMCOR"]
 WIDE_KEYS = ["LCC_COMCOR", "LCC_COMCOD"]
@@ -41,7 +42,8 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
                   provider_history: DataFrame | None = None, monthly: dict | None = None,
                   days: int = 15, lexicographic_periods: bool = False,
                   keep_reception_date: bool = False, monthly_defaults: dict | None = None,
-                  ratios: dict | None = None) -> IncrementResult:
+                  ratios: dict | None = None, prior_source: str | None = None,
+                  mart: "MS.MartSpec | None" = None) -> IncrementResult:
     """Append new claims -> 15-day metrics upsert -> append wide rows.
 
     * claims received in ``[date_from, date_to]`` that are not in the base are
@@ -54,6 +56,9 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
       ``ratios`` ({name: (numerator, denominator)}, denominator 0 -> 0, missing
       entity -> NULL; B14) derived from them, outcome flags (B13), and are
       appended when their (claim, code) is not yet in the wide table (C2).
+      ``prior_source`` names the column that tells a prior approval.  With
+      ``mart`` (``mart_spec.wide_spec``) they have exactly its columns, with
+      its ratios and defaults.
 
     Provider, person and entity histories are cut to the increment's own keys
     (and days) by semi joins before they are aggregated or ranked, so a daily
@@ -99,29 +104,42 @@ def run_increment(claims_input: DataFrame, base: DataFrame, metrics_table: DataF
     rows = ranked.join(m15.drop("FECHA_CALCULO", "FECHA_RECEPCION"), METRIC_KEYS, "left")
     rows = B.fill_defaults(rows, {**CM.CLAIM_DEFAULTS, **CM.SERVICE_DEFAULTS, **CM.EXAM_DEFAULTS})
     if {"I_DIASAUTORIZADOS", "DIASSOLICITADO", "RESOLUCION_COMPIN", "CIE_GRUPO"} <= set(rows.columns):
-        rows = B.outcome_flags(rows, prior_col=PRIOR_SOURCE_COL if PRIOR_SOURCE_COL in rows.columns else None)
+        # the flags replace what the claims may carry under the same names
+        flags = [c for c in ("ISAP_RECHAZA", "ISAP_APRUEBA", "ISAP_MODIFICA_PCT", "ISAP_GANA_COMPIN",
+                             "IS_PSIQUIATRICA_CURRENT_FLAG", PRIOR_APPROVAL_COL) if c in rows.columns]
+        rows = B.outcome_flags(rows.drop(*flags), prior_col=prior_source)
+    if mart is not None:
+        rows = mart.apply(rows)
     # the wide rows are an expensive plan; their keys are those of the recent claims
     new_wide = rows if wide is None else M.anti_join_existing(rows, wide, WIDE_KEYS, key_source=recent)
     return IncrementResult(new_base, metrics_out, new_wide, m15_out)
 
 
+# What is known of a decided claim, which audit columns and targets are made from.
+_DECISION = ("ESTADO_LM", "I_DIASAUTORIZADOS", "RESOLUCION_COMPIN", "REC_GLS_CAUMOD", "REC_LCC_VISJUS", "PERITAJE_FALLO_1",
+             PRIOR_APPROVAL_COL, "FECHA_RESOLUCION_COMPIN", "PERITAJE_LM_PERITADA", "CTD_ENVIA_PERITAJE", "CTD_ENVIA_INFORME_MEDICO")
 _TYPES = {"I_DIASAUTORIZADOS": "bigint", PRIOR_APPROVAL_COL: "int", "FECHA_RESOLUCION_COMPIN": "date",
           "PERITAJE_LM_PERITADA": "int", "CTD_ENVIA_PERITAJE": "bigint", "CTD_ENVIA_INFORME_MEDICO": "bigint"}
 
 
-def build_training_table(wide: DataFrame, as_of, spec: Sequence | None = None) -> DataFrame:
+def build_training_table(wide: DataFrame, as_of, spec: Sequence | None = None,
+                         mart: "MS.MartSpec | None" = None) -> DataFrame:
     """Full rebuild of the training table from the wide table.
 
     Sentinel dates -> NULL, capped day differences, late flag, standardised
     gender, leave-type fallbacks, foreign-doctor flag, month differences,
-    episode start/length, default fills, audit (leak) columns and targets.
-    Columns the wide table lacks are read as NULL (their defaults apply).
+    episode start/length, the columns of ``mart`` (default:
+    ``mart_spec.TRAINING``) with their defaults and new names, audit (leak)
+    columns and targets.  Columns the wide table lacks are read as NULL (their
+    defaults apply).  ``spec`` names further columns to pass through.
     """
+    mart = MS.TRAINING if mart is None else mart
     w = wide.where(F.col("FECHA_EMISION_DT") < F.lit(as_of).cast("date")) \
         if "FECHA_EMISION_DT" in wide.columns else wide
+    known = set(w.columns)
 
     def col(name, typ="string"):
-        return F.col(name) if name in w.columns else F.lit(None).cast(typ)
+        return F.col(name) if name in known else F.lit(None).cast(typ)
 
     def dcol(name):
         return col(name, "date")
@@ -129,45 +147,38 @@ def build_training_table(wide: DataFrame, as_of, spec: Sequence | None = None) -
     def days(a, b):
         return B.clamped_days(a, b, 30)
 
-    sel = [
-        col("AFILIADO_RUT"), col("LCC_COMCOR", "bigint"), col("LCC_COMCOD", "bigint"),
-        B.clean_sentinel_date(dcol("FECHA_EMP_RECEPCION")).alias("FECHA_EMP_RECEPCION"),
-        B.clean_sentinel_date(dcol("FECHA_EMP_ENVIO")).alias("FECHA_EMP_ENVIO"),
-        B.clean_sentinel_date(dcol("FECHA_NAC_HIJO")).alias("FECHA_NAC_HIJO"),
-        days(B.clean_sentinel_date(dcol("FECHA_EMP_RECEPCION")), dcol("FECHA_RECEPCION")).alias("DIAS_RECEPCION_A_EMPLEADOR"),
-        days(B.clean_sentinel_date(dcol("FECHA_EMP_ENVIO")), dcol("FECHA_RECEPCION")).alias("DIAS_RECEPCION_A_ENVIO"),
-        days(dcol("FECHA_RECEPCION"), col("FECHA_INICIO", "timestamp")).alias("DIAS_INICIO_A_RECEPCION"),
-        days(dcol("FECHA_EMISION_DT"), col("FECHA_INICIO", "timestamp")).alias("DIAS_INICIO_A_EMISION"),
-        days(dcol("FECHA_RECEPCION"), dcol("FECHA_EMISION_DT")).alias("DIAS_EMISION_A_RECEPCION"),
-        B.late_flag(dcol("FECHA_EMP_ENVIO"), dcol("FECHA_EMP_RECEPCION"), 3).alias("ENVIO_TARDIO_EMPLEADOR"),
-        dcol("FECHA_EMISION_DT").alias("FECHA_EMISION_DT"), dcol("FECHA_RECEPCION").alias("FECHA_RECEPCION"),
-        col("FECHA_INICIO", "timestamp").alias("FECHA_INICIO"), col("FECHA_TERMINO", "timestamp").alias("FECHA_TERMINO"),
-        col("DIASSOLICITADO", "bigint").alias("DIASSOLICITADO"), col("COT_EDAD", "bigint").alias("COT_EDAD"),
-        B.standardise_category(col("COT_GENERO"), B.GENDER_SYNONYMS, "null").alias("COT_GENERO"),
-        col("CIE_GRUPO").alias("CIE_GRUPO"),
-        B.code_label_fallback(col("TIPO_F_LM"), col("lic_codigo_tipo_licencia", "bigint")).alias("TIPO_F_LM"),
-        B.code_fallback(col("TIPO_F_LM_COD", "bigint"), col("lic_codigo_tipo_licencia", "bigint")).alias("TIPO_F_LM_COD"),
-        col("lic_codigo_tipo_licencia", "bigint").alias("I_TIPOLIC"),
-        col("PRESTADOR_RUT").alias("PRESTADOR_RUT"),
-        (B.id_range_flag("PRESTADOR_RUT") if "PRESTADOR_RUT" in w.columns else F.lit(0)).alias("MEDICO_EXTRANJERO"),
-        F.when(F.upper(col("PRESTADOR_TIPO")) == "MEDICO", 1).otherwise(0).alias("IS_MEDICO"),
-        B.month_diff(dcol("FECHA_RECEPCION"), dcol("FECHA_SUSCR_CONTRATO")).alias("MESES_DESDE_CONTRATO"),
-        B.month_diff(dcol("FECHA_RECEPCION"), dcol("FECHA_INGRESO_PREST")).alias("MESES_ANTIGUEDAD_PRESTADOR"),
-        col("CONTINUA_CALC").alias("CONTINUA_CALC"),
-        B.episode_start(dcol("EPISODIO_FEC_INI"), col("FECHA_INICIO", "timestamp")).alias("EPISODIO_FEC_INI"),
-        B.episode_days(col("CONTINUA_CALC"), dcol("EPISODIO_FEC_INI"), col("FECHA_INICIO", "timestamp"),
-                       col("FECHA_TERMINO", "timestamp")).alias("EPISODIO_ACUM_DIAS"),
-    ]
-    passthrough = [c for c in (spec or []) if c in w.columns]
-    out = w.select(*sel, *[F.col(c) for c in passthrough if c not in {"AFILIADO_RUT", "LCC_COMCOR", "LCC_COMCOD"}],
-                   *[col(c, _TYPES.get(c, "string")).alias(c) for c in ("ESTADO_LM", "I_DIASAUTORIZADOS", "RESOLUCION_COMPIN", "REC_GLS_CAUMOD",
-                                      "REC_LCC_VISJUS", "PERITAJE_FALLO_1", PRIOR_APPROVAL_COL,
-                                      "FECHA_RESOLUCION_COMPIN", "PERITAJE_LM_PERITADA", "CTD_ENVIA_PERITAJE",
-                                      "CTD_ENVIA_INFORME_MEDICO") if c not in passthrough])
-    out = B.fill_defaults(out, {**CM.CLAIM_DEFAULTS, **CM.SERVICE_DEFAULTS, **CM.EXAM_DEFAULTS})
-    out = B.derive_targets(B.derive_audit_columns(out))
-    drop = [c for c in ("REC_GLS_CAUMOD", "REC_LCC_VISJUS", "PERITAJE_FALLO_1", PRIOR_APPROVAL_COL,
-                        "PERITAJE_LM_PERITADA", "CTD_ENVIA_PERITAJE", "CTD_ENVIA_INFORME_MEDICO",
-                        "ESTADO_LM", "I_DIASAUTORIZADOS", "RESOLUCION_COMPIN", "FECHA_RESOLUCION_COMPIN")
-            if c not in passthrough]
-    return out.drop(*drop)
+    own = {
+        "AFILIADO_RUT": col("AFILIADO_RUT"), "LCC_COMCOR": col("LCC_COMCOR", "bigint"), "LCC_COMCOD": col("LCC_COMCOD", "bigint"),
+        "FECHA_EMP_RECEPCION": B.clean_sentinel_date(dcol("FECHA_EMP_RECEPCION")),
+        "FECHA_EMP_ENVIO": B.clean_sentinel_date(dcol("FECHA_EMP_ENVIO")),
+        "FECHA_NAC_HIJO": B.clean_sentinel_date(dcol("FECHA_NAC_HIJO")),
+        "DIAS_RECEPCION_A_EMPLEADOR": days(B.clean_sentinel_date(dcol("FECHA_EMP_RECEPCION")), dcol("FECHA_RECEPCION")),
+        "DIAS_RECEPCION_A_ENVIO": days(B.clean_sentinel_date(dcol("FECHA_EMP_ENVIO")), dcol("FECHA_RECEPCION")),
+        "DIAS_INICIO_A_RECEPCION": days(dcol("FECHA_RECEPCION"), col("FECHA_INICIO", "timestamp")),
+        "DIAS_INICIO_A_EMISION": days(dcol("FECHA_EMISION_DT"), col("FECHA_INICIO", "timestamp")),
+        "DIAS_EMISION_A_RECEPCION": days(dcol("FECHA_RECEPCION"), dcol("FECHA_EMISION_DT")),
+        "ENVIO_TARDIO_EMPLEADOR": B.late_flag(dcol("FECHA_EMP_ENVIO"), dcol("FECHA_EMP_RECEPCION"), 3),
+        "FECHA_EMISION_DT": dcol("FECHA_EMISION_DT"), "FECHA_RECEPCION": dcol("FECHA_RECEPCION"),
+        "FECHA_INICIO": col("FECHA_INICIO", "timestamp"), "FECHA_TERMINO": col("FECHA_TERMINO", "timestamp"),
+        "DIASSOLICITADO": col("DIASSOLICITADO", "bigint"), "COT_EDAD": col("COT_EDAD", "bigint"),
+        "COT_GENERO": B.standardise_category(col("COT_GENERO"), B.GENDER_SYNONYMS, "null"), "CIE_GRUPO": col("CIE_GRUPO"),
+        "TIPO_F_LM": B.code_label_fallback(col("TIPO_F_LM"), col("lic_codigo_tipo_licencia", "bigint")),
+        "TIPO_F_LM_COD": B.code_fallback(col("TIPO_F_LM_COD", "bigint"), col("lic_codigo_tipo_licencia", "bigint")),
+        "I_TIPOLIC": col("lic_codigo_tipo_licencia", "bigint"), "PRESTADOR_RUT": col("PRESTADOR_RUT"),
+        "MEDICO_EXTRANJERO": B.id_range_flag("PRESTADOR_RUT") if "PRESTADOR_RUT" in known else F.lit(0),
+        "IS_MEDICO": F.when(F.upper(col("PRESTADOR_TIPO")) == "MEDICO", 1).otherwise(0),
+        "MESES_DESDE_CONTRATO": B.month_diff(dcol("FECHA_RECEPCION"), dcol("FECHA_SUSCR_CONTRATO")),
+        "MESES_ANTIGUEDAD_PRESTADOR": B.month_diff(dcol("FECHA_RECEPCION"), dcol("FECHA_INGRESO_PREST")),
+        "CONTINUA_CALC": col("CONTINUA_CALC"),
+        "EPISODIO_FEC_INI": B.episode_start(dcol("EPISODIO_FEC_INI"), col("FECHA_INICIO", "timestamp")),
+        "EPISODIO_ACUM_DIAS": B.episode_days(col("CONTINUA_CALC"), dcol("EPISODIO_FEC_INI"), col("FECHA_INICIO", "timestamp"),
+                                             col("FECHA_TERMINO", "timestamp")),
+    }
+    # what targets and audit columns read goes along under names of its own, and leaves again
+    passed = [c for c in (spec or []) if c in known and c not in own and c not in mart.columns()]
+    decision = [c for c in _DECISION if c not in own and c not in passed and c not in mart.columns()]
+    ruled = w.withColumns({f"__{n}": c for n, c in own.items()})
+    out = mart.apply(ruled.withColumns({c: F.lit(None).cast(_TYPES.get(c, "string")) for c in decision if c not in known}),
+                     keep=[*[f"__{n}" for n in own], *passed, *decision])
+    out = out.withColumnsRenamed({f"__{n}": n for n in own})
+    return B.derive_targets(B.derive_audit_columns(out)).drop(*decision)

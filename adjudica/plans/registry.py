@@ -41,5 +41,6 @@ def query(name: str, ops: tuple[str, ...] | str, sql: str | None = None):
 
 def load_all() -> dict[str, Query]:
     # importing the catalog modules fills the registry
-    from . import catalog_audit, catalog_decision, catalog_features, catalog_mart, catalog_misc, catalog_model, catalog_pipelines, catalog_tables  # noqa: F401
+    from . import (catalog_audit, catalog_decision, catalog_features, catalog_mart, catalog_misc, catalog_model,  # noqa: F401
+                   catalog_pipelines, catalog_tables, catalog_wide)
     return REGISTRY

@@ -30,10 +30,9 @@ BINARY = ["MEDICO_EXTRANJERO", "IS_MEDICO", "FADE_AFILIADO_90D", "FADE_AFILIADO_
           "FLAG_PERITAJE_PSIQ_U30D", "FLAG_TIENE_FADE_U30D", "FLAG_SOSPECHA_FRAUDE_U90D",
           "FLAG_INFORME_MEDICO_RECEP_U30D"]
 TEXT = ["LM_DIAGNOSTICO", "LM_ANTECEDENTES_CLINICOS"]
-# Column names of the claim tables used by the rules (prior
-# automatic approval flag, and the source column it is derived from).
+# The prior automatic approval flag, and the value that sets it
+# in the source column, which callers name.
 PRIOR_APPROVAL_COL = "PASO_FASTTRACK"
-PRIOR_SOURCE_COL = "MEDICO_COLMENA"
 PRIOR_SOURCE_VALUE = "autvis"
 TARGETS = ["TARGET_PERITAJE", "TARGET_PERITAJE2", "TARGET_RECHAZA", "TARGET_MODIFICA", "TARGET_FT3",
            "TARGET_RATIFICA", "TARGET_REQUIERE_REVISION", "TARGET_FT2", "TARGET_APRUEBA"]
