@@ -108,17 +108,14 @@ def service_days(probes: DataFrame, services: DataFrame, days: int = 15, date_fr
     flags = {f"HV_FLAG_{t}_U15D": tipo == t for t in ("HOSPITALARIO", "BONO", "REEMBOLSO")}
     flags |= {f"HV_FLAG_{p}_U15D": F.col(f"PATOLOGIA_{p}") == p for p in ("GES", "CAEC")}
     amount = "HV_SUM_CANTIDAD_PREST_U15D"
-    # distinct folios and distinct doctors: one de-duplicating aggregate each
-    # over the same pairs, instead of an Expand copy per distinct column
-    sets = [(["FOLIO"], [F.count("FOLIO").alias("HV_N_PRESTACIONES_U15D")]),
-            (["MEDTRATANTE_RUT"], [F.count("MEDTRATANTE_RUT").alias("HV_N_MEDICOS_U15D")])]
-    return lookback_days(probes, services, PERSON, "FECHA_RECEPCION", "FECHA",
-                         [F.sum(amount).alias(amount), *[F.max(f).alias(f) for f in flags]],
+    # distinct folios and distinct doctors are counted in one pass over the pairs
+    return lookback_days(probes, services, PERSON, "FECHA_RECEPCION", "FECHA", [],
                          days=days, hist_key="COTIZANTE_RUT", hist_filter=tipo.isin(*types),
                          date_from=date_from, date_to=date_to,
                          reduce=(["FOLIO", "MEDTRATANTE_RUT"], [F.sum("PRESTACION_CANTIDAD").alias(amount),
                                                                 *[_flag(c).alias(f) for f, c in flags.items()]]),
-                         distinct_sets=sets)
+                         distinct={"HV_N_PRESTACIONES_U15D": "FOLIO", "HV_N_MEDICOS_U15D": "MEDTRATANTE_RUT"},
+                         merge={amount: "sum", **{f: "max" for f in flags}})
 
 
 def service_metrics_15d(probes: DataFrame, services: DataFrame, days: int = 15,

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import period_key
+from ..session import cut_lineage
 
 
 def newest_per_partition(df: DataFrame, partition: Sequence[str], order: Sequence[Column],
@@ -132,17 +133,18 @@ def mark_membership(df: DataFrame, members: DataFrame, keys: Sequence[str], flag
 
 
 def history_rank(new: DataFrame, history: DataFrame, person: str, order: Sequence[str],
-                 rank_col: str = "RN_AFILIADO_HIST", count_peers: bool = False,
-                 bucket: Column | None = None) -> DataFrame:
+                 rank_col: str = "RN_AFILIADO_HIST", count_peers: bool = False) -> DataFrame:
     """1 + number of the person's rows ordered strictly before each new row.
 
     ``count_peers=False`` counts history rows only (the reference: rows of the
     same batch are not yet inserted); ``True`` counts new rows as well.
 
-    Skew: instead of one window per person, rows are split by a coarse time
-    ``bucket`` (default: month of the first order column).  History counts per
-    (person, bucket) are prefix-summed over the person's few buckets, and the
-    exact rank is finished inside each (person, bucket) window.
+    Skew: rows are dealt to range partitions of (person, order), whose bounds
+    Spark draws from a sample, so a person, month or day that holds a large
+    part of all rows is split into several of even size.  The split table is
+    materialised once.  A row's rank is the person's count in its earlier
+    parts (prefix sums over a few rows) plus its place inside its own part.
+    History rows of equal keys are counted before they are moved.
 
     A row without person or order value is before and after no other row: a
     new one has rank 1, a history one counts for none.
@@ -151,22 +153,19 @@ def history_rank(new: DataFrame, history: DataFrame, person: str, order: Sequenc
     whole = F.col(person).isNotNull()
     for c in order:
         whole = whole & F.col(c).isNotNull()
-    b = bucket if bucket is not None else F.trunc(F.to_date(F.col(order[0])), "MM")
-    n = new.withColumn("__h", F.lit(0))
-    h = history.select(person, *order).where(whole).withColumn("__h", F.lit(1))
-    u = n.unionByName(h, allowMissingColumns=True).withColumn("__b", b)
-    counted = F.col("__h") if not count_peers else F.when(whole, 1).otherwise(0)
-    u = u.withColumn("__c", counted)
-    per_bucket = u.groupBy(person, "__b").agg(F.sum("__c").alias("__n"))
-    wb = Window.partitionBy(person).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.withColumn("__off", F.coalesce(F.sum("__n").over(wb), F.lit(0))).drop("__n")
+    n = new.withColumn("__h", F.lit(0)).withColumn("__c", F.lit(1 if count_peers else 0).cast("long"))
+    h = history.select(person, *order).where(whole).groupBy(person, *order).agg(F.count(F.lit(1)).alias("__c")).withColumn("__h", F.lit(1))
+    ranked = n.where(whole).unionByName(h, allowMissingColumns=True)
     # new rows before equal-key history rows so exact duplicates are not counted
-    wi = (Window.partitionBy(person, "__b").orderBy(*[F.col(c).asc_nulls_first() for c in order], "__h")
-          .rowsBetween(Window.unboundedPreceding, -1))
-    inner = u.withColumn("__in", F.coalesce(F.sum("__c").over(wi), F.lit(0))).where("__h = 0")
-    ranked = inner.join(offsets, [person, "__b"], "left")
-    rank = F.when(whole, F.lit(1) + F.col("__off") + F.col("__in")).otherwise(F.lit(1))
-    return ranked.select(*new.columns, rank.cast("long").alias(rank_col))
+    keys = [person, *order, "__h"]
+    placed = cut_lineage(ranked.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__part", F.spark_partition_id()))
+    counts = placed.groupBy(person, "__part").agg(F.sum("__c").alias("__n"))
+    before = Window.partitionBy(person).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    inside = Window.partitionBy(person, "__part").orderBy(*order, "__h").rowsBetween(Window.unboundedPreceding, -1)
+    inner = placed.withColumn("__in", F.coalesce(F.sum("__c").over(inside), F.lit(0))).where("__h = 0")
+    out = inner.join(offsets, [person, "__part"]).select(*new.columns, (F.lit(1) + F.col("__off") + F.col("__in")).cast("long").alias(rank_col))
+    return out.unionByName(new.where(~whole).withColumn(rank_col, F.lit(1).cast("long")))
 
 
 def combine_predictions(frames: Sequence[DataFrame]) -> DataFrame:

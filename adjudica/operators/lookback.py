@@ -27,7 +27,7 @@ A claim at day ``t`` looks at the same person's events with day in
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,7 +58,8 @@ def lookback_days(
     pre_group: Sequence[str] | None = None,
     pre_aggs: Sequence[Column] | None = None,
     method: str = "join",
-    distinct_sets: Sequence[tuple[Sequence[str], Sequence[Column]]] = (),
+    distinct: Mapping[str, str] | None = None,
+    merge: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Aggregates of ``history`` rows in ``[probe day - days, probe day)``: one row per (key, probe day) with any.
 
@@ -73,10 +74,11 @@ def lookback_days(
     With ``pre_group``, pairs are first reduced per (key, day, *pre_group) by
     ``pre_aggs`` and ``aggs`` then run over those rows: distinct counts of a
     ``pre_group`` column become plain counts, so Spark needs no ``Expand``
-    (one copy of the data per distinct aggregate).  ``distinct_sets`` adds
-    further (group columns, aggregates) pairs computed the same way from the
-    same pairs, for distinct counts of *different* columns; their per-day
-    results are joined on (key, day) instead of expanding the rows.
+    (one copy of the data per distinct aggregate).  ``distinct`` ({output:
+    column}) counts different values of several columns in one pass, instead
+    of ``aggs``: each pair becomes a tag (kind, value) for each column, tags
+    are de-duplicated once per (key, day) and counted by kind.  The columns of
+    ``merge`` ({column: "sum" or "max"}) travel on the first tag.
     The probe day's column is ``PROBE_DAY``.
     """
     pk = _as_list(key)
@@ -121,15 +123,24 @@ def lookback_days(
             .drop("__hn", _B)
     else:
         raise ValueError(method)
-    pairs = fanned
+    if distinct:
+        return _tagged(fanned, pk, distinct, merge or {})
     if pre_group:
         fanned = fanned.groupBy(*pk, PROBE_DAY, *pre_group).agg(*pre_aggs)
-    per_day = fanned.groupBy(*pk, PROBE_DAY).agg(*aggs)
-    for cols, set_aggs in distinct_sets:
-        extra = pairs.groupBy(*pk, PROBE_DAY, *cols).agg(F.count(F.lit(1)).alias("__n")) \
-                     .groupBy(*pk, PROBE_DAY).agg(*set_aggs)
-        per_day = per_day.join(extra, [*pk, PROBE_DAY], "full_outer")
-    return per_day
+    return fanned.groupBy(*pk, PROBE_DAY).agg(*aggs)
+
+
+def _tagged(pairs: DataFrame, pk: list[str], distinct: Mapping[str, str], merge: Mapping[str, str]) -> DataFrame:
+    """Distinct counts of several columns, and merged measures, per (key, probe day)."""
+    tags = F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).cast("string").alias("value"))
+                               for i, c in enumerate(distinct.values())]))
+    by = {"sum": F.sum, "max": F.max}
+    tagged = pairs.select(*pk, PROBE_DAY, *merge, tags.alias("__tag"))
+    first = F.col("__tag.kind") == 0
+    once = tagged.groupBy(*pk, PROBE_DAY, "__tag").agg(
+        *[by[how](F.when(first, F.col(c))).alias(c) for c, how in merge.items()], F.max(F.lit(1)).alias("__one"))
+    counts = [F.count(F.when(F.col("__tag.kind") == i, F.col("__tag.value"))).alias(n) for i, n in enumerate(distinct)]
+    return once.groupBy(*pk, PROBE_DAY).agg(*counts, *[by[how](c).alias(c) for c, how in merge.items()])
 
 
 def attach_days(probe: DataFrame, per_day: DataFrame, key: str | Sequence[str], probe_date: str) -> DataFrame:

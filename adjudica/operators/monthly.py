@@ -8,13 +8,16 @@ the reference, so this builder is inferred from those column families.
 
 Plan: pre-aggregate each measure per (entity, month) (map-side combined),
 so even an entity holding a third of all rows shrinks to one row per month.
-Each monthly row is then copied to the ``max(windows)`` periods that contain
-it, and one conditional aggregate per measure and window, hashed with codegen,
-combines the copies before the shuffle.  Distinct measures: a value counts in a
-window when its latest occurrence lies inside it, so each de-duplicated
-(entity, value, month) row is fanned out only up to the value's next
-occurrence (at most ``max(windows)`` periods) and counted by lag.  No raw
-row pairs are formed.
+An active month yields the periods up to the entity's next active one (at most
+``max(windows)``), so the spine has as many rows as the result and none twice.
+Along a stretch of the spine without gaps every window is read off in constant
+time per row: whole-number counts and sums as differences of two prefix sums,
+minima, maxima and fractional sums from blocks of 1, 2, 4, ... months, each
+made of two blocks of half its length (fractional sums are never subtracted,
+so nothing cancels).  Distinct measures: a value's occurrence counts from its
+month until its next occurrence or the window's end, so it is one +1 and one
+-1 per window, prefix-summed along the same spine.  No raw row pairs are
+formed and no monthly row is copied to the windows that contain it.
 """
 
 from __future__ import annotations
@@ -61,71 +64,124 @@ def monthly_metrics(df: DataFrame, entity: str, date_col: str, measures: Sequenc
     dist = [m for m in measures if m.kind == "distinct"]
     limit = None if until is None else month_index(F.lit(until).cast("date"))
 
-    def fan(d: DataFrame) -> DataFrame:
-        d = d.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(maxw - 1)))) \
-             .withColumn("__t", F.col("__m") + F.col("__k"))
-        return d if limit is None else d.where(F.col("__t") <= limit)
-
-    parts = []
-    if plain or not dist:
-        pre = []
-        for i, m in enumerate(plain):
-            if m.kind in ("count", "mean"):
-                pre.append(F.count(m.expr).alias(f"__c{i}"))
-            if m.kind in ("sum", "mean"):
-                pre.append(F.sum(m.expr).alias(f"__s{i}"))
-            if m.kind == "min":
-                pre.append(F.min(m.expr).alias(f"__n{i}"))
-            if m.kind == "max":
-                pre.append(F.max(m.expr).alias(f"__x{i}"))
-        monthly = base.groupBy(entity, "__m").agg(F.count(F.lit(1)).alias("__rows"), *pre)
-        parts.append(_plain(fan(monthly), entity, plain, windows))
+    monthly = base.groupBy(entity, "__m").agg(F.count(F.lit(1)).alias("__rows"), *_month_parts(plain))
+    spine = _spine(monthly, entity, maxw)
     if dist:
-        # A value counts in the w-month window ending at period t iff its
-        # latest occurrence at or before t is less than w months back.  Each
-        # (entity, value, month) occurrence is therefore the "latest" one only
-        # until the value's next occurrence: fan it out to those periods (at
-        # most max(windows)), with lag k = t - month, and count k < w.
-        dparts = []
+        events = None
         for i, m in enumerate(dist):
-            v = base.select(entity, "__m", m.expr.alias("__v")).where(F.col("__v").isNotNull()).distinct()
-            nxt = F.lead("__m").over(Window.partitionBy(entity, "__v").orderBy("__m"))
-            last = F.least(F.coalesce(nxt - 1, F.col("__m") + (maxw - 1)), F.col("__m") + (maxw - 1))
-            f = v.withColumn("__last", last) \
-                 .withColumn("__t", F.explode(F.sequence(F.col("__m"), F.col("__last")))) \
-                 .withColumn("__k", F.col("__t") - F.col("__m"))
-            if limit is not None:
-                f = f.where(F.col("__t") <= limit)
-            dparts.append(f.groupBy(entity, "__t").agg(
-                *[F.sum(F.when(F.col("__k") < w, 1).otherwise(0)).alias(f"{m.name}_U{w}M") for w in windows]))
-        d = dparts[0]
-        for p in dparts[1:]:
-            d = d.join(p, [entity, "__t"], "full_outer")
-        parts.append(d)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, [entity, "__t"], "left")
-    if plain and dist:
-        out = out.fillna(0, subset=[f"{m.name}_U{w}M" for m in dist for w in windows])
-    return out.withColumn("PERIODO", period_of_index(F.col("__t"))).drop("__t")
-
-
-def _plain(f: DataFrame, entity: str, plain, windows) -> DataFrame:
-    """Monthly rows fanned to the periods that contain them, one conditional
-    aggregate per (measure, window), hash-aggregated with codegen."""
-    aggs = []
+            e = _distinct_events(base, entity, m, windows, f"__d{i}")
+            events = e if events is None else events.unionByName(e, allowMissingColumns=True)
+        deltas = [f"__d{i}_{w}" for i in range(len(dist)) for w in windows]
+        events = events.groupBy(entity, "__t").agg(*[F.sum(c).alias(c) for c in deltas])
+        spine = spine.join(events, [entity, "__t"], "left")
+    if limit is not None:
+        spine = spine.where(F.col("__t") <= limit)
+    stretch = Window.partitionBy(entity, "__s").orderBy("__t")
+    out = _windowed(spine, stretch, plain, dist, windows)
+    return out.select(entity, *[f"{m.name}_U{w}M" for w in windows for m in plain],
+                      *[f"{m.name}_U{w}M" for m in dist for w in windows], period_of_index(F.col("__t")).alias("PERIODO"))
+
+
+def _month_parts(plain: Sequence[Measure]) -> list[Column]:
+    """What an active month contributes: count, sum, minimum or maximum of each measure."""
+    out = []
+    for i, m in enumerate(plain):
+        if m.kind in ("count", "sum", "mean"):
+            out.append(F.count(m.expr).alias(f"__c{i}"))
+        if m.kind in ("sum", "mean"):
+            out.append(F.sum(m.expr).alias(f"__s{i}"))
+        if m.kind == "min":
+            out.append(F.min(m.expr).alias(f"__n{i}"))
+        if m.kind == "max":
+            out.append(F.max(m.expr).alias(f"__x{i}"))
+    return out
+
+
+def _spine(monthly: DataFrame, entity: str, maxw: int) -> DataFrame:
+    """The entity's periods ``__t`` in stretches ``__s`` without gaps; a month's parts stand at its own period only."""
+    own = Window.partitionBy(entity).orderBy("__m")
+    parts = [c for c in monthly.columns if c not in (entity, "__m")]
+    gap = F.coalesce(F.col("__m") - F.lag("__m").over(own) > maxw, F.lit(True))
+    m = monthly.withColumn("__gap", gap.cast("int")) \
+               .withColumn("__last", F.least(F.coalesce(F.lead("__m").over(own) - 1, F.col("__m") + (maxw - 1)), F.col("__m") + (maxw - 1)))
+    m = m.withColumn("__s", F.sum("__gap").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    m = m.withColumn("__t", F.explode(F.sequence("__m", "__last")))
+    here = F.col("__t") == F.col("__m")
+    return m.select(entity, "__s", "__t", *[F.when(here, F.col(c)).alias(c) for c in parts])
+
+
+def _distinct_events(base: DataFrame, entity: str, m: Measure, windows: Sequence[int], name: str) -> DataFrame:
+    """(entity, __t, one change for each window): +1 where a value occurs, -1 where that occurrence leaves the window
+    or the value occurs again."""
+    v = base.select(entity, "__m", m.expr.alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    nxt = F.lead("__m").over(Window.partitionBy(entity, "__v").orderBy("__m"))
+    ends = v.withColumn("__next", nxt)
+    change = [F.struct(F.col("__m").alias("t"), *[F.lit(1).alias(f"w{w}") for w in windows])]
+    for w in windows:
+        end = F.least(F.coalesce("__next", F.col("__m") + w), F.col("__m") + w)
+        change.append(F.struct(end.alias("t"), *[F.lit(-1 if x == w else 0).alias(f"w{x}") for x in windows]))
+    e = ends.select(entity, F.explode(F.array(*change)).alias("__e"))
+    return e.groupBy(entity, F.col("__e.t").alias("__t")).agg(*[F.sum(f"__e.w{w}").alias(f"{name}_{w}") for w in windows])
+
+
+def _blocks(w: int) -> list[tuple[int, int]]:
+    """(length, months back) of disjoint blocks of 1, 2, 4, ... months that make up a window of ``w`` months."""
+    out, back = [], 0
+    for k in reversed(range(w.bit_length())):
+        if w >> k & 1:
+            out.append((1 << k, back))
+            back += 1 << k
+    return out
+
+
+def _windowed(spine: DataFrame, stretch, plain: Sequence[Measure], dist: Sequence[Measure], windows: Sequence[int]) -> DataFrame:
+    """The measures of every window, from values at earlier periods of the same stretch."""
+    exact = {f"__c{i}" for i, m in enumerate(plain) if m.kind in ("count", "sum", "mean")}
+    blocks: dict[str, object] = {}
+    for i, m in enumerate(plain):
+        if m.kind in ("sum", "mean"):
+            fractional = spine.schema[f"__s{i}"].dataType.typeName() in ("double", "float")
+            if fractional:
+                blocks[f"__s{i}"] = lambda a, b: F.coalesce(a + b, a, b)
+            else:
+                exact.add(f"__s{i}")
+        elif m.kind == "min":
+            blocks[f"__n{i}"] = F.least
+        elif m.kind == "max":
+            blocks[f"__x{i}"] = F.greatest
+    changes = {f"__d{i}_{w}" for i in range(len(dist)) for w in windows}
+    run = stretch.rowsBetween(Window.unboundedPreceding, 0)
+    d = spine.withColumns({f"{c}_p": F.sum(F.coalesce(c, F.lit(0))).over(run) for c in sorted(exact | changes)})
+    lengths = [1]
+    while lengths[-1] * 2 <= max(windows):
+        lengths.append(lengths[-1] * 2)
+    d = d.withColumnsRenamed({c: f"{c}_1" for c in blocks})
+    for half, k in zip(lengths, lengths[1:]):
+        d = d.withColumns({f"{c}_{k}": join(F.col(f"{c}_{half}"), F.lag(f"{c}_{half}", half).over(stretch)) for c, join in blocks.items()})
+
+    def inside(c: str, w: int) -> Column:
+        return F.col(f"{c}_p") - F.coalesce(F.lag(f"{c}_p", w).over(stretch), F.lit(0))
+
+    def joined(c: str, w: int) -> Column:
+        total = None
+        for k, back in _blocks(w):
+            part = F.col(f"{c}_{k}") if not back else F.lag(f"{c}_{k}", back).over(stretch)
+            total = part if total is None else blocks[c](total, part)
+        return total
+
+    made: dict[str, Column] = {}
     for w in windows:
-        inw = F.col("__k") < w
         for i, m in enumerate(plain):
-            out = f"{m.name}_U{w}M"
+            out, n, s = f"{m.name}_U{w}M", f"__c{i}", f"__s{i}"
             if m.kind == "count":
-                aggs.append(F.coalesce(F.sum(F.when(inw, F.col(f"__c{i}"))), F.lit(0)).alias(out))
-            elif m.kind == "sum":
-                aggs.append(F.sum(F.when(inw, F.col(f"__s{i}"))).alias(out))
-            elif m.kind == "mean":
-                aggs.append((F.sum(F.when(inw, F.col(f"__s{i}"))) / F.sum(F.when(inw, F.col(f"__c{i}")))).alias(out))
+                made[out] = inside(n, w)
             elif m.kind == "min":
-                aggs.append(F.min(F.when(inw, F.col(f"__n{i}"))).alias(out))
+                made[out] = joined(f"__n{i}", w)
             elif m.kind == "max":
-                aggs.append(F.max(F.when(inw, F.col(f"__x{i}"))).alias(out))
-    return f.groupBy(entity, "__t").agg(*aggs)
+                made[out] = joined(f"__x{i}", w)
+            else:
+                total = F.when(inside(n, w) > 0, inside(s, w) if s in exact else joined(s, w))
+                made[out] = total if m.kind == "sum" else total / F.when(inside(n, w) > 0, inside(n, w))
+        for i, m in enumerate(dist):
+            made[f"{m.name}_U{w}M"] = F.col(f"__d{i}_{w}_p")
+    return d.withColumns(made)

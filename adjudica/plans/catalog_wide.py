@@ -85,7 +85,7 @@ def names(text: str) -> list[str]:
 def _number(name: str, k: int, base: str) -> str:
     """A value of a measure: quarters for means and shares, small whole numbers (zeros among them) for the rest."""
     if re.search("PROMEDIO|PORCENTAJE|TASA|PCT|VELOCIDAD|BONIFICADO|SUM_CANTIDAD", name):
-        return f"(({base} + {k}) % 9) / 4.0"
+        return f"CAST(({base} + {k}) % 9 AS DOUBLE) / 4"
     return f"CAST(({base} + {k}) % 7 AS BIGINT)"
 
 
@@ -108,7 +108,7 @@ def _claim_list() -> list[str]:
     day, key = "CAST(o_orderdate AS DATE)", "o_orderkey"
     rules = [(CLAIM_TEXTS, lambda c, k: f"'v' || CAST(({key} + {k}) % 11 AS STRING)"), (CLAIM_DATES, lambda c, k: f"CAST({day} - {k} AS DATE)"),
              (CLAIM_TIMES, lambda c, k: f"CAST({day} + {k} AS TIMESTAMP)"), (CLAIM_NUMBERS, lambda c, k: f"CAST(({key} + {k}) % 13 AS BIGINT)"),
-             (CLAIM_FLAGS, lambda c, k: f"CAST(({key} + {k}) % 2 AS INT)"), (CLAIM_AMOUNTS, lambda c, k: f"(({key} + {k}) % 17) / 4.0")]
+             (CLAIM_FLAGS, lambda c, k: f"CAST(({key} + {k}) % 2 AS INT)"), (CLAIM_AMOUNTS, lambda c, k: f"CAST(({key} + {k}) % 17 AS DOUBLE) / 4")]
     k = 0
     for text, rule in rules:
         for c in names(text):
