@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from .classification import classification_metrics
-from .stats import exact_quantiles, kolmogorov_pvalue, ks_statistic, unpivot
+from .stats import exact_quantiles, ks_pvalue, ks_statistic, unpivot
 
 # Audit thresholds.
 PERFORMANCE_MIN = {"AUC": 0.70, "PRECISION": 0.60, "RECALL": 0.60, "F1": 0.60}
@@ -158,7 +158,8 @@ def fairness_audit(df: DataFrame, attr: str, label: str, pred: str, limit: float
 
 def drift_ks(train: DataFrame, test: DataFrame, cols: Sequence[str], p_limit: float = DRIFT_P,
              nan_policy: str = "propagate") -> DataFrame:
-    """Two-sample KS per numeric feature: statistic, asymptotic p, flag.
+    """Two-sample KS per numeric feature: statistic, p (exact up to
+    ``stats.KS_EXACT_N`` values a sample, asymptotic beyond), flag.
 
     ``nan_policy="propagate"`` gives NULL statistic/p for a feature with any
     missing value (never flagged); ``"omit"`` drops missing values."""
@@ -172,7 +173,7 @@ def drift_ks(train: DataFrame, test: DataFrame, cols: Sequence[str], p_limit: fl
     out = miss.join(ks, "feature", "left")
     bad = (F.col("__miss") > 0) if nan_policy == "propagate" else F.lit(False)
     d = F.when(bad, None).otherwise(F.col("statistic"))
-    pv = F.when(bad, None).otherwise(kolmogorov_pvalue(F.col("statistic"), F.col("n1"), F.col("n2")))
+    pv = F.when(bad, None).otherwise(ks_pvalue(F.col("statistic"), F.col("n1"), F.col("n2")))
     return out.select(F.col("feature").alias("FEATURE"), F.round(d, 6).alias("ESTADISTICO"),
                       F.round(pv, 6).alias("P_VALOR"),
                       F.coalesce(pv < p_limit, F.lit(False)).alias("DRIFT"))

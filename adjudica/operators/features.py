@@ -14,10 +14,11 @@ import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ..session import cut_lineage
 from .stats import exact_quantiles, unpivot
 
 # Date reference and defaults.
@@ -109,49 +110,59 @@ def _with_bigrams(toks: Column) -> Column:
     return F.when(F.size(toks) > 1, F.concat(toks, F.filter(pairs, lambda x: x.isNotNull()))).otherwise(toks)
 
 
-def _doc_terms(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    # Documents are hash-spread by id first: text tables come in few large
-    # splits and document lengths vary a lot, so tokenising straight off the
-    # scan leaves cores idle.  After that shuffle the (document, term) counts
-    # are partition-local (rows of one document share a partition), so the
-    # raw text is moved exactly once.
-    t = df.select(doc_id, text).repartition(doc_id).select(doc_id, _tokens(F.col(text)).alias("__toks"))
-    t = t.select(doc_id, F.explode(_with_bigrams(F.col("__toks"))).alias("term"))
-    return t.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+def _terms(df: DataFrame, doc_id: str, text: str, few_splits: bool = False) -> DataFrame:
+    """(doc_id, term) for every occurrence, made where the text is read; ``few_splits`` deals the texts out first."""
+    t = df.select(doc_id, text)
+    t = (t.repartition(doc_id) if few_splits else t).select(doc_id, _tokens(F.col(text)).alias("__toks"))
+    return t.select(doc_id, F.explode(_with_bigrams(F.col("__toks"))).alias("term"))
+
+
+def _term_key(term: str) -> Column:
+    """128 bits that stand for a term while terms are counted."""
+    return F.struct(F.xxhash64(term).alias("a"), F.xxhash64(F.lit(1), F.col(term)).alias("b"))
 
 
 def tfidf_fit(df: DataFrame, doc_id: str, text: str, max_features: int = 50, min_df: int = 5,
-              max_df: float = 0.8, tf: DataFrame | None = None) -> DataFrame:
+              max_df: float = 0.8, few_splits: bool = False) -> DataFrame:
     """I2 fit: vocabulary (term, idx, idf).  Terms in at least ``min_df``
     documents and at most ``max_df`` of them, the ``max_features`` most
     frequent over the corpus (ties alphabetical), indexed alphabetically;
-    smooth idf = ln((1 + n) / (1 + df)) + 1."""
-    tf = tf if tf is not None else _doc_terms(df, doc_id, text)
+    smooth idf = ln((1 + n) / (1 + df)) + 1.
+
+    Terms are counted by a hash, (document, hash, count) is all that moves.
+    Only terms that reach the ``max_features``-th total are then looked up by
+    name, in a second pass over the text.  ``few_splits`` is for a table that
+    comes in fewer splits than there are cores: its texts are dealt out first.
+    """
     n = df.agg(F.count(F.lit(1))).scalar()
-    dfs = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tot"))
-    keep = dfs.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n))
-    top = keep.orderBy(F.col("tot").desc(), F.col("term")).limit(max_features)
+    terms = _terms(df, doc_id, text, few_splits)
+    tf = terms.groupBy(doc_id, _term_key("term").alias("key")).agg(F.count(F.lit(1)).alias("tf"))
+    dfs = tf.groupBy("key").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tot"))
+    keep = cut_lineage(dfs.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(float(max_df)) * n)))
+    least = keep.orderBy(F.col("tot").desc()).limit(max_features).agg(F.min("tot")).scalar()
+    winners = keep.where(F.col("tot") >= least)
+    names = terms.select(_term_key("term").alias("key"), "term").join(winners.select("key"), "key", "left_semi") \
+        .groupBy("key").agg(F.min("term").alias("term"))
+    top = winners.join(names, "key").orderBy(F.col("tot").desc(), F.col("term")).limit(max_features)
     # the vocabulary has at most max_features rows: a bounded single-task sort
-    from pyspark.sql import Window
     w = Window.orderBy("term")
     return top.select("term", (F.row_number().over(w) - 1).alias("idx"),
                       (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
 
 
 def tfidf_transform(df: DataFrame, vocab: DataFrame, doc_id: str, text: str, prefix: str,
-                    size: int, keep_text: bool = False, tf: DataFrame | None = None) -> DataFrame:
-    """I2 apply: ``{prefix}_tfidf_{i}`` columns, L2-normalised per document."""
-    tf = (tf if tf is not None else _doc_terms(df, doc_id, text)) \
-        .join(F.broadcast(vocab), "term")  # vocab <= max_features rows
+                    size: int, keep_text: bool = False, few_splits: bool = False) -> DataFrame:
+    """I2 apply: ``{prefix}_tfidf_{i}`` columns, L2-normalised per document.
+
+    Occurrences of vocabulary terms are kept where the text is; only their
+    counts per document move."""
+    hits = _terms(df, doc_id, text, few_splits).join(F.broadcast(vocab), "term")  # vocab <= max_features rows
+    tf = hits.groupBy(doc_id, "idx", "idf").agg(F.count(F.lit(1)).alias("tf"))
     w = tf.select(doc_id, "idx", (F.col("tf") * F.col("idf")).alias("v"))
-    # L2 norm per document as a window over its <= size vocabulary rows; the
-    # rows are already partitioned by document, so neither the norm nor the
-    # pivot shuffles again
-    from pyspark.sql import Window
-    nr = F.sqrt(F.sum(F.col("v") * F.col("v")).over(Window.partitionBy(doc_id)))
-    wide = w.withColumn("__x", F.col("v") / nr).groupBy(doc_id).pivot("idx", list(range(size))) \
-        .agg(F.first("__x"))
-    wide = wide.select(doc_id, *[F.col(f"`{i}`").alias(f"{prefix}_tfidf_{i}") for i in range(size)])
+    # L2 norm per document over its <= size vocabulary rows
+    wide = w.groupBy(doc_id).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("__n"),
+                                 *[F.max(F.when(F.col("idx") == i, F.col("v"))).alias(f"__{i}") for i in range(size)])
+    wide = wide.select(doc_id, *[(F.col(f"__{i}") / F.col("__n")).alias(f"{prefix}_tfidf_{i}") for i in range(size)])
     out = df.join(wide, doc_id, "left").fillna(0.0, subset=[f"{prefix}_tfidf_{i}" for i in range(size)])
     return out if keep_text else out.drop(text)
 
@@ -164,35 +175,44 @@ def _as_category(c: Column) -> Column:
 
 def label_encode_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """I3 fit: (column, category, code) with codes in sorted category order;
-    NULL becomes 'MISSING'."""
+    NULL becomes 'MISSING'.
+
+    A code is the number of smaller categories: those of earlier beginnings
+    (prefix sums over the column's beginnings) and those before it of its own
+    beginning, so no task sorts a whole column."""
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, category string, code int")
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _as_category(F.col(c)).alias("category"))
                                          for c in cols])).alias("x")).select("x.*").distinct()
-    from pyspark.sql import Window
-    w = Window.partitionBy("column").orderBy("category")  # one task per column over its categories
-    return long.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    long = long.withColumn("__start", F.substring("category", 1, 3))
+    inside = Window.partitionBy("column", "__start").orderBy("category")
+    starts = long.groupBy("column", "__start").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("column").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("column", "__start", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    placed = long.withColumn("__in", F.row_number().over(inside) - 1).join(starts, ["column", "__start"])
+    return placed.select("column", "category", (F.col("__before") + F.col("__in")).cast("int").alias("code"))
 
 
 def label_encode_transform(df: DataFrame, dictionary: DataFrame, cols: Sequence[str]) -> DataFrame:
     """I3 apply: ``{col}_encoded``; unseen categories take 'MISSING' when it is
     known, else the alphabetically first category; a column without a fitted
-    dictionary gets 0.  Source columns are dropped."""
-    out = df
-    fitted = {r["column"] for r in dictionary.select("column").distinct().collect()}
-    for c in cols:
-        if c not in df.columns:
-            continue
-        if c not in fitted:
-            out = out.withColumn(f"{c}_encoded", F.lit(0)).drop(c)
-            continue
+    dictionary gets 0.  Source columns are dropped.
+
+    Building starts no job: every column's default code comes from one scalar
+    subquery (a map with an entry for each fitted column)."""
+    present = [c for c in cols if c in df.columns]
+    if not present:
+        return df
+    first = F.coalesce(F.max(F.when(F.col("category") == MISSING, F.col("code"))), F.min("code"))
+    defaults = dictionary.groupBy("column").agg(first.alias("code")) \
+        .agg(F.map_from_entries(F.collect_list(F.struct("column", "code"))).alias("m")).scalar()
+    out = df.withColumn("__defaults", defaults)
+    for c in present:
         d = dictionary.where(F.col("column") == c).select(F.col("category").alias("__cat"), F.col("code").alias("__code"))
-        default = d.agg(F.coalesce(F.max(F.when(F.col("__cat") == MISSING, F.col("__code"))),
-                                   F.min_by("__code", "__cat"))).scalar()
+        code = F.coalesce(F.col("__code"), F.element_at("__defaults", c), F.lit(0))
         out = out.withColumn("__cat", _as_category(F.col(c))).join(d, "__cat", "left") \
-                 .withColumn(f"{c}_encoded", F.coalesce(F.col("__code"), default).cast("int")) \
-                 .drop("__cat", "__code", c)
-    return out
+                 .withColumn(f"{c}_encoded", code.cast("int")).drop("__cat", "__code", c)
+    return out.drop("__defaults")
 
 
 # ------------------------------------------------------------------ I4
@@ -289,15 +309,13 @@ class FeatureModel:
         for t in self.text:
             if t not in x.columns:
                 continue
-            tf = _doc_terms(x, self.doc_id, t)
             if fit:
-                v = tfidf_fit(x, self.doc_id, t, self.max_features, self.min_df, self.max_df, tf=tf)
-                v = v.cache()
-                self.vocab[t] = v
-                self.sizes[t] = v.count()
-            x = tfidf_transform(x, self.vocab[t], self.doc_id, t, t, self.sizes[t], tf=tf)
+                # a written table: read by every later transform, and nothing stays on executors
+                self.vocab[t] = cut_lineage(tfidf_fit(x, self.doc_id, t, self.max_features, self.min_df, self.max_df))
+                self.sizes[t] = self.vocab[t].count()
+            x = tfidf_transform(x, self.vocab[t], self.doc_id, t, t, self.sizes[t])
         if fit:
-            self.dictionary = label_encode_fit(x, [c for c in self.categorical if c in x.columns]).cache()
+            self.dictionary = cut_lineage(label_encode_fit(x, [c for c in self.categorical if c in x.columns]))
         x = label_encode_transform(x, self.dictionary, self.categorical)
         num = [c for c in self.numeric if c in x.columns]
         if fit or self.impute_mode == "batch":
@@ -312,6 +330,10 @@ class FeatureModel:
     def _numeric_cols(self, x: DataFrame, exclude: Sequence[str]) -> list[str]:
         return [f.name for f in x.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
 
+    def numeric_names(self, x: DataFrame) -> list[str]:
+        """The columns that a model can take."""
+        return self._numeric_cols(x, [self.doc_id])
+
     def fit_transform(self, df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
         x = self._pre(df, fit=True)
         cols = self._numeric_cols(x, list(exclude) + [self.doc_id])

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.sizing import assert_unique
@@ -59,9 +59,14 @@ def _dedupe(source: DataFrame, keys: Sequence[str], on_duplicate: str) -> DataFr
         assert_unique(source, list(keys))
         return source
     if on_duplicate == "first":
-        order = [F.col(c).asc_nulls_last() for c in source.columns if c not in keys]
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return source.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+        # the least row by its other columns: an aggregate, combined before rows move, so a key that repeats very
+        # often is no burden; each column is ordered with its NULLs last
+        rest = [c for c in source.columns if c not in keys]
+        if not rest:
+            return source.distinct()
+        order = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(c) for c in rest])
+        least = source.groupBy(*keys).agg(F.min(order).alias("__row"))
+        return least.select(*[F.col(c) if c in keys else F.col(f"__row.{c}.v").alias(c) for c in source.columns])
     if on_duplicate == "trust":
         return source
     raise ValueError(on_duplicate)

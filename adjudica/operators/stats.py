@@ -101,3 +101,40 @@ def kolmogorov_pvalue(d, n1, n2, terms: int = 100):
     series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
                          lambda acc, k: acc + 2 * F.pow(F.lit(-1.0), k - 1) * F.exp(-2 * k * k * z * z))
     return F.when(z < 0.27, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+
+
+# Two-sample KS p-values are exact if neither sample has more values than this, else asymptotic.
+KS_EXACT_N = 200
+
+
+def ks_exact_pvalue(d, n1, n2):
+    """Exact two-sided p of the two-sample statistic: the share of all orders of the pooled values whose statistic is at
+    least ``d``.
+
+    An order is a lattice path from (0, 0) to (n1, n2); those that keep |i/n1 - j/n2| below ``d`` are counted row by
+    row.  Counts are kept as shares of all paths to a point, P(i, j) = i/(i+j) P(i-1, j) + j/(i+j) P(i, j-1), so nothing
+    grows; the bound is compared in whole numbers, |i n2 - j n1| < d n1 n2.
+    """
+    reach = F.round(d * n1 * n2).cast("long")
+
+    def point(i, j, above, left):
+        whole = F.greatest(i + j, F.lit(1).cast("long")).cast("double")
+        inside = F.when(i + j == 0, F.lit(1.0)).otherwise((i * above + j * left) / whole)
+        return F.when(F.abs(i * n2 - j * n1) >= reach, F.lit(0.0)).otherwise(inside)
+
+    def row(before, i):
+        def step(done, j):
+            above = F.when(i > 0, F.element_at(before, (j + 1).cast("int"))).otherwise(F.lit(0.0))
+            left = F.when(j > 0, F.element_at(done, F.greatest(j, F.lit(1).cast("long")).cast("int"))).otherwise(F.lit(0.0))
+            return F.concat(done, F.array(point(i, j, above, left)))
+        return F.aggregate(F.sequence(F.lit(0).cast("long"), n2.cast("long")), F.array().cast("array<double>"), step)
+
+    start = F.array_repeat(F.lit(0.0), (n2 + 1).cast("int"))
+    last = F.aggregate(F.sequence(F.lit(0).cast("long"), n1.cast("long")), start, row)
+    return F.least(F.greatest(1 - F.element_at(last, -1), F.lit(0.0)), F.lit(1.0))
+
+
+def ks_pvalue(d, n1, n2, exact_n: int = KS_EXACT_N):
+    """Exact for samples of at most ``exact_n`` values each, asymptotic beyond."""
+    small = (n1 <= exact_n) & (n2 <= exact_n)
+    return F.when(small, ks_exact_pvalue(d, F.when(small, n1), F.when(small, n2))).otherwise(kolmogorov_pvalue(d, n1, n2))

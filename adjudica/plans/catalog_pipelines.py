@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as X
+from ..roles import ColumnRoles
 from ..sources import analogues as an
 from . import catalog_mart as CM
 from .catalog_tables import newest_sql, rank_sql
@@ -229,32 +230,52 @@ def _train_table(spark, sf_dir):
 
 N34_FEATURES = ["DIASSOLICITADO", "DIAS_INICIO_A_EMISION", "MESES_DESDE_CONTRATO", "EPISODIO_ACUM_DIAS",
                 "TIPO_F_LM_COD", "IS_MEDICO"]
+N34_KEYS = ["AFILIADO_RUT", "LCC_COMCOR", "LCC_COMCOD"]
+N34_ROLES = ColumnRoles(keys=N34_KEYS, dates=["FECHA_RECEPCION"], categorical=["COT_GENERO", "TIPO_F_LM"],
+                        numeric=N34_FEATURES, binary=[], text=[])
 
 
-@query("n4_train_and_audit", ("N4", "I8", "K1", "K2", "K4", "K5", "L9"))
+def _feature_model() -> X.FeatureModel:
+    return X.FeatureModel(dates=["FECHA_RECEPCION"], categorical=["COT_GENERO", "TIPO_F_LM"], numeric=N34_FEATURES)
+
+
+@query("n4_train_and_audit", ("N4", "A2", "I8", "J3", "K1", "K2", "K4", "K5", "L9"))
 def n4_train_and_audit(spark, sf_dir):
-    t = _train_table(spark, sf_dir).select("AFILIADO_RUT", "LCC_COMCOR", "TARGET_FT3", "COT_GENERO", *N34_FEATURES)
-    fm = X.FeatureModel(categorical=["COT_GENERO"], numeric=N34_FEATURES, doc_id="LCC_COMCOR")
-    r = train_and_audit(t, "TARGET_FT3", fm, ["AFILIADO_RUT", "LCC_COMCOR"], params={"maxIter": 10, "maxDepth": 3})
+    """The documented training run; tuning is left to K3's query, see README."""
+    r = train_and_audit(_train_table(spark, sf_dir), "TARGET_FT3", _feature_model(), N34_KEYS, roles=N34_ROLES)
     return r["summary"]
 
 
-@query("n3_score_and_publish", ("N3", "A4", "A9", "A10", "A12", "B18", "B19", "G1", "K4", "M2", "M5", "M6", "D10"))
+@query("n4_iv_table", ("N4", "A2", "J1", "J2", "J3"))
+def n4_iv_table(spark, sf_dir):
+    """The IV table of the training run's loaded rows."""
+    r = train_and_audit(_train_table(spark, sf_dir), "TARGET_FT3", _feature_model(), N34_KEYS, roles=N34_ROLES,
+                        params={"maxIter": 2}, validation=0)
+    return r["iv"]
+
+
+@query("n3_score_and_publish", ("N3", "A4", "A9", "A10", "A12", "B18", "B19", "G1", "I8", "K4", "M2", "M5", "M6", "D10"))
 def n3_score_and_publish(spark, sf_dir):
-    """Two publishing runs: the second (overlapping period) merges into the
-    first run's predictions with first-write-wins on the decision columns."""
+    """Two publishing runs with a fitted feature model: the second (overlapping period) merges into the
+    first run's published predictions with first-write-wins on the decision columns."""
+    import uuid
+
     from ..functions.contract import predictions_contract
     from ..operators import model as K
+    from ..session import ensure_checkpoint_dir
     t = _train_table(spark, sf_dir)
-    feats = N34_FEATURES
-    lab = t.where(F.col("TARGET_FT3").isNotNull())
-    model = K.train_classifier(lab, feats, "TARGET_FT3", params={"maxIter": 10, "maxDepth": 3})
-    contract = predictions_contract()
-    first = score_and_publish(t, model, None, feats, as_of="2000-01-01", date_from="1995-01-01",
-                              date_to="1999-12-31", label="TARGET_FT3", prior="LEAK_FT", contract=contract)
-    second = score_and_publish(t, model, None, feats, as_of="2001-09-01", date_from="1999-01-01",
-                               date_to="2001-08-01", label="TARGET_FT3", prior="LEAK_FT", contract=contract,
-                               predictions=first["predictions"])
-    return second["merged"].select("AFILIADO_RUT", "LCC_COMCOR", "PROBABILIDAD_APROBACION", "SEMAFORO",
-                                   "UMBRAL_VERDE", "UMBRAL_AMARILLO", "GLOSA_GENERADA", "ES_PENDIENTE",
-                                   "FECHA_PROCESAMIENTO", "FECHA_DESDE", "FECHA_HASTA")
+    fm = _feature_model()
+    lab = K.bounded_labelled(t.select(*N34_KEYS, "FECHA_RECEPCION", "COT_GENERO", "TIPO_F_LM", *N34_FEATURES, "TARGET_FT3"), "TARGET_FT3", N34_KEYS)
+    x = fm.fit_transform(lab, exclude=["TARGET_FT3", *N34_KEYS])
+    feats = [c for c in fm.numeric_names(x) if c not in N34_KEYS and c != "TARGET_FT3"]
+    val = K.stratified_split(x, "TARGET_FT3", N34_KEYS, 0.1, 43, split_col="__part")
+    model = K.train_classifier(val.withColumn("__is_val", F.col("__part") == "test").drop("__part"), feats, "TARGET_FT3",
+                               validation_col="__is_val")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/predictions-{uuid.uuid4().hex}"
+    runs = [("2000-01-01", "1995-01-01", "1999-12-31"), ("2001-09-01", "1999-01-01", "2001-08-01")]
+    for as_of, date_from, date_to in runs:
+        r = score_and_publish(t, model, fm, feats, as_of=as_of, date_from=date_from, date_to=date_to, label="TARGET_FT3",
+                              prior="LEAK_FT", contract=predictions_contract(), publish_path=path)
+    return r["merged"].select("AFILIADO_RUT", "LCC_COMCOR", "PROBABILIDAD_APROBACION", "SEMAFORO",
+                              "UMBRAL_VERDE", "UMBRAL_AMARILLO", "GLOSA_GENERADA", "ES_PENDIENTE",
+                              "FECHA_PROCESAMIENTO", "FECHA_DESDE", "FECHA_HASTA")

@@ -14,10 +14,13 @@ from ..functions.contract import conform_to_contract, map_output_columns
 from ..operators import audit as A
 from ..operators import decision as D
 from ..operators import features as X
+from ..operators import iv as V_IV
 from ..operators import merge as M
 from ..operators import model as K
 from ..operators.classification import classification_metrics
+from ..roles import DEFAULT_ROLES
 from ..session import cut_lineage
+from ..sources import versioned as V
 from ..sources.tables import load_for_scoring, load_training
 
 PRED_KEYS = ["AFILIADO_RUT", "LCC_COMCOR"]
@@ -43,12 +46,15 @@ def score_and_publish(train_table: DataFrame, model: PipelineModel, feature_mode
                       features: Sequence[str], as_of, date_from=None, date_to=None, label: str = "TARGET_FT3",
                       prior: str | None = "LEAK_FT", keys: Sequence[str] = PRED_KEYS, optimise: bool = True,
                       review=5000, rate=0.0, predictions: DataFrame | None = None,
-                      contract: StructType | tuple | None = None, model_version: str = "v1") -> dict[str, DataFrame]:
+                      contract: StructType | tuple | None = None, model_version: str = "v1",
+                      publish_path: str | None = None) -> dict[str, DataFrame]:
     """Load -> split decided / pending -> features -> score -> thresholds ->
     lights -> contract -> first-write-wins merge -> report.
 
     ``contract`` is a StructType or (StructType, text limits), e.g.
-    ``functions.contract.predictions_contract()``."""
+    ``functions.contract.predictions_contract()``.  With ``publish_path`` the
+    predictions are merged into the versioned table there (created by the
+    first run) and published whole; ``merged`` is then that table."""
     rows = load_for_scoring(train_table, as_of, date_from, date_to)
     decided, pending = B.split_decided_pending(rows, label)
     date_cols = [c for c in (feature_model.dates if feature_model else []) if c in rows.columns]
@@ -90,6 +96,12 @@ def score_and_publish(train_table: DataFrame, model: PipelineModel, feature_mode
         merged = M.merge_first_write_wins(predictions, out.select(*[c for c in predictions.columns if c in out.columns]),
                                           keys, [c for c in STICKY if c in predictions.columns],
                                           [c for c in upd if c in predictions.columns])
+    if publish_path is not None:
+        spark = out.sparkSession
+        upd = [c for c in out.columns if c not in STICKY and c not in keys]
+        V.upsert(spark, publish_path, out, keys, merge=M.merge_first_write_wins,
+                 sticky_cols=[c for c in STICKY if c in out.columns], update_cols=upd)
+        merged = V.read(spark, publish_path)
     report = D.report_summary(out.where("ES_PENDIENTE = 0"), out.where("ES_PENDIENTE = 1"), g, y,
                               label=label) if label in out.columns else None
     return {"predictions": out, "merged": merged, "report": report}
@@ -97,36 +109,52 @@ def score_and_publish(train_table: DataFrame, model: PipelineModel, feature_mode
 
 def train_and_audit(table: DataFrame, target: str, feature_model: X.FeatureModel, keys: Sequence[str],
                     test: float = 0.2, seed: int = 42, positive_weight: float = K.POSITIVE_WEIGHT,
-                    params: dict | None = None, validation: float = 0.1,
-                    protected: str | None = None, roles=None, group_mode: str | None = None) -> dict:
-    """Load -> split (fit transforms on train only) -> features -> train ->
-    score -> metrics -> audit."""
-    kw = {"roles": roles} if roles else {}
-    data = load_training(table, target, group_mode=group_mode, **kw) if roles else \
-        table.where(F.col(target).isNotNull())
+                    params: dict | None = None, validation: float = 0.1, protected: str | None = None,
+                    roles=DEFAULT_ROLES, group_mode: str | None = "strict", fit_rows: int = K.LABELLED_ROWS,
+                    tune_trials: int = 0, tune_options: dict | None = None) -> dict:
+    """Load (A2) -> IV table (J3) -> split (fit transforms on train only) ->
+    features -> tuning (K3, ``tune_trials`` > 0) -> train (K2) -> score ->
+    metrics -> audit.
+
+    The model and its transforms are fitted on at most ``fit_rows`` rows of the
+    training split (a documented bound); IV, scores, metrics and audits are of
+    all rows.
+    """
+    data = load_training(table, target, roles, group_mode=group_mode)
+    data = data.select(*data.columns, *[F.col(c) for c in [*keys, *([protected] if protected else [])] if c not in data.columns])
+    cats = [c for c in feature_model.categorical if c in data.columns]
+    nums = [c for c in feature_model.numeric if c in data.columns]
+    woe = None
+    for part in ([V_IV.woe_categorical(data, cats, target)] if cats else []) + ([V_IV.woe_numeric(data, nums, target)] if nums else []):
+        woe = part if woe is None else woe.unionByName(part)
+    iv = V_IV.iv_table(woe, all_features=[*cats, *nums]) if woe is not None else None
     split = K.stratified_split(data, target, keys, test, seed)
     train, hold = split.where("SPLIT = 'train'").drop("SPLIT"), split.where("SPLIT = 'test'").drop("SPLIT")
-    xt = feature_model.fit_transform(train, exclude=[target, *keys])
-    feats = [c for c in feature_model.feature_names if c not in keys and c != target]
+    fitted = K.bounded_labelled(train, target, keys, fit_rows, seed)
+    xt = feature_model.fit_transform(fitted, exclude=[target, *keys])
+    feats = [c for c in feature_model.feature_names if c not in keys and c != target and c in feature_model.numeric_names(xt)]
     # training iterates over the features and the drift audit reads them
     # again: compute the transforms once
     xt = cut_lineage(xt.select(*keys, target, *feats))
+    trials = None
+    if tune_trials:
+        best, trials = K.tune(xt, feats, target, keys, n_trials=tune_trials, seed=seed, **(tune_options or {}))
+        params = {**(params or {}), **best}
     fit = K.stratified_split(xt, target, keys, validation, seed + 1, split_col="__part") \
         .withColumn("__is_val", F.col("__part") == "test").drop("__part") if validation else xt
     model = K.train_classifier(fit, feats, target, positive_weight, "__is_val" if validation else None, params)
     carry = [target] + ([protected] if protected else [])
     h2 = hold.select("*", *[F.col(c).alias(f"__keep_{c}") for c in carry]).drop(target)
     xh = X.align_features(feature_model.transform(h2), feats, keep=list(keys) + [f"__keep_{c}" for c in carry])
-    scored = K.score(model, xh, keys, keep=[f"__keep_{c}" for c in carry]) \
-        .select(*keys, "PROBABILIDAD_APROBACION", "PREDICCION", *[F.col(f"__keep_{c}").alias(c) for c in carry])
+    scored = cut_lineage(K.score(model, xh, keys, keep=[f"__keep_{c}" for c in carry])
+                         .select(*keys, "PROBABILIDAD_APROBACION", "PREDICCION", *[F.col(f"__keep_{c}").alias(c) for c in carry]))
     xh = xh.drop(*[f"__keep_{c}" for c in carry])
     metrics = classification_metrics(scored, "PROBABILIDAD_APROBACION", target)
     perf = A.performance_audit(scored, "PROBABILIDAD_APROBACION", target)
     fair = A.fairness_audit(scored, protected, target, "PREDICCION") if protected else None
-    num = [c for c in feats if dict(xt.dtypes)[c] in ("double", "int", "bigint", "float")]
-    drift = A.drift_ks(xt.select(*num), xh.select(*num), num) if num else None
+    drift = A.drift_ks(xt.select(*feats), xh.select(*feats), feats) if feats else None
     summary = A.audit_summary(A.quality_issues(A.missing_profile(train)), perf, fair,
                               A.drift_summary(drift) if drift is not None else None)
     return {"model": model, "features": feats, "scored": scored, "metrics": metrics, "performance": perf,
-            "fairness": fair, "drift": drift, "summary": summary,
+            "fairness": fair, "drift": drift, "summary": summary, "iv": iv, "trials": trials,
             "importance": K.feature_importance(model, feats)}

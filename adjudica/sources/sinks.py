@@ -93,9 +93,12 @@ def upsert_partitions(spark, path: str, source: DataFrame, keys: list[str], part
     and written back with dynamic partition overwrite.  The partition
     column is read with the source's type, which file names can't tell.
     Returns the number of partitions rewritten.  A new table is created from
-    the source when ``path`` does not exist yet.
+    the source when ``path`` does not exist yet.  A writer that stops while
+    partitions are replaced leaves some of them replaced; ``versioned.upsert``
+    publishes all or nothing.
     """
     import os
+    import uuid
     from ..operators.merge import merge_upsert
     merge = merge or merge_upsert
     touched = source.select(partition_col).distinct()
@@ -110,15 +113,11 @@ def upsert_partitions(spark, path: str, source: DataFrame, keys: list[str], part
     if not touched.where(F.col(partition_col).isNull()).isEmpty():
         same = same.unionByName(target.where(F.col(partition_col).isNull()))
     merged = merge(same.select(*target.columns), source.select(*target.columns), keys, **merge_kw)
-    # read-then-overwrite of the same partitions: stage the merged rows first
-    staged = f"{path.rstrip('/')}/../_staging_{os.path.basename(path.rstrip('/'))}"
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staged)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.read.schema(target.schema).parquet(staged).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # read-then-overwrite of the same partitions: stage the merged rows first, in a folder of this run's own
+    staged = f"{path.rstrip('/')}/../_staging_{os.path.basename(path.rstrip('/'))}_{uuid.uuid4().hex}"
+    merged.write.partitionBy(partition_col).parquet(staged)
+    spark.read.schema(target.schema).parquet(staged).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
     return n
 
 
