@@ -33,7 +33,8 @@ from __future__ import annotations
 import json
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -49,8 +50,9 @@ from .common import bases, in_partitions, shared_folder, table, written
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
-CACHED_PIECES = 150_000
-ROWS_PER_BATCH = 256
+CACHED_PIECES = 350_000
+PIECES_PER_ROW = 256
+ROWS_PER_BATCH = 512
 DOCS_PER_RANGE = 16_384
 READ_TASKS = 20_000
 
@@ -72,27 +74,68 @@ class Encoder:
         self.end = b"" if end_id is None else end_id.to_bytes(self.width, "little")
         self.split = _latin_split()
         self.pieces: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
         # Pieces are only cut here if the file's pattern is the one that ``split`` writes out.
         self.cuts = _plain_byte_level(tokenizer)
+        # A byte-level token's name has a character for each byte.
+        vocabulary = self.library.get_vocab(True)
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for name, i in vocabulary.items():
+            self.token_bytes[i] = len(name)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
 
+    def _piece_ids(self, pieces: Iterable[str]) -> list[tuple[str, bytes]]:
+        """Pieces with their ids. Pieces of a space and letters go through the library in rows, which its pattern cuts
+        into the same pieces again; the bytes that tokens stand for tell where a piece ends."""
+        words, others = [], []
+        for p in pieces:
+            (words if p[0] == " " and p[1:].isalpha() else others).append(p)
+        rows = ["".join(words[i : i + PIECES_PER_ROW]) for i in range(0, len(words), PIECES_PER_ROW)]
+        found = self.library.encode_batch_fast(rows, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), f"<u{self.width}")
+        # Every word begins with the only space in it.
+        data = np.frombuffer("".join(rows).encode(), np.uint8)
+        cuts = np.append(np.flatnonzero(data == 32)[1:], len(data)) if words else np.empty(0, np.int64)
+        ends = np.cumsum(self.token_bytes[ids])
+        last = np.searchsorted(ends, cuts)
+        if len(words) and not np.array_equal(ends[last], cuts):
+            raise ValueError("the tokenizer merges across the pieces of its pattern")
+        raw, at = ids.tobytes(), ((last + 1) * self.width).tolist()
+        out = [(w, raw[i:j]) for w, i, j in zip(words, [0, *at], at)]
+        return out + list(zip(others, self._ids(others)))
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, x in enumerate(texts) if x and not (self.cuts and is_latin(x))]
+        if len(self.pieces) >= CACHED_PIECES:
+            # The last full generation is kept for pieces that come again.
+            self.last, self.pieces = self.pieces, {}
+        known, whole, waiting, new = self.pieces, [], [], set()
+        for i, x in enumerate(texts):
+            if not x:
+                continue
+            if not (self.cuts and is_latin(x)):
+                whole.append(i)
+                continue
+            pieces = self.split.findall(x)
+            ids = list(map(known.get, pieces))
+            if None in ids:
+                gaps = {j: pieces[j] for j, v in enumerate(ids) if v is None}
+                new.update(gaps.values())
+                waiting.append((i, ids, gaps))
+            else:
+                out[i] = b"".join(ids)
+        again = new & self.last.keys()
+        known.update((p, self.last[p]) for p in again)
+        known.update(self._piece_ids(new - again))
+        for i, ids, gaps in waiting:
+            for j, p in gaps.items():
+                ids[j] = known[p]
+            out[i] = b"".join(ids)
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
-        rest = set(whole)
-        cut = {i: self.split.findall(x) for i, x in enumerate(texts) if x and i not in rest}
-        if len(self.pieces) >= CACHED_PIECES:
-            self.pieces = {}
-        known = self.pieces
-        new = list({p for pieces in cut.values() for p in pieces if p not in known})
-        known.update(zip(new, self._ids(new)))
-        for i, pieces in cut.items():
-            out[i] = b"".join(map(known.__getitem__, pieces))
         return [ids + self.end for ids in out]
 
 
@@ -233,12 +276,13 @@ def read_tokens(spark: SparkSession, folder: str, manifest: DataFrame, ids: bool
                 for at in range(first, end, ROWS_PER_BATCH):
                     ends, keys, has, tokens = shard.part(at, min(ROWS_PER_BATCH, end - at))
                     cuts = (ends - ends[0]).tolist()
-                    raw = [tokens[x:y].astype("<u4").tobytes() for x, y in zip(cuts, cuts[1:])]
+                    whole = memoryview(tokens.astype("<u4").tobytes())
+                    raw = [whole[4 * x : 4 * y] for x, y in zip(cuts, cuts[1:])]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([k if h else None for k, h in zip(keys.tolist(), has.tolist())], pa.int64()),
                         pa.array(ends[:-1] + base, pa.int64()), pa.array(np.diff(ends), pa.int64()),
                         pa.array([zlib.crc32(x) for x in raw], pa.int64()),
-                        pa.array(raw if ids else [None] * len(raw), pa.binary()),
+                        pa.array([bytes(x) for x in raw] if ids else [None] * len(raw), pa.binary()),
                     ], schema=_TOKENS)
 
     columns = ("ids_file", "idx_file", "width", "n_docs", "first_n_tokens", "first")
