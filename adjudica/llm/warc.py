@@ -92,7 +92,8 @@ def with_first(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         d.where(F.col("_bytes") >= min_bytes).groupBy("_sha", "_bytes")
         .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     )
-    return d.join(again, ["_sha", "_bytes"], "left").select("_id", "_url", "_payload", "_first")
+    # A row without an id refers to no other, and (min ignores it) no other refers to it.
+    return d.join(again, ["_sha", "_bytes"], "left").select("_id", "_url", "_payload", F.when(F.col("_id").isNotNull(), F.col("_first")).alias("_first"))
 
 
 def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, date: str | None = None) -> DataFrame:
