@@ -11,6 +11,10 @@ Parquet into the shared folder and hands the reread table to the next. All stage
 4. mixing: the rows in the order of the mixture of their sources, range by range of files; none is dropped.
 5. byte_bpe: doc_id, source, n_tokens, ids (token ids as little-endian unsigned 32-bit integers) and round_trip (whether
    the decoded ids are the text again).
+
+Defined cases, in every stage: a null text counts as an empty one and stays null in the kept rows; rows of equal or null
+doc_id are rows of their own (stage 2 keeps the first of equal texts); texts are taken whole, however long; further
+columns, whatever their names, go along up to stage 4; a null source is a source; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,11 +42,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    # The row number makes rows of one id, or of none, distinct; it is that of the same scan both times.
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    keyed = rows.select(F.struct("doc_id", "_row").alias("_key"), "text")
-    kept = near_duplicates(keyed, key="_key").where(F.col("_key._row") == F.col("component_id._row")).select("_key._row")
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    # The row number makes rows of one id, or of none, distinct; it is that of the same scan both times. The row itself
+    # is one struct, so no column of the table can be taken for the number.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row"))
+    keyed = rows.select(F.struct(F.col("doc.doc_id").alias("doc_id"), "row").alias("key"), F.col("doc.text").alias("text"))
+    kept = near_duplicates(keyed, key="key").where(F.col("key.row") == F.col("component_id.row")).select("key.row")
+    return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
