@@ -46,6 +46,7 @@ from .word_hash import mix, word_hashes
 WORDS = 5
 BUCKET_TEXT_BYTES = 16 << 20
 FLUSH_SHINGLES = 1 << 20
+MOST_SHINGLES = 1 << 22
 BLOCK_SETS = 128
 MINIMA = 4
 # Sizes of similar sets are at most one band apart: the ratio of two bands' starts is above 4/3.
@@ -150,9 +151,12 @@ def _documents(d: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [shingles(x) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in found], pa.int32()), pa.array([_digest(s) for s in found], pa.binary())],
-                                             names=["key", "size", "digest"])
+            sizes, digests = [], []
+            for x in b.column(1):  # one text and one set at a time, however many a batch holds
+                found = shingles(x.as_py())
+                sizes.append(len(found))
+                digests.append(_digest(found))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary())], names=["key", "size", "digest"])
 
     out = T.StructType([d.schema["key"], T.StructField("size", T.IntegerType()), T.StructField("digest", T.BinaryType())])
     return d.mapInArrow(run, out)
@@ -167,7 +171,8 @@ def _repeated_parts(d: DataFrame) -> DataFrame:
     """Packed repeated shingles, a row for each hash range and group of sets (``part``)."""
     total = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(d.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_TEXT_BYTES))
-    flush = max(FLUSH_SHINGLES, 32 * buckets)
+    # A packet for each range that a task has seen: few shingles make poor packets, but what a task holds is bounded.
+    flush = min(max(FLUSH_SHINGLES, 32 * buckets), MOST_SHINGLES)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, np.ndarray] = {}
@@ -178,8 +183,8 @@ def _repeated_parts(d: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k else pa.int32()) for k, c in enumerate(columns)], names=PACKED)
 
         for b in batches:
-            for x in b.column(0).to_pylist():
-                found = shingles(x)
+            for x in b.column(0):
+                found = shingles(x.as_py())
                 digest = _digest(found)
                 if digest is not None and digest not in held:
                     held[digest] = found
