@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import decision as M
 from ..operators.classification import classification_metrics
 from ..sources import analogues as an
+from ..session import cut_lineage
 from .registry import query
 
 SCORED = an.sql_cte("scored", an.SCORED_FROM_LINEITEM, "lineitem")
@@ -342,3 +343,32 @@ WHERE SEMAFORO = 'VERDE' AND GRUPO = 'PENDIENTE' ORDER BY PROBABILIDAD_APROBACIO
 def f4_green_list(spark, sf_dir):
     p = _lit(spark, sf_dir).where(F.col("GRUPO") == "PENDIENTE")
     return M.green_list(p).select("LCC_COMCOR", "LCC_COMCOD", "PROBABILIDAD_APROBACION", "DIASSOLICITADO")
+
+
+# ---------------------------------------------------------------- A11
+@query("a11_report_set", ("A11", "D7", "D8", "D10", "F2", "F4"), f"""
+WITH {LIGHTED}
+SELECT 'resumen' AS INFORME, {len(D10_NAMES)} AS FILAS, 0 AS DIAS
+UNION ALL SELECT 'distribucion', count(*), sum(N) FROM (SELECT GRUPO, SEMAFORO, count(*) AS N FROM lit GROUP BY ALL)
+UNION ALL SELECT 'validacion_verde', 1, count(*) FROM lit WHERE SEMAFORO = 'VERDE' AND GRUPO = 'CON_DICTAMEN'
+UNION ALL SELECT 'cola_revision', count(*), sum(DIASSOLICITADO) FROM lit WHERE GRUPO = 'PENDIENTE'
+UNION ALL SELECT 'lista_verde', count(*), sum(DIASSOLICITADO) FROM lit WHERE GRUPO = 'PENDIENTE' AND SEMAFORO = 'VERDE'
+UNION ALL SELECT 'falsos_positivos', count(*), sum(DIASSOLICITADO) FROM lit WHERE SEMAFORO = 'VERDE' AND TARGET_FT3 = 0""")
+def a11_report_set(spark, sf_dir):
+    """A run's report written by one call, and what its CSV files hold when they are read back."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from .scoring import report_set
+    lt = cut_lineage(_lit(spark, sf_dir))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/report-{uuid.uuid4().hex}"
+    frames = report_set(lt.where(F.col("GRUPO") == "CON_DICTAMEN").drop("GRUPO"), lt.where(F.col("GRUPO") == "PENDIENTE").drop("GRUPO"),
+                        G, Y, path, keys=["LCC_COMCOR", "LCC_COMCOD"])
+    sums = {"resumen": F.lit(0), "distribucion": F.sum("N"), "validacion_verde": F.sum("TOTAL_VERDE")}
+    out = None
+    for name in frames:
+        back = spark.read.option("header", True).csv(f"{path}/{name}")
+        row = back.agg(F.count(F.lit(1)).cast("bigint").alias("FILAS"), sums.get(name, F.sum("DIASSOLICITADO")).cast("bigint").alias("DIAS"))
+        row = row.select(F.lit(name).alias("INFORME"), "FILAS", "DIAS")
+        out = row if out is None else out.unionByName(row)
+    return out

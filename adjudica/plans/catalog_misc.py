@@ -43,53 +43,29 @@ def _a2_cols(spark, sf_dir):
     return w, roles
 
 
-def _a2_sql() -> str:
-    # column list by the same role rule, computed from the analogue's schema names
-    from ..roles import BINARY, CATEGORICAL, DATES, KEYS, TEXT
-    names = [c.split(" AS ")[-1].strip() for c in WIDE_FROM_CLAIMS]
-    numeric_types = {"LCC_COMCOR", "LCC_COMCOD", "DIASSOLICITADO", "TIPO_F_LM_COD", "lic_codigo_tipo_licencia"}
-    role_cols = KEYS + DATES + CATEGORICAL + [c for c in names if c in numeric_types and c not in
-                                              KEYS + DATES + CATEGORICAL + BINARY + TEXT] + BINARY + TEXT
-    cols, seen = [], set()
-    for c in role_cols:
-        if c in names and c not in seen and "LEAK" not in c.upper():
-            seen.add(c)
-            cols.append(c)
-    cols.append("TARGET_RATIFICA")
-    return f"""
-WITH {WIDE_CTE}, t AS (SELECT *, {', '.join(WIDE_TARGETS)} FROM wide)
-SELECT {', '.join(cols)} FROM t
-WHERE FECHA_RECEPCION >= DATE '1996-01-01' AND FECHA_RECEPCION <= DATE '2000-12-31'
-  AND TARGET_RATIFICA IS NOT NULL AND CIE_GRUPO NOT IN ('PARTO', 'PUERPERIO') AND CIE_GRUPO IS NOT NULL
-  AND TRIM(CIE_GRUPO) != ''
-"""
-
-
-@query("a2_load_training", ("A2", "B15", "B16"), _a2_sql())
+# What the loaders return of the analogue table, in role order, once more for the oracles.
+LOADED = """AFILIADO_RUT LCC_COMCOR LCC_COMCOD PRESTADOR_RUT
+FECHA_EMP_RECEPCION FECHA_EMP_ENVIO FECHA_EMISION_DT FECHA_RECEPCION FECHA_INICIO FECHA_TERMINO EPISODIO_FEC_INI
+COT_GENERO CIE_GRUPO TIPO_F_LM TIPO_F_LM_COD PRESTADOR_TIPO CONTINUA_CALC DIASSOLICITADO lic_codigo_tipo_licencia""".split()
+# Diagnosis groups that are left out, and claims of other groups (with a name, or with or without one).
+BIRTHS = "births(g) AS (VALUES ('PARTO'), ('PUERPERIO'))"
+OTHER_GROUP = "length(trim(CIE_GRUPO)) > 0 AND CIE_GRUPO NOT IN (SELECT g FROM births)"
+NO_BIRTH = "(CIE_GRUPO IS NULL OR CIE_GRUPO NOT IN (SELECT g FROM births))"
+
+
+@query("a2_load_training", ("A2", "B15", "B16"), f"""
+WITH {WIDE_CTE}, {BIRTHS}, t AS (SELECT *, {', '.join(WIDE_TARGETS)} FROM wide)
+SELECT {', '.join(LOADED)}, TARGET_RATIFICA FROM t
+WHERE year(FECHA_RECEPCION) BETWEEN 1996 AND 2000 AND TARGET_RATIFICA IS NOT NULL AND {OTHER_GROUP}""")
 def a2_load_training(spark, sf_dir):
     w, roles = _a2_cols(spark, sf_dir)
     return T.load_training(w, "TARGET_RATIFICA", roles, date_from="1996-01-01", date_to="2000-12-31")
 
 
 # ---------------------------------------------------------------- A3
-def _a3_sql() -> str:
-    from ..roles import BINARY, CATEGORICAL, DATES, KEYS, TARGETS, TEXT
-    names = [c.split(" AS ")[-1].strip() for c in WIDE_FROM_CLAIMS]
-    numeric_types = {"LCC_COMCOR", "LCC_COMCOD", "DIASSOLICITADO", "TIPO_F_LM_COD", "lic_codigo_tipo_licencia"}
-    role_cols = KEYS + DATES + CATEGORICAL + [c for c in names if c in numeric_types and c not in
-                                              KEYS + DATES + CATEGORICAL + BINARY + TEXT] + BINARY + TEXT + TARGETS
-    cols, seen = [], set()
-    for c in role_cols:
-        if (c in names or c in ("TARGET_RATIFICA",)) and c not in seen and "LEAK" not in c.upper() and c not in TARGETS:
-            seen.add(c)
-            cols.append(c)
-    return f"""
-WITH {WIDE_CTE}, t AS (SELECT *, {', '.join(WIDE_TARGETS)} FROM wide)
-SELECT {', '.join(cols)} FROM t WHERE LCC_COMCOR IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')
-"""
-
-
-@query("a3_load_by_ids", "A3", _a3_sql())
+@query("a3_load_by_ids", "A3", f"""
+WITH {WIDE_CTE}
+SELECT {', '.join(LOADED)} FROM wide SEMI JOIN (FROM orders WHERE o_orderstatus = 'P') ON LCC_COMCOR = o_orderkey""")
 def a3_load_by_ids(spark, sf_dir):
     w, roles = _a2_cols(spark, sf_dir)
     ids = an.table(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("LCC_COMCOR"))
@@ -101,21 +77,49 @@ A4_COLS = ["LCC_COMCOR", "LCC_COMCOD", "FECHA_RECEPCION", "CIE_GRUPO", "TARGET_A
 
 
 @query("a4_load_for_scoring_pending", ("A4", "B15"), f"""
-WITH {WIDE_CTE}, t AS (SELECT *, {', '.join(WIDE_TARGETS)} FROM wide)
-SELECT {', '.join(A4_COLS)} FROM t WHERE TARGET_APRUEBA IS NULL AND CIE_GRUPO NOT IN ('PARTO', 'PUERPERIO')
-  AND CIE_GRUPO IS NOT NULL AND TRIM(CIE_GRUPO) != ''""")
+WITH {WIDE_CTE}, {BIRTHS}, t AS (SELECT *, {', '.join(WIDE_TARGETS)} FROM wide)
+SELECT {', '.join(A4_COLS)} FROM t WHERE TARGET_APRUEBA IS NULL AND {OTHER_GROUP}""")
 def a4_load_for_scoring_pending(spark, sf_dir):
     return T.load_for_scoring(_wide_t(spark, sf_dir), as_of="2001-08-02").select(*A4_COLS)
 
 
 @query("a4_load_for_scoring_period", ("A4", "B15"), f"""
-WITH {WIDE_CTE}, t AS (SELECT *, {', '.join(WIDE_TARGETS)} FROM wide)
-SELECT {', '.join(A4_COLS)} FROM t WHERE FECHA_RECEPCION BETWEEN DATE '2001-02-02' AND DATE '2001-08-01'
-  AND CIE_GRUPO NOT IN ('PARTO', 'PUERPERIO') AND CIE_GRUPO IS NOT NULL AND TRIM(CIE_GRUPO) != ''""")
+WITH {WIDE_CTE}, {BIRTHS}, t AS (SELECT *, {', '.join(WIDE_TARGETS)} FROM wide)
+SELECT {', '.join(A4_COLS)} FROM t WHERE FECHA_RECEPCION BETWEEN DATE '2001-02-02' AND DATE '2001-08-01' AND {OTHER_GROUP}""")
 def a4_load_for_scoring_period(spark, sf_dir):
     return T.load_for_scoring(_wide_t(spark, sf_dir), as_of="2001-08-02", last_days=181).select(*A4_COLS)
 
 
+@query("a4_load_for_scoring_relaxed", ("A4", "B15"), f"""
+WITH {WIDE_CTE}, {BIRTHS}, t AS (
+  SELECT * REPLACE (CASE WHEN LCC_COMCOD = 1 THEN 'PARTO' WHEN LCC_COMCOD = 2 THEN ' ' END AS CIE_GRUPO), {', '.join(WIDE_TARGETS)} FROM wide)
+SELECT {', '.join(A4_COLS)} FROM t WHERE TARGET_APRUEBA IS NULL AND {NO_BIRTH}""")
+def a4_load_for_scoring_relaxed(spark, sf_dir):
+    """No claim has a usable diagnosis group, so the loader falls back on the relaxed filter."""
+    group = F.when(F.col("LCC_COMCOD") == 1, "PARTO").when(F.col("LCC_COMCOD") == 2, " ")
+    w = _wide_t(spark, sf_dir).withColumn("CIE_GRUPO", group)
+    return T.load_for_scoring(w, as_of="2001-08-02").select(*A4_COLS)
+
+
+@query("a1_read_table_by_name", "A1", "SELECT o_orderkey, o_custkey FROM orders")
+def a1_read_table_by_name(spark, sf_dir):
+    """A table of the catalog, by its name."""
+    an.table(spark, sf_dir, "orders").createOrReplaceTempView("adjudica_orders")
+    return T.read_table(spark, "adjudica_orders").select("o_orderkey", "o_custkey")
+
+
+@query("b4_standardise_category_keep", "B4", """
+SELECT o_orderkey, CASE WHEN regexp_matches(o_orderpriority, '(?i)^\\s*[12]-') THEN 'ALTA' WHEN o_orderpriority LIKE '5-%' THEN 'BAJA'
+  ELSE o_orderpriority END AS PRIORIDAD FROM orders""")
+def b4_standardise_category_keep(spark, sf_dir):
+    """Unknown values are kept as they are; case and blanks around a synonym don't matter."""
+    o = an.table(spark, sf_dir, "orders")
+    mixed = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit(" "), F.lower("o_orderpriority"))).otherwise(F.col("o_orderpriority"))
+    known = F.when(F.substring("o_orderpriority", 1, 1).isin("1", "2", "5"), mixed).otherwise(F.col("o_orderpriority"))
+    words = {"ALTA": ["1-URGENT", "2-HIGH"], "BAJA": ["5-LOW"]}
+    return o.select("o_orderkey", B.standardise_category(known, words, "keep").alias("PRIORIDAD"))
+
+
 # ---------------------------------------------------------------- A10, A12
 CONTRACT = StructType([StructField("LCC_COMCOR", LongType()), StructField("AFILIADO_RUT", StringType()),
                        StructField("CIE_GRUPO", StringType()), StructField("DIASSOLICITADO", IntegerType()),
@@ -160,11 +164,8 @@ def b14_safe_ratio(spark, sf_dir):
 
 
 @query("b15_group_filter_modes", "B15", f"""
-WITH {WIDE_CTE}
-SELECT 'strict' AS MODO, COUNT(*) AS N FROM wide WHERE CIE_GRUPO NOT IN ('PARTO', 'PUERPERIO') AND CIE_GRUPO IS NOT NULL
-  AND TRIM(CIE_GRUPO) != ''
-UNION ALL SELECT 'relaxed', COUNT(*) FROM wide WHERE (CIE_GRUPO NOT IN ('PARTO', 'PUERPERIO') OR CIE_GRUPO IS NULL
-  OR TRIM(CIE_GRUPO) = '')""")
+WITH {WIDE_CTE}, {BIRTHS}
+SELECT unnest(['strict', 'relaxed']) AS MODO, unnest([count(*) FILTER ({OTHER_GROUP}), count(*) FILTER ({NO_BIRTH})]) AS N FROM wide""")
 def b15_group_filter_modes(spark, sf_dir):
     w = _wide(spark, sf_dir)
     s = w.where(B.group_filter("CIE_GRUPO", "strict")).agg(F.count(F.lit(1)).alias("N")).select(F.lit("strict").alias("MODO"), "N")

@@ -392,3 +392,22 @@ def f1_limit_ordered(spark, sf_dir):
     from ..sources.tables import limit_ordered
     return limit_ordered(an.claims_from_orders(spark, sf_dir), 100,
                          [F.col("FECHA_RECEPCION").desc(), F.col("LCC_COMCOR")])
+
+
+# ---------------------------------------------------------------- A8, write side
+@query("a8_versioned_upsert", ("A8",), """
+SELECT o_orderkey, o_orderdate, o_totalprice AS PRECIO, CASE WHEN o_orderkey % 3 = 0 AND o_orderdate >= DATE '2001-01-01' THEN 'NUEVO' ELSE 'VIEJO' END AS ESTADO
+FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 AND o_orderdate >= DATE '2001-01-01'""")
+def a8_versioned_upsert(spark, sf_dir):
+    """Two published versions of a table partitioned by year; the second one touches one year."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sources import versioned as V
+    o = an.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.col("o_totalprice").alias("PRECIO"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orders-{uuid.uuid4().hex}"
+    old = o.where("o_orderkey % 2 = 0").withColumn("ESTADO", F.lit("VIEJO"))
+    new = o.where("o_orderkey % 3 = 0 AND o_orderdate >= DATE '2001-01-01'").withColumn("ESTADO", F.lit("NUEVO"))
+    for rows in (old, new):
+        V.upsert(spark, path, rows.withColumn("ANIO", F.year("o_orderdate")), ["o_orderkey"], "ANIO")
+    return V.read(spark, path).drop("ANIO")

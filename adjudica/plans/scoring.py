@@ -21,6 +21,7 @@ from ..operators.classification import classification_metrics
 from ..roles import DEFAULT_ROLES
 from ..session import cut_lineage
 from ..sources import versioned as V
+from ..sources.sinks import export_report
 from ..sources.tables import load_for_scoring, load_training
 
 PRED_KEYS = ["AFILIADO_RUT", "LCC_COMCOR"]
@@ -107,6 +108,26 @@ def score_and_publish(train_table: DataFrame, model: PipelineModel, feature_mode
     return {"predictions": out, "merged": merged, "report": report}
 
 
+def report_set(decided: DataFrame, pending: DataFrame, green, yellow, path: str | None = None, label: str = "TARGET_FT3",
+               keys: Sequence[str] = PRED_KEYS) -> dict[str, DataFrame]:
+    """The frames of a run's report, and with ``path`` also their CSV folders (A11): summary (D10), lights (D7),
+    check of the green zone (D8), most frequent green groups (F3), review queue (F2), green list and false positives (F4).
+
+    Summaries of a few rows become one file each, lists as many as they have tasks.
+    """
+    both = decided.withColumn("GRUPO", F.lit("CON_DICTAMEN")).unionByName(pending.withColumn("GRUPO", F.lit("PENDIENTE")), allowMissingColumns=True)
+    frames = {
+        "resumen": D.report_summary(decided, pending, green, yellow, label=label), "distribucion": D.light_distribution(both),
+        "validacion_verde": D.green_zone_validation(decided, label=label), "cola_revision": D.review_queue(pending, keys=keys),
+        "lista_verde": D.green_list(pending), "falsos_positivos": D.false_positive_list(decided, label=label),
+    }
+    if "CIE_GRUPO" in both.columns:
+        frames["grupos_verde"] = D.top_groups_in_green(both)
+    if path is not None:
+        export_report(frames, path, single_file=["resumen", "distribucion", "validacion_verde", "grupos_verde"])
+    return frames
+
+
 def train_and_audit(table: DataFrame, target: str, feature_model: X.FeatureModel, keys: Sequence[str],
                     test: float = 0.2, seed: int = 42, positive_weight: float = K.POSITIVE_WEIGHT,
                     params: dict | None = None, validation: float = 0.1, protected: str | None = None,

@@ -15,7 +15,9 @@ FAST = ["d1_claim_metrics_15d", "d2_service_metrics_15d", "d3_exam_metrics_15d",
         "i1_date_features", "d11_monthly_metrics", "c1_join_latest_row", "c9_lookup_fill", "c10_mark_membership",
         "g1_combine_predictions", "m3_sweep_green_net", "m4_reversal_sensitivity", "k1_stratified_split_counts",
         "a10_conform_to_contract", "b19_neutralise_all_null_dates", "a2_load_training",
-        "b10_project_rename", "c6_full_outer_combine", "n1_metrics_upsert"]
+        "b10_project_rename", "c6_full_outer_combine", "n1_metrics_upsert", "n1_wide_table", "n2_training_table",
+        "i2_tfidf_features", "i3_label_encode", "a3_load_by_ids", "a4_load_for_scoring_relaxed", "a1_read_table_by_name",
+        "b4_standardise_category_keep", "a11_report_set", "a8_versioned_upsert"]
 
 
 def _norm(v):
