@@ -97,8 +97,14 @@ def lookback_days(
         if a != b:
             h = h.withColumnRenamed(a, b)
     h = h.withColumns({c: F.col(c).cast(probe.schema[c].dataType) for c in pk})
+    if method == "join":
+        h = h.where(hday.isNotNull()).withColumn(_B, F.floor(F.unix_date(hday) / days))
     if reduce:
         group, reduced = reduce
+        if method == "join":
+            # dealt out once, for the reduction and for the pairing
+            h = h.repartition(*pk, _B)
+            group = [_B, *group]
         h = h.groupBy(*dict.fromkeys([*pk, hist_date, *group])).agg(*reduced)
     pday = F.to_date(F.col(probe_date))
     if method == "fanout":
@@ -115,8 +121,7 @@ def lookback_days(
         pn = F.unix_date(F.col(PROBE_DAY))
         pdays = pdays.withColumn(_B, F.explode(F.array_distinct(
             F.array(F.floor((pn - days) / days), F.floor((pn - 1) / days)))))
-        hn = F.unix_date(hday)
-        hb = h.where(hday.isNotNull()).withColumn("__hn", hn).withColumn(_B, F.floor(hn / days))
+        hb = h.withColumn("__hn", F.unix_date(hday))
         # history streams, the few distinct probe days per (person, bucket) are buffered
         fanned = hb.join(pdays, [*pk, _B]).where(
             (F.col("__hn") >= F.unix_date(F.col(PROBE_DAY)) - days) & (F.col("__hn") < F.unix_date(F.col(PROBE_DAY)))) \

@@ -8,6 +8,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from adjudica.operators import features as X
+from adjudica.operators.lookback import lookback_days
 
 
 def exchanges(df) -> list:
@@ -73,3 +74,17 @@ def test_tfidf_without_vocabulary(spark):
     assert vocab.count() == 0
     out = X.tfidf_transform(docs, vocab, "doc_id", "text", "t", 2)
     assert sorted(map(tuple, out.collect())) == [(1, 0.0, 0.0), (2, 0.0, 0.0)]
+
+
+# ------------------------------------------------------------------ C3-C6
+def test_lookback_moves_the_history_once(spark):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 60).cast("int"))
+    history = spark.range(0, 4000, numPartitions=3).select((F.col("id") % 7).alias("p"), day.alias("d"), F.col("id").alias("n"))
+    probes = history.where("n < 200").select("p", F.col("d").alias("t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = run(lookback_days(probes, history, "p", "t", "d", [F.sum("c").alias("n")], reduce=(["n"], [F.count(F.lit(1)).alias("c")])))
+        biggest = sorted((x.metrics().apply("shuffleRecordsWritten").value() for x in exchanges(out)), reverse=True)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(n >= 4000 for n in biggest) == 1, biggest
