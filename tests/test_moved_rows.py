@@ -8,6 +8,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from adjudica.operators import features as X
+from adjudica.operators import model as K
 from adjudica.operators.lookback import lookback_days
 
 
@@ -88,3 +89,19 @@ def test_lookback_moves_the_history_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(n >= 4000 for n in biggest) == 1, biggest
+
+
+# ------------------------------------------------------------------ K1
+def test_split_leaves_rows_where_they_are_read(spark):
+    rows = spark.range(0, 3000, numPartitions=4).select("id", (F.col("id") % 3 == 0).cast("int").alias("y"), F.repeat(F.lit("x"), 500).alias("wide"))
+    out = run(K.stratified_split(rows, "y", ["id"], 0.2, 42))
+    assert written(out, "dataSize") < 3000 * 500 / 4
+
+
+def test_split_is_that_of_the_ranked_rows(spark):
+    """Also with equal keys, whose places in the ranking are any, a NULL label and shares at both ends."""
+    rows = spark.range(0, 900).select((F.col("id") % 700).alias("id"), F.when(F.col("id") % 7 > 0, (F.col("id") % 3).cast("int")).alias("y"))
+    rows = rows.unionByName(rows.where("id = 4"))
+    for test in (0.0, 0.2, 0.37, 1.0):
+        mine, ranked = (K.stratified_split(rows, "y", ["id"], test, 5, bounded=b).collect() for b in (False, True))
+        assert Counter(map(tuple, mine)) == Counter(map(tuple, ranked))
