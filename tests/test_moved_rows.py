@@ -105,3 +105,31 @@ def test_split_is_that_of_the_ranked_rows(spark):
     for test in (0.0, 0.2, 0.37, 1.0):
         mine, ranked = (K.stratified_split(rows, "y", ["id"], test, 5, bounded=b).collect() for b in (False, True))
         assert Counter(map(tuple, mine)) == Counter(map(tuple, ranked))
+
+
+# ------------------------------------------------------------------ N1
+def test_increment_ranks_and_joins_without_the_claims_columns(spark, monkeypatch):
+    """Claims that repeat and claims without a person or entity keep their rows; what is ranked has the keys only."""
+    from adjudica.operators import joins as J
+    from adjudica.plans.increment import run_increment
+    day = lambda n: F.date_add(F.lit("2024-03-01").cast("date"), n)
+    claims = spark.range(0, 12).select(
+        F.when(F.col("id") % 5 > 0, (F.col("id") % 5).cast("string")).alias("AFILIADO_RUT"), F.col("id").alias("LCC_COMCOR"), F.lit(1).cast("long").alias("LCC_COMCOD"),
+        day((F.col("id") % 3).cast("int")).alias("FECHA_RECEPCION"), F.lit(None).cast("date").alias("FECHA_RESOLUCION_COMPIN"),
+        F.lit(None).cast("string").alias("RESOLUCION_COMPIN"), F.lit(5).cast("long").alias("DIASSOLICITADO"), F.lit(2).cast("long").alias("F_DIASAUTORIZADOS"),
+        F.when(F.col("id") % 4 > 0, F.col("id") % 2).cast("string").alias("EMPLEADOR_RUT"), F.concat(F.lit("w"), "id").alias("WIDE_TEXT"))
+    claims = claims.unionByName(claims.where("LCC_COMCOR in (3, 5)"))
+    base = claims.limit(0)
+    wide = claims.where("LCC_COMCOR = 7").select("AFILIADO_RUT", "FECHA_RECEPCION", "LCC_COMCOR", "LCC_COMCOD")
+    services = spark.createDataFrame([], "COTIZANTE_RUT string, FECHA date, FOLIO string, PRESTACION_CANTIDAD double, MEDTRATANTE_RUT string, TIPO string, PATOLOGIA_GES string, PATOLOGIA_CAEC string")
+    exams = spark.createDataFrame([], "AFILIADO_RUT string, PERITAJE_PERITAJE_FECHA_CITACION date, ASISTENCIA string, ACUERDO_DESACUERDO string")
+    monthly = {"EMPLEADOR_RUT": spark.createDataFrame([("1", "022024", 9), ("1", "012024", 8), ("0", "032024", 7)], "EMPLEADOR_RUT string, PERIODO string, N long")}
+    given, rank = [], J.history_rank
+    monkeypatch.setattr(J, "history_rank", lambda new, *a, **b: (given.append(new.columns), rank(new, *a, **b))[1])
+    out = run_increment(claims, base, None, wide, services, exams, "2024-03-01", "2024-03-03", "2024-03-10", monthly=monthly).new_wide
+    rows = Counter((r["LCC_COMCOR"], r["AFILIADO_RUT"], r["EMPLEADOR_RUT"], r["WIDE_TEXT"], r["N"]) for r in out.collect())
+    expected = Counter()
+    for r in claims.where("LCC_COMCOR <> 7").collect():
+        expected[r["LCC_COMCOR"], r["AFILIADO_RUT"], r["EMPLEADOR_RUT"], r["WIDE_TEXT"], 9 if r["EMPLEADOR_RUT"] == "1" else None] += 1
+    assert rows == expected
+    assert "WIDE_TEXT" not in given[0]
