@@ -8,16 +8,17 @@ the reference, so this builder is inferred from those column families.
 
 Plan: pre-aggregate each measure per (entity, month) (map-side combined),
 so even an entity holding a third of all rows shrinks to one row per month.
-An active month yields the periods up to the entity's next active one (at most
-``max(windows)``), so the spine has as many rows as the result and none twice.
-Along a stretch of the spine without gaps every window is read off in constant
-time per row: whole-number counts and sums as differences of two prefix sums,
-minima, maxima and fractional sums from blocks of 1, 2, 4, ... months, each
-made of two blocks of half its length (fractional sums are never subtracted,
-so nothing cancels).  Distinct measures: a value's occurrence counts from its
-month until its next occurrence or the window's end, so it is one +1 and one
--1 per window, prefix-summed along the same spine.  No raw row pairs are
-formed and no monthly row is copied to the windows that contain it.
+A window's value changes only where an active month enters or leaves it, so
+each active month yields one event for its own period and one for the period
+in which it leaves each window.  Whole-number counts and sums are running sums
+of those events, +x where the month enters a window and -x where it leaves.
+Minima, maxima and fractional sums are taken over the active months themselves,
+in disjoint rings between consecutive windows, joined outwards (fractional sums
+are never subtracted, so nothing cancels).  Distinct measures: a value enters
+a window with an occurrence that has none within the window before it, and
+leaves after one that has none within the window behind it.  One window pass
+works on the periods with an event; the periods up to the next event, which
+have the same values, are filled in last.  No raw row pairs are formed.
 """
 
 from __future__ import annotations
@@ -64,20 +65,12 @@ def monthly_metrics(df: DataFrame, entity: str, date_col: str, measures: Sequenc
     dist = [m for m in measures if m.kind == "distinct"]
     limit = None if until is None else month_index(F.lit(until).cast("date"))
 
-    monthly = base.groupBy(entity, "__m").agg(F.count(F.lit(1)).alias("__rows"), *_month_parts(plain))
-    spine = _spine(monthly, entity, maxw)
-    if dist:
-        events = None
-        for i, m in enumerate(dist):
-            e = _distinct_events(base, entity, m, windows, f"__d{i}")
-            events = e if events is None else events.unionByName(e, allowMissingColumns=True)
-        deltas = [f"__d{i}_{w}" for i in range(len(dist)) for w in windows]
-        events = events.groupBy(entity, "__t").agg(*[F.sum(c).alias(c) for c in deltas])
-        spine = spine.join(events, [entity, "__t"], "left")
-    if limit is not None:
-        spine = spine.where(F.col("__t") <= limit)
-    stretch = Window.partitionBy(entity, "__s").orderBy("__t")
-    out = _windowed(spine, stretch, plain, dist, windows)
+    active = base.groupBy(entity, "__m").agg(F.count(F.lit(1)).alias("__rows"), *_month_parts(plain))
+    for i, m in enumerate(dist):
+        active = active.unionByName(_distinct_months(base, entity, m, windows, f"__d{i}"), allowMissingColumns=True)
+    out = _measured(_events(active, entity, windows), entity, plain, dist, windows)
+    last = F.col("__next") - 1 if limit is None else F.least(F.col("__next") - 1, limit)
+    out = out.where((F.col("__live") > 0) & (F.col("__t") <= last)).withColumn("__t", F.explode(F.sequence("__t", last)))
     return out.select(entity, *[f"{m.name}_U{w}M" for w in windows for m in plain],
                       *[f"{m.name}_U{w}M" for m in dist for w in windows], period_of_index(F.col("__t")).alias("PERIODO"))
 
@@ -97,31 +90,24 @@ def _month_parts(plain: Sequence[Measure]) -> list[Column]:
     return out
 
 
-def _spine(monthly: DataFrame, entity: str, maxw: int) -> DataFrame:
-    """The entity's periods ``__t`` in stretches ``__s`` without gaps; a month's parts stand at its own period only."""
-    own = Window.partitionBy(entity).orderBy("__m")
-    parts = [c for c in monthly.columns if c not in (entity, "__m")]
-    gap = F.coalesce(F.col("__m") - F.lag("__m").over(own) > maxw, F.lit(True))
-    m = monthly.withColumn("__gap", gap.cast("int")) \
-               .withColumn("__last", F.least(F.coalesce(F.lead("__m").over(own) - 1, F.col("__m") + (maxw - 1)), F.col("__m") + (maxw - 1)))
-    m = m.withColumn("__s", F.sum("__gap").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-    m = m.withColumn("__t", F.explode(F.sequence("__m", "__last")))
-    here = F.col("__t") == F.col("__m")
-    return m.select(entity, "__s", "__t", *[F.when(here, F.col(c)).alias(c) for c in parts])
+def _distinct_months(base: DataFrame, entity: str, m: Measure, windows: Sequence[int], name: str) -> DataFrame:
+    """For each active month and window, how many values enter the window with it (``_in``) and leave after it (``_out``)."""
+    v = base.select(entity, "__m", m.expr.alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    own = Window.partitionBy(entity, "__v").orderBy("__m")
+    v = v.withColumns({"__before": F.col("__m") - F.lag("__m").over(own), "__behind": F.lead("__m").over(own) - F.col("__m")})
+    far = lambda c, w: F.count_if(F.coalesce(F.col(c) >= w, F.lit(True)))
+    return v.groupBy(entity, "__m").agg(*[far("__before", w).alias(f"{name}_{w}_in") for w in windows],
+                                        *[far("__behind", w).alias(f"{name}_{w}_out") for w in windows])
 
 
-def _distinct_events(base: DataFrame, entity: str, m: Measure, windows: Sequence[int], name: str) -> DataFrame:
-    """(entity, __t, one change for each window): +1 where a value occurs, -1 where that occurrence leaves the window
-    or the value occurs again."""
-    v = base.select(entity, "__m", m.expr.alias("__v")).where(F.col("__v").isNotNull()).distinct()
-    nxt = F.lead("__m").over(Window.partitionBy(entity, "__v").orderBy("__m"))
-    ends = v.withColumn("__next", nxt)
-    change = [F.struct(F.col("__m").alias("t"), *[F.lit(1).alias(f"w{w}") for w in windows])]
-    for w in windows:
-        end = F.least(F.coalesce("__next", F.col("__m") + w), F.col("__m") + w)
-        change.append(F.struct(end.alias("t"), *[F.lit(-1 if x == w else 0).alias(f"w{x}") for x in windows]))
-    e = ends.select(entity, F.explode(F.array(*change)).alias("__e"))
-    return e.groupBy(entity, F.col("__e.t").alias("__t")).agg(*[F.sum(f"__e.w{w}").alias(f"{name}_{w}") for w in windows])
+def _events(active: DataFrame, entity: str, windows: Sequence[int]) -> DataFrame:
+    """The active months at their own period (``__k`` 0) and at those in which they leave a window of ``__k`` months.
+
+    Rows grow by the number of windows behind this shuffle, and by the periods filled in, so its parts aren't coalesced.
+    """
+    parts = int(active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    e = active.repartition(parts, entity).withColumn("__k", F.explode(F.array(F.lit(0), *[F.lit(w) for w in sorted(set(windows))])))
+    return e.withColumn("__t", F.col("__m") + F.col("__k"))
 
 
 def _blocks(w: int) -> list[tuple[int, int]]:
@@ -134,39 +120,50 @@ def _blocks(w: int) -> list[tuple[int, int]]:
     return out
 
 
-def _windowed(spine: DataFrame, stretch, plain: Sequence[Measure], dist: Sequence[Measure], windows: Sequence[int]) -> DataFrame:
-    """The measures of every window, from values at earlier periods of the same stretch."""
-    exact = {f"__c{i}" for i, m in enumerate(plain) if m.kind in ("count", "sum", "mean")}
-    blocks: dict[str, object] = {}
+def _measured(events: DataFrame, entity: str, plain: Sequence[Measure], dist: Sequence[Measure], windows: Sequence[int]) -> DataFrame:
+    """One row per (entity, ``__t`` with an event) with the measures of every window, the rows inside the longest one
+    (``__live``) and the period of the entity's next event (``__next``)."""
+    def change(c: str, w: int, leaving: str | None = None) -> Column:
+        return F.sum(F.when(F.col("__k") == 0, F.col(c)).when(F.col("__k") == w, -F.col(leaving or c)))
+
+    def whole(c: str) -> bool:
+        return events.schema[c].dataType.typeName() == "long"
+
+    changes = {f"__rows_{max(windows)}": change("__rows", max(windows))}
+    months: dict[str, Column] = {}
+    rings: dict[str, tuple] = {}
     for i, m in enumerate(plain):
-        if m.kind in ("sum", "mean"):
-            fractional = spine.schema[f"__s{i}"].dataType.typeName() in ("double", "float")
-            if fractional:
-                blocks[f"__s{i}"] = lambda a, b: F.coalesce(a + b, a, b)
-            else:
-                exact.add(f"__s{i}")
+        if m.kind in ("count", "sum", "mean"):
+            changes |= {f"__c{i}_{w}": change(f"__c{i}", w) for w in windows}
+        if m.kind in ("sum", "mean") and whole(f"__s{i}"):
+            changes |= {f"__s{i}_{w}": change(f"__s{i}", w) for w in windows}
+        elif m.kind in ("sum", "mean"):
+            rings[f"__s{i}"] = F.sum, lambda a, b: F.coalesce(a + b, a, b)
         elif m.kind == "min":
-            blocks[f"__n{i}"] = F.least
+            rings[f"__n{i}"] = F.min, F.least
         elif m.kind == "max":
-            blocks[f"__x{i}"] = F.greatest
-    changes = {f"__d{i}_{w}" for i in range(len(dist)) for w in windows}
-    run = stretch.rowsBetween(Window.unboundedPreceding, 0)
-    d = spine.withColumns({f"{c}_p": F.sum(F.coalesce(c, F.lit(0))).over(run) for c in sorted(exact | changes)})
-    lengths = [1]
-    while lengths[-1] * 2 <= max(windows):
-        lengths.append(lengths[-1] * 2)
-    d = d.withColumnsRenamed({c: f"{c}_1" for c in blocks})
-    for half, k in zip(lengths, lengths[1:]):
-        d = d.withColumns({f"{c}_{k}": join(F.col(f"{c}_{half}"), F.lag(f"{c}_{half}", half).over(stretch)) for c, join in blocks.items()})
-
-    def inside(c: str, w: int) -> Column:
-        return F.col(f"{c}_p") - F.coalesce(F.lag(f"{c}_p", w).over(stretch), F.lit(0))
+            rings[f"__x{i}"] = F.max, F.greatest
+    for i, _ in enumerate(dist):
+        changes |= {f"__d{i}_{w}": change(f"__d{i}_{w}_in", w, f"__d{i}_{w}_out") for w in windows}
+    for c in rings:
+        months[c] = F.max(F.when(F.col("__k") == 0, F.col(c)))
+    points = events.groupBy(entity, "__t").agg(*[x.alias(c) for c, x in (changes | months).items()])
+
+    own = Window.partitionBy(entity).orderBy("__t")
+    run = own.rowsBetween(Window.unboundedPreceding, 0)
+    seen = {c: F.sum(c).over(run) for c in changes}
+    steps = sorted(set(windows))
+    for near, w in zip([0, *steps], steps):
+        seen |= {f"{c}_r{w}": over(c).over(own.rangeBetween(1 - w, -near)) for c, (over, _) in rings.items()}
+    d = points.select(entity, "__t", F.lead("__t").over(own).alias("__next"), *[x.alias(c) for c, x in seen.items()])
+
+    def count(c: str, w: int) -> Column:
+        return F.coalesce(F.col(f"{c}_{w}"), F.lit(0))
 
     def joined(c: str, w: int) -> Column:
         total = None
-        for k, back in _blocks(w):
-            part = F.col(f"{c}_{k}") if not back else F.lag(f"{c}_{k}", back).over(stretch)
-            total = part if total is None else blocks[c](total, part)
+        for x in steps[: steps.index(w) + 1]:
+            total = F.col(f"{c}_r{x}") if total is None else rings[c][1](total, F.col(f"{c}_r{x}"))
         return total
 
     made: dict[str, Column] = {}
@@ -174,14 +171,14 @@ def _windowed(spine: DataFrame, stretch, plain: Sequence[Measure], dist: Sequenc
         for i, m in enumerate(plain):
             out, n, s = f"{m.name}_U{w}M", f"__c{i}", f"__s{i}"
             if m.kind == "count":
-                made[out] = inside(n, w)
+                made[out] = count(n, w)
             elif m.kind == "min":
                 made[out] = joined(f"__n{i}", w)
             elif m.kind == "max":
                 made[out] = joined(f"__x{i}", w)
             else:
-                total = F.when(inside(n, w) > 0, inside(s, w) if s in exact else joined(s, w))
-                made[out] = total if m.kind == "sum" else total / F.when(inside(n, w) > 0, inside(n, w))
+                total = F.when(count(n, w) > 0, joined(s, w) if s in rings else F.col(f"{s}_{w}"))
+                made[out] = total if m.kind == "sum" else total / F.when(count(n, w) > 0, count(n, w))
         for i, m in enumerate(dist):
-            made[f"{m.name}_U{w}M"] = F.col(f"__d{i}_{w}_p")
-    return d.withColumns(made)
+            made[f"{m.name}_U{w}M"] = count(f"__d{i}", w)
+    return d.select(entity, "__t", "__next", F.col(f"__rows_{max(windows)}").alias("__live"), *[x.alias(c) for c, x in made.items()])

@@ -106,3 +106,25 @@ def test_history_rank_of_repeated_history_rows(spark):
     new = spark.createDataFrame([("a", D(2025, 1, 1), 1), ("a", D(2025, 1, 2), 1), ("a", D(2025, 1, 4), 1)], schema)
     got = {r["d"].day: r["RN_AFILIADO_HIST"] for r in history_rank(new, hist, "p", ["d", "n"]).collect()}
     assert got == {1: 1, 2: 51, 4: 56}
+
+
+def test_monthly_windows_are_taken_where_a_month_enters_or_leaves_one(spark):
+    rows = [("a", D(2020, 1, 5), 4, "x"), ("a", D(2020, 3, 5), 9, "x"), ("b", D(2020, 1, 5), None, None)]
+    df = spark.createDataFrame(rows, "e string, d date, n long, v string")
+    kinds = [("N", "count", "n"), ("S", "sum", "n"), ("LO", "min", "n"), ("HI", "max", "n"), ("V", "distinct", "v")]
+    out = monthly_metrics(df, "e", "d", [Measure(n, k, F.col(c)) for n, k, c in kinds], (2, 36))
+    plan = out._jdf.queryExecution().optimizedPlan()
+    nodes, todo = [], [plan]
+    while todo:
+        p = todo.pop()
+        nodes.append(p.nodeName())
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    # Periods without an event are filled in behind the window of the measures, and nothing is joined to them.
+    assert "Join" not in nodes and nodes.count("Window") == 2 and nodes.index("Generate") < nodes.index("Window")
+    got = {(r["e"], r["PERIODO"]): r for r in out.collect()}
+    assert len(got) == 38 + 36
+    want = {"012020": (1, 4, 4, 4, 1), "022020": (1, 4, 4, 4, 1), "032020": (1, 9, 9, 9, 1), "052020": (0, None, None, None, 0)}
+    for p, values in want.items():
+        assert tuple(got["a", p][f"{n}_U2M"] for n, _, _ in kinds) == values
+    assert tuple(got["a", "022022"][f"{n}_U36M"] for n, _, _ in kinds) == (2, 13, 4, 9, 1)
+    assert tuple(got["b", "122022"][f"{n}_U36M"] for n, _, _ in kinds) == (0, None, None, None, 0)
