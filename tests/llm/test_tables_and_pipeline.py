@@ -121,6 +121,27 @@ def test_search_equals_scoring_everything(spark, frame, monkeypatch, dense):
     assert got == sorted(plain_search(docs, queries, 7))
 
 
+@pytest.mark.parametrize("shard_docs", [1, 40, 8192])
+def test_search_over_many_shards_leaves_k_rows_a_query(spark, frame, monkeypatch, shard_docs):
+    monkeypatch.setattr(topk_search, "SHARD_DOCS", shard_docs)
+    monkeypatch.setattr(topk_search, "QUERY_BLOCK", 3)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randint(0, 40)))) for i in range(200)] + [(300 + i, "copies of one text") for i in range(30)]
+    docs += [(None, docs[3][1]), (5, docs[3][1]), (5, None)]
+    queries = [(q, x) for q, x in docs if q is not None and q % 10 == 0] + [(310, "copies of one text"), (1, None), (2, "unknown")]
+    d, q = frame([(*x, 1) for x in docs], "doc_id long, text string, lang int").repartition(3), frame(queries, "query long, text string")
+    found = topk_search.bm25_top_k(d, q, k=4)
+    assert "Window" not in found._jdf.queryExecution().toString()
+    got = sorted(map(repr, ((r["query_id"], r["rank"], r["doc_id"], r["score"]) for r in found.collect())))
+    assert got == sorted(map(repr, plain_search_nulls_last(docs, queries, 4)))
+
+
+def plain_search_nulls_last(docs, queries, k):
+    last = 1 << 40
+    return [(q, r, None if i == last else i, float(s)) for q, r, i, s in plain_search([(last if i is None else i, x) for i, x in docs], queries, k)]
+
+
 @pytest.mark.parametrize("share", [[1], [500, 500], [333, 333, 334], [700, 200, 50, 50], [1] * 7 + [993], [15, 25, 60]])
 def test_schedule_stays_within_one_block(share):
     period, placed = sum(share), [0] * len(share)
